@@ -1,10 +1,55 @@
-"""Corpus preparation in stages; each takes documents and gives documents."""
+"""Corpus preparation in stages; each takes documents and gives documents.
+
+Quality rules drop what they reject, near-duplicates leave one document of each group,
+secrets in texts give way to a marker, sources are mixed to their target weights
+(documents come as often as their leaf's epochs say), and texts become token ids.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tracelake.llm import bpe, common, mixing, ngram_quality, secrets, simhash
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return ngram_quality.filtered(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return simhash.representatives(docs)
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document stays; a text with secrets has a marker in each one's place, and its n_chars follow."""
+    clean = secrets.redact(docs.withColumn("_whole", F.col("text")))
+    changed = ~F.col("text").eqNullSafe(F.col("_whole"))
+    n_chars = F.when(changed, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    return clean.withColumn("n_chars", n_chars).drop("_whole").select(docs.columns)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mixed(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(docs, keep=("lang", "source"), with_ids=True)
+
+
+STAGES = [
+    ("quality rules", quality),
+    ("SimHash near-dedup", near_duplicates),
+    ("secret scans", secret_scan),
+    ("mixing to target weights", mix),
+    ("byte-level BPE", encode),
+]
+#: The perplexity of the first stage and the ids of the last can't be had in SQL.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents")
+    for _, stage in STAGES:
+        docs = common.stored(stage(spark, docs, sf_dir), "stage")
+    return docs

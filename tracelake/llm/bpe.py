@@ -109,11 +109,22 @@ def decode(ids: Column, rank_path: str = RANKS, pattern: str = PATTERN) -> Colum
     return raw(ids)
 
 
-def round_trip(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rank_path: str = RANKS, pattern: str = PATTERN, limit: int = LIMIT) -> DataFrame:
-    """Encode, decode and digest each text: (id, n_tokens, n_bytes, ids_sha256, decoded_sha256).
-
-    One pass, so that ids and bytes don't leave the worker; no shuffle.
+def round_trip(
+    df: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    rank_path: str = RANKS,
+    pattern: str = PATTERN,
+    limit: int = LIMIT,
+    keep: tuple[str, ...] = (),
+    with_ids: bool = False,
+) -> DataFrame:
+    """Encode, decode and digest each text: (id, columns ``keep``, n_tokens, n_bytes, ids_sha256, decoded_sha256).
+
+    ``with_ids`` adds the ids as little-endian unsigned 32-bit integers. One pass, so
+    that bytes don't leave the worker; no shuffle.
     """
+    names = ["n_tokens", "n_bytes", "ids_sha256", "decoded_sha256", *["ids"] * with_ids]
 
     def digests(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc = encoding(rank_path, pattern)
@@ -122,12 +133,11 @@ def round_trip(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ra
             for text in frame["text"]:
                 ids = encode_text(enc, text, limit)
                 raw = enc.decode_bytes(ids.tolist())
-                rows.append((len(ids), len(raw), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(raw).hexdigest()))
-            out = pd.DataFrame(rows, columns=["n_tokens", "n_bytes", "ids_sha256", "decoded_sha256"])
-            out.insert(0, "id", frame["id"].array)
-            yield out
-
-    kind = df.schema[id_col].dataType.simpleString()
-    source = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    out = source.mapInPandas(digests, f"id {kind}, n_tokens long, n_bytes long, ids_sha256 string, decoded_sha256 string")
-    return out.withColumnRenamed("id", id_col)
+                rows.append((len(ids), len(raw), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(raw).hexdigest(), *[ids.tobytes()] * with_ids))
+            out = pd.DataFrame(rows, columns=names)
+            yield pd.concat([frame.drop(columns="text").reset_index(drop=True), out], axis=1)
+
+    source = df.select(F.col(id_col).alias("id"), *[F.col(c).alias(f"keep_{c}") for c in keep], F.col(text_col).cast("string").alias("text"))
+    kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in source.schema.fields[:-1])
+    out = source.mapInPandas(digests, kinds + "n_tokens long, n_bytes long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * with_ids)
+    return out.withColumnsRenamed({"id": id_col} | {f"keep_{c}": c for c in keep})

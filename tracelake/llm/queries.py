@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tracelake.llm import bpe, mpeg_audio, secrets, simhash, unigram_count, warc
+from tracelake.llm import bpe, ctw, mixing, mpeg_audio, ngram_quality, secrets, simhash, unigram_count, warc, wrappers
 from tracelake.llm.common import table
 
 
+def op1_ctw_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.score(table(spark, sf_dir, "documents"), held_out=ctw.held_out_rows())
+
+
 def op2_media_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mpeg_audio.features(table(spark, sf_dir, "documents"))
 
@@ -26,18 +30,30 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(table(spark, sf_dir, "pages"))
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.main_text(table(spark, sf_dir, "pages"))
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_quality.report(table(spark, sf_dir, "documents"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(table(spark, sf_dir, "documents"))
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op2_media_audio, op3_bpe, op4_token_counts, op5_warc, op8_simhash, op10_secrets]
+    found = [op1_ctw_scores, op2_media_audio, op3_bpe, op4_token_counts, op5_warc, op6_html_text, op7_quality, op8_simhash, op9_mixing, op10_secrets]
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_secrets": secrets.oracle()}
+    return {"op9_mixing": mixing.oracle(), "op10_secrets": secrets.oracle()}

@@ -117,3 +117,25 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     named = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
     kind = df.schema[id_col].dataType
     return prints.join(nodes, "fp", "left").select(id_col, named, F.col("component_id").cast(kind).alias("component_id"))
+
+
+def representatives(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of one document of each group, that with the least id, with their own columns.
+
+    Rows that share an id count as one document, and one of them stays; rows without an
+    id stay where no document with an id is near.
+    """
+    found = near_duplicates(df, id_col, text_col, **options)
+    kept = common.stored(found.filter(F.col(id_col) == F.col("component_id")).select(id_col).distinct(), "kept")
+    one = df.join(kept, id_col, "left_semi").dropDuplicates([id_col])
+    bare = df.filter(F.col(id_col).isNull())
+    if bare.isEmpty():
+        return one
+    lonely = found.filter(F.col(id_col).isNull() & F.col("component_id").isNull()).select("fingerprint").distinct()
+
+    @F.pandas_udf("long")
+    def own(texts: pd.Series) -> pd.Series:
+        return pd.Series([fingerprint(x) for x in texts], dtype=np.uint64).astype(np.int64)
+
+    tagged = bare.withColumn("_fp", F.lpad(F.lower(F.hex(own(F.col(text_col).cast("string")))), 16, "0"))
+    return one.unionByName(tagged.join(lonely, tagged["_fp"] == lonely["fingerprint"], "left_semi").dropDuplicates(["_fp"]).drop("_fp"))

@@ -39,6 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -204,13 +205,17 @@ def mix(keys: np.ndarray) -> np.ndarray:
     return z ^ (z >> np.uint64(31))
 
 
-def hash_arrays(entries: pd.DataFrame) -> dict:
+def hash_arrays(entries: pa.Table) -> dict:
     """language -> (sorted hashes, log2 probabilities)."""
+    of = entries.column("lang").combine_chunks().dictionary_encode()
+    codes = of.indices.fill_null(-1).to_numpy(zero_copy_only=False)
+    gram, log2p = entries.column("gram").to_numpy(), entries.column("log2p").to_numpy()
     out = {}
-    for lang, rows in entries.groupby("lang", dropna=False):
-        hashes = mix(rows["gram"].to_numpy())
+    for code in np.unique(codes):
+        at = codes == code
+        hashes = mix(gram[at])
         order = np.argsort(hashes)
-        out[None if pd.isna(lang) else lang] = hashes[order], rows["log2p"].to_numpy(np.float64)[order]
+        out[None if code < 0 else of.dictionary[int(code)].as_py()] = hashes[order], log2p[at][order]
     return out
 
 
@@ -244,7 +249,7 @@ def judge(
         return got.assign(base_failed=(got["n_words"] < MIN_WORDS) | (100 * got["n_repeat_words"] > 100 * REPEATED * got["n_words"]))
 
     if entries.count() <= broadcast_grams:
-        model = spark.sparkContext.broadcast(hash_arrays(entries.toPandas()))
+        model = spark.sparkContext.broadcast(hash_arrays(entries.toArrow()))
 
         @F.pandas_udf(inner)
         def measured(langs: pd.Series, texts: pd.Series) -> pd.DataFrame:

@@ -1,11 +1,507 @@
-"""Registered queries over time series and their SQL."""
+"""Registered queries over time series and their SQL.
+
+``events`` stands for box traces: a channel for each event type, frames by time, values
+as motion energy. ``embeddings`` stands for ROI traces (a vector is an ROI, a position a
+frame) and for an 8 by 8 movie (a vector is a frame, a position a pixel).
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from tracelake.functions import expressions as X
+from tracelake.operators import alignment as A
+from tracelake.operators import checks as C
+from tracelake.operators import correlation as R
+from tracelake.operators import images as I
+from tracelake.operators import models as M
+from tracelake.operators import sequence as S
+from tracelake.operators import statistics as T
+
+_FOUND: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
+WIDTH, GAP, LEAST = 5, 4, 6
+KEYS = ["run", "channel"]
+
+
+def query(sql: str | None = None):
+    def keep(f):
+        _FOUND[f.__name__] = f, sql
+        return f
+
+    return keep
+
+
+def r6(c: Column | str, name: str) -> Column:
+    """Six decimals; adding zero turns -0.0 into 0.0."""
+    return (F.round(F.col(c) if isinstance(c, str) else c, 6) + F.lit(0.0)).alias(name)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(run, channel, frame, t, v): t in seconds since 2024-01-01."""
+    e = table(spark, sf_dir, "events")
+    t = F.expr("timestampdiff(MICROSECOND, timestamp_ntz'2024-01-01 00:00:00', ts)") / 1e6
+    frame = (F.row_number().over(Window.partitionBy("event_type").orderBy("ts", "event_id")) - 1).cast("bigint")
+    return e.select(F.lit("r").alias("run"), F.col("event_type").alias("channel"), frame.alias("frame"), t.alias("t"), F.col("value").alias("v"))
+
+
+def movie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flat = table(spark, sf_dir, "embeddings").select(F.lit("m").alias("run"), F.col("vec_id").alias("frame"), F.posexplode("embedding").alias("i", "v"))
+    return flat.select("run", "frame", F.expr("cast(i div 8 as int)").alias("y"), F.expr("cast(i % 8 as int)").alias("x"), F.col("v").cast("double").alias("v"))
+
+
+def rois(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(run, channel, frame, v); shifted to be positive, as fluorescence is."""
+    flat = table(spark, sf_dir, "embeddings").select(F.lit("m").alias("run"), F.col("vec_id").cast("string").alias("channel"), F.posexplode("embedding").alias("frame", "v"))
+    return flat.withColumns({"frame": F.col("frame").cast("bigint"), "v": F.col("v").cast("double") + 10.0})
+
+
+EV = """ev AS (SELECT 'r' AS run, event_type AS channel, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) - 1 AS frame,
+    (epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01'))::DOUBLE / 1e6 AS t, value AS v FROM events)"""
+ENV = f"""{EV}, ends AS (SELECT channel, arg_min(v, frame) AS fv, arg_max(v, frame) AS lv, max(frame) AS lf FROM ev GROUP BY channel),
+    env AS (SELECT run, channel, frame, (s + greatest(0, {WIDTH // 2} - frame) * ln(fv + 1e-3) + greatest(0, frame + {WIDTH - 1 - WIDTH // 2} - lf) * ln(lv + 1e-3)) / {WIDTH} AS v
+        FROM (SELECT *, sum(ln(v + 1e-3)) OVER (PARTITION BY channel ORDER BY frame ROWS BETWEEN {WIDTH // 2} PRECEDING AND {WIDTH - 1 - WIDTH // 2} FOLLOWING) AS s FROM ev) JOIN ends USING (channel))"""
+MV = """mv AS (SELECT 'm' AS run, vec_id AS frame, (i - 1) // 8 AS y, (i - 1) % 8 AS x, embedding[i]::DOUBLE AS v FROM (SELECT vec_id, embedding, unnest(range(1, 65)) AS i FROM embeddings))"""
+RV = """rv AS (SELECT 'm' AS run, vec_id::VARCHAR AS channel, i - 1 AS frame, embedding[i]::DOUBLE + 10.0 AS v FROM (SELECT vec_id, embedding, unnest(range(1, 65)) AS i FROM embeddings))"""
+LEVELS = f"""{ENV}, lv AS (SELECT channel, quantile_cont(v, 0.9) AS hi, quantile_cont(v, 0.7) AS lo FROM env GROUP BY channel)"""
+HYST = f"""{LEVELS}, mk AS (SELECT env.*, hi, lo, CASE WHEN v > hi THEN 1 WHEN v < lo THEN 0 END AS m,
+        max(CASE WHEN v <= lo THEN frame END) OVER (PARTITION BY channel ORDER BY frame ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pl FROM env JOIN lv USING (channel)),
+    st AS (SELECT *, coalesce(last_value(m IGNORE NULLS) OVER (PARTITION BY channel ORDER BY frame), 0) AS s, max(frame) OVER (PARTITION BY channel) AS lf FROM mk),
+    ed AS (SELECT *, s = 1 AND coalesce(lag(s) OVER (PARTITION BY channel ORDER BY frame), 0) = 0 AS e FROM st),
+    gr AS (SELECT *, sum(e::INT) OVER (PARTITION BY channel ORDER BY frame) AS g FROM ed),
+    hy AS (SELECT run, channel, max(CASE WHEN e THEN greatest(frame - 30, coalesce(pl + 1, 0)) END) AS onset, least(max(frame) + 1, max(lf)) AS "offset" FROM gr WHERE s = 1 GROUP BY run, channel, g)"""
+BOUTS = f"""{HYST}, far AS (SELECT *, coalesce(onset - lag("offset") OVER (PARTITION BY channel ORDER BY onset) - 1 > {GAP}, true)::INT AS f FROM hy),
+    mg AS (SELECT *, sum(f) OVER (PARTITION BY channel ORDER BY onset) AS g FROM far),
+    bt AS (SELECT run, channel, min(onset) AS onset, max("offset") AS "offset" FROM mg GROUP BY run, channel, g HAVING max("offset") - min(onset) + 1 >= {LEAST})"""
+LABELS = f"""{BOUTS}, base AS (SELECT channel, quantile_cont(v, 0.5) AS base FROM env GROUP BY channel),
+    tops AS (SELECT b.*, max(v) AS top FROM bt b JOIN env USING (channel) WHERE frame BETWEEN onset AND "offset" GROUP BY ALL),
+    pre AS (SELECT channel, onset, count(*) FILTER (v < lo) = 10 AS ok FROM bt JOIN env USING (channel) JOIN lv USING (channel) WHERE frame >= onset - 10 AND frame < onset GROUP BY ALL),
+    art AS (SELECT bt.channel, onset, bool_or(e.v > p) AS hit FROM bt, env e, (SELECT quantile_cont(v, 0.995) AS p FROM env WHERE channel = 'error') q WHERE e.channel = 'error' AND e.frame >= onset - 2 AND e.frame < onset + 3 GROUP BY ALL),
+    co AS (SELECT bt.channel, onset, bool_or(e.v > lv.lo) AS busy FROM bt JOIN env e ON e.channel IN ('click', 'purchase') AND e.channel <> bt.channel AND e.frame BETWEEN onset - 5 AND onset + 5 JOIN lv ON lv.channel = e.channel GROUP BY ALL),
+    lb AS (SELECT t.run, t.channel, t.onset, t."offset", round((t."offset" - t.onset + 1) / 15.0, 3) AS duration_s, round(top - base, 6) + 0.0 AS amplitude, coalesce(ok, false) AS baseline_pre, coalesce(hit, false) AS artifact, coalesce(NOT busy, false) AS isolated
+        FROM tops t JOIN base USING (channel) LEFT JOIN pre ON pre.channel = t.channel AND pre.onset = t.onset LEFT JOIN art ON art.channel = t.channel AND art.onset = t.onset LEFT JOIN co ON co.channel = t.channel AND co.onset = t.onset)"""
+
+
+def envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.condition(events(spark, sf_dir), WIDTH)
+
+
+def levels_of(env: DataFrame) -> DataFrame:
+    return env.groupBy(*KEYS).agg(F.percentile("v", F.lit(0.9)).alias("hi"), F.percentile("v", F.lit(0.7)).alias("lo"), F.percentile("v", F.lit(0.5)).alias("base"))
+
+
+def levelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    env = envelope(spark, sf_dir)
+    return env.join(levels_of(env), KEYS)
+
+
+def bouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.merge_intervals(S.hysteresis_runs(levelled(spark, sf_dir), F.col("hi"), F.col("lo")), GAP, LEAST)
+
+
+def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    env = envelope(spark, sf_dir)
+    return S.label_bouts(bouts(spark, sf_dir), env, levels_of(env), 15.0, 10, 5, artifact="error", others=("click", "purchase"))
+
+
+@query(f"WITH {ENV} SELECT channel, frame, round(v, 6) + 0.0 AS v FROM env")
+def zero_phase_envelope(spark, sf_dir):
+    return envelope(spark, sf_dir).select("channel", "frame", r6("v", "v"))
+
+
+@query(f"WITH {EV} SELECT channel, frame, round(coalesce(abs(v - lag(v) OVER (PARTITION BY channel ORDER BY frame)), 0), 6) + 0.0 AS v FROM ev")
+def frame_differences(spark, sf_dir):
+    return S.motion_energy(events(spark, sf_dir)).select("channel", "frame", r6("v", "v"))
+
+
+@query(f"WITH {EV} SELECT channel, frame, round(coalesce((v - avg(v) OVER w) / nullif(stddev_pop(v) OVER w, 0), 0), 6) + 0.0 AS v FROM ev WINDOW w AS (PARTITION BY channel)")
+def trace_zscore(spark, sf_dir):
+    return S.zscore(events(spark, sf_dir)).select("channel", "frame", r6("v", "v"))
+
+
+@query(f"WITH {EV} SELECT channel, frame, round((v - avg(v) OVER w) / coalesce(nullif(max(v) OVER w - min(v) OVER w, 0), 1), 6) + 0.0 AS v FROM ev WINDOW w AS (PARTITION BY channel)")
+def unit_range(spark, sf_dir):
+    return S.unit_range(events(spark, sf_dir)).select("channel", "frame", r6("v", "v"))
+
+
+@query(f"WITH {EV} SELECT channel, frame, round(v, 6) + 0.0 AS v FROM (SELECT *, max(frame) OVER () + 1 AS n FROM ev) WHERE frame < CASE WHEN n - 3 < 1 THEN n ELSE n - 3 END")
+def tail_trim(spark, sf_dir):
+    return S.tail_trim(events(spark, sf_dir)).select("channel", "frame", r6("v", "v"))
+
+
+@query(f"WITH {EV} SELECT channel, frame, round(CASE WHEN frame IN (0, 40) THEN coalesce(lead(v) OVER (PARTITION BY channel ORDER BY frame), v) ELSE v END, 6) + 0.0 AS v FROM ev")
+def repaired_samples(spark, sf_dir):
+    return S.repair(events(spark, sf_dir), 40).select("channel", "frame", r6("v", "v"))
+
+
+@query(f"WITH {EV} SELECT channel, frame // 10 AS frame, round(avg(v), 6) + 0.0 AS v FROM ev GROUP BY channel, frame // 10 HAVING count(*) = 10")
+def temporal_bin(spark, sf_dir):
+    return S.temporal_bins(events(spark, sf_dir), 10).select("channel", "frame", r6("v", "v"))
+
+
+@query(f"WITH {EV}, n AS (SELECT channel, frame, lag(v) OVER w AS a, v AS b, lead(v) OVER w AS c FROM ev WINDOW w AS (PARTITION BY channel ORDER BY frame)) SELECT channel, frame, round(list_sort([a, b, c])[2], 6) + 0.0 AS v FROM n WHERE a IS NOT NULL AND c IS NOT NULL")
+def median_of_three(spark, sf_dir):
+    return S.median3(events(spark, sf_dir)).select("channel", "frame", r6("v", "v"))
+
+
+@query(f"WITH {EV}, p AS (SELECT channel, k AS lag, v, lead(v, k) OVER (PARTITION BY channel, k ORDER BY frame) AS w FROM ev, (SELECT unnest([1, 5, 15]) AS k)) SELECT channel, lag, round(corr(v, w), 6) + 0.0 AS r FROM p WHERE w IS NOT NULL GROUP BY ALL")
+def lag_correlation(spark, sf_dir):
+    return S.lag_correlation(events(spark, sf_dir), [1, 5, 15]).select("channel", "lag", r6("r", "r"))
+
+
+@query(f"WITH {LEVELS}, b AS (SELECT *, lag(v) OVER (PARTITION BY channel ORDER BY frame) AS b FROM env JOIN lv USING (channel)) SELECT channel, count(*) FILTER (v > hi AND b <= hi) AS edges FROM b GROUP BY channel")
+def rising_edges(spark, sf_dir):
+    return S.rising_edges(levelled(spark, sf_dir), F.col("hi")).select("channel", "edges")
+
+
+@query(f"WITH {LEVELS}, s AS (SELECT channel, frame, frame - row_number() OVER (PARTITION BY channel ORDER BY frame) AS i FROM env JOIN lv USING (channel) WHERE v > hi) SELECT channel, min(frame) AS onset, max(frame) AS \"offset\" FROM s GROUP BY channel, i")
+def state_runs(spark, sf_dir):
+    d = levelled(spark, sf_dir)
+    return S.runs_of(d, F.col("v") > F.col("hi")).select("channel", "onset", "offset")
+
+
+@query(f'WITH {HYST} SELECT channel, onset, "offset" FROM hy')
+def hysteresis_bouts(spark, sf_dir):
+    return S.hysteresis_runs(levelled(spark, sf_dir), F.col("hi"), F.col("lo")).select("channel", "onset", "offset")
+
+
+@query(f'WITH {BOUTS} SELECT channel, onset, "offset" FROM bt')
+def merge_filter_bouts(spark, sf_dir):
+    return bouts(spark, sf_dir).select("channel", "onset", "offset")
+
+
+@query(f'WITH {LABELS} SELECT channel, onset, "offset", duration_s, amplitude, baseline_pre, artifact, isolated FROM lb')
+def bout_labels(spark, sf_dir):
+    return labelled(spark, sf_dir).select("channel", "onset", "offset", "duration_s", r6("amplitude", "amplitude"), "baseline_pre", "artifact", "isolated")
+
+
+@query(f"""WITH {LABELS} SELECT channel, count(*) AS bouts, count(*) FILTER (baseline_pre) AS with_baseline_pre, count(*) AS not_grooming, count(*) FILTER (NOT artifact) AS not_artifact,
+    count(*) FILTER (isolated) AS isolated, count(*) FILTER (baseline_pre AND NOT artifact) AS analysis_set FROM lb GROUP BY channel""")
+def bout_funnel(spark, sf_dir):
+    return S.funnel(labelled(spark, sf_dir)).select("channel", "bouts", "with_baseline_pre", "not_grooming", "not_artifact", "isolated", "analysis_set")
+
+
+@query(f"""WITH {BOUTS}, n AS (SELECT channel, max(frame) + 1 AS n FROM env GROUP BY channel), ok AS (SELECT bt.* FROM bt JOIN n USING (channel) WHERE onset - 10 >= 0 AND onset + 10 < n)
+    SELECT ok.channel, frame - onset AS at, round(avg(v), 6) + 0.0 AS mean, round(stddev_pop(v) / sqrt(count(v)), 6) + 0.0 AS sem, count(v) AS n FROM ok JOIN env USING (channel) WHERE frame >= onset - 10 AND frame < onset + 10 GROUP BY ok.channel, frame - onset""")
+def event_triggered_average(spark, sf_dir):
+    return S.event_average(bouts(spark, sf_dir), envelope(spark, sf_dir), 10).select("channel", "at", r6("mean", "mean"), r6("sem", "sem"), "n")
+
+
+@query(f"""WITH {BOUTS}, w AS (SELECT channel, unnest(range(greatest(0, ceil((onset - 59) / 15.0)::BIGINT), onset // 15 + 1)) AS k FROM bt), c AS (SELECT channel, k, count(*) AS n FROM w GROUP BY ALL)
+    SELECT channel, k * 15 AS start, n FROM (SELECT *, row_number() OVER (PARTITION BY channel ORDER BY n DESC, k) AS i FROM c) WHERE i = 1""")
+def busiest_window(spark, sf_dir):
+    return S.busiest_window(bouts(spark, sf_dir), 60, 15).select("channel", "start", "n")
+
+
+@query(f"""WITH {LEVELS}, x AS (SELECT channel, frame, v > hi AS s, max(frame) OVER (PARTITION BY channel) AS lf FROM env JOIN lv USING (channel)), i AS (SELECT *, frame - row_number() OVER (PARTITION BY channel, s ORDER BY frame) AS g FROM x),
+    r AS (SELECT channel, s, (max(frame) - min(frame) + 1)::DOUBLE AS n, max(frame) = max(lf) AS open FROM i GROUP BY channel, s, g)
+    SELECT channel, CASE WHEN s THEN 'run' ELSE 'gap' END AS kind, count(*) AS n, round(avg(n), 6) + 0.0 AS mean, quantile_cont(n, 0.5) AS median, max(n) AS longest FROM r WHERE s OR NOT open GROUP BY ALL""")
+def run_lengths(spark, sf_dir):
+    d = levelled(spark, sf_dir)
+    return S.run_statistics(d, F.col("v") > F.col("hi")).select("channel", "kind", "n", r6("mean", "mean"), "median", "longest")
+
+
+@query(f"WITH {EV} SELECT channel, round(quantile_cont(v, 0.15), 6) AS f0, round(quantile_cont(v, 0.5), 6) AS median, round(quantile_cont(v, 0.99), 6) AS p99 FROM ev GROUP BY channel")
+def trace_percentiles(spark, sf_dir):
+    return T.percentiles(events(spark, sf_dir), {"f0": 0.15, "median": 0.5, "p99": 0.99}).select("channel", *[F.round(c, 6).alias(c) for c in ("f0", "median", "p99")])
+
+
+@query(f"WITH {EV}, m AS (SELECT channel, quantile_cont(v, 0.5) AS m FROM ev GROUP BY channel) SELECT channel, round(any_value(m), 6) AS median, round(1.4826 * quantile_cont(abs(v - m), 0.5), 6) AS sd FROM ev JOIN m USING (channel) GROUP BY channel")
+def robust_sd(spark, sf_dir):
+    return T.robust_spread(events(spark, sf_dir)).select("channel", F.round("median", 6).alias("median"), F.round("sd", 6).alias("sd"))
+
+
+@query(f"WITH {EV} SELECT channel, count(*) AS n, round(min(v), 6) AS least, round(quantile_cont(v, 0.5), 6) AS median, round(max(v), 6) AS most, round(avg(v), 6) AS mean, round(stddev_pop(v), 6) AS sd, count(*) FILTER (isnan(v)) AS nans FROM ev GROUP BY channel")
+def trace_inventory(spark, sf_dir):
+    return T.inventory(events(spark, sf_dir)).select("channel", "n", *[F.round(c, 6).alias(c) for c in ("least", "median", "most", "mean", "sd")], "nans")
+
+
+@query(f"WITH {EV} SELECT channel, round(regr_slope(v, frame), 8) + 0.0 AS slope, round(regr_intercept(v, frame), 6) + 0.0 AS intercept FROM ev GROUP BY channel")
+def line_fits(spark, sf_dir):
+    return T.line_fit(events(spark, sf_dir)).select("channel", (F.round("slope", 8) + 0.0).alias("slope"), r6("intercept", "intercept"))
+
+
+@query(f"""WITH {EV}, m AS (SELECT frame, avg(v) AS v FROM ev GROUP BY frame), s AS (SELECT floor(frame / 15.0) AS t, quantile_cont(v, 0.5) AS m FROM m GROUP BY 1)
+    SELECT round(100 * regr_slope(m, t) * (max(t) - min(t)) / avg(m), 6) + 0.0 AS percent, abs(100 * regr_slope(m, t) * (max(t) - min(t)) / avg(m)) > 20 AS flagged FROM s""")
+def bleach_drift(spark, sf_dir):
+    return T.bleaching(events(spark, sf_dir), 15.0).select(r6("percent", "percent"), "flagged")
+
+
+@query(f"WITH {EV} SELECT channel, least(floor(v / 10.0), 19)::BIGINT AS bin, count(*) AS n FROM ev WHERE v BETWEEN 0 AND 200 GROUP BY ALL")
+def trace_histogram(spark, sf_dir):
+    return T.histogram(events(spark, sf_dir), 0.0, 200.0, 20).select("channel", "bin", "n")
+
+
+@query("""WITH e AS (SELECT * FROM (VALUES (1.0, 5.0), (5.0, 10.0), (10.0, 20.0), (20.0, NULL)) t(low, high)) SELECT low::DOUBLE AS low, high::DOUBLE AS high, count(*) AS n FROM part JOIN e ON p_size >= low AND (high IS NULL OR p_size <= high) GROUP BY low, high""")
+def size_histogram(spark, sf_dir):
+    return T.size_bins(table(spark, sf_dir, "part"), "p_size", [1, 5, 10, 20])
+
+
+@query("""
+    SELECT l_returnflag AS run, round(avg((l_quantity > 25 AND l_discount > 0.05)::INT), 6) AS joint, round(avg((l_quantity > 25)::INT) * avg((l_discount > 0.05)::INT), 6) AS chance,
+        round(avg((l_quantity > 25 AND l_discount > 0.05)::INT) / (avg((l_quantity > 25)::INT) * avg((l_discount > 0.05)::INT)), 6) AS enrichment FROM lineitem GROUP BY l_returnflag""")
+def co_occurrence(spark, sf_dir):
+    d = table(spark, sf_dir, "lineitem").withColumnRenamed("l_returnflag", "run")
+    return T.co_occurrence(d, F.col("l_quantity") > 25, F.col("l_discount") > 0.05).select("run", *[F.round(c, 6).alias(c) for c in ("joint", "chance", "enrichment")])
+
+
+@query("""WITH e AS (SELECT l_returnflag AS run, quantile_cont(l_quantity, [0.0, 0.2, 0.4, 0.6, 0.8, 1.0]) AS e FROM lineitem GROUP BY 1),
+    b AS (SELECT run, least(len(list_filter(e, lambda x: x <= l_quantity)) - 1, 4)::INT AS bin, l_extendedprice AS y FROM lineitem JOIN e ON run = l_returnflag)
+    SELECT run, bin, round(avg(y), 4) AS mean, count(*) AS n FROM b GROUP BY ALL HAVING count(*) > 5""")
+def quantile_saturation(spark, sf_dir):
+    d = table(spark, sf_dir, "lineitem").withColumnRenamed("l_returnflag", "run")
+    return T.saturation(d, "l_quantity", "l_extendedprice", 5).select("run", "bin", F.round("mean", 4).alias("mean"), "n")
+
+
+@query("""WITH r AS (SELECT l_returnflag AS run, rank() OVER (PARTITION BY l_returnflag ORDER BY l_quantity) + (count(*) OVER (PARTITION BY l_returnflag, l_quantity) - 1) / 2.0 AS a,
+        rank() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice) + (count(*) OVER (PARTITION BY l_returnflag, l_extendedprice) - 1) / 2.0 AS b FROM lineitem)
+    SELECT run, round(corr(a, b), 6) + 0.0 AS rho FROM r GROUP BY run""")
+def spearman(spark, sf_dir):
+    d = table(spark, sf_dir, "lineitem").withColumnRenamed("l_returnflag", "run")
+    return T.spearman(d, "l_quantity", "l_extendedprice").select("run", r6("rho", "rho"))
+
+
+@query(f"""WITH {EV}, d AS (SELECT channel, frame, t - lag(t) OVER (PARTITION BY channel ORDER BY frame) AS dt FROM ev), s AS (SELECT *, row_number() OVER (PARTITION BY channel ORDER BY dt) - 1 AS i, count(*) OVER (PARTITION BY channel) AS n FROM d WHERE dt IS NOT NULL),
+    m AS (SELECT channel, dt AS m FROM s WHERE i = n // 2)
+    SELECT channel AS run, round(1 / avg(dt) FILTER (dt <= 1.5 * m), 9) AS rate, count(*) FILTER (dt <= 1.5 * m) AS kept, count(*) FILTER (dt > 1.5 * m) AS gaps FROM s JOIN m USING (channel) GROUP BY channel""")
+def frame_rate_gaps(spark, sf_dir):
+    stamps = events(spark, sf_dir).select(F.col("channel").alias("run"), "frame", "t")
+    return T.frame_rate(stamps)[0].select("run", F.round("rate", 9).alias("rate"), "kept", "gaps")
+
+
+@query(f"""WITH {EV}, l AS (SELECT channel, frame, ln(v + 1e-3) AS v FROM ev) SELECT a.channel AS a, b.channel AS b, round(corr(a.v, b.v), 6) + 0.0 AS r FROM l a JOIN l b ON a.frame = b.frame AND a.channel < b.channel GROUP BY ALL""")
+def channel_correlations(spark, sf_dir):
+    return T.channel_correlations(events(spark, sf_dir)).select("a", "b", r6("r", "r"))
+
+
+@query(f"WITH {LEVELS}, j AS (SELECT ev.channel, ev.v, env.v > hi AS w FROM ev JOIN env ON ev.channel = env.channel AND ev.frame = env.frame JOIN lv ON lv.channel = ev.channel) SELECT channel, round(quantile_cont(v, 0.5) FILTER (w), 6) AS \"on\", round(quantile_cont(v, 0.5) FILTER (NOT w), 6) AS off FROM j GROUP BY channel")
+def conditional_medians(spark, sf_dir):
+    d = levelled(spark, sf_dir).withColumnRenamed("v", "e").join(events(spark, sf_dir).select("channel", "frame", "v"), ["channel", "frame"])
+    return T.conditional_medians(d, F.col("e") > F.col("hi")).select("channel", F.round("on", 6).alias("on"), F.round("off", 6).alias("off"))
+
+
+@query(f"""WITH {RV}, p AS (SELECT channel, arg_min(frame, frame) FILTER (v = top) AS peak FROM (SELECT *, max(v) OVER (PARTITION BY channel) AS top FROM rv) GROUP BY channel) SELECT channel, peak, row_number() OVER (ORDER BY peak, channel) AS position FROM p""")
+def roi_rank_by_peak(spark, sf_dir):
+    return T.peak_order(rois(spark, sf_dir)).select("channel", "peak", "position")
+
+
+@query(f"""WITH {RV}, a AS (SELECT channel, max(v) - quantile_cont(v, 0.5) AS amplitude FROM rv GROUP BY channel), k AS (SELECT *, row_number() OVER (ORDER BY amplitude DESC, channel) AS best, row_number() OVER (ORDER BY amplitude, channel) AS worst FROM a)
+    SELECT channel, round(amplitude, 6) AS amplitude, best, worst FROM k WHERE best <= 3 OR worst <= 3""")
+def best_and_worst_rois(spark, sf_dir):
+    return T.best_and_worst(rois(spark, sf_dir)).select("channel", F.round("amplitude", 6).alias("amplitude"), "best", "worst")
+
+
+@query(f"""WITH {RV}, f AS (SELECT channel, greatest(quantile_cont(v, 0.15), 1e-6) AS f0 FROM rv GROUP BY channel) SELECT channel, frame, round((v - f0) / f0, 6) + 0.0 AS dff FROM rv JOIN f USING (channel)""")
+def dff_static_f0(spark, sf_dir):
+    traces = rois(spark, sf_dir).select("run", F.col("channel").alias("roi"), "frame", F.col("v").alias("f"))
+    return I.dff_traces(traces).select(F.col("roi").alias("channel"), "frame", r6("dff", "dff"))
+
+
+_BOXES = [("paw", 0, 0, 4, 4), ("wheel", 3, 2, 8, 7)]
+
+
+@query(f"""WITH {MV}, b AS (SELECT * FROM (VALUES ('paw', 0, 0, 4, 4), ('wheel', 3, 2, 8, 7)) t(box, x0, y0, x1, y1)), d AS (SELECT *, v - lag(v) OVER (PARTITION BY y, x ORDER BY frame) AS d FROM mv)
+    SELECT box, frame, round(avg(v), 6) + 0.0 AS lum, round(coalesce(avg(abs(d)), 0), 6) + 0.0 AS me, round(coalesce(avg(d * d), 0), 6) + 0.0 AS power, round(coalesce(avg((abs(d) > 0.2)::INT), 0), 6) + 0.0 AS area
+    FROM d JOIN b ON x >= x0 AND x < x1 AND y >= y0 AND y < y1 GROUP BY box, frame""")
+def motion_energy(spark, sf_dir):
+    boxes = spark.createDataFrame([("m", *b) for b in _BOXES], "run string, box string, x0 int, y0 int, x1 int, y1 int")
+    return I.box_traces(movie(spark, sf_dir), boxes, 0.2).select("box", "frame", *[r6(c, c) for c in ("lum", "me", "power", "area")])
+
+
+_NEAR = "s AS (SELECT a.frame, a.y, a.x, any_value(a.v) AS v, coalesce(sum(b.v), 0) AS s FROM mv a LEFT JOIN mv b ON a.frame = b.frame AND abs(a.y - b.y) <= 1 AND abs(a.x - b.x) <= 1 AND NOT (a.y = b.y AND a.x = b.x) GROUP BY a.frame, a.y, a.x), cm AS (SELECT y, x, coalesce(covar_pop(v, s) / nullif(stddev_pop(v) * stddev_pop(s), 0), 0) AS r FROM s GROUP BY y, x)"
+
+
+@query(f"WITH {MV}, {_NEAR} SELECT y::INT AS y, x::INT AS x, round(r, 6) + 0.0 AS r FROM cm")
+def neighbor_corr_map(spark, sf_dir):
+    return I.correlation_map(I.to_frames(movie(spark, sf_dir))).select("y", "x", r6("r", "r"))
+
+
+@query(f"WITH {MV}, {_NEAR} SELECT y::INT AS y, x::INT AS x, CASE WHEN y < 2 OR y > 5 OR x < 2 OR x > 5 THEN 0.0 ELSE round(r, 6) + 0.0 END AS r FROM cm")
+def corr_border(spark, sf_dir):
+    cmap = I.correlation_map(I.to_frames(movie(spark, sf_dir)))
+    return I.zero_border(cmap, spark.createDataFrame([("m", 2)], "run string, b int")).select("y", "x", r6("r", "r"))
+
+
+@query(f"""WITH {MV}, {_NEAR}, mi AS (SELECT y, x, avg(v) AS m FROM mv GROUP BY y, x), c AS (SELECT quantile_cont(m, 0.5) AS dim, quantile_cont(m, 0.99) AS bright FROM mi)
+    SELECT round(quantile_cont(r, 0.99) FILTER (m < dim), 6) AS low, round(quantile_cont(r, 0.25) FILTER (m > bright), 6) AS high FROM cm JOIN mi USING (y, x), c""")
+def threshold_window(spark, sf_dir):
+    m = movie(spark, sf_dir)
+    return I.threshold_window(I.correlation_map(I.to_frames(m)), I.mean_image(m)).select(F.round("low", 6).alias("low"), F.round("high", 6).alias("high"))
+
+
+@query(f"WITH {MV} SELECT y::INT AS y, x::INT AS x, frame // 10 AS frame, round(avg(v), 6) + 0.0 AS v FROM mv GROUP BY y, x, frame // 10 HAVING count(*) = 10")
+def movie_bins(spark, sf_dir):
+    return I.bin_frames(movie(spark, sf_dir), 10).select("y", "x", "frame", r6("v", "v"))
+
+
+_GRID = 7200.0
+
+
+def _grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.range(0, 30 * 24 // 2).select(F.lit("r").alias("run"), F.col("id").alias("frame"), (F.col("id") * _GRID).alias("t"))
+
+
+_INTERP = f"""{EV}, gd AS (SELECT range AS frame, range * {_GRID} AS t FROM range(0, 360)),
+    pn AS (SELECT g.frame, c.channel, g.t, max(e.t) FILTER (e.t <= g.t) AS pt, min(e.t) FILTER (e.t >= g.t) AS nt FROM gd g CROSS JOIN (SELECT DISTINCT channel FROM ev) c JOIN ev e ON e.channel = c.channel GROUP BY ALL),
+    ip AS (SELECT pn.channel, pn.frame, pn.t, CASE WHEN pt = nt THEN p.v ELSE (n.v - p.v) / (nt - pt) * (pn.t - pt) + p.v END AS v FROM pn JOIN ev p ON p.channel = pn.channel AND p.t = pt JOIN ev n ON n.channel = pn.channel AND n.t = nt)"""
+
+
+@query(f"WITH {_INTERP} SELECT channel, frame, round(v, 6) + 0.0 AS v FROM ip")
+def interp_align(spark, sf_dir):
+    return A.interpolate(events(spark, sf_dir), _grid(spark, sf_dir)).select("channel", "frame", r6("v", "v"))
+
+
+_RUNS = [("two", 137, 9000, 9100, None, 600.0, 1 / 30.0), ("one", 119, 28778, 28800, 30.0, 1200.0, 1 / 30.0)]
+_RUN_SQL = "(VALUES ('two', 137, 9000, 9100, NULL, 600.0, 1 / 30.0), ('one', 119, 28778, 28800, 30.0, 1200.0, 1 / 30.0)) t(run, \"on\", \"off\", n_cam, cam_fps, t_last, period)"
+
+
+def _cameras(spark: SparkSession) -> DataFrame:
+    return A.camera_clock(spark.createDataFrame(_RUNS, "run string, on int, off int, n_cam int, cam_fps double, t_last double, period double"))
+
+
+@query(f"SELECT run, round(coalesce(1 / cam_fps, (t_last + period) / (\"off\" - \"on\"))::DOUBLE, 9) AS dt, round((coalesce(1 / cam_fps, (t_last + period) / (\"off\" - \"on\")) * (\"off\" - \"on\"))::DOUBLE, 6) AS coverage_end FROM {_RUN_SQL}")
+def camera_clocks(spark, sf_dir):
+    return _cameras(spark).select("run", F.round("dt", 9).alias("dt"), F.round("coverage_end", 6).alias("coverage_end"))
+
+
+@query(f"""WITH c AS (SELECT run, coalesce(1 / cam_fps, (t_last + period) / (\"off\" - \"on\")) * (\"off\" - \"on\") AS e FROM {_RUN_SQL}) SELECT run, count(*) AS kept, max(frame) AS last FROM c, (SELECT range AS frame FROM range(0, 36000)) WHERE frame / 30.0 <= e GROUP BY run""")
+def coverage_cut(spark, sf_dir):
+    frames = spark.createDataFrame([("two", 36000, 30.0), ("one", 36000, 30.0)], "run string, n int, fps double")
+    return A.covered(A.neural_clock(frames), _cameras(spark)).groupBy("run").agg(F.count("*").alias("kept"), F.max("frame").cast("bigint").alias("last"))
+
+
+@query(f"""WITH {RV}, n AS (SELECT channel FROM (SELECT DISTINCT channel FROM rv) ORDER BY channel::INT LIMIT 12), z AS (SELECT channel, frame, coalesce((v - avg(v) OVER w) / nullif(stddev_pop(v) OVER w, 0), 0) AS z FROM rv WHERE channel::INT < 12 WINDOW w AS (PARTITION BY channel))
+    SELECT a.channel AS roi, b.channel, a.frame - b.frame AS lag, round(sum(a.z * b.z) / 64, 6) + 0.0 AS r FROM z a JOIN z b ON a.channel::INT < 8 AND b.channel::INT >= 8 AND abs(a.frame - b.frame) <= 10 GROUP BY ALL""")
+def xcorr_lags(spark, sf_dir):
+    n = F.col("channel").cast("int")
+    d = rois(spark, sf_dir)
+    return R.cross_correlation(d.filter(n < 8), d.filter((n >= 8) & (n < 12)), 10).select("roi", "channel", F.col("lag").cast("bigint").alias("lag"), r6("r", "r"))
+
+
+_ACF = f"{RV}, ce AS (SELECT channel, frame, v - avg(v) OVER (PARTITION BY channel) AS v FROM rv WHERE channel::INT < 12), ac AS (SELECT a.channel, b.frame - a.frame AS lag, sum(a.v * b.v) AS s FROM ce a JOIN ce b ON a.channel = b.channel AND b.frame - a.frame BETWEEN 0 AND 15 GROUP BY ALL), ar AS (SELECT channel, lag, coalesce(s / nullif(max(s) FILTER (lag = 0) OVER (PARTITION BY channel), 0), 0) AS r FROM ac)"
+
+
+@query(f"WITH {_ACF} SELECT channel, lag, round(r, 6) + 0.0 AS r FROM ar")
+def acf(spark, sf_dir):
+    return R.autocorrelation(rois(spark, sf_dir).filter(F.col("channel").cast("int") < 12), 15).select("channel", F.col("lag").cast("bigint").alias("lag"), r6("r", "r"))
+
+
+@query(f"""WITH {_ACF}, b AS (SELECT x.channel AS roi, y.channel, x.lag, x.r * y.r AS p, x.r <= 0 OR y.r <= 0 AS stop FROM ar x JOIN ar y ON x.lag = y.lag AND x.lag > 0 AND x.channel::INT < 8 AND y.channel::INT >= 8),
+    c AS (SELECT *, coalesce(min(lag) FILTER (stop) OVER (PARTITION BY roi, channel), 16) AS k FROM b), n AS (SELECT roi, channel, 64 / greatest(1 + 2 * coalesce(sum(p) FILTER (lag < k), 0), 1.0) AS n FROM c GROUP BY ALL)
+    SELECT roi, channel, round(n, 5) AS n_eff, round(2 / sqrt(greatest(n - 3, 1.0)), 5) AS floor FROM n""")
+def n_eff_floor(spark, sf_dir):
+    n = F.col("channel").cast("int")
+    d = rois(spark, sf_dir)
+    return R.effective_n(d.filter(n < 8), d.filter((n >= 8) & (n < 12)), 15).select("roi", "channel", F.round("n_eff", 5).alias("n_eff"), F.round("floor", 5).alias("floor"))
+
+
+@query(f"WITH {RV} SELECT a.channel AS roi, b.channel, round(corr(a.v, b.v), 6) + 0.0 AS r FROM rv a JOIN rv b ON a.frame = b.frame AND b.channel::INT < 5 GROUP BY ALL")
+def roi_behaviour_corr(spark, sf_dir):
+    d = rois(spark, sf_dir)
+    return R.lag_zero(d, d.filter(F.col("channel").cast("int") < 5)).select("roi", "channel", r6("r", "r"))
+
+
+@query(f"WITH {RV}, c AS (SELECT a.channel AS roi, b.channel, corr(a.v, b.v) AS r FROM rv a JOIN rv b ON a.frame = b.frame AND b.channel::INT < 5 GROUP BY ALL) SELECT channel, round(avg((abs(r) > 0.25)::INT), 6) AS fraction FROM c GROUP BY channel")
+def fraction_above_floor(spark, sf_dir):
+    d = rois(spark, sf_dir)
+    return T.fraction_above(R.lag_zero(d, d.filter(F.col("channel").cast("int") < 5)), "r", F.lit(0.25), ("channel",)).select("channel", F.round("fraction", 6).alias("fraction"))
+
+
+@query(f"""WITH {_INTERP}, z AS (SELECT channel, count(*) AS n, count(*) FILTER (v IS NULL OR isnan(v) OR isinf(v)) AS bad FROM ip GROUP BY channel)
+    SELECT 'r' AS run, bool_and(n = (SELECT max(n) FROM z)) AS lengths, sum(bad) = 0 AS finite FROM z""")
+def gate_checks(spark, sf_dir):
+    bundle = A.interpolate(events(spark, sf_dir), _grid(spark, sf_dir))
+    # channels share the frames that all of them cover
+    clock = bundle.groupBy("run", "frame", "t").count().select("run", "frame", "t")
+    most = bundle.groupBy("run", "channel").count().groupBy("run").agg(F.max("count").alias("m"))
+    first = clock.join(most, "run").withColumn("i", F.row_number().over(Window.partitionBy("run").orderBy("frame"))).filter("i <= m").select("run", "frame", "t")
+    rows = R.structural_checks(bundle, first)
+    return rows.groupBy("run").pivot("check", ["lengths", "finite"]).agg(F.first("ok"))
+
+
+@query("SELECT channel FROM (SELECT event_type AS channel, user_id % 7 AS run FROM events GROUP BY ALL) GROUP BY channel HAVING count(*) = (SELECT count(DISTINCT user_id % 7) FROM events)")
+def common_channels(spark, sf_dir):
+    e = table(spark, sf_dir, "events").select((F.col("user_id") % 7).alias("run"), F.col("event_type").alias("channel"))
+    return T.common_channels(e)
+
+
+@query(f"WITH {EV}, {RV} SELECT 'me_' || channel AS channel, frame, round(v, 6) + 0.0 AS v FROM ev UNION ALL SELECT 'roi_' || channel, frame, round(v, 6) + 0.0 FROM rv")
+def bundle_matrix(spark, sf_dir):
+    return T.stacked(("me_", events(spark, sf_dir)), ("roi_", rois(spark, sf_dir))).select("channel", "frame", r6("v", "v"))
+
+
+@query("SELECT l_orderkey % 20 AS box, count(*) AS n, round(avg(l_quantity), 6) AS mean, round(coalesce(stddev_pop(l_quantity), 0), 6) AS sd, round(corr(l_quantity, l_extendedprice), 6) AS r FROM lineitem GROUP BY 1")
+def grouped_moments(spark, sf_dir):
+    d = table(spark, sf_dir, "lineitem").groupBy((F.col("l_orderkey") % 20).alias("box"))
+    r = X.safe_corr(F.col("l_quantity"), F.col("l_extendedprice"))
+    return d.agg(F.count("*").alias("n"), F.round(F.avg("l_quantity"), 6).alias("mean"), F.round(F.stddev_pop("l_quantity"), 6).alias("sd"), F.round(r, 6).alias("r"))
+
+
+@query("SELECT run, greatest(1, round_even(s * fps, 0))::INT AS frames FROM (VALUES ('a', 0.3, 15.0), ('b', 0.33, 15.0), ('c', 0.33, 30.0), ('d', 0.5, 5.0), ('e', 0.001, 15.0)) t(run, s, fps)")
+def half_even_frames(spark, sf_dir):
+    d = spark.createDataFrame([("a", 0.3, 15.0), ("b", 0.33, 15.0), ("c", 0.33, 30.0), ("d", 0.5, 5.0), ("e", 0.001, 15.0)], "run string, s double, fps double")
+    return d.select("run", X.seconds_to_frames(F.col("s"), F.col("fps")).alias("frames"))
+
+
+@query("SELECT url, lpad(regexp_extract(url, '([0-9]+)', 1), 6, '0') AS n, regexp_replace(url, '[\\s]+', '_', 'g') AS safe, substr(sha1(url), 1, 12) AS digest FROM pages")
+def text_keys(spark, sf_dir):
+    u = F.col("url")
+    return table(spark, sf_dir, "pages").select("url", F.lpad(F.regexp_extract(u, "([0-9]+)", 1), 6, "0").alias("n"), X.safe_name(u).alias("safe"), X.params_hash_of(u).alias("digest"))
+
+
+@query()
+def gmm_two_state(spark, sf_dir):
+    return M.separation(M.fit(envelope(spark, sf_dir))).select("channel", *[r6(c, c) for c in ("mu0", "mu1", "sd0", "sd1", "w0", "w1", "dprime")])
+
+
+@query()
+def viterbi_states(spark, sf_dir):
+    return M.decode(envelope(spark, sf_dir), 4, 8).select("channel", "frame", "state", r6("posterior", "posterior"))
+
+
+@query()
+def detected_bouts(spark, sf_dir):
+    found = M.detect(events(spark, sf_dir), "view", 15.0, artifact="error", others=("click", "purchase"))
+    return found["bouts"].select("channel", "onset", "offset", "duration_s", r6("amplitude", "amplitude"), "baseline_pre", "artifact", "isolated", "xcheck_frames", r6("posterior", "posterior"))
+
+
+@query()
+def roi_growth(spark, sf_dir):
+    frames = I.to_frames(movie(spark, sf_dir))
+    return I.regions(frames, I.correlation_map(frames), 0.02, 1, 20)
+
+
+@query()
+def rigid_shifts(spark, sf_dir):
+    frames = I.to_frames(movie(spark, sf_dir))
+    return I.estimate_shifts(frames, I.template_of(frames))
+
+
+@query()
+def low_rank_movie(spark, sf_dir):
+    return I.low_rank(movie(spark, sf_dir).filter("frame < 200"), 5).select("y", "x", "frame", r6("v", "v"))
+
+
+@query()
+def band_power(spark, sf_dir):
+    return M.band_power(M.periodogram(events(spark, sf_dir), 15.0), {"slow": (0.0, 1.0), "fast": (1.0, 8.0)}).select("channel", r6("peak_hz", "peak_hz"), r6("slow", "slow"), r6("fast", "fast"))
+
+
+@query()
+def box_problems(spark, sf_dir):
+    boxes = spark.createDataFrame([("m", *b) for b in [*_BOXES, ("paw", 0, 0, 2, 2), ("tail", 3, 2, 8, 7)]], "run string, box string, x0 int, y0 int, x1 int, y1 int")
+    return C.box_problems(boxes)
+
 
-def queries() -> dict:
-    return {}
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {name: f for name, (f, _) in _FOUND.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: sql for name, (_, sql) in _FOUND.items() if sql}

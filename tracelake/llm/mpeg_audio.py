@@ -195,9 +195,9 @@ def parse(data: bytes | None) -> Track:
         h = header(data[at : at + 4])
         fits = h is not None and at + h.length <= end and (stream is None or h.stream == stream)
         if fits and (stream is None or track.skipped and not track.offsets):
-            # the first header counts only if a frame of the same stream, or the end, follows it
+            # the first header counts only if it has a rate table, or a frame of the same stream or the end follows it
             nxt = header(data[at + h.length : at + h.length + 4])
-            fits = at + h.length == end or nxt is not None and nxt.stream == h.stream
+            fits = at + h.length == end or nxt is not None and nxt.stream == h.stream or h.layer == 3 and _table(data, at, h, Track())
         if not fits:
             found = data.find(b"\xff", at + 1, end)
             step = (end if found < 0 else found) - at

@@ -49,8 +49,10 @@ DEPTH = 5
 TOP = 3
 END = 255
 #: Bytes of text in a block, and in the arrays that are made at once.
-BLOCK_BYTES = 1 << 26
+BLOCK_BYTES = 24 << 20
 CHUNK_BYTES = 1 << 22
+#: Grams of chunks that a block holds before it sums them.
+HELD_GRAMS = 2_000_000
 
 _RAW = pa.schema([("kind", pa.string()), ("block", pa.int64()), ("k", pa.int64()), ("w", pa.binary()), ("n", pa.int64()), ("texts", pa.binary())])
 
@@ -104,8 +106,12 @@ def grams(texts: list[bytes], depth: int = DEPTH, limit: int = CHUNK_BYTES) -> I
 
 
 def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    u, inv = np.unique(keys, return_inverse=True)
-    return u, np.bincount(inv, counts, len(u)).astype(np.int64)
+    codes, u = pd.factorize(keys, sort=True)
+    return u, np.bincount(codes, counts, len(u)).astype(np.int64)
+
+
+def _merged(some: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    return _summed(np.concatenate([x for x, _ in some]), np.concatenate([x for _, x in some]))
 
 
 def tokens(texts: list[bytes]) -> tuple[dict[bytes, int], np.ndarray, np.ndarray]:
@@ -134,11 +140,14 @@ class _Block:
         rows = pa.Table.from_batches(self.rows).combine_chunks()
         texts = [(x or "").encode().lower() for x in rows.column("text").to_pylist()]
         train = ~rows.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
-        some = [(np.empty(0, np.int64), np.empty(0, np.int64))]
+        some, size = [(np.empty(0, np.int64), np.empty(0, np.int64))], 0
         for keys, owner in grams(texts, self.depth):
             codes, u = pd.factorize(keys)
             some.append((u, np.bincount(codes, train[owner], len(u)).astype(np.int64)))
-        k, n = _summed(np.concatenate([x for x, _ in some]), np.concatenate([x for _, x in some]))
+            size += len(u)
+            if size > HELD_GRAMS + 2 * len(some[0][0]):
+                some, size = [_merged(some)], 0
+        k, n = _merged(some)
         yield self._made("gram", len(k), k=pa.array(k), n=pa.array(n))
         known, number, stops = tokens(texts)
         of = np.repeat(train, np.diff(stops, prepend=0))

@@ -49,10 +49,10 @@ DEPTH = 5
 TOP = 3
 END = 255
 #: Bytes of text in a block, and in the arrays that are made at once.
-BLOCK_BYTES = 24 << 20
-CHUNK_BYTES = 1 << 22
+BLOCK_BYTES = 16 << 20
+CHUNK_BYTES = 1 << 21
 #: Grams of chunks that a block holds before it sums them.
-HELD_GRAMS = 2_000_000
+HELD_GRAMS = 1_000_000
 
 _RAW = pa.schema([("kind", pa.string()), ("block", pa.int64()), ("k", pa.int64()), ("w", pa.binary()), ("n", pa.int64()), ("texts", pa.binary())])
 
@@ -153,6 +153,7 @@ class _Block:
         of = np.repeat(train, np.diff(stops, prepend=0))
         seen = np.bincount(number, of, len(known)).astype(np.int64)
         # words are numbered in order of first sight, which the second pass finds again
+        del texts, number
         yield self._made("word", len(known), k=pa.array(np.arange(len(known), dtype=np.int64)), w=pa.array(list(known), pa.binary()), n=pa.array(seen))
         sink = io.BytesIO()
         with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:

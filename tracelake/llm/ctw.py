@@ -37,6 +37,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -114,15 +115,31 @@ def _merged(some: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
     return _summed(np.concatenate([x for x, _ in some]), np.concatenate([x for _, x in some]))
 
 
-def tokens(texts: list[bytes]) -> tuple[dict[bytes, int], np.ndarray, np.ndarray]:
-    """Words in order of first sight, every text's words as numbers, and each text's end in them; the end token is the empty word."""
-    known: dict[bytes, int] = {}
-    number, stops = [], []
-    for text in texts:
-        number += [known.setdefault(w, len(known)) for w in text.split()]  # bytes split on ASCII white space
-        number.append(known.setdefault(b"", len(known)))
-        stops.append(len(number))
-    return known, np.array(number, np.int64), np.array(stops, np.int64)
+def lowered(rows: pa.Table) -> pa.Array:
+    """The texts of a block, A-Z as a-z."""
+    text = pc.ascii_lower(pc.fill_null(rows.column("text"), ""))
+    return text.combine_chunks() if isinstance(text, pa.ChunkedArray) else text
+
+
+def cuts(text: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, list[bytes]]]:
+    """Texts as bytes, about ``limit`` at a time, with the number of the first."""
+    ends = np.cumsum(pc.binary_length(text).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < len(text):
+        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + limit, "right")))
+        yield at, text.slice(at, stop - at).cast(pa.binary()).to_pylist()
+        at = stop
+
+
+def tokens(text: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Words in order of first sight and, last, the end token (no word); each token's number in them, and its text's."""
+    split = pc.ascii_split_whitespace(text)
+    owner, flat = pc.list_parent_indices(split).to_numpy(), split.flatten()
+    real = pc.greater(pc.binary_length(flat), 0)
+    coded = flat.filter(real).dictionary_encode()
+    words = pa.concat_arrays([coded.dictionary.cast(pa.binary()), pa.array([b""], pa.binary())])
+    number = np.concatenate([coded.indices.to_numpy(), np.full(len(text), len(words) - 1, np.int32)])
+    return words, number, np.concatenate([owner[real.to_numpy(zero_copy_only=False)], np.arange(len(text))])
 
 
 class _Block:
@@ -138,23 +155,25 @@ class _Block:
 
     def batches(self) -> Iterator[pa.RecordBatch]:
         rows = pa.Table.from_batches(self.rows).combine_chunks()
-        texts = [(x or "").encode().lower() for x in rows.column("text").to_pylist()]
+        self.rows = []
+        text = lowered(rows)
         train = ~rows.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
         some, size = [(np.empty(0, np.int64), np.empty(0, np.int64))], 0
-        for keys, owner in grams(texts, self.depth):
-            codes, u = pd.factorize(keys)
-            some.append((u, np.bincount(codes, train[owner], len(u)).astype(np.int64)))
-            size += len(u)
-            if size > HELD_GRAMS + 2 * len(some[0][0]):
-                some, size = [_merged(some)], 0
+        for first, texts in cuts(text):
+            for keys, owner in grams(texts, self.depth):
+                codes, u = pd.factorize(keys)
+                some.append((u, np.bincount(codes, train[first + owner], len(u)).astype(np.int64)))
+                size += len(u)
+                if size > HELD_GRAMS + 2 * len(some[0][0]):
+                    some, size = [_merged(some)], 0
         k, n = _merged(some)
         yield self._made("gram", len(k), k=pa.array(k), n=pa.array(n))
-        known, number, stops = tokens(texts)
-        of = np.repeat(train, np.diff(stops, prepend=0))
-        seen = np.bincount(number, of, len(known)).astype(np.int64)
-        # words are numbered in order of first sight, which the second pass finds again
-        del texts, number
-        yield self._made("word", len(known), k=pa.array(np.arange(len(known), dtype=np.int64)), w=pa.array(list(known), pa.binary()), n=pa.array(seen))
+        del some, k, n
+        words, number, owner = tokens(text)
+        seen = np.bincount(number, train[owner], len(words)).astype(np.int64)
+        # the second pass finds the same numbers
+        yield self._made("word", len(words), k=pa.array(np.arange(len(words), dtype=np.int64)), w=words, n=pa.array(seen))
+        del words, number, owner, text
         sink = io.BytesIO()
         with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
             out.write_table(rows)
@@ -389,27 +408,30 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_ou
         is_word = right["word"].to_numpy(bool)
         counts = np.zeros(is_word.sum(), np.int64)
         counts[right["k"].to_numpy()[is_word]] = right["c"].to_numpy()[is_word].astype(np.int64)
-        table = pd.Series(right["v"].to_numpy(np.float64)[~is_word], index=pd.Index(right["k"].to_numpy()[~is_word]))
+        known, lengths_of = right["k"].to_numpy()[~is_word], right["v"].to_numpy()[~is_word].astype(np.float64)
+        order = np.argsort(known)
+        known, lengths_of = known[order], lengths_of[order]
+        del right, order
         for packed in left["texts"]:
             rows = pa.ipc.open_stream(packed).read_all()
-            texts = [(x or "").encode().lower() for x in rows.column("text").to_pylist()]
-            total = np.zeros(len(texts))
-            for keys, owner in grams(texts, depth):
-                codes, u = pd.factorize(keys)
-                total += np.bincount(owner, table.to_numpy()[table.index.get_indexer(u)][codes], len(texts))
-            _, number, stops = tokens(texts)
-            of = np.repeat(np.arange(len(texts)), np.diff(stops, prepend=0))
+            text = lowered(rows)
+            total = np.zeros(len(text))
+            for first, texts in cuts(text):
+                for keys, owner in grams(texts, depth):
+                    codes, u = pd.factorize(keys)
+                    total += np.bincount(first + owner, lengths_of[np.searchsorted(known, u)][codes], len(text))
+            _, number, of = tokens(text)
             base = np.log10((counts + 1) / (n_train + 1 * (n_distinct + 1)))
-            size = np.array([len(x) for x in texts], np.int64)
+            size = pc.binary_length(text).to_numpy(zero_copy_only=False).astype(np.int64)
             frames.append(
                 pd.DataFrame(
                     {
                         "id": rows.column("id").to_pandas(),
                         "held_out": rows.column("held_out").to_pandas(),
-                        "n_tokens": np.diff(stops, prepend=0),
-                        "n_known": np.bincount(of, counts[number] > 0, len(texts)).astype(np.int64),
+                        "n_tokens": np.bincount(of, minlength=len(text)),
+                        "n_known": np.bincount(of, counts[number] > 0, len(text)).astype(np.int64),
                         "train_tokens": n_train,
-                        "base_score": np.bincount(of, base[number], len(texts)),
+                        "base_score": np.bincount(of, base[number], len(text)),
                         "score": total,
                         "n_bytes": size,
                         "bits_per_byte": -total * math.log2(10) / (size + 1),

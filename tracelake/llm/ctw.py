@@ -394,25 +394,25 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_ou
             yield pd.DataFrame({"k": frame["k"], "v": code_lengths(frame["k"].to_numpy(), p, model.value, depth), "blocks": frame["blocks"]})
 
     gram = solved.filter("k is not null").drop("node", "n0", "n1", "log_pw").mapInPandas(lengths, "k long, v float, blocks array<bigint>")
-    gram = gram.select(F.explode("blocks").alias("block"), "k", "v", F.lit(False).alias("word"))
+    gram = gram.select(F.explode("blocks").alias("block"), "k", F.col("v").cast("double").alias("v"), F.lit(False).alias("word"))
     word = raw.filter("kind = 'word'").groupBy("w").agg(F.sum("n").alias("c"), F.collect_list(F.struct("block", "k")).alias("at"))
     word = common.stored(word.select("c", "at"), "words")
     sums = word.agg(F.sum("c"), F.count_if(F.col("c") > 0)).first()
     n_train, n_distinct = int(sums[0] or 0), int(sums[1] or 0)
-    word = word.select("c", F.explode("at").alias("at")).select("at.block", "at.k", F.col("c").cast("float").alias("v"), F.lit(True).alias("word"), "c")
-    model_rows = gram.withColumn("c", F.lit(None).cast("long")).unionByName(word)
-    names = ["n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes", "bits_per_byte"]
+    word = word.select(F.explode("at").alias("at"), F.col("c").cast("double").alias("v")).select("at.block", "at.k", "v", F.lit(True).alias("word"))
+    model_rows = gram.unionByName(word)
 
-    def scored(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        frames = []
-        is_word = right["word"].to_numpy(bool)
+    def scored(left: pa.Table, right: pa.Table) -> pa.Table:
+        is_word, k, v = (right.column(x).to_numpy() for x in ("word", "k", "v"))
         counts = np.zeros(is_word.sum(), np.int64)
-        counts[right["k"].to_numpy()[is_word]] = right["c"].to_numpy()[is_word].astype(np.int64)
-        known, lengths_of = right["k"].to_numpy()[~is_word], right["v"].to_numpy()[~is_word].astype(np.float64)
+        counts[k[is_word]] = v[is_word].astype(np.int64)
+        known, lengths_of = k[~is_word], v[~is_word]
+        del right, k, v
         order = np.argsort(known)
         known, lengths_of = known[order], lengths_of[order]
-        del right, order
-        for packed in left["texts"]:
+        del order, is_word
+        done = []
+        for packed in left.column("texts").to_pylist():
             rows = pa.ipc.open_stream(packed).read_all()
             text = lowered(rows)
             total = np.zeros(len(text))
@@ -423,27 +423,24 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_ou
             _, number, of = tokens(text)
             base = np.log10((counts + 1) / (n_train + 1 * (n_distinct + 1)))
             size = pc.binary_length(text).to_numpy(zero_copy_only=False).astype(np.int64)
-            frames.append(
-                pd.DataFrame(
-                    {
-                        "id": rows.column("id").to_pandas(),
-                        "held_out": rows.column("held_out").to_pandas(),
-                        "n_tokens": np.bincount(of, minlength=len(text)),
-                        "n_known": np.bincount(of, counts[number] > 0, len(text)).astype(np.int64),
-                        "train_tokens": n_train,
-                        "base_score": np.bincount(of, base[number], len(text)),
-                        "score": total,
-                        "n_bytes": size,
-                        "bits_per_byte": -total * math.log2(10) / (size + 1),
-                    }
-                )
-            )
-        return pd.concat(frames) if frames else pd.DataFrame(columns=["id", "held_out", *names])
+            columns = {
+                "id": rows.column("id"),
+                "held_out": rows.column("held_out"),
+                "n_tokens": np.bincount(of, minlength=len(text)),
+                "n_known": np.bincount(of, counts[number] > 0, len(text)).astype(np.int64),
+                "train_tokens": np.full(len(text), n_train),
+                "base_score": np.bincount(of, base[number], len(text)),
+                "score": total,
+                "n_bytes": size,
+                "bits_per_byte": -total * math.log2(10) / (size + 1),
+            }
+            done.append(pa.table(columns))
+        return pa.concat_tables(done)
 
     kind = df.schema[id_col].dataType.simpleString()
     schema = f"id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, n_bytes long, bits_per_byte double"
     texts = raw.filter("kind = 'text'").select("block", "texts")
-    out = texts.groupBy("block").cogroup(model_rows.groupBy("block")).applyInPandas(scored, schema)
+    out = texts.groupBy("block").cogroup(model_rows.groupBy("block")).applyInArrow(scored, schema)
     return out.withColumnRenamed("id", id_col)
 
 

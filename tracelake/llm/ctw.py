@@ -54,6 +54,8 @@ BLOCK_BYTES = 16 << 20
 CHUNK_BYTES = 1 << 21
 #: Grams of chunks that a block holds before it sums them.
 HELD_GRAMS = 1_000_000
+#: Rows that go from Python to Spark at once.
+BATCH_ROWS = 50_000
 
 _RAW = pa.schema([("kind", pa.string()), ("block", pa.int64()), ("k", pa.int64()), ("w", pa.binary()), ("n", pa.int64()), ("texts", pa.binary())])
 
@@ -167,21 +169,23 @@ class _Block:
                 if size > HELD_GRAMS + 2 * len(some[0][0]):
                     some, size = [_merged(some)], 0
         k, n = _merged(some)
-        yield self._made("gram", len(k), k=pa.array(k), n=pa.array(n))
+        yield from self._made("gram", len(k), k=pa.array(k), n=pa.array(n))
         del some, k, n
         words, number, owner = tokens(text)
         seen = np.bincount(number, train[owner], len(words)).astype(np.int64)
         # the second pass finds the same numbers
-        yield self._made("word", len(words), k=pa.array(np.arange(len(words), dtype=np.int64)), w=words, n=pa.array(seen))
+        yield from self._made("word", len(words), k=pa.array(np.arange(len(words), dtype=np.int64)), w=words, n=pa.array(seen))
         del words, number, owner, text
         sink = io.BytesIO()
         with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
             out.write_table(rows)
-        yield self._made("text", 1, texts=pa.array([sink.getvalue()], pa.binary()))
+        yield from self._made("text", 1, texts=pa.array([sink.getvalue()], pa.binary()))
 
-    def _made(self, kind: str, rows: int, **columns: pa.Array) -> pa.RecordBatch:
-        fixed = {"kind": pa.array([kind] * rows), "block": pa.array(np.full(rows, self.key, np.int64))}
-        return pa.RecordBatch.from_arrays([(fixed | columns).get(f.name, pa.nulls(rows, f.type)) for f in _RAW], schema=_RAW)
+    def _made(self, kind: str, rows: int, **columns: pa.Array) -> Iterator[pa.RecordBatch]:
+        for at in range(0, rows, BATCH_ROWS):
+            n = min(BATCH_ROWS, rows - at)
+            part = {k: v.slice(at, n) for k, v in columns.items()} | {"kind": pa.array([kind] * n), "block": pa.array(np.full(n, self.key, np.int64))}
+            yield pa.RecordBatch.from_arrays([part.get(f.name, pa.nulls(n, f.type)) for f in _RAW], schema=_RAW)
 
 
 def blocks(df: DataFrame, id_col: str, text_col: str, held_out: Column, depth: int, block_bytes: int) -> DataFrame:
@@ -205,7 +209,7 @@ def blocks(df: DataFrame, id_col: str, text_col: str, held_out: Column, depth: i
     tasks = max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(total / block_bytes))
     made = source.coalesce(tasks).mapInArrow(cut, "kind string, block long, k long, w binary, n long, texts binary")
     path = common.scratch(df.sparkSession, "blocks")
-    made.write.partitionBy("kind").option("compression", "zstd").parquet(path)
+    made.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema("block long, k long, w binary, n long, texts binary, kind string").parquet(path)
 
 

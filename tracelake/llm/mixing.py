@@ -123,12 +123,13 @@ def mix(
     cells = plan.groupBy(*keys, "cell").agg(F.sum("n_tokens").alias("n"), F.first("rest").alias("rest"))
     upto = F.sum("n").over(Window.partitionBy(*keys).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1))
     ends = cells.withColumn("before", F.coalesce(upto, F.lit(0).cast("bigint"))).filter("before < rest and before + n >= rest").select(*keys, F.col("cell").alias("end"), "before")
-    leaves = leaves.join(ends, keys, "left")
+    # stored, these small tables have a known size: Spark broadcasts them, or splits a hot leaf in the join
+    leaves = common.stored(leaves.join(ends, keys, "left"), "ends")
     near = slim.join(leaves, keys).withColumn("key", last).filter(F.substring("key", 1, CELL) == F.col("end"))
     order = Window.partitionBy(*keys).orderBy("key").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     # the last hash that is taken: the first at which the tokens reach the rest
     stop = near.withColumn("upto", F.col("before") + F.sum("n_tokens").over(order)).filter("upto >= rest").groupBy(*keys).agg(F.min("key").alias("stop"))
-    leaves = leaves.drop("tokens", "budget", "end", "before").join(stop, keys, "left")
+    leaves = common.stored(leaves.drop("tokens", "budget", "end", "before").join(stop, keys, "left"), "stops")
     taken = docs.join(leaves, keys).withColumn("times", F.col("whole") + F.when(last <= F.col("stop"), 1).otherwise(0)).filter("times > 0")
     epoch = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("times"))).alias("epoch")
     return taken.select("row", *keys, "n_tokens", epoch)

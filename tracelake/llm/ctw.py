@@ -50,7 +50,7 @@ DEPTH = 5
 TOP = 3
 END = 255
 #: Bytes of text in a block, and in the arrays that are made at once.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 12 << 20
 CHUNK_BYTES = 1 << 21
 #: Grams of chunks that a block holds before it sums them.
 HELD_GRAMS = 1_000_000
@@ -136,12 +136,13 @@ def cuts(text: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, list[b
 def tokens(text: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """Words in order of first sight and, last, the end token (no word); each token's number in them, and its text's."""
     split = pc.ascii_split_whitespace(text)
-    owner, flat = pc.list_parent_indices(split).to_numpy(), split.flatten()
+    owner, flat = pc.list_parent_indices(split).to_numpy().astype(np.int32), split.flatten()
     real = pc.greater(pc.binary_length(flat), 0)
     coded = flat.filter(real).dictionary_encode()
+    del split, flat
     words = pa.concat_arrays([coded.dictionary.cast(pa.binary()), pa.array([b""], pa.binary())])
     number = np.concatenate([coded.indices.to_numpy(), np.full(len(text), len(words) - 1, np.int32)])
-    return words, number, np.concatenate([owner[real.to_numpy(zero_copy_only=False)], np.arange(len(text))])
+    return words, number, np.concatenate([owner[real.to_numpy(zero_copy_only=False)], np.arange(len(text), dtype=np.int32)])
 
 
 class _Block:

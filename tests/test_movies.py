@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tracelake.operators import checks as C
 from tracelake.operators import images as I
+from tracelake.plans import queries
 from tracelake.sources import discovery, metadata, sinks, tiff
 from tracelake.streaming import motion
 
@@ -178,6 +179,22 @@ def test_low_rank(spark):
     assert np.allclose([r["v"] for r in got], a.ravel())
 
 
+def test_low_rank_of_whole_movies(spark, tmp_path):
+    rng = np.random.default_rng(8)
+    tall, wide = rng.normal(size=(40, 2, 3)), rng.normal(size=(5, 3, 4))
+    both = pixels_of(spark, tall).unionByName(pixels_of(spark, wide).withColumn("run", F.lit("w")))
+    got = I.low_rank(both, 2)
+    for run, a in (("m", tall), ("w", wide)):
+        u, s, v = np.linalg.svd(a.reshape(len(a), -1), full_matrices=False)
+        want = (u[:, :2] * s[:2]) @ v[:2]
+        assert np.allclose([r["v"] for r in got.filter(F.col("run") == run).orderBy("frame", "y", "x").collect()], want.ravel())
+    a = rng.normal(size=(230, 64))
+    spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(a)], "vec_id long, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    rows = queries.queries()["low_rank_movie"](spark, str(tmp_path)).orderBy("frame", "y", "x").collect()
+    u, s, v = np.linalg.svd(a.astype(np.float32).astype(float), full_matrices=False)
+    assert len(rows) == 230 * 64 and np.allclose([r["v"] for r in rows], ((u[:, :5] * s[:5]) @ v[:5]).ravel(), atol=1e-5)
+
+
 XML = """<?xml version="1.0"?><PVScan date="1/2/2024"><PVStateShard><PVStateValue key="framePeriod" value="0.5"/><PVStateValue key="micronsPerPixel"><IndexedValue index="XAxis" value="1.25"/></PVStateValue></PVStateShard>
 <Sequence type="TSeries"><Frame relativeTime="3.0"/><Frame relativeTime="3.5"/><Frame relativeTime="4.0"/></Sequence></PVScan>"""
 

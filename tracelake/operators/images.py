@@ -289,13 +289,14 @@ def shift_table(shifts: DataFrame) -> DataFrame:
 # denoising
 
 
-def low_rank(pixels: DataFrame, rank: int) -> DataFrame:
-    """The movie's best approximation of a rank, as pixels.
+def _projected(pixels: DataFrame, rank: int, row: list[str], item: list[str]) -> DataFrame:
+    """The best approximation of a rank; a vector for each ``row``, with a value for each ``item``.
 
-    Tasks sum products of pixels' traces into the frames-by-frames matrix, whose leading
-    eigenvectors are found once a run; each pixel's trace is then projected on them.
+    Tasks sum products of the vectors into the items-by-items matrix, whose leading
+    eigenvectors are found once a run; each vector is then projected on them.
     """
-    traces = pixels.groupBy("run", "y", "x").agg(F.array_sort(F.collect_list(F.struct("frame", "v"))).alias("p")).select("run", "y", "x", F.col("p.frame").alias("frames"), F.col("p.v").cast("array<double>").alias("trace"))
+    points = F.array_sort(F.collect_list(F.struct(*item, "v")))
+    traces = pixels.groupBy("run", *row).agg(points.alias("p")).select("run", *row, *[F.col(f"p.{c}").alias(c) for c in item], F.col("p.v").cast("array<double>").alias("trace"))
 
     def gram(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[str, np.ndarray] = {}
@@ -325,8 +326,20 @@ def low_rank(pixels: DataFrame, rank: int) -> DataFrame:
             out.append(b.T @ (b @ t))
         return pd.Series(out)
 
-    done = traces.join(bases, "run").select("run", "y", "x", F.arrays_zip("frames", projected("trace", "basis").alias("v")).alias("p"))
-    return done.select("run", "y", "x", F.inline("p")).toDF("run", "y", "x", "frame", "v").select("run", "frame", "y", "x", "v")
+    done = traces.join(bases, "run").select("run", *row, F.arrays_zip(*item, projected("trace", "basis").alias("v")).alias("p"))
+    return done.select("run", *row, F.inline("p")).toDF("run", *row, *item, "v").select("run", "frame", "y", "x", "v")
+
+
+def low_rank(pixels: DataFrame, rank: int) -> DataFrame:
+    """The movie's best approximation of a rank, as pixels.
+
+    The matrix of products is frames by frames, or pixels by pixels in runs with fewer
+    pixels than frames: the approximation is the same, and the side is at most the image's.
+    """
+    frames = pixels.groupBy("run", "frame").agg(F.count("*").alias("_p")).groupBy("run").agg(F.count("*").alias("_f"), F.max("_p").alias("_p"))
+    sized = pixels.join(F.broadcast(frames), "run")
+    tall, wide = (sized.filter(c).drop("_f", "_p") for c in ("_f > _p", "_f <= _p"))
+    return _projected(tall, rank, ["frame"], ["y", "x"]).unionByName(_projected(wide, rank, ["y", "x"], ["frame"]))
 
 
 # regions

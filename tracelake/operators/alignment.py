@@ -60,8 +60,9 @@ def interpolate(traces: DataFrame, grid: DataFrame) -> DataFrame:
     wanted = traces.select(*KEYS).distinct().join(grid.select("run", "frame", "t"), "run")
     both = traces.select(*KEYS, "t", "v", F.lit(None).cast("bigint").alias("frame")).unionByName(wanted.select(*KEYS, "t", F.lit(None).cast("double").alias("v"), F.col("frame").cast("bigint")))
     sample = F.when(F.col("frame").isNull() & F.col("v").isNotNull(), F.struct("t", "v"))
-    order = Window.partitionBy(*KEYS).orderBy("t")
-    near = both.withColumns({"p": F.last(sample, ignorenulls=True).over(order.rangeBetween(Window.unboundedPreceding, Window.currentRow)), "n": F.first(sample, ignorenulls=True).over(order.rangeBetween(Window.currentRow, Window.unboundedFollowing))})
+    # frames that end at the current row grow by one row each, so both orders are linear
+    up, down = (Window.partitionBy(*KEYS).orderBy(o).rangeBetween(Window.unboundedPreceding, Window.currentRow) for o in ("t", F.desc("t")))
+    near = both.withColumns({"p": F.last(sample, ignorenulls=True).over(up), "n": F.last(sample, ignorenulls=True).over(down)})
     near = near.filter("frame is not null and p is not null and n is not null")
     line = F.try_divide(F.col("n.v") - F.col("p.v"), F.col("n.t") - F.col("p.t")) * (F.col("t") - F.col("p.t")) + F.col("p.v")
     return near.select(*KEYS, "frame", "t", F.when(F.col("n.t") == F.col("p.t"), F.col("p.v")).otherwise(line).alias("v"))

@@ -425,6 +425,74 @@ def gate_checks(spark, sf_dir):
     return rows.groupBy("run").pivot("check", ["lengths", "finite"]).agg(F.first("ok"))
 
 
+# whole tables: every ROI against every event channel. The queries above keep the id subsets and the fixed grid of their SQL.
+
+
+def behaviour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(run, channel, frame, v): all events as means on the ROI clock, which spans them."""
+    span = events(spark, sf_dir).agg(F.min("t").alias("t0"), F.max("t").alias("t1"))
+    frames = rois(spark, sf_dir).agg((F.max("frame") + 1).alias("n"))
+    at = F.coalesce(F.floor(F.try_divide((F.col("t") - F.col("t0")) * F.col("n"), F.col("t1") - F.col("t0"))), F.lit(0))
+    d = events(spark, sf_dir).crossJoin(F.broadcast(span)).crossJoin(F.broadcast(frames))
+    return d.groupBy(F.lit("m").alias("run"), "channel", F.least(at, F.col("n") - 1).cast("bigint").alias("frame")).agg(F.avg("v").alias("v"))
+
+
+BV = f"""{EV}, {RV}, sp AS (SELECT min(t) AS t0, max(t) AS t1, (SELECT max(frame) + 1 FROM rv) AS n FROM ev),
+    bv AS (SELECT 'm' AS run, channel, least(coalesce(floor((t - t0) * n / nullif(t1 - t0, 0)), 0), n - 1)::BIGINT AS frame, avg(v) AS v FROM ev, sp GROUP BY ALL)"""
+
+
+def _acf_sql(name: str, table: str) -> str:
+    return f"""{name}c AS (SELECT channel, frame, v - avg(v) OVER (PARTITION BY channel) AS v FROM {table}), {name}s AS (SELECT a.channel, b.frame - a.frame AS lag, sum(a.v * b.v) AS s FROM {name}c a JOIN {name}c b ON a.channel = b.channel AND b.frame - a.frame BETWEEN 0 AND 15 GROUP BY ALL),
+    {name} AS (SELECT channel, lag, coalesce(s / nullif(max(s) FILTER (lag = 0) OVER (PARTITION BY channel), 0), 0) AS r FROM {name}s)"""
+
+
+@query(f"WITH {RV}, {_acf_sql('ar', 'rv')} SELECT channel, lag, round(r, 6) + 0.0 AS r FROM ar")
+def acf_whole(spark, sf_dir):
+    return R.autocorrelation(rois(spark, sf_dir), 15).select("channel", F.col("lag").cast("bigint").alias("lag"), r6("r", "r"))
+
+
+@query(f"""WITH {BV}, zr AS (SELECT channel, frame, coalesce((v - avg(v) OVER w) / nullif(stddev_pop(v) OVER w, 0), 0) AS z FROM rv WINDOW w AS (PARTITION BY channel)), zb AS (SELECT channel, frame, coalesce((v - avg(v) OVER w) / nullif(stddev_pop(v) OVER w, 0), 0) AS z FROM bv WINDOW w AS (PARTITION BY channel))
+    SELECT a.channel AS roi, b.channel, a.frame - b.frame AS lag, round(sum(a.z * b.z) / (SELECT n FROM sp), 6) + 0.0 AS r FROM zr a JOIN zb b ON abs(a.frame - b.frame) <= 10 GROUP BY ALL""")
+def xcorr_lags_whole(spark, sf_dir):
+    return R.cross_correlation(rois(spark, sf_dir), behaviour(spark, sf_dir), 10).select("roi", "channel", F.col("lag").cast("bigint").alias("lag"), r6("r", "r"))
+
+
+@query(f"""WITH {BV}, {_acf_sql('ar', 'rv')}, {_acf_sql('ab', 'bv')}, b AS (SELECT x.channel AS roi, y.channel, x.lag, x.r * y.r AS p, x.r <= 0 OR y.r <= 0 AS stop FROM ar x JOIN ab y ON x.lag = y.lag AND x.lag > 0),
+    c AS (SELECT *, coalesce(min(lag) FILTER (stop) OVER (PARTITION BY roi, channel), 16) AS k FROM b), n AS (SELECT roi, channel, (SELECT n FROM sp) / greatest(1 + 2 * coalesce(sum(p) FILTER (lag < k), 0), 1.0) AS n FROM c GROUP BY ALL)
+    SELECT roi, channel, round(n, 5) AS n_eff, round(2 / sqrt(greatest(n - 3, 1.0)), 5) AS floor FROM n""")
+def n_eff_floor_whole(spark, sf_dir):
+    return R.effective_n(rois(spark, sf_dir), behaviour(spark, sf_dir), 15).select("roi", "channel", F.round("n_eff", 5).alias("n_eff"), F.round("floor", 5).alias("floor"))
+
+
+@query(f"WITH {BV} SELECT a.channel AS roi, b.channel, round(corr(a.v, b.v), 6) + 0.0 AS r FROM rv a JOIN bv b ON a.frame = b.frame GROUP BY ALL")
+def roi_behaviour_corr_whole(spark, sf_dir):
+    return R.lag_zero(rois(spark, sf_dir), behaviour(spark, sf_dir)).select("roi", "channel", r6("r", "r"))
+
+
+@query(f"WITH {BV}, c AS (SELECT a.channel AS roi, b.channel, corr(a.v, b.v) AS r FROM rv a JOIN bv b ON a.frame = b.frame GROUP BY ALL) SELECT channel, round(avg((abs(r) > 0.25)::INT), 6) AS fraction FROM c GROUP BY channel")
+def fraction_above_floor_whole(spark, sf_dir):
+    return T.fraction_above(R.lag_zero(rois(spark, sf_dir), behaviour(spark, sf_dir)), "r", F.lit(0.25), ("channel",)).select("channel", F.round("fraction", 6).alias("fraction"))
+
+
+def _event_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(run, frame, t): from the first event to the last, as many points as the fullest channel has events."""
+    e = events(spark, sf_dir)
+    most = e.groupBy("channel").count().agg(F.max("count").alias("n"))
+    span = e.agg(F.min("t").alias("t0"), F.max("t").alias("t1")).crossJoin(most)
+    points = span.filter("n > 0").withColumn("frame", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1)))
+    return points.select(F.lit("r").alias("run"), "frame", (F.col("t0") + F.col("frame") * ((F.col("t1") - F.col("t0")) / F.col("n"))).alias("t"))
+
+
+_CLOCK = f"""{EV}, gd AS (SELECT unnest(range(n)) AS frame, t0, t1, n FROM (SELECT min(t) AS t0, max(t) AS t1, (SELECT max(n) FROM (SELECT count(*) AS n FROM ev GROUP BY channel)) AS n FROM ev)),
+    gc AS (SELECT channel, frame, t0 + frame * ((t1 - t0) / n) AS t FROM gd CROSS JOIN (SELECT DISTINCT channel FROM ev)),
+    ip AS (SELECT g.channel, g.frame, g.t, CASE WHEN p.t = n.t THEN p.v ELSE (n.v - p.v) / (n.t - p.t) * (g.t - p.t) + p.v END AS v FROM gc g ASOF JOIN ev p ON g.channel = p.channel AND g.t >= p.t ASOF JOIN ev n ON g.channel = n.channel AND g.t <= n.t)"""
+
+
+@query(f"WITH {_CLOCK} SELECT channel, frame, round(v, 6) + 0.0 AS v FROM ip")
+def interp_align_whole(spark, sf_dir):
+    return A.interpolate(events(spark, sf_dir), _event_clock(spark, sf_dir)).select("channel", "frame", r6("v", "v"))
+
+
 @query("SELECT channel FROM (SELECT event_type AS channel, user_id % 7 AS run FROM events GROUP BY ALL) GROUP BY channel HAVING count(*) = (SELECT count(DISTINCT user_id % 7) FROM events)")
 def common_channels(spark, sf_dir):
     e = table(spark, sf_dir, "events").select((F.col("user_id") % 7).alias("run"), F.col("event_type").alias("channel"))

@@ -125,6 +125,22 @@ def test_box_traces_three_ways(spark, tmp_path):
         assert all(np.allclose((r["lum"], r["me"]), want["p", r["frame"]]) for r in rows)
 
 
+def test_stream_goes_on_once_a_gap_is_filled(spark, tmp_path):
+    a = np.random.default_rng(9).normal(size=(12, 5, 7))
+    frames = I.to_frames(pixels_of(spark, a)).select("run", "frame", "h", "w", "pixels").cache()
+    box = a[:, 1:5, 1:]
+    for k, cond in enumerate(("frame < 5", "frame between 6 and 9", "frame = 5", "frame in (9, 10, 11)")):
+        frames.filter(cond).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        # the second box ends beyond the image
+        stream = motion.motion_traces(motion.read_frames(spark, str(tmp_path / "in"), I.FRAMES), [("q", 0, 0, 2, 2), ("p", 1, 1, 9, 5)])
+        motion.write_traces(stream, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
+        rows = spark.read.parquet(str(tmp_path / "out")).filter("box = 'p'").orderBy("frame").collect()
+        assert [r["frame"] for r in rows] == list(range((5, 5, 10, 12)[k]))
+        for r in rows:
+            t = r["frame"]
+            assert np.allclose((r["lum"], r["me"]), (box[t].mean(), np.abs(box[t] - box[t - 1]).mean() if t else 0.0))
+
+
 def test_correlation_map_interior(spark):
     a = np.random.default_rng(5).normal(size=(30, 6, 6))
     got = {(r["y"], r["x"]): r["r"] for r in I.correlation_map(I.to_frames(pixels_of(spark, a))).collect()}

@@ -1,8 +1,8 @@
 """Incremental traces: motion energy of frames that arrive in order, with the frame before as state.
 
-Each run keeps its next frame number and its last boxes' pixels; what comes after a gap
-is not used (a run's result is a prefix without holes), unless the missing frame comes
-in the same batch. Running sums are plain streaming aggregations.
+Each run keeps its next frame number and its last boxes' pixels, and the boxes' pixels
+of frames beyond a gap until it closes: a run's result is a prefix without holes, in
+whatever batches its frames come. Running sums are plain streaming aggregations.
 """
 
 from __future__ import annotations
@@ -21,26 +21,30 @@ def motion_traces(frames: DataFrame, boxes: list[tuple[str, int, int, int, int]]
     """(run, box, frame, lum, me) from a stream of frames (run, frame, h, w, pixels); ``boxes``: (name, x0, y0, x1, y1)."""
 
     def step(key: tuple, parts: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        expected, held = state.get if state.exists else (0, b"")
+        expected, held, ahead, pixels = state.get if state.exists else (0, b"", [], [])
         before = np.frombuffer(held, np.float64) if held else None
+        waiting = {f: np.frombuffer(p, np.float64) for f, p in zip(ahead, pixels, strict=True)}
+        for part in parts:
+            for r in part.itertuples():
+                if r.frame < expected or r.frame in waiting:
+                    continue  # seen before
+                image = np.asarray(r.pixels, np.float64).reshape(r.h, r.w)
+                cuts = [image[y0:y1, x0:x1].ravel() for _, x0, y0, x1, y1 in boxes]
+                # boxes' sizes, which the image's edge may cut, then their pixels
+                waiting[int(r.frame)] = np.concatenate([[float(len(c)) for c in cuts], *cuts])
         rows = []
-        for r in pd.concat(list(parts)).sort_values("frame").itertuples():
-            if r.frame < expected:
-                continue  # seen before
-            if r.frame > expected:
-                break
-            image = np.asarray(r.pixels, np.float64).reshape(r.h, r.w)
-            cuts = [image[y0:y1, x0:x1].ravel() for _, x0, y0, x1, y1 in boxes]
-            now, at = np.concatenate(cuts) if cuts else np.empty(0), 0
-            for (name, *_), cut in zip(boxes, cuts, strict=True):
-                old = None if before is None else before[at : at + len(cut)]
-                rows.append((key[0], name, r.frame, cut.mean(), 0.0 if old is None else float(np.abs(cut - old).mean())))
-                at += len(cut)
+        while expected in waiting:
+            now, at = waiting.pop(expected), len(boxes)
+            for (name, *_), size in zip(boxes, now[: len(boxes)].astype(int), strict=True):
+                cut, old = now[at : at + size], None if before is None else before[at : at + size]
+                rows.append((key[0], name, expected, cut.mean(), 0.0 if old is None else float(np.abs(cut - old).mean())))
+                at += size
             before, expected = now, expected + 1
-        state.update((expected, b"" if before is None else before.tobytes()))
+        late = sorted(waiting)
+        state.update((expected, b"" if before is None else before.tobytes(), late, [waiting[f].tobytes() for f in late]))
         yield pd.DataFrame(rows, columns=["run", "box", "frame", "lum", "me"])
 
-    return frames.groupBy("run").applyInPandasWithState(step, TRACES, "expected long, last binary", "append", "NoTimeout")
+    return frames.groupBy("run").applyInPandasWithState(step, TRACES, "expected long, last binary, ahead array<long>, pixels array<binary>", "append", "NoTimeout")
 
 
 def running_moments(traces: DataFrame) -> DataFrame:

@@ -290,6 +290,16 @@ def test_budgets_go_to_siblings_first(spark):
 # secrets
 
 
+def test_secrets_beyond_a_base_span(spark):
+    key, token = "wJalrXUtnFEMIK7MDENGbPxRfiCYzQ3kT9vB2hLs", "q8ZtR4mXc1Vb7NpK2sWd9LfG"
+    hexes = "0123456789abcdef01234567"
+    texts = [f"id AKIA{'B2C3D4E5' * 2}/{key} end", f"{hexes}-{token}", f"{token}-{hexes}-{key}"]
+    clean = {r["doc_id"]: r["text"] for r in secrets.redact(documents(spark, texts)).collect()}
+    for text in clean.values():
+        assert all(x not in text for x in (key, token, hexes, key[4:-4], token[4:-4]))
+    assert clean[0].startswith("id ") and clean[0].endswith(" end")
+
+
 def test_secrets_equal_sql(spark):
     rng = random.Random(8)
     hexes = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))

@@ -6,8 +6,8 @@ one letter case with digits, both cases with digits; others can't be told from p
 and are left out) with its own threshold. A window slides over the run; its Shannon
 entropy is kept up to date from the counts of the character that enters and the one
 that leaves, and the span goes from the first window at or over the threshold to the
-last. Runs that the allow list matches, and spans that touch a base span, are dropped;
-base spans always stay.
+last. Base spans always stay and are cut out of the runs: what is left on either side
+counts as a run of its own. Runs that the allow list matches are dropped.
 
 Positions are code points, ends exclusive. They follow from splitting the text at the
 matches: a match starts after all pieces and matches before it.
@@ -126,12 +126,21 @@ def scan(df: DataFrame, text_col: str = "text", out: str = "secret_spans", windo
             F.expr(_spans("hex", hexes, f"{hexes}_gaps", "true")),
         ),
     )
-    allowed = " or ".join(["false"] + [f"{run}[i] rlike '{p}'" for p in allow])
-    found = found.withColumn(more, F.expr(_spans("entropy", run, f"{run}_gaps", f"({_class(f'{run}[i]')}) is not null and not ({allowed})")))
+    # a run with a class has a letter and a digit, and so has any piece with one
+    found = found.withColumn(more, F.expr(_spans("entropy", run, f"{run}_gaps", f"{run}[i] rlike '[0-9]' and {run}[i] rlike '[A-Za-z]'")))
+    span = lambda start, stop: f"array(named_struct('start', {start}, 'rank', x.rank, 'stop', {stop}, 'kind', x.kind))"
+    left = f"""flatten(transform({more}, x -> aggregate(
+        array_sort(filter({base}, b -> b.start < x.stop and x.start < b.stop)),
+        named_struct('at', x.start, 'out', cast(array() as array<{SPAN}>)),
+        (acc, b) -> named_struct('at', greatest(acc.at, b.stop), 'out', if(b.start > acc.at, concat(acc.out, {span('acc.at', 'b.start')}), acc.out)),
+        acc -> if(acc.at < x.stop, concat(acc.out, {span('acc.at', 'x.stop')}), acc.out))))"""
+    allowed = " or ".join(["false"] + [f"h rlike '{p}'" for p in allow])
+    judged = f"exists(array(substring({text}, x.start + 1, x.stop - x.start)), h -> ({_class('h')}) is not null and not ({allowed}))"
+    found = found.withColumn(more, F.expr(f"if(size({more}) = 0, {more}, filter({left}, x -> x.stop - x.start >= {window} and {judged}))"))
     piece = f"substring({text}, x.start + 1, x.stop - x.start)"
     slid = f"""filter(transform({more}, x -> transform(array({_slide(piece, f'({_class(piece)})', window)}), w -> named_struct(
         'start', x.start + w.first, 'rank', x.rank, 'stop', x.start + w.last + {window}, 'kind', x.kind))[0]),
-        y -> y.start is not null and not exists({base}, b -> b.start < y.stop and y.start < b.stop))"""
+        y -> y.start is not null)"""
     found = found.withColumn(out, F.expr(f"array_sort(concat({base}, if(size({more}) = 0, cast(array() as array<{SPAN}>), {slid})))"))
     return found.drop(*names, *parts)
 

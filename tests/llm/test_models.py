@@ -74,8 +74,10 @@ def plain_ctw(train, test, depth):
     return [sum(math.log10(p(c, x, b)) for c, x, b in decisions(t)) for t in test]
 
 
-def test_ctw_equals_the_recursion(spark):
-    got = {r["doc_id"]: r for r in ctw.score(docs(spark, TEXTS), held_out=ctw.held_out_rows(), depth=4, block_bytes=64).collect()}
+@pytest.mark.parametrize(("cell_bytes", "max_parts"), [(1 << 20, 9), (40, 3)])
+def test_ctw_equals_the_recursion(spark, cell_bytes, max_parts):
+    scored = ctw.score(docs(spark, TEXTS), held_out=ctw.held_out_rows(), depth=4, block_bytes=64, cell_bytes=cell_bytes, max_parts=max_parts)
+    got = {r["doc_id"]: r for r in scored.collect()}
     held = {i for i in range(len(TEXTS)) if got[i]["held_out"]}
     import zlib
 
@@ -84,7 +86,7 @@ def test_ctw_equals_the_recursion(spark):
     train = [t for i, t in enumerate(low) if i not in held]
     want = plain_ctw(train, low, 4)
     for i in range(len(TEXTS)):
-        assert abs(got[i]["score"] - want[i]) < 1e-4 * max(1, abs(want[i])), i
+        assert abs(got[i]["score"] - want[i]) < 1e-9 * max(1, abs(want[i])), i
     seen = Counter(w for t in train for w in [*t.split(), b""])
     n, v = sum(seen.values()), len(seen)
     for i, t in enumerate(low[:-1]):
@@ -94,6 +96,12 @@ def test_ctw_equals_the_recursion(spark):
     assert got[None]["n_tokens"] == 3
 
 
+def test_packed_arrays():
+    for values in ([], [5], [-3, 7, 7, 1 << 47]):
+        a = np.array(sorted(values), np.int64)
+        assert ctw.unpack_keys(ctw.pack_keys(a)).tolist() == a.tolist() and ctw.unpack(ctw.pack(a / 3), "f8").tolist() == (a / 3).tolist()
+
+
 def test_ctw_of_no_rows(spark):
     assert ctw.score(docs(spark, []).limit(0)).count() == 0
 

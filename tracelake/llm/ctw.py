@@ -14,14 +14,17 @@ node: its parent's estimate stands in for it. Texts are lower-cased (A-Z), end w
 byte 255 and start behind bytes 255 (UTF-8 has no such byte), so the probabilities of
 all texts sum to one.
 
-How it runs. The scan cuts the corpus into blocks of bounded size; each block gives
-its distinct byte (DEPTH+1)-grams and words with their training counts, and its texts,
-compressed. Grams meet by their last three context bytes: such a group has at most
-256**(DEPTH-2) rows, holds whole subtrees, and is solved with arrays. The three top
-levels have at most 65,536 * 255 nodes, whatever the corpus, and are solved on the
-driver and broadcast. Every gram's code length and every word's count then go back to
-the blocks that have it, and each block scores its texts. Nothing else leaves Spark:
-no vocabulary or model of unbounded size is collected or broadcast.
+How it runs. The scan cuts the corpus into blocks of bounded size. A block deals its
+distinct byte (DEPTH+1)-grams and words, with their training counts, over ``parts`` and
+gives one row of packed arrays for each; its texts stay beside them, compressed. Blocks
+belong to ``salts``, so that a cell (salt, part) has a bounded share of them, however
+large the corpus: a cell sums its blocks' counts, and Spark sums the cells'. Grams
+meet by their last three context bytes: such a group has at most 256**(DEPTH-2) rows,
+holds whole subtrees, and is solved with arrays. The three top levels are 255 trees, one
+for each node of the binary tree, of at most 65,536 contexts: one group each. Their
+weights come back to the groups below, which then give each gram's code length. Code
+lengths and word counts go to the cells, those give packed arrays to each block, and
+the block scores its texts. Nothing passes through the driver but a few sums.
 
 Cases: a null text is an empty one (one token, the end); a null id counts as training
 data; repeated rows count each time; without training data every estimate is 1/2 and
@@ -38,6 +41,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,18 +50,58 @@ from tracelake.llm import common
 
 #: Context bytes. A gram has one more byte and must fit in 63 bits.
 DEPTH = 5
-#: Levels that are solved together on the driver; each has at most 256 times more nodes.
+#: Levels above the subtrees: contexts of fewer bytes.
 TOP = 3
 END = 255
 #: Bytes of text in a block, and in the arrays that are made at once.
 BLOCK_BYTES = 12 << 20
 CHUNK_BYTES = 1 << 21
-#: Grams of chunks that a block holds before it sums them.
+#: Bytes of text whose grams and words a cell has, and parts at most; beyond, there are more salts.
+CELL_BYTES = 8 << 20
+MAX_PARTS = 4096
+#: Grams of chunks that a block holds before it sums them; rows that a group's task solves at once.
 HELD_GRAMS = 1_000_000
-#: Rows that go from Python to Spark at once.
-BATCH_ROWS = 50_000
+SOLVED_ROWS = 200_000
 
-_RAW = pa.schema([("kind", pa.string()), ("block", pa.int64()), ("k", pa.int64()), ("w", pa.binary()), ("n", pa.int64()), ("texts", pa.binary())])
+_RAW = pa.schema([("block", pa.int64()), ("salt", pa.int32()), ("part", pa.int32()), ("grams", pa.binary()), ("counts", pa.binary()), ("words", pa.binary()), ("texts", pa.binary())])
+
+
+def pack(values: np.ndarray) -> bytes:
+    """An array as compressed bytes, the values' like bytes together."""
+    flat = np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize)
+    return zstandard.ZstdCompressor(level=1).compress(flat.T.tobytes())
+
+
+def unpack(data: bytes, kind: str) -> np.ndarray:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    return np.ascontiguousarray(raw.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+def pack_keys(keys: np.ndarray) -> bytes:
+    """Sorted integers, as differences."""
+    return pack(np.diff(keys, prepend=np.int64(0)))
+
+
+def unpack_keys(data: bytes) -> np.ndarray:
+    return np.cumsum(unpack(data, "i8"))
+
+
+def dealt(values: np.ndarray, over: int) -> np.ndarray:
+    """Integers dealt evenly over ``over`` numbers."""
+    return ((values.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64) % over
+
+
+def dealt_words(words: pa.Array, over: int) -> np.ndarray:
+    if over == 1:
+        return np.zeros(len(words), np.int64)
+    items = np.empty(len(words), object)
+    items[:] = words.to_pylist()
+    return (pd.util.hash_array(items, categorize=False) % np.uint64(over)).astype(np.int64)
+
+
+def by_part(part: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """The positions of each part in turn, in their order, and where each part begins."""
+    return np.argsort(part, kind="stable"), np.concatenate([[0], np.cumsum(np.bincount(part, minlength=parts))])
 
 
 def grams(texts: list[bytes], depth: int = DEPTH, limit: int = CHUNK_BYTES) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -146,10 +190,10 @@ def tokens(text: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
 
 
 class _Block:
-    """Texts until there are enough; then their grams, words and compressed rows."""
+    """Texts until there are enough; then their grams and words, packed by part, and their rows."""
 
-    def __init__(self, key: int, depth: int):
-        self.key, self.depth, self.size = key, depth, 0
+    def __init__(self, key: int, depth: int, salts: int, parts: int):
+        self.key, self.depth, self.salts, self.parts, self.size = key, depth, salts, parts, 0
         self.rows: list[pa.RecordBatch] = []
 
     def add(self, rows: pa.RecordBatch) -> None:
@@ -170,48 +214,59 @@ class _Block:
                 if size > HELD_GRAMS + 2 * len(some[0][0]):
                     some, size = [_merged(some)], 0
         k, n = _merged(some)
-        yield from self._made("gram", len(k), k=pa.array(k), n=pa.array(n))
-        del some, k, n
+        del some
+        order, at = by_part(dealt(k >> _shift(self.depth), self.parts), self.parts)
+        k, n = k[order], n[order]
+        packed = [(pack_keys(k[i:j]), pack(n[i:j])) for i, j in zip(at[:-1], at[1:], strict=True)]
+        del k, n, order
         words, number, owner = tokens(text)
         seen = np.bincount(number, train[owner], len(words)).astype(np.int64)
-        # the second pass finds the same numbers
-        yield from self._made("word", len(words), k=pa.array(np.arange(len(words), dtype=np.int64)), w=words, n=pa.array(seen))
-        del words, number, owner, text
-        sink = io.BytesIO()
-        with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-            out.write_table(rows)
-        yield from self._made("text", 1, texts=pa.array([sink.getvalue()], pa.binary()))
+        del number, owner, text
+        order, at = by_part(dealt_words(words, self.parts), self.parts)
+        table = pa.table({"w": words.take(pa.array(order)), "n": seen[order]})
+        del words, seen
+        salt = int(dealt(np.array([self.key]), self.salts)[0])
+        for part, (keys, counts) in enumerate(packed):
+            own = ipc(table.slice(at[part], at[part + 1] - at[part]).combine_chunks())
+            texts = ipc(rows) if not part else None
+            yield pa.RecordBatch.from_pylist([{"block": self.key, "salt": salt, "part": part, "grams": keys, "counts": counts, "words": own, "texts": texts}], schema=_RAW)
+
 
-    def _made(self, kind: str, rows: int, **columns: pa.Array) -> Iterator[pa.RecordBatch]:
-        for at in range(0, rows, BATCH_ROWS):
-            n = min(BATCH_ROWS, rows - at)
-            part = {k: v.slice(at, n) for k, v in columns.items()} | {"kind": pa.array([kind] * n), "block": pa.array(np.full(n, self.key, np.int64))}
-            yield pa.RecordBatch.from_arrays([part.get(f.name, pa.nulls(n, f.type)) for f in _RAW], schema=_RAW)
+def ipc(table: pa.Table) -> bytes:
+    sink = io.BytesIO()
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(table)
+    return sink.getvalue()
 
 
-def blocks(df: DataFrame, id_col: str, text_col: str, held_out: Column, depth: int, block_bytes: int) -> DataFrame:
-    """Rows of three kinds (gram, word, text) for each block, in the shared folder."""
+def _shift(depth: int) -> int:
+    """Bits of a gram below the context bytes that its group shares."""
+    return 8 * (depth + 1 - TOP)
+
+
+def blocks(df: DataFrame, id_col: str, text_col: str, held_out: Column, depth: int, block_bytes: int, cell_bytes: int, max_parts: int) -> tuple[DataFrame, int, int]:
+    """A row for each block and part, in the shared folder; the numbers of salts and parts."""
+    source = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out"))
+    total = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = min(max_parts, max(1, math.ceil(total / cell_bytes)))
+    salts = max(1, math.ceil(total / (cell_bytes * max_parts)))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, made = TaskContext.get().partitionId(), 0
-        block = _Block(part << 24, depth)
+        task, made = TaskContext.get().partitionId(), 0
+        block = _Block(task << 24, depth, salts, parts)
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 block.add(batch.slice(at, 1000))
                 if block.size >= block_bytes:
                     yield from block.batches()
                     made += 1
-                    block = _Block(part << 24 | made, depth)
+                    block = _Block(task << 24 | made, depth, salts, parts)
         if block.rows:
             yield from block.batches()
 
-    source = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out"))
-    total = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     tasks = max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(total / block_bytes))
-    made = source.coalesce(tasks).mapInArrow(cut, "kind string, block long, k long, w binary, n long, texts binary")
-    path = common.scratch(df.sparkSession, "blocks")
-    made.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema("block long, k long, w binary, n long, texts binary, kind string").parquet(path)
+    schema = "block long, salt int, part int, grams binary, counts binary, words binary, texts binary"
+    return common.stored(source.coalesce(tasks).mapInArrow(cut, schema), "blocks"), salts, parts
 
 
 _SMALL = 4096
@@ -338,44 +393,100 @@ def code_lengths(keys: np.ndarray, p: np.ndarray, model: tuple[np.ndarray, ...],
     return total
 
 
-def _solved(raw: DataFrame, depth: int) -> DataFrame:
-    """Every distinct gram with its blocks and probabilities; also the sums for the top levels (rows with ``node``)."""
-    shift = 8 * (depth + 1 - TOP)
-    names = [f"p{j}" for j in range(8)]
-    columns = ["k", "blocks", *names, "node", "n0", "n1", "log_pw"]
-
-    def solve(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[pd.DataFrame] = []
-        size = 0
-
-        def done(frame: pd.DataFrame) -> Iterator[pd.DataFrame]:
-            p, sums = subtrees(frame["k"].to_numpy(), frame["n"].to_numpy(), depth)
-            yield frame[["k", "blocks"]].reset_index(drop=True).assign(**{x: p[:, j] for j, x in enumerate(names)}).reindex(columns=columns)
-            yield sums.reindex(columns=columns).assign(blocks=[None] * len(sums))
-
-        for frame in frames:
-            held.append(frame)
-            size += len(frame)
-            if size >= 200_000:
-                whole = pd.concat(held, ignore_index=True)
-                group = whole["k"].to_numpy() >> shift
-                stop = np.searchsorted(group, group[-1])  # the last group may go on
-                if stop:
-                    yield from done(whole.iloc[:stop])
-                held, size = [whole.iloc[stop:]], len(whole) - stop
-        if size:
-            yield from done(pd.concat(held, ignore_index=True))
-
-    group = F.shiftright("k", shift).alias("g")
-    counted = raw.filter("kind = 'gram'").select(group, "k", "block", "n").repartition("g").groupBy("g", "k").agg(F.sum("n").alias("n"), F.collect_list("block").alias("blocks"))
-    ordered = counted.sortWithinPartitions("k").select("k", "n", "blocks")
-    schema = "k long, blocks array<bigint>, " + ", ".join(f"{x} float" for x in names) + ", node long, n0 double, n1 double, log_pw double"
-    path = common.scratch(raw.sparkSession, "subtrees")
-    ordered.mapInPandas(solve, schema).write.option("compression", "zstd").parquet(path)
-    return raw.sparkSession.read.schema(schema).parquet(path)
-
-
-def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out: Column | None = None, depth: int = DEPTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def _frames(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows sorted by ``g`` in larger frames that hold whole groups."""
+    held: list[pd.DataFrame] = []
+    size = 0
+    for frame in frames:
+        held.append(frame)
+        size += len(frame)
+        if size >= SOLVED_ROWS:
+            whole = pd.concat(held, ignore_index=True)
+            group = whole["g"].to_numpy()
+            stop = np.searchsorted(group, group[-1])  # the last group may go on
+            if stop:
+                yield whole.iloc[:stop]
+            held, size = [whole.iloc[stop:]], len(whole) - stop
+    if size:
+        yield pd.concat(held, ignore_index=True)
+
+
+def counted_grams(raw: DataFrame, depth: int) -> DataFrame:
+    """(g, k, n): every distinct gram, its group and its training count."""
+
+    def summed(rows: pa.Table) -> pa.Table:
+        k, n = _merged([(unpack_keys(a), unpack(b, "i8")) for a, b in zip(rows.column("grams").to_pylist(), rows.column("counts").to_pylist(), strict=True)])
+        return pa.table({"k": k, "n": n})
+
+    cells = raw.select("salt", "part", "grams", "counts").groupBy("salt", "part").applyInArrow(summed, "k long, n long")
+    return cells.groupBy(F.shiftright("k", _shift(depth)).alias("g"), "k").agg(F.sum("n").alias("n"))
+
+
+def top_nodes(counted: DataFrame, depth: int) -> DataFrame:
+    """(node, a, b, own) of every node of depth TOP - 1: the weights of the levels above, at most 65,536 * 255 rows."""
+
+    def sums(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in _frames(frames):
+            yield subtrees(frame["k"].to_numpy(), frame["n"].to_numpy(), depth)[1]
+
+    def solve(rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame(dict(zip(("node", "a", "b", "own"), top_levels(rows), strict=True)))
+
+    nodes = counted.repartition("g").sortWithinPartitions("g", "k").mapInPandas(sums, "node long, n0 double, n1 double, log_pw double")
+    nodes = nodes.groupBy("node").agg(*[F.sum(c).alias(c) for c in ("n0", "n1", "log_pw")])
+    # each of the 255 decisions has a tree of contexts of its own
+    return nodes.groupBy(F.col("node").bitwiseAND(F.lit(255)).alias("decision")).applyInPandas(solve, "node long, a double, b double, own double")
+
+
+def gram_lengths(counted: DataFrame, top: DataFrame, depth: int, parts: int) -> DataFrame:
+    """(part, keys, lengths): every gram with its log10 probability, packed."""
+    groups = counted.select("g").distinct().withColumn("c", F.shiftright("g", 8))
+    above = top.withColumn("c", F.shiftright("node", 8)).join(groups, "c").select("g", F.lit(0).alias("kind"), F.col("node").alias("x"), F.lit(0).cast("bigint").alias("n"), "a", "b", "own")
+    none = F.lit(0.0)
+    rows = above.union(counted.select("g", F.lit(1), "k", "n", none, none, none))
+
+    def lengths(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in _frames(frames):
+            gram = frame["kind"].to_numpy() == 1
+            node, first = np.unique(frame["x"].to_numpy()[~gram], return_index=True)
+            model = (node, *(frame[c].to_numpy()[~gram][first] for c in ("a", "b", "own")))
+            k = frame["x"].to_numpy()[gram]
+            v = code_lengths(k, subtrees(k, frame["n"].to_numpy()[gram], depth)[0], model, depth)
+            order, at = by_part(dealt(k >> _shift(depth), parts), parts)
+            k, v = k[order], v[order]
+            there = np.flatnonzero(np.diff(at))
+            yield pd.DataFrame({"part": there.astype(np.int32), "keys": [pack_keys(k[at[i] : at[i + 1]]) for i in there], "lengths": [pack(v[at[i] : at[i + 1]]) for i in there]})
+
+    return rows.repartition("g").sortWithinPartitions("g", "kind", "x").mapInPandas(lengths, "part int, keys binary, lengths binary")
+
+
+def counted_words(raw: DataFrame) -> DataFrame:
+    """(part, w, c): every distinct token with its training count; the end is the empty word."""
+
+    def summed(rows: pa.Table) -> pa.Table:
+        table = pa.concat_tables([pa.ipc.open_stream(x).read_all() for x in rows.column("words").to_pylist()])
+        one = table.group_by("w").aggregate([("n", "sum")])
+        return pa.table({"part": pa.array(np.full(len(one), rows.column("part")[0].as_py(), np.int32)), "w": one.column("w"), "n": one.column("n_sum")})
+
+    cells = raw.select("salt", "part", "words").groupBy("salt", "part").applyInArrow(summed, "part int, w binary, n long")
+    return cells.groupBy("part", "w").agg(F.sum("n").alias("c"))
+
+
+def _to_cells(model: DataFrame, salts: int) -> DataFrame:
+    """Each part's rows for each salt."""
+    return model.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+
+
+def score(
+    df: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    held_out: Column | None = None,
+    depth: int = DEPTH,
+    block_bytes: int = BLOCK_BYTES,
+    cell_bytes: int = CELL_BYTES,
+    max_parts: int = MAX_PARTS,
+) -> DataFrame:
     """Score every text; learn from those where ``held_out`` isn't true.
 
     (id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_bytes,
@@ -385,67 +496,75 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_ou
     """
     if not TOP < depth <= 6:
         raise ValueError("depth must be from 4 to 6")
-    spark = df.sparkSession
     held_out = F.lit(False) if held_out is None else held_out
-    raw = blocks(df, id_col, text_col, held_out, depth, block_bytes)
-    solved = _solved(raw, depth)
-    # at most 65,536 * 255 rows, whatever the corpus
-    nodes = solved.filter("node is not null").groupBy("node").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.sum("log_pw").alias("log_pw")).toPandas()
-    model = spark.sparkContext.broadcast(top_levels(nodes))
-
-    def lengths(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            p = frame[[f"p{j}" for j in range(8)]].to_numpy(np.float64)
-            yield pd.DataFrame({"k": frame["k"], "v": code_lengths(frame["k"].to_numpy(), p, model.value, depth), "blocks": frame["blocks"]})
-
-    gram = solved.filter("k is not null").drop("node", "n0", "n1", "log_pw").mapInPandas(lengths, "k long, v float, blocks array<bigint>")
-    gram = gram.select(F.explode("blocks").alias("block"), "k", F.col("v").cast("double").alias("v"), F.lit(False).alias("word"))
-    word = raw.filter("kind = 'word'").groupBy("w").agg(F.sum("n").alias("c"), F.collect_list(F.struct("block", "k")).alias("at"))
-    word = common.stored(word.select("c", "at"), "words")
+    raw, salts, parts = blocks(df, id_col, text_col, held_out, depth, block_bytes, cell_bytes, max_parts)
+    counted = common.stored(counted_grams(raw, depth), "grams")
+    top = common.stored(top_nodes(counted, depth), "top")
+    gram = common.stored(gram_lengths(counted, top, depth, parts), "lengths")
+    word = common.stored(counted_words(raw), "words")
     sums = word.agg(F.sum("c"), F.count_if(F.col("c") > 0)).first()
     n_train, n_distinct = int(sums[0] or 0), int(sums[1] or 0)
-    word = word.select(F.explode("at").alias("at"), F.col("c").cast("double").alias("v")).select("at.block", "at.k", "v", F.lit(True).alias("word"))
-    model_rows = gram.unionByName(word)
+
+    def gram_values(left: pa.Table, right: pa.Table) -> pa.Table:
+        known, lengths = (np.concatenate([f(x) for x in right.column(c).to_pylist()]) for c, f in (("keys", unpack_keys), ("lengths", lambda x: unpack(x, "f8"))))
+        order = np.argsort(known)
+        known, lengths = known[order], lengths[order]
+        values = [pack(lengths[np.searchsorted(known, unpack_keys(x))]) for x in left.column("grams").to_pylist()]
+        return pa.table({"block": left.column("block"), "part": left.column("part"), "grams": left.column("grams"), "values": pa.array(values, pa.binary())})
+
+    def word_values(left: pa.Table, right: pa.Table) -> pa.Table:
+        known, counts, values = right.column("w").combine_chunks(), right.column("c").to_numpy(), []
+        counts = np.append(counts, 0)
+        for x in left.column("words").to_pylist():
+            at = pc.fill_null(pc.index_in(pa.ipc.open_stream(x).read_all().column("w"), value_set=known), len(counts) - 1)
+            values.append(pack(counts[at.to_numpy()]))
+        n = len(left)
+        return pa.table({"block": left.column("block"), "part": left.column("part"), "grams": pa.nulls(n, pa.binary()), "values": pa.array(values, pa.binary())})
+
+    schema = "block long, part int, grams binary, values binary"
+    cell = ["salt", "part"]
+    gram = raw.select(*cell, "block", "grams").groupBy(*cell).cogroup(_to_cells(gram, salts).groupBy(*cell)).applyInArrow(gram_values, schema)
+    word = raw.select(*cell, "block", "words").groupBy(*cell).cogroup(_to_cells(word.filter("c > 0"), salts).groupBy(*cell)).applyInArrow(word_values, schema)
 
     def scored(left: pa.Table, right: pa.Table) -> pa.Table:
-        is_word, k, v = (right.column(x).to_numpy() for x in ("word", "k", "v"))
-        counts = np.zeros(is_word.sum(), np.int64)
-        counts[k[is_word]] = v[is_word].astype(np.int64)
-        known, lengths_of = k[~is_word], v[~is_word]
-        del right, k, v
+        part, keys, values = (right.column(c).to_pylist() for c in ("part", "grams", "values"))
+        of_gram = [i for i in range(len(part)) if keys[i] is not None]
+        known, lengths = np.concatenate([unpack_keys(keys[i]) for i in of_gram]), np.concatenate([unpack(values[i], "f8") for i in of_gram])
         order = np.argsort(known)
-        known, lengths_of = known[order], lengths_of[order]
-        del order, is_word
-        done = []
-        for packed in left.column("texts").to_pylist():
-            rows = pa.ipc.open_stream(packed).read_all()
-            text = lowered(rows)
-            total = np.zeros(len(text))
-            for first, texts in cuts(text):
-                for keys, owner in grams(texts, depth):
-                    codes, u = pd.factorize(keys)
-                    total += np.bincount(first + owner, lengths_of[np.searchsorted(known, u)][codes], len(text))
-            _, number, of = tokens(text)
-            base = np.log10((counts + 1) / (n_train + 1 * (n_distinct + 1)))
-            size = pc.binary_length(text).to_numpy(zero_copy_only=False).astype(np.int64)
-            columns = {
-                "id": rows.column("id"),
-                "held_out": rows.column("held_out"),
-                "n_tokens": np.bincount(of, minlength=len(text)),
-                "n_known": np.bincount(of, counts[number] > 0, len(text)).astype(np.int64),
-                "train_tokens": np.full(len(text), n_train),
-                "base_score": np.bincount(of, base[number], len(text)),
-                "score": total,
-                "n_bytes": size,
-                "bits_per_byte": -total * math.log2(10) / (size + 1),
-            }
-            done.append(pa.table(columns))
-        return pa.concat_tables(done)
+        known, lengths = known[order], lengths[order]
+        of_word = sorted((i for i in range(len(part)) if keys[i] is None), key=part.__getitem__)
+        in_order = np.concatenate([unpack(values[i], "i8") for i in of_word])
+        del keys, values, order
+        rows = pa.ipc.open_stream(left.column("texts")[0].as_py()).read_all()
+        text = lowered(rows)
+        total = np.zeros(len(text))
+        for first, texts in cuts(text):
+            for some, owner in grams(texts, depth):
+                codes, u = pd.factorize(some)
+                total += np.bincount(first + owner, lengths[np.searchsorted(known, u)][codes], len(text))
+        del known, lengths
+        words, number, of = tokens(text)
+        counts = np.empty(len(words), np.int64)
+        counts[by_part(dealt_words(words, parts), parts)[0]] = in_order
+        base = np.log10((counts + 1) / (n_train + 1 * (n_distinct + 1)))
+        size = pc.binary_length(text).to_numpy(zero_copy_only=False).astype(np.int64)
+        columns = {
+            "id": rows.column("id"),
+            "held_out": rows.column("held_out"),
+            "n_tokens": np.bincount(of, minlength=len(text)),
+            "n_known": np.bincount(of, counts[number] > 0, len(text)).astype(np.int64),
+            "train_tokens": np.full(len(text), n_train),
+            "base_score": np.bincount(of, base[number], len(text)),
+            "score": total,
+            "n_bytes": size,
+            "bits_per_byte": -total * math.log2(10) / (size + 1),
+        }
+        return pa.table(columns)
 
     kind = df.schema[id_col].dataType.simpleString()
     schema = f"id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, n_bytes long, bits_per_byte double"
-    texts = raw.filter("kind = 'text'").select("block", "texts")
-    out = texts.groupBy("block").cogroup(model_rows.groupBy("block")).applyInArrow(scored, schema)
+    texts = raw.filter("part = 0").select("block", "texts")
+    out = texts.groupBy("block").cogroup(gram.union(word).groupBy("block")).applyInArrow(scored, schema)
     return out.withColumnRenamed("id", id_col)
 
 

@@ -13,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer, models
 
-from tracelake.llm import bpe, ctw, ngram_quality, unigram_count
+from tracelake.llm import bpe, common, ctw, ngram_quality, unigram_count
 
 TEXTS = ["The cat sat on the mat.", "the cat SAT", "", None, "a\n\nb  a", "Ünïcode ñandú — 中文", "the cat sat on the mat.", "x" * 50, " \t lead and trail \n"]
 
@@ -99,7 +99,7 @@ def test_ctw_equals_the_recursion(spark, cell_bytes, max_parts):
 def test_packed_arrays():
     for values in ([], [5], [-3, 7, 7, 1 << 47]):
         a = np.array(sorted(values), np.int64)
-        assert ctw.unpack_keys(ctw.pack_keys(a)).tolist() == a.tolist() and ctw.unpack(ctw.pack(a / 3), "f8").tolist() == (a / 3).tolist()
+        assert common.unpack_keys(common.pack_keys(a)).tolist() == a.tolist() and common.unpack(common.pack(a / 3), "f8").tolist() == (a / 3).tolist()
 
 
 def test_ctw_of_no_rows(spark):

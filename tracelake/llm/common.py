@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,15 +20,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that driver and executors share.
+    """A new path in the folder that driver and executors share, the session's ``spark.checkpoint.dir``.
 
-    The folder is the session's ``spark.checkpoint.dir``; where that is unset, as
-    in tests, a temporary folder is made and set for the session.
+    Whoever sets the folder clears it: a result is computed when it is read, so the
+    tables it is read from must outlive the call that wrote them.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -47,3 +49,42 @@ def lower_ascii(text: Column) -> Column:
 
 def text_or_empty(name: str) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
+
+
+def whole_groups(frames: Iterator[pd.DataFrame], key: str, least: int) -> Iterator[pd.DataFrame]:
+    """Rows in which those of a group follow each other, in frames of ``least`` rows or more that hold whole groups."""
+    held: list[pd.DataFrame] = []
+    size = 0
+    for frame in frames:
+        held.append(frame)
+        size += len(frame)
+        if size >= least:
+            whole = pd.concat(held, ignore_index=True)
+            group = whole[key].to_numpy()
+            other = np.flatnonzero(group != group[-1])  # the last group may go on
+            stop = other[-1] + 1 if len(other) else 0
+            if stop:
+                yield whole.iloc[:stop]
+            held, size = [whole.iloc[stop:]], len(whole) - stop
+    if size:
+        yield pd.concat(held, ignore_index=True)
+
+
+def pack(values: np.ndarray) -> bytes:
+    """An array as compressed bytes, the values' like bytes together."""
+    flat = np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize)
+    return zstandard.ZstdCompressor(level=1).compress(flat.T.tobytes())
+
+
+def unpack(data: bytes, kind: str) -> np.ndarray:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    return np.ascontiguousarray(raw.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+def pack_keys(keys: np.ndarray) -> bytes:
+    """Sorted integers, as differences."""
+    return pack(np.diff(keys, prepend=np.int64(0)))
+
+
+def unpack_keys(data: bytes) -> np.ndarray:
+    return np.cumsum(unpack(data, "i8"))

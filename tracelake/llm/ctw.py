@@ -41,12 +41,12 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracelake.llm import common
+from tracelake.llm.common import pack, pack_keys, unpack, unpack_keys, whole_groups
 
 #: Context bytes. A gram has one more byte and must fit in 63 bits.
 DEPTH = 5
@@ -66,26 +66,6 @@ SOLVED_ROWS = 200_000
 _RAW = pa.schema([("block", pa.int64()), ("salt", pa.int32()), ("part", pa.int32()), ("grams", pa.binary()), ("counts", pa.binary()), ("words", pa.binary()), ("texts", pa.binary())])
 
 
-def pack(values: np.ndarray) -> bytes:
-    """An array as compressed bytes, the values' like bytes together."""
-    flat = np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize)
-    return zstandard.ZstdCompressor(level=1).compress(flat.T.tobytes())
-
-
-def unpack(data: bytes, kind: str) -> np.ndarray:
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
-    return np.ascontiguousarray(raw.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
-
-
-def pack_keys(keys: np.ndarray) -> bytes:
-    """Sorted integers, as differences."""
-    return pack(np.diff(keys, prepend=np.int64(0)))
-
-
-def unpack_keys(data: bytes) -> np.ndarray:
-    return np.cumsum(unpack(data, "i8"))
-
-
 def dealt(values: np.ndarray, over: int) -> np.ndarray:
     """Integers dealt evenly over ``over`` numbers."""
     return ((values.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64) % over
@@ -393,24 +373,6 @@ def code_lengths(keys: np.ndarray, p: np.ndarray, model: tuple[np.ndarray, ...],
     return total
 
 
-def _frames(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows sorted by ``g`` in larger frames that hold whole groups."""
-    held: list[pd.DataFrame] = []
-    size = 0
-    for frame in frames:
-        held.append(frame)
-        size += len(frame)
-        if size >= SOLVED_ROWS:
-            whole = pd.concat(held, ignore_index=True)
-            group = whole["g"].to_numpy()
-            stop = np.searchsorted(group, group[-1])  # the last group may go on
-            if stop:
-                yield whole.iloc[:stop]
-            held, size = [whole.iloc[stop:]], len(whole) - stop
-    if size:
-        yield pd.concat(held, ignore_index=True)
-
-
 def counted_grams(raw: DataFrame, depth: int) -> DataFrame:
     """(g, k, n): every distinct gram, its group and its training count."""
 
@@ -426,7 +388,7 @@ def top_nodes(counted: DataFrame, depth: int) -> DataFrame:
     """(node, a, b, own) of every node of depth TOP - 1: the weights of the levels above, at most 65,536 * 255 rows."""
 
     def sums(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in _frames(frames):
+        for frame in whole_groups(frames, "g", SOLVED_ROWS):
             yield subtrees(frame["k"].to_numpy(), frame["n"].to_numpy(), depth)[1]
 
     def solve(rows: pd.DataFrame) -> pd.DataFrame:
@@ -446,7 +408,7 @@ def gram_lengths(counted: DataFrame, top: DataFrame, depth: int, parts: int) ->
     rows = above.union(counted.select("g", F.lit(1), "k", "n", none, none, none))
 
     def lengths(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in _frames(frames):
+        for frame in whole_groups(frames, "g", SOLVED_ROWS):
             gram = frame["kind"].to_numpy() == 1
             node, first = np.unique(frame["x"].to_numpy()[~gram], return_index=True)
             model = (node, *(frame[c].to_numpy()[~gram][first] for c in ("a", "b", "own")))

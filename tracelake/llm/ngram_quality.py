@@ -13,17 +13,27 @@ gram for the others, A_k(c) their sum over b, c' the context without its first b
 three discounts D for each order and language from the counts of counts (Chen and
 Goodman, 1999), and g_k(c) what the discounts take from c. p_0 is uniform.
 
-The model scores the documents that it is counted on, so each gram has an entry. The
-entries of a language are two arrays, sorted by the grams' 64-bit hashes (a bijection,
-so none collide). They are broadcast if they are at most ``broadcast_grams``, which is
-checked; otherwise documents' distinct grams meet the entries in a join, which gives the
-same sums.
+How it is solved. Each level's counts follow from those of the level above. One pass
+over the counts of counts gives the discounts, one window by context what they take;
+then grams meet by their last two bytes, so that a group holds a gram and all its
+suffixes, and are solved with arrays, packed for each language.
+
+The model scores the documents that it is counted on, so each gram has an entry. (A
+document's own counts are not taken out: that changes the discounts and the counts of
+all lower orders, and what recurs over many documents looks as fluent as before.) An
+entry's logarithm is a whole number of 1/UNIT bits, so that sums are exact in any order.
+The entries of a language become two arrays in a task, sorted by the grams' 64-bit
+hashes (a bijection, so none collide). Packed, they are broadcast if they are at most
+``broadcast_grams``, which is checked, and removed when the documents are scored; else
+documents' distinct grams meet the entries in a join, which gives the same sums.
 
 A language's bands lie ``fence`` interquartile ranges outside the quartiles of its
 documents' bits per byte (documents that pass the base rules, on a grid of 1/1000 bit,
-so that quartiles come from a small histogram and no task sorts a language). A mean over
-few bytes varies more, so a document of n bytes gets ``noise`` / sqrt(n) on either side.
-A document outside is rejected. A language with fewer than ``least`` such documents has no bands.
+so that quartiles come from a small histogram and no task sorts a language). The
+quartiles of a language with n documents are shrunk towards those of all documents, at
+the weight n / (n + ``prior``): a language has bands however few documents it has. A
+mean over few bytes varies more, so a document of n bytes gets ``noise`` / sqrt(n) on
+either side. A document outside is rejected.
 
 Cases: null and empty texts have no words and fail the base rules; a null language is a
 language of its own; repeated rows count each time and get equal verdicts; columns
@@ -39,7 +49,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,14 +56,18 @@ from tracelake.llm import common
 
 ORDER = 5
 START, END = 255, 254
-#: Entries (16 bytes each with what sorting needs) that a broadcast may have.
-BROADCAST_GRAMS = 8_000_000
+#: Entries that a broadcast may have (at most 9 bytes each packed, about 5 as measured).
+BROADCAST_GRAMS = 4_000_000
+#: Parts of a bit in which logarithms are stored: below 64 bits, they fit 32-bit integers.
+UNIT = 1 << 24
+#: Rows that a task solves at once.
+SOLVED_ROWS = 200_000
 #: Bytes of text that arrays are made from at once; distinct grams that a task holds.
 CHUNK_BYTES = 1 << 22
 HELD_GRAMS = 2_000_000
 #: Languages up to which a table with one row for each is broadcast.
 FEW = 10_000
-FENCE, NOISE, LEAST, GRID = 2.5, 2.0, 50, 1000
+FENCE, NOISE, PRIOR, GRID = 2.5, 2.0, 50, 1000
 MIN_WORDS, REPEATED = 50, 0.5
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -164,37 +177,72 @@ def count_grams(df: DataFrame, text_col: str, lang_col: str, order: int) -> Data
     return source.mapInPandas(counted, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def probabilities(counts: DataFrame, order: int = ORDER, few: bool = False) -> DataFrame:
-    """(lang, gram, log2p) of every gram in ``counts`` (lang, gram, n).
+def _named(lang: str = "lang") -> list[Column]:
+    """A language as two columns without nulls, to join on."""
+    return [F.coalesce(lang, F.lit("")).alias("l"), F.col(lang).isNull().alias("none")]
+
+
+def levels(counts: DataFrame, order: int) -> DataFrame:
+    """(k, l, none, gram, a): the counts of all orders from those of the highest, ``counts`` (lang, gram, n)."""
+    table = counts.select(F.lit(order).alias("k"), *_named(), "gram", F.col("n").alias("a"))
+    whole = table
+    for k in range(order - 1, 0, -1):
+        lower = F.col("gram").bitwiseAND(F.lit((1 << 8 * k) - 1)).alias("gram")
+        table = common.stored(table.groupBy(F.lit(k).alias("k"), "l", "none", lower).agg(F.count("*").alias("a")), "level")
+        whole = whole.union(table)
+    return whole
+
+
+def entries(counts: DataFrame, order: int = ORDER, few: bool = False) -> DataFrame:
+    """(lang, n, grams, values): the model, n grams a row, packed; values are -log2 of the probability in 1/UNIT bits.
 
     ``few``: there are at most FEW languages, so a row for each may be broadcast.
     """
-    tables = [counts.select("lang", "gram", F.col("n").alias("a"))]
-    for k in range(order - 1, 0, -1):
-        lower = F.col("gram").bitwiseAND(F.lit((1 << 8 * k) - 1))
-        tables.append(tables[-1].groupBy("lang", lower.alias("gram")).agg(F.count("*").alias("a")))
-    p = None
-    for k, table in enumerate(reversed(tables), 1):
-        # counts of counts: a row for each language, and no gram leaves its task
-        of = table.groupBy("lang").agg(*[F.count_if(F.col("a") == i).cast("double").alias(f"n{i}") for i in (1, 2, 3, 4)])
-        y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
-        # the usual constants where a count of counts is missing
-        sound = (F.least("n1", "n2", "n3", "n4") > 0) & (F.greatest(*[F.try_divide(F.col(f"n{i + 1}"), F.col(f"n{i}")) * y * (i + 1) / i for i in (1, 2, 3)]) < 1)
-        discounts = [F.when(sound, i - (i + 1) * y * F.try_divide(F.col(f"n{i + 1}"), F.col(f"n{i}"))).otherwise(0.5 * i).alias(f"d{i}") for i in (1, 2, 3)]
-        of = of.select(F.coalesce("lang", F.lit("")).alias("l"), F.col("lang").isNull().alias("none"), *discounts)
-        rows = table.withColumns({"l": F.coalesce("lang", F.lit("")), "none": F.col("lang").isNull(), "c": F.shiftright("gram", 8)})
-        rows = rows.join(F.broadcast(of) if few else of, ["l", "none"])
-        own = F.when(F.col("a") == 1, F.col("d1")).when(F.col("a") == 2, F.col("d2")).otherwise(F.col("d3"))
-        context = Window.partitionBy("l", "none", "c")
-        rows = rows.withColumns({"own": own, "all": F.sum("a").over(context)})
-        rows = rows.withColumns({"direct": (F.col("a") - F.col("own")) / F.col("all"), "left": F.sum("own").over(context) / F.col("all")})
-        if p is None:
-            rows = rows.withColumn("p", F.col("direct") + F.col("left") / 256)
-        else:
-            rows = rows.withColumn("gram_", F.col("gram").bitwiseAND(F.lit((1 << 8 * (k - 1)) - 1))).join(p, ["l", "none", "gram_"])
-            rows = rows.withColumn("p", F.col("direct") + F.col("left") * F.col("q"))
-        p = rows.select("l", "none", F.col("gram").alias("gram_"), F.col("p").alias("q"))
-    return p.select(F.when(~F.col("none"), F.col("l")).alias("lang"), F.col("gram_").alias("gram"), F.log2("q").alias("log2p"))
+    small = F.broadcast if few else lambda x: x
+    table = levels(counts, order)
+    # counts of counts: a few rows for each language
+    of = table.groupBy("k", "l", "none").agg(*[F.count_if(F.col("a") == i).cast("double").alias(f"n{i}") for i in (1, 2, 3, 4)])
+    y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
+    # the usual constants where a count of counts is missing
+    sound = (F.least("n1", "n2", "n3", "n4") > 0) & (F.greatest(*[F.try_divide(F.col(f"n{i + 1}"), F.col(f"n{i}")) * y * (i + 1) / i for i in (1, 2, 3)]) < 1)
+    discounts = [F.when(sound, i - (i + 1) * y * F.try_divide(F.col(f"n{i + 1}"), F.col(f"n{i}"))).otherwise(0.5 * i).alias(f"d{i}") for i in (1, 2, 3)]
+    of = of.select("k", "l", "none", *discounts)
+    rows = table.withColumn("c", F.shiftright("gram", 8)).join(small(of), ["k", "l", "none"])
+    own = F.when(F.col("a") == 1, F.col("d1")).when(F.col("a") == 2, F.col("d2")).otherwise(F.col("d3"))
+    context = Window.partitionBy("k", "l", "none", "c")
+    rows = rows.withColumns({"own": own, "all": F.sum("a").over(context)})
+    rows = rows.select("k", "l", "none", "gram", ((F.col("a") - F.col("own")) / F.col("all")).alias("direct"), (F.sum("own").over(context) / F.col("all")).alias("left"))
+    # at most 256 rows for each language
+    bottom = rows.filter("k = 1").select("l", "none", F.col("gram").alias("last"), (F.col("direct") + F.col("left") / 256).alias("p"))
+    rows = rows.filter("k > 1").withColumn("last", F.col("gram").bitwiseAND(F.lit(255))).join(small(bottom), ["l", "none", "last"])
+    low = F.col("gram").bitwiseAND(F.lit(0xFFFF))
+    rows = rows.select("k", "l", "none", "gram", "direct", "left", "p", F.xxhash64("l", "none", low).alias("g"))
+
+    def solved(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in common.whole_groups(frames, "g", SOLVED_ROWS):
+            for (lang, none), own in frame.groupby(["l", "none"]):
+                above = None
+                for k, level in own.groupby("k"):
+                    gram = level["gram"].to_numpy()
+                    below = level["p"].to_numpy() if above is None else above[1][np.searchsorted(above[0], gram & ((1 << 8 * (int(k) - 1)) - 1))]
+                    p = level["direct"].to_numpy() + level["left"].to_numpy() * below
+                    at = np.argsort(gram)
+                    above = gram[at], p[at]
+                values = np.rint(-np.log2(above[1]) * UNIT).astype(np.int32)
+                yield pd.DataFrame({"lang": [None if none else lang], "n": [len(values)], "grams": [common.pack_keys(above[0])], "values": [common.pack(values)]})
+
+    return rows.repartition("g").sortWithinPartitions("g", "k").mapInPandas(solved, "lang string, n long, grams binary, values binary")
+
+
+def unpacked(model: DataFrame) -> DataFrame:
+    """(lang, gram, value) of every entry."""
+
+    def out(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for row in frame.itertuples():
+                yield pd.DataFrame({"gram": common.unpack_keys(row.grams), "value": common.unpack(row.values, "i4").astype(np.int64)}).assign(lang=row.lang)[["lang", "gram", "value"]]
+
+    return model.select("lang", "grams", "values").mapInPandas(out, "lang string, gram long, value long")
 
 
 def mix(keys: np.ndarray) -> np.ndarray:
@@ -205,18 +253,11 @@ def mix(keys: np.ndarray) -> np.ndarray:
     return z ^ (z >> np.uint64(31))
 
 
-def hash_arrays(entries: pa.Table) -> dict:
-    """language -> (sorted hashes, log2 probabilities)."""
-    of = entries.column("lang").combine_chunks().dictionary_encode()
-    codes = of.indices.fill_null(-1).to_numpy(zero_copy_only=False)
-    gram, log2p = entries.column("gram").to_numpy(), entries.column("log2p").to_numpy()
-    out = {}
-    for code in np.unique(codes):
-        at = codes == code
-        hashes = mix(gram[at])
-        order = np.argsort(hashes)
-        out[None if code < 0 else of.dictionary[int(code)].as_py()] = hashes[order], log2p[at][order]
-    return out
+def hash_arrays(packed: list[tuple[bytes, bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes and values of a language's entries."""
+    hashes = mix(np.concatenate([common.unpack_keys(g) for g, _ in packed]))
+    order = np.argsort(hashes)
+    return hashes[order], np.concatenate([common.unpack(v, "i4") for _, v in packed])[order]
 
 
 def judge(
@@ -226,7 +267,7 @@ def judge(
     order: int = ORDER,
     fence: float = FENCE,
     noise: float = NOISE,
-    least: int = LEAST,
+    prior: float = PRIOR,
     broadcast_grams: int = BROADCAST_GRAMS,
     carry: tuple[str, ...] = ("*",),
     out: str = "quality",
@@ -240,32 +281,43 @@ def judge(
     spark = df.sparkSession
     counts = common.stored(count_grams(df, text_col, lang_col, order), "grams")
     few = counts.select("lang").distinct().limit(FEW + 1).count() <= FEW
-    entries = common.stored(probabilities(counts, order, few), "model")
-    inner = f"struct<{', '.join(f'{x}: bigint' for x in BASE)}, base_failed: boolean, n_bytes: bigint, bits: double>"
+    model = common.stored(entries(counts, order, few), "model")
+    inner = f"struct<{', '.join(f'{x}: bigint' for x in BASE)}, base_failed: boolean, n_bytes: bigint, units: bigint>"
     row = df.select(F.struct(*carry).alias("row"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
 
     def described(texts: pd.Series) -> pd.DataFrame:
         got = pd.DataFrame([base_features(x) for x in texts], columns=list(BASE)).astype("int64")
         return got.assign(base_failed=(got["n_words"] < MIN_WORDS) | (100 * got["n_repeat_words"] > 100 * REPEATED * got["n_words"]))
 
-    if entries.count() <= broadcast_grams:
-        model = spark.sparkContext.broadcast(hash_arrays(entries.toArrow()))
+    held = None
+    if (model.agg(F.sum("n")).first()[0] or 0) <= broadcast_grams:
+        packed: dict[str | None, list[tuple[bytes, bytes]]] = {}
+        for lang, grams_, values in model.select("lang", "grams", "values").toLocalIterator():
+            packed.setdefault(lang, []).append((bytes(grams_), bytes(values)))
+        held = spark.sparkContext.broadcast(packed)
+        del packed
+        shared = held
 
         @F.pandas_udf(inner)
-        def measured(langs: pd.Series, texts: pd.Series) -> pd.DataFrame:
-            got = described(texts)
-            bits, size = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
-            numbers = pd.Series(np.arange(len(texts)))
-            for lang, at in numbers.groupby(langs.reset_index(drop=True), dropna=False):
-                hashes, log2p = model.value[None if pd.isna(lang) else lang]
-                at = at.to_numpy()
-                bodies = [stream(texts.iloc[i]) for i in at]
-                size[at] = [len(x) + 1 for x in bodies]
-                for keys, owner in grams(bodies, order):
-                    codes, u = pd.factorize(keys)
-                    values = log2p[np.searchsorted(hashes, mix(u))]
-                    bits[at] -= np.bincount(owner, values[codes], len(bodies))
-            return got.assign(n_bytes=size, bits=bits)
+        def measured(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+            arrays: dict[str | None, tuple[np.ndarray, np.ndarray]] = {}
+            for langs, texts in batches:
+                got = described(texts)
+                units, size = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
+                numbers = pd.Series(np.arange(len(texts)))
+                for lang, at in numbers.groupby(langs.reset_index(drop=True), dropna=False):
+                    lang = None if pd.isna(lang) else lang
+                    if lang not in arrays:
+                        arrays[lang] = hash_arrays(shared.value[lang])
+                    hashes, value = arrays[lang]
+                    at = at.to_numpy()
+                    bodies = [stream(texts.iloc[i]) for i in at]
+                    size[at] = [len(x) + 1 for x in bodies]
+                    for keys, owner in grams(bodies, order):
+                        codes, u = pd.factorize(keys)
+                        # whole numbers below 2**53: the sums are exact
+                        units[at] += np.bincount(owner, value[np.searchsorted(hashes, mix(u))][codes], len(bodies)).astype(np.int64)
+                yield got.assign(n_bytes=size, units=units)
 
         scored = row.select("row", "lang", measured("lang", "text").alias("m"))
     else:
@@ -288,16 +340,18 @@ def judge(
         # equal texts of a language share a score, so a row needs no number of its own
         keyed = row.select("row", "lang", F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha"), plain("text").alias("m"), "text")
         pairs = keyed.groupBy("lang", "sha").agg(F.first("text").alias("text")).select("lang", "sha", F.inline(distinct("text")))
-        l, r = pairs.alias("l"), entries.alias("r")
+        l, r = pairs.alias("l"), unpacked(model).alias("r")
         met = l.join(r, F.col("l.lang").eqNullSafe(F.col("r.lang")) & (F.col("l.gram") == F.col("r.gram")))
-        sums = met.groupBy("l.lang", "l.sha").agg((-F.sum(F.col("l.n") * F.col("r.log2p"))).alias("bits")).alias("s")
+        sums = met.groupBy("l.lang", "l.sha").agg(F.sum(F.col("l.n") * F.col("r.value")).alias("units")).alias("s")
         scored = keyed.alias("k").join(sums, F.col("k.lang").eqNullSafe(F.col("s.lang")) & (F.col("k.sha") == F.col("s.sha")))
-        scored = scored.select("k.row", "k.lang", F.struct("k.m.*", "s.bits").alias("m"))
-    scored = common.stored(scored.withColumn("rate", F.col("m.bits") / F.col("m.n_bytes")), "scored")
-    bands_ = bands(scored.filter("not m.base_failed").select("lang", "rate"), fence, least)
-    bands_ = bands_.select(F.coalesce("lang", F.lit("")).alias("l"), F.col("lang").isNull().alias("none"), "lower", "upper")
+        scored = scored.select("k.row", "k.lang", F.struct("k.m.*", "s.units").alias("m"))
+    scored = common.stored(scored.withColumn("rate", F.col("m.units") / UNIT / F.col("m.n_bytes")), "scored")
+    if held is not None:
+        held.destroy()
+    bands_ = bands(scored.filter("not m.base_failed").select("lang", "rate"), fence, prior)
+    bands_ = bands_.select(*_named(), "lower", "upper")
     margin = noise / F.sqrt("m.n_bytes")
-    judged = scored.withColumns({"l": F.coalesce("lang", F.lit("")), "none": F.col("lang").isNull()})
+    judged = scored.select("*", *_named())
     judged = judged.join(F.broadcast(bands_) if few else bands_, ["l", "none"], "left")
     judged = judged.withColumns({"lower": F.col("lower") - margin, "upper": F.col("upper") + margin})
     inside = F.col("rate").between(F.coalesce("lower", F.lit(-math.inf)), F.coalesce("upper", F.lit(math.inf)))
@@ -305,18 +359,23 @@ def judge(
     return judged.select("row.*", quality.alias(out))
 
 
-def bands(rates: DataFrame, fence: float = FENCE, least: int = LEAST, grid: int = GRID) -> DataFrame:
-    """(lang, lower, upper) in bits per byte from (lang, rate); quartiles on a grid."""
-    counted = rates.groupBy("lang", F.floor(F.col("rate") * grid).alias("cell")).agg(F.count("*").alias("n"))
-    order = Window.partitionBy("lang").orderBy("cell")  # a rate is below 64 bits: at most 64 * grid cells
-    run = counted.withColumns({"upto": F.sum("n").over(order), "total": F.sum("n").over(Window.partitionBy("lang"))})
+def bands(rates: DataFrame, fence: float = FENCE, prior: float = PRIOR, grid: int = GRID) -> DataFrame:
+    """(lang, lower, upper) in bits per byte from (lang, rate); quartiles on a grid, shrunk towards those of all rows."""
+    cells = rates.groupBy("lang", F.floor(F.col("rate") * grid).alias("cell")).agg(F.count("*").alias("n"))
+    both = F.explode(F.array(F.lit(False), F.lit(True))).alias("every")
+    counted = cells.select(both, "lang", "cell", "n").groupBy("every", F.when(~F.col("every"), F.col("lang")).alias("lang"), "cell").agg(F.sum("n").alias("n"))
+    order = Window.partitionBy("every", "lang").orderBy("cell")  # a rate is below 64 bits: at most 64 * grid cells
+    run = counted.withColumns({"upto": F.sum("n").over(order), "total": F.sum("n").over(Window.partitionBy("every", "lang"))})
 
     def quartile(q: float) -> Column:
         return F.min(F.when(F.col("upto") >= F.ceil(F.col("total") * q), F.col("cell"))) / grid
 
-    found = run.groupBy("lang").agg(F.max("total").alias("total"), quartile(0.25).alias("low"), quartile(0.75).alias("high")).filter(F.col("total") >= least)
-    spread = fence * F.greatest(F.col("high") - F.col("low"), F.lit(1 / grid))
-    return found.select("lang", (F.col("low") - spread).alias("lower"), (F.col("high") + spread).alias("upper"))
+    found = run.groupBy("every", "lang").agg(F.max("total").alias("n"), quartile(0.25).alias("low"), quartile(0.75).alias("high"))
+    whole = found.filter("every").select(F.col("low").alias("low_"), F.col("high").alias("high_"))  # one row
+    own = F.col("n") / (F.col("n") + prior)
+    low, high = (own * F.col(x) + (1 - own) * F.col(f"{x}_") for x in ("low", "high"))
+    spread = fence * F.greatest(high - low, F.lit(1 / grid))
+    return found.filter("not every").crossJoin(F.broadcast(whole)).select("lang", (low - spread).alias("lower"), (high + spread).alias("upper"))
 
 
 def filtered(df: DataFrame, text_col: str = "text", lang_col: str = "lang", **options) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 def spark():
     conf = {
         "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.sql.session.timeZone": "UTC", "spark.driver.memory": "4g", "spark.ui.showConsoleProgress": "false",
-        "spark.local.dir": tempfile.mkdtemp(prefix="spark-"), "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="spark-"),
+        "spark.local.dir": tempfile.mkdtemp(prefix="spark-"), "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="spark-"), "spark.checkpoint.dir": "file://" + tempfile.mkdtemp(prefix="spark-"),
     }
     s = SparkSession.builder.master("local[4]").config(map=conf).getOrCreate()
     s.sparkContext.setLogLevel("ERROR")

@@ -55,12 +55,12 @@ TOP = 3
 END = 255
 #: Bytes of text in a block, and in the arrays that are made at once.
 BLOCK_BYTES = 12 << 20
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
 #: Bytes of text whose grams and words a cell has, and parts at most; beyond, there are more salts.
 CELL_BYTES = 8 << 20
 MAX_PARTS = 4096
 #: Grams of chunks that a block holds before it sums them; rows that a group's task solves at once.
-HELD_GRAMS = 1_000_000
+HELD_GRAMS = 500_000
 SOLVED_ROWS = 200_000
 
 _RAW = pa.schema([("block", pa.int64()), ("salt", pa.int32()), ("part", pa.int32()), ("grams", pa.binary()), ("counts", pa.binary()), ("words", pa.binary()), ("texts", pa.binary())])

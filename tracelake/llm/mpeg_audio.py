@@ -1,9 +1,13 @@
 """MPEG audio as a media column: frame index, tags, rate tables, checksums, seeking.
 
 ``parse`` reads any layer of MPEG-1, 2 and 2.5 streams: it skips ID3v2 and ID3v1
-tags (and reads the former's text frames), resynchronises on frame headers, reads
-Xing/Info and VBRI tables, verifies the CRC-16 of protected frames, and keeps exact
-durations (a count of samples over a rate) and the byte offset of every frame.
+tags (and reads their texts), resynchronises on frame headers, reads Xing/Info and VBRI
+tables, verifies the CRC-16 of protected frames of all layers, and keeps exact durations
+(a count of samples over a rate) and the byte offset of every frame.
+
+A header is four bytes that junk can hold too. After bytes that were skipped, one counts
+only if a header of its stream, the end or a rate table confirms it. One that follows a
+frame counts as well if its checksum holds or no confirmed header begins inside its frame.
 
 ``wrap`` stores bytes losslessly in a stream: 576 bytes, one unit of the format, to
 each frame of 576 samples (MPEG-2 Layer III, mono, 16 kHz), behind a tag and a
@@ -98,13 +102,59 @@ _CRC = _crc_table()
 
 
 @functools.lru_cache(maxsize=65536)
-def crc16(data: bytes) -> int:
-    crc = 0xFFFF
-    for byte in data:
+def crc16(data: bytes, bits: int | None = None) -> int:
+    """CRC-16 of the first ``bits`` bits (all by default)."""
+    crc, n = 0xFFFF, len(data) * 8 if bits is None else bits
+    for byte in data[: n // 8]:
         crc = (crc << 8 & 0xFFFF) ^ _CRC[crc >> 8 ^ byte]
+    for i in range(n % 8):
+        bit = data[n // 8] >> (7 - i) & 1
+        crc = (crc << 1 & 0xFFFF) ^ (0x8005 if (crc >> 15) ^ bit else 0)
     return crc
 
 
+# Fixed values of the format: bits of a subband's allocation in Layer II, by table, as (bits, subbands).
+_ALLOCATION = {"wide": ((4, 11), (3, 12), (2, 7)), "narrow": ((4, 2), (3, 10)), "low": ((4, 4), (3, 7), (2, 19))}
+
+
+def _layer2_bits(h: Header) -> list[int]:
+    if h.version != "1":
+        table, bands = "low", 30
+    elif h.kbps // h.channels < 56:
+        table, bands = "narrow", 12 if h.hertz == 32000 else 8
+    else:
+        table, bands = "wide", 30 if h.kbps // h.channels >= 96 and h.hertz != 48000 else 27
+    return [bits for bits, n in _ALLOCATION[table] for _ in range(n)][:bands]
+
+
+def checked_bits(data: bytes, at: int, h: Header) -> int:
+    """How many bits after the checksum it covers, besides half the header: side information, or allocation and selection."""
+    if h.layer == 3:
+        return 8 * h.side
+    joint = data[at + 3] >> 6 == 1
+    bound = 4 + 4 * (data[at + 3] >> 4 & 3) if joint else 32
+    if h.layer == 1:
+        bound = min(bound, 32)
+        return 4 * (bound * h.channels + 32 - bound)
+    sizes = _layer2_bits(h)
+    value, p, selected = int.from_bytes(data[at + 6 : at + 6 + 80], "big"), 0, 0
+    width = 8 * len(data[at + 6 : at + 6 + 80])
+    for band, bits in enumerate(sizes):
+        for _ in range(h.channels if band < bound else 1):
+            if p + bits > width:
+                return width
+            used = value >> (width - p - bits) & ((1 << bits) - 1)
+            selected += bool(used) * (1 if band < bound else h.channels)
+            p += bits
+    return min(p + 2 * selected, width)
+
+
+def checksum_holds(data: bytes, at: int, h: Header) -> bool:
+    """Whether a protected frame's CRC-16 is right."""
+    n = checked_bits(data, at, h)
+    return crc16(data[at + 2 : at + 4] + data[at + 6 : at + 6 + (n + 7) // 8], 16 + n) == data[at + 4] << 8 | data[at + 5]
+
+
 def _syncsafe(b: bytes) -> int:
     return b[0] << 21 | b[1] << 14 | b[2] << 7 | b[3]
 
@@ -129,6 +179,16 @@ def id3v2(data: bytes) -> tuple[int, dict[str, str]]:
     return min(size, len(data)), texts
 
 
+# Fixed places of ID3v1: name, begin and end in the tag's 128 bytes.
+_ID3V1 = (("TIT2", 3, 33), ("TPE1", 33, 63), ("TALB", 63, 93), ("TYER", 93, 97), ("COMM", 97, 127))
+
+
+def id3v1(tag: bytes) -> dict[str, str]:
+    """The texts of the tag's fields that aren't empty, by the names that ID3v2 has for them."""
+    fields = {name: tag[a:b].split(b"\0")[0].decode("latin-1").rstrip() for name, a, b in _ID3V1}
+    return {k: v for k, v in fields.items() if v}
+
+
 @dataclass
 class Track:
     """What ``parse`` finds. ``offsets`` are those of audio frames, the rate table's own frame not counted."""
@@ -188,32 +248,54 @@ def parse(data: bytes | None) -> Track:
     """Index a stream's frames."""
     data = data or b""
     at, tags = id3v2(data)
+    end = len(data)
+    if len(data) >= 128 + at and data[-128:-125] == b"TAG":
+        end -= 128
+        tags = id3v1(data[end:]) | tags
     track = Track(tags=tags)
-    end = len(data) - 128 if len(data) >= 128 + at and data[-128:-125] == b"TAG" else len(data)
-    stream, first = None, True
+    stream, first, near = None, True, False
+
+    def head(p: int) -> Header | None:
+        h = header(data[p : p + 4])
+        return h if h is not None and p + h.length <= end and (stream is None or h.stream == stream) else None
+
+    def confirmed(p: int, h: Header) -> bool:
+        nxt = header(data[p + h.length : p + h.length + 4])
+        return p + h.length == end or nxt is not None and nxt.stream == h.stream
+
+    def real(p: int, h: Header) -> bool:
+        if confirmed(p, h) or h.layer == 3 and stream is None and _table(data, p, h, Track()):
+            return True
+        if not near:
+            return False
+        if h.protected and checksum_holds(data, p, h):
+            return True
+        q = data.find(b"\xff", p + 4, p + h.length)
+        while q >= 0:
+            inner = head(q)
+            if inner is not None and confirmed(q, inner):
+                return False
+            q = data.find(b"\xff", q + 1, p + h.length)
+        return True
+
     while at + 4 <= end:
-        h = header(data[at : at + 4])
-        fits = h is not None and at + h.length <= end and (stream is None or h.stream == stream)
-        if fits and (stream is None or track.skipped and not track.offsets):
-            # the first header counts only if it has a rate table, or a frame of the same stream or the end follows it
-            nxt = header(data[at + h.length : at + h.length + 4])
-            fits = at + h.length == end or nxt is not None and nxt.stream == h.stream or h.layer == 3 and _table(data, at, h, Track())
-        if not fits:
+        h = head(at)
+        if h is None or not real(at, h):
             found = data.find(b"\xff", at + 1, end)
             step = (end if found < 0 else found) - at
             track.skipped += step
             at += step
+            near = False
             continue
-        stream = h.stream
+        stream, near = h.stream, True
         track.hertz = h.hertz
         if first and h.layer == 3 and _table(data, at, h, track):
             first = False
             at += h.length
             continue
         first = False
-        if h.protected and h.layer == 3:
-            covered = data[at + 2 : at + 4] + data[at + 6 : at + 6 + h.side]
-            good = crc16(covered) == data[at + 4] << 8 | data[at + 5]
+        if h.protected:
+            good = checksum_holds(data, at, h)
             track.crc_ok += good
             track.crc_bad += not good
         track.offsets.append(at)

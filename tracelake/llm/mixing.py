@@ -14,8 +14,9 @@ A leaf with budget b and t tokens gives whole epochs while b >= t, then a prefix
 more epoch. An epoch is the leaf's documents in the order of SHA-256(seed:epoch:id),
 and the prefix takes documents until their tokens reach the rest (the last document
 may go past it by less than its own length). The prefix is found without ordering a
-leaf: tokens are summed by the first hexadecimal digits of the hash, sums of sums
-give the one cell in which the prefix ends, and only that cell's rows are ordered.
+leaf: tokens are summed by the first DIGITS hexadecimal digits of the hash, sums of at
+most 256 sums give the one cell in which the prefix ends, its rows are summed by the next
+digits, and so on; only the rows of the last cell, a leaf's share of 1/256**STEPS, are ordered.
 
 Weights are integers by node; a node that isn't listed weighs 1. A node's siblings are
 counted among aggregated rows (one for each leaf), never among documents.
@@ -41,14 +42,20 @@ EPOCHS, SEED = 3, 20240101
 WEIGHTS: Mapping[str, int] = {"reference": 3, "web": 5, "reference/en": 4, "reference/de": 2, "reference/fr": 2, "reference/es": 2, "web/en": 6, "web/de": 2, "web/fr": 2, "web/es": 1}
 #: The budget as a share of the corpus's tokens, in percent.
 PERCENT = 100
-#: Hexadecimal digits of the hash that make a cell.
-CELL = 3
+#: Hexadecimal digits of the hash that make a cell, and how often cells are cut into cells.
+DIGITS, STEPS = 2, 2
+#: The domains of sources by pattern; other sources are of the last domain.
+DOMAINS: Mapping[str, str] = {"^src[0-4]$": "reference"}
+OTHER = "web"
 _NONE = "(none)"
 
 
-def domain_of(source: Column) -> Column:
-    """The domain that production sources belong to: ``src0`` to ``src4`` are reference works, the rest is from the web."""
-    return F.when(source.rlike("^src[0-4]$"), "reference").otherwise("web")
+def domain_of(source: Column, domains: Mapping[str, str] = DOMAINS, other: str = OTHER) -> Column:
+    """The domain of the first pattern that a source matches; ``other`` for the rest and for null."""
+    found = F.lit(other)
+    for pattern, domain in reversed(domains.items()):
+        found = F.when(source.rlike(pattern), domain).otherwise(found)
+    return found
 
 
 def n_words(text: Column) -> Column:
@@ -67,13 +74,12 @@ def _poured(nodes: DataFrame, parent: list[str], order: str) -> DataFrame:
     """
     ratio = F.col("holds") / F.col("weight")
     by = Window.partitionBy(*parent).orderBy(ratio, order)
-    rest = by.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    before = by.rowsBetween(Window.unboundedPreceding, -1)
-    seen = nodes.withColumns({"_w": F.sum("weight").over(rest), "_b": F.coalesce(F.sum("holds").over(before), F.lit(0).cast("bigint"))})
+    before, whole = by.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy(*parent)
+    earlier = lambda c: F.coalesce(F.sum(c).over(before), F.lit(0).cast("bigint"))
+    seen = nodes.withColumns({"_w": F.sum("weight").over(whole) - earlier("weight"), "_b": earlier("holds")})
     # full while the rest at this child's ratio is at most what is left
     full = F.col("holds").cast("decimal(38,0)") * F.col("_w") <= (F.col("given") - F.col("_b")).cast("decimal(38,0)") * F.col("weight")
     seen = seen.withColumn("_full", full)
-    whole = Window.partitionBy(*parent)
     seen = seen.withColumns({"_filled": F.sum(F.when(F.col("_full"), F.col("holds")).otherwise(0)).over(whole), "_open": F.sum(F.when(~F.col("_full"), F.col("weight")).otherwise(0)).over(whole)})
     share = F.expr("cast((cast(given - _filled as decimal(38,0)) * weight) div nullif(_open, 0) as bigint)")
     return seen.withColumn("budget", F.when(F.col("_full"), F.col("holds")).otherwise(F.least("holds", share))).drop("_w", "_b", "_full", "_filled", "_open", "given")
@@ -118,18 +124,20 @@ def mix(
     leaves = leaves.withColumns({"whole": F.expr("if(tokens = 0, 0L, budget div tokens)"), "rest": F.expr("if(tokens = 0, 0L, budget % tokens)")})
     leaves = common.stored(leaves, "budgets")
     last = F.sha2(F.concat_ws(":", F.lit(str(seed)), F.col("whole").cast("string"), "id"), 256)
-    plan = slim.join(leaves, keys).filter("rest > 0").withColumn("cell", F.substring(last, 1, CELL))
-    # at most 16**CELL rows for a leaf, whatever its documents
-    cells = plan.groupBy(*keys, "cell").agg(F.sum("n_tokens").alias("n"), F.first("rest").alias("rest"))
-    upto = F.sum("n").over(Window.partitionBy(*keys).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1))
-    ends = cells.withColumn("before", F.coalesce(upto, F.lit(0).cast("bigint"))).filter("before < rest and before + n >= rest").select(*keys, F.col("cell").alias("end"), "before")
-    # stored, these small tables have a known size: Spark broadcasts them, or splits a hot leaf in the join
-    leaves = common.stored(leaves.join(ends, keys, "left"), "ends")
-    near = slim.join(leaves, keys).withColumn("key", last).filter(F.substring("key", 1, CELL) == F.col("end"))
+    leaves = leaves.withColumns({"prefix": F.lit(""), "before": F.lit(0).cast("bigint")})
+    for _ in range(STEPS):
+        # stored, these small tables have a known size: Spark broadcasts them, or splits a hot leaf in the join
+        plan = slim.join(leaves.filter("rest > 0").select(*keys, "whole", "rest", "prefix", "before"), keys).withColumn("key", last).filter(F.col("key").startswith(F.col("prefix")))
+        cells = plan.groupBy(*keys, F.substring("key", 1, F.length("prefix") + DIGITS).alias("cell")).agg(F.sum("n_tokens").alias("n"), F.first("rest").alias("rest"), F.first("before").alias("before"))
+        upto = F.sum("n").over(Window.partitionBy(*keys).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1))
+        cells = cells.withColumn("before", F.col("before") + F.coalesce(upto, F.lit(0).cast("bigint")))
+        ends = cells.filter("before < rest and before + n >= rest").select(*keys, F.col("cell").alias("prefix"), "before")
+        leaves = common.stored(leaves.drop("prefix", "before").join(ends, keys, "left"), "ends")
+    near = slim.join(leaves.filter("prefix is not null"), keys).withColumn("key", last).filter(F.col("key").startswith(F.col("prefix")))
     order = Window.partitionBy(*keys).orderBy("key").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     # the last hash that is taken: the first at which the tokens reach the rest
     stop = near.withColumn("upto", F.col("before") + F.sum("n_tokens").over(order)).filter("upto >= rest").groupBy(*keys).agg(F.min("key").alias("stop"))
-    leaves = common.stored(leaves.drop("tokens", "budget", "end", "before").join(stop, keys, "left"), "stops")
+    leaves = common.stored(leaves.select(*keys, "whole").join(stop, keys, "left"), "stops")
     taken = docs.join(leaves, keys).withColumn("times", F.col("whole") + F.when(last <= F.col("stop"), 1).otherwise(0)).filter("times > 0")
     epoch = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("times"))).alias("epoch")
     return taken.select("row", *keys, "n_tokens", epoch)

@@ -62,6 +62,75 @@ def test_audio_round_trip_and_damage():
     assert tagged.skipped == 0 and len(tagged.offsets) == 1
 
 
+def test_audio_junk_that_looks_like_a_header():
+    payload = bytes(range(256)) * 9 * 7
+    payload = payload[: 576 * 7]
+    media = mpeg_audio.wrap(payload)
+    track = mpeg_audio.parse(media)
+    rng = random.Random(14)
+    for k in range(1, 7):
+        for before in (0, 1, 60):
+            junk = bytes(rng.randrange(255) for _ in range(before)) + bytes.fromhex("fff2d8c4") + bytes(rng.randrange(255) for _ in range(60))
+            broken = media[: track.offsets[k]] + junk + media[track.offsets[k] :]
+            again = mpeg_audio.parse(broken)
+            assert mpeg_audio.unwrap(broken, again) == (payload, 0) and again.skipped == len(junk) and again.crc_bad == 0
+
+
+def audio_frame(version, layer, index, hertz, mode, extension, rng, bad=False):
+    """A protected frame with random contents; its checksum is made bit by bit."""
+    second = 0xE0 | {"2.5": 0, "2": 2, "1": 3}[version] << 3 | (4 - layer) << 1
+    head = bytes((0xFF, second, index << 4 | hertz << 2, mode << 6 | extension << 4))
+    h = mpeg_audio.header(head)
+    body = bytes(rng.randrange(255) for _ in range(h.length - 6))
+    bits = "".join(f"{x:08b}" for x in body)
+    if layer == 3:
+        n = 8 * h.side
+    else:
+        bound = 4 + 4 * extension if mode == 1 else 32
+        if layer == 1:
+            sizes = [4] * 32
+        elif version != "1":
+            sizes = [4] * 4 + [3] * 7 + [2] * 19
+        elif h.kbps / h.channels < 56:
+            sizes = ([4] * 2 + [3] * 10)[: 12 if h.hertz == 32000 else 8]
+        else:
+            sizes = ([4] * 11 + [3] * 12 + [2] * 7)[: 30 if h.kbps / h.channels >= 96 and h.hertz != 48000 else 27]
+        n = selected = 0
+        for band, size in enumerate(sizes):
+            for _ in range(h.channels if band < bound else 1):
+                selected += (int(bits[n : n + size], 2) > 0) * (1 if band < bound else h.channels) * (layer == 2)
+                n += size
+        n += 2 * selected
+    crc = 0xFFFF
+    for bit in f"{head[2]:08b}{head[3]:08b}" + bits[:n]:
+        crc = (crc << 1 & 0xFFFF) ^ (0x8005 if (crc >> 15) ^ int(bit) else 0)
+    return head + ((crc ^ bad) & 0xFFFF).to_bytes(2, "big") + body
+
+
+def test_audio_of_every_layer():
+    rng = random.Random(15)
+    for version, layer, index, hertz, mode, extension in (
+        ("1", 1, 5, 0, 0, 0), ("1", 1, 5, 0, 3, 0), ("1", 1, 9, 2, 1, 2), ("1", 2, 10, 0, 0, 0), ("1", 2, 4, 1, 0, 0), ("1", 2, 3, 2, 3, 0), ("1", 2, 8, 1, 1, 1),
+        ("2", 2, 8, 2, 0, 0), ("2", 1, 6, 1, 1, 3), ("1", 3, 9, 0, 1, 0), ("2", 3, 6, 0, 0, 0), ("2.5", 3, 5, 2, 3, 0), ("2.5", 2, 7, 0, 3, 0),
+    ):
+        frames = [audio_frame(version, layer, index, hertz, mode, extension, rng, bad=i == 3) for i in range(6)]
+        tag = b"TAG" + b"song".ljust(30, b"\0") + b"who".ljust(30) + bytes(65)
+        track = mpeg_audio.parse(b"".join(frames) + tag)
+        assert (len(track.offsets), track.crc_ok, track.crc_bad, track.skipped) == (6, 5, 1, 0), (version, layer, mode)
+        assert track.tags == {"TIT2": "song", "TPE1": "who"} and track.samples == 6 * track.headers[0].samples
+
+
+def test_audio_vbri_table():
+    rng = random.Random(16)
+    frames = [audio_frame("1", 3, 9, 0, 0, 0, rng) for _ in range(4)]
+    entries = b"".join(len(f).to_bytes(2, "big") for f in frames)
+    table = b"VBRI" + bytes(6) + sum(map(len, frames)).to_bytes(4, "big") + (4).to_bytes(4, "big") + b"\0\4\0\1\0\2\0\1" + entries
+    first = bytearray(frames[0])
+    first[6:] = bytes(30) + table + bytes(len(frames[0]) - 36 - len(table))
+    track = mpeg_audio.parse(bytes(first) + b"".join(frames))
+    assert (track.table, track.table_frames, track.toc, len(track.offsets)) == ("VBRI", 4, entries, 4)
+
+
 def test_audio_headers():
     h = mpeg_audio.header(bytes.fromhex("fffb9064"))
     assert (h.version, h.layer, h.kbps, h.hertz, h.channels, h.samples, h.length) == ("1", 3, 128, 44100, 2, 1152, 417)
@@ -289,12 +358,13 @@ def plain_fingerprint(text):
 
 def test_covering_masks_miss_nothing():
     rng = random.Random(4)
-    masks = [m & (2**64 - 1) for m in simhash.masks(4)]
-    for _ in range(3000):
-        flips = 0
-        for b in rng.sample(range(64), rng.randint(0, 4)):
-            flips |= 1 << b
-        assert any(not flips & m for m in masks)
+    for family in range(4):
+        masks = [m & (2**64 - 1) for m in simhash.masks(4, family=family)]
+        for _ in range(2000):
+            flips = 0
+            for b in rng.sample(range(64), rng.randint(0, 4)):
+                flips |= 1 << b
+            assert any(not flips & m for m in masks)
 
 
 def test_near_duplicates_equal_all_pairs(spark):
@@ -328,10 +398,43 @@ def test_near_duplicates_equal_all_pairs(spark):
     kept = simhash.representatives(documents(spark, texts))
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted({root(i) for i in range(len(texts))}) and kept.columns == SCHEMA.replace(" long", "").replace(" string", "").split(", ")
     bare = documents(spark, texts).unionByName(spark.createDataFrame([(None, "one", "en", "s", 3), (None, "quite another thing here", "en", "s", 3)] * 2, SCHEMA))
+    # "one" has ids elsewhere; the other text stays once
     assert simhash.representatives(bare).filter("doc_id is null").count() == 1
+    assert simhash.representatives(bare, few=0).count() == simhash.representatives(bare).count()
+    # rows that share an id and differ in text are documents of their own; repeated rows are one; any type of id will do
+    words = [" ".join(rng.choice(vocabulary) for _ in range(40)) for _ in range(3)]
+    shared = spark.createDataFrame([("b", words[0], 1), ("b", words[1], 2), ("a", words[2], 3), ("a", words[2], 3), ("c", words[2] + " end", 4)], "doc_id string, text string, _id long")
+    assert sorted(map(tuple, simhash.representatives(shared).collect())) == sorted([("b", words[0], 1), ("b", words[1], 2), ("a", words[2], 3)])
     assert simhash.near_duplicates(documents(spark, texts).limit(0)).count() == 0
 
 
+def test_large_buckets_are_dealt_anew(spark, monkeypatch):
+    rng = random.Random(13)
+    # fingerprints that agree under many masks without being near, and some that are
+    base = [rng.getrandbits(64) for _ in range(6)]
+    points = {b ^ sum(1 << i for i in rng.sample(range(64), rng.randint(0, 12))) for b in base for _ in range(40)}
+    points |= {0, 1, 3, 7, 15, 31, 2**63, 2**64 - 1}
+    signed = [p - (1 << 64) if p >> 63 else p for p in points]
+    table = spark.createDataFrame([(p,) for p in signed], "fp long")
+    parent = {p: p for p in signed}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for a in signed:
+        for b in signed:
+            if a < b and ((a ^ b) & (2**64 - 1)).bit_count() <= 4:
+                x, y = sorted((root(a), root(b)))
+                parent[y] = x
+    want = {p: root(p) for p in signed}
+    for large in (256, 2):
+        monkeypatch.setattr(simhash, "LARGE", large)
+        got = {r["fp"]: r["component"] for r in simhash.link(table, 4).collect()}
+        assert all(got.get(p, p) == want[p] for p in signed) and set(got) <= set(signed)
+
+
 def test_components(spark):
     rng = random.Random(6)
     edges = [(rng.randrange(60), rng.randrange(60)) for _ in range(45)] + [(100 + i, 101 + i) for i in range(30)] + [(None, 3)]

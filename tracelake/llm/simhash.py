@@ -7,31 +7,41 @@ table whose mask keeps the positions with an odd inner product with v. Any r pos
 give r linear conditions on r+1 bits, so some v is orthogonal to all of them: two
 fingerprints within the radius agree under that table's mask. Nothing is missed.
 
-Links are found between distinct fingerprints, in two steps, so that no bucket emits
-all its pairs. First every fingerprint is compared with its bucket's least one, and
-with its neighbours in the bucket's order, and the links give first components. Then only buckets
-that hold several components are compared further: members outside the bucket's least
-component against members of other components.
+Links are found between distinct fingerprints, in steps that never emit all pairs of a
+bucket. First every fingerprint is compared with its bucket's least one and with its
+neighbour in the bucket's order, and the links give first components. Only buckets that
+hold several components are compared further: members outside the bucket's least
+component against members of other components. A bucket of more than LARGE members is
+first dealt anew by the masks of another covering family, which again miss nothing. A
+mask fixes about half of the bits, so after REFINED more families a bucket's members
+differ in a few bits only and are few, whatever the data.
 
 Cases: null and empty texts have fingerprint zero and link like any other; texts with
 fewer words than a shingle are one shingle; equal texts and repeated rows share a
-component; rows with a null id are kept and take the component of an equal fingerprint, if any.
+component; ids may have any type that has an order. Rows with a null id link like any
+other; a component's id is its least id, null where no row of it has one. An empty table
+gives an empty result; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
+import random
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracelake.llm import common
 from tracelake.llm.components import connected
 
 BITS = 64
+#: Members of a bucket that are compared; a larger one is dealt anew, up to so many times.
+LARGE, REFINED = 256, 3
+#: Rows up to which the documents that go are broadcast (about 50 bytes each).
+FEW = 500_000
 
 
 def fingerprint(text: str | None, shingle: int = 4, seed: int = 42) -> int:
@@ -54,22 +64,30 @@ def fingerprint(text: str | None, shingle: int = 4, seed: int = 42) -> int:
 
 
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, seed: int = 42) -> DataFrame:
-    """(id, fp bigint: the fingerprint's bits as a signed integer). No shuffle."""
+    """(id, fp bigint: the fingerprint's bits as a signed integer, digest: of the text). No shuffle."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             fps = np.array([fingerprint(x, shingle, seed) for x in frame["text"]], np.uint64)
-            yield pd.DataFrame({"id": frame["id"].array, "fp": fps.astype(np.int64)})
+            yield pd.DataFrame({"id": frame["id"].array, "fp": fps.astype(np.int64), "digest": frame["digest"]})
 
     kind = df.schema[id_col].dataType.simpleString()
-    source = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return source.mapInPandas(run, f"id {kind}, fp long").withColumnRenamed("id", id_col)
+    text = F.col(text_col).cast("string")
+    source = df.select(F.col(id_col).alias("id"), text.alias("text"), digest(text).alias("digest"))
+    return source.mapInPandas(run, f"id {kind}, fp long, digest string")
 
 
-def masks(radius: int, bits: int = BITS) -> list[int]:
-    """The covering family's masks as signed 64-bit integers, one for each table."""
+def digest(text: Column) -> Column:
+    """Tells apart the texts of rows that share an id."""
+    return F.coalesce(F.md5(text), F.lit("none"))
+
+
+def masks(radius: int, bits: int = BITS, family: int = 0) -> list[int]:
+    """A covering family's masks as signed 64-bit integers, one for each table."""
     vectors = 2 ** (radius + 1) - 1
     phi = [1 + i % vectors for i in range(bits)]
+    if family:
+        random.Random(family).shuffle(phi)
     out = []
     for v in range(1, vectors + 1):
         mask = sum(1 << i for i in range(bits) if (phi[i] & v).bit_count() & 1)
@@ -81,61 +99,90 @@ def _near(a: str, b: str, radius: int):
     return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= radius
 
 
+def _tables(radius: int, family: int) -> Column:
+    return F.posexplode(F.array(*[F.lit(m).cast("bigint") for m in masks(radius, family=family)])).alias("t", "mask")
+
+
 def link(points: DataFrame, radius: int) -> DataFrame:
-    """(node, component) for distinct fingerprints ``points`` (fp, node: bigint, unique) that have a link."""
-    tables = F.array(*[F.lit(m).cast("bigint") for m in masks(radius)])
-    keyed = points.select("fp", "node", F.posexplode(tables).alias("t", "mask")).select("t", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp", "node")
-    shared = keyed.groupBy("t", "key").agg(F.count("*").alias("n"), F.min(F.struct("node", "fp")).alias("least")).filter("n > 1").select("t", "key", F.col("least.node").alias("least"), F.col("least.fp").alias("least_fp"))
-    members = common.stored(keyed.join(shared, ["t", "key"]), "buckets")
+    """(fp, component: the least fingerprint that it reaches) for distinct ``points`` (fp) that have a link."""
+    keyed = points.select("fp", _tables(radius, 0)).select("t", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp")
     order = Window.partitionBy("t", "key").orderBy("fp")
-    beside = members.select("node", "fp", F.lag("node").over(order).alias("before"), F.lag("fp").over(order).alias("before_fp"))
-    first = members.filter(_near("fp", "least_fp", radius) & (F.col("node") != F.col("least"))).select(F.col("node").alias("a"), F.col("least").alias("b"))
-    first = first.union(beside.filter(_near("fp", "before_fp", radius)).select(F.col("node").alias("a"), F.col("before").alias("b"))).distinct()
-    first = common.stored(first, "links")
-    joined = connected(first)
-    of = members.select("t", "key", "fp", "node").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    of = common.stored(of, "members")
-    open_ = of.groupBy("t", "key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("t", "key", "low")
-    rest = of.join(open_, ["t", "key"])
-    left = rest.filter("component <> low").select("t", "key", F.col("fp").alias("fp_l"), F.col("component").alias("a"))
-    right = rest.select("t", "key", F.col("fp").alias("fp_r"), F.col("component").alias("b"))
-    met = left.join(right, ["t", "key"]).filter((F.col("a") != F.col("b")) & _near("fp_l", "fp_r", radius)).select("a", "b").distinct()
-    met = common.stored(met, "links")
-    # components of components, then of nodes: the first links and the later ones together
-    return connected(first.union(met))
+    beside = keyed.select("*", F.first("fp").over(order).alias("least"), F.lag("fp").over(order).alias("before"), F.lead("fp").over(order).alias("after"))
+    members = common.stored(beside.filter("before is not null or after is not null").drop("after"), "buckets")
+    pairs = F.explode(F.array("least", "before")).alias("b")
+    first = members.filter("before is not null").select(F.col("fp").alias("a"), pairs).filter(_near("a", "b", radius)).distinct()
+    joined = common.stored(connected(first), "components")
+    of = members.select("t", "key", "fp").join(joined.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    of = _open(of.select(F.array(F.col("t").cast("bigint"), "key").alias("bucket"), "fp", "component"))
+    met = None
+    for family in range(1, REFINED + 1):
+        of = common.stored(of, "open")
+        few = _met(of.filter(F.col("n") <= LARGE), radius)
+        met = few if met is None else met.union(few)
+        of = of.filter(F.col("n") > LARGE)
+        if of.isEmpty():
+            break
+        again = of.select("bucket", "fp", "component", _tables(radius, family))
+        of = _open(again.select(F.concat("bucket", F.array(F.col("t").cast("bigint"), F.col("fp").bitwiseAND(F.col("mask")))).alias("bucket"), "fp", "component"))
+    else:
+        met = met.union(_met(of, radius))
+    # components of components, and back to fingerprints
+    above = connected(met.distinct()).select(F.col("node").alias("component"), F.col("component").alias("whole"))
+    return joined.join(above, "component", "left").select(F.col("node").alias("fp"), F.coalesce("whole", "component").alias("component")).union(
+        above.join(joined.select(F.col("node").alias("component")), "component", "left_anti")
+    )
+
+
+def _open(of: DataFrame) -> DataFrame:
+    """Members (bucket, fp, component) of buckets with several components, with the least of these and the number of members."""
+    whole = Window.partitionBy("bucket")
+    counted = of.withColumns({"low": F.min("component").over(whole), "high": F.max("component").over(whole), "n": F.count("*").over(whole)})
+    return counted.filter("low <> high").drop("high")
+
+
+def _met(of: DataFrame, radius: int) -> DataFrame:
+    """Pairs of components with members within the radius."""
+    left = of.filter("component <> low").select("bucket", F.col("fp").alias("fp_l"), F.col("component").alias("a"))
+    right = of.select("bucket", F.col("fp").alias("fp_r"), F.col("component").alias("b"))
+    return left.join(right, "bucket").filter((F.col("a") != F.col("b")) & _near("fp_l", "fp_r", radius)).select("a", "b")
+
+
+def _classes(prints: DataFrame, radius: int) -> DataFrame:
+    """(fp, class) of every fingerprint."""
+    points = common.stored(prints.select("fp").distinct(), "points")
+    return points.join(link(points, radius), "fp", "left").select("fp", F.coalesce("component", "fp").alias("class"))
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 4, shingle: int = 4, seed: int = 42) -> DataFrame:
     """(id, fingerprint: 16 lower-case hex digits, component_id: least id reachable)."""
     prints = common.stored(fingerprints(df, id_col, text_col, shingle, seed), "fingerprints")
-    points = prints.groupBy("fp").agg(F.min(F.col(id_col)).alias("least"))
-    # nodes are the least ids of the fingerprints; one that has only null ids gets a number below any id
-    found = points.filter("least is not null").select("fp", F.col("least").cast("bigint").alias("node"))
-    found = common.stored(found, "points")
-    components = link(found, radius)
-    nodes = found.join(components, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    named = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
-    kind = df.schema[id_col].dataType
-    return prints.join(nodes, "fp", "left").select(id_col, named, F.col("component_id").cast(kind).alias("component_id"))
-
-
-def representatives(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of one document of each group, that with the least id, with their own columns.
-
-    Rows that share an id count as one document, and one of them stays; rows without an
-    id stay where no document with an id is near.
+    classes = common.stored(_classes(prints, radius), "classes")
+    least = prints.groupBy("fp").agg(F.min("id").alias("least")).join(classes, "fp")
+    named = least.join(least.groupBy("class").agg(F.min("least").alias("component_id")), "class").select("fp", "component_id")
+    out = prints.join(named, "fp").select("id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return out.withColumnRenamed("id", id_col)
+
+
+def representatives(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 4, shingle: int = 4, seed: int = 42, few: int = FEW) -> DataFrame:
+    """One row of each component, with its own columns.
+
+    It is the row with the least id (rows without an id come last), of rows that share
+    it the one with the least digest of its text, of rows that are equal in both any one.
+    The rows that go are found in a narrow table; where they are ``few``, which is
+    counted, they are broadcast and no text is shuffled.
     """
-    found = near_duplicates(df, id_col, text_col, **options)
-    kept = common.stored(found.filter(F.col(id_col) == F.col("component_id")).select(id_col).distinct(), "kept")
-    one = df.join(kept, id_col, "left_semi").dropDuplicates([id_col])
-    bare = df.filter(F.col(id_col).isNull())
-    if bare.isEmpty():
-        return one
-    lonely = found.filter(F.col(id_col).isNull() & F.col("component_id").isNull()).select("fingerprint").distinct()
-
-    @F.pandas_udf("long")
-    def own(texts: pd.Series) -> pd.Series:
-        return pd.Series([fingerprint(x) for x in texts], dtype=np.uint64).astype(np.int64)
-
-    tagged = bare.withColumn("_fp", F.lpad(F.lower(F.hex(own(F.col(text_col).cast("string")))), 16, "0"))
-    return one.unionByName(tagged.join(lonely, tagged["_fp"] == lonely["fingerprint"], "left_semi").dropDuplicates(["_fp"]).drop("_fp"))
+    prints = common.stored(fingerprints(df, id_col, text_col, shingle, seed), "fingerprints")
+    classes = common.stored(_classes(prints, radius), "classes")
+    # keys without nulls
+    rows = prints.select(F.col("id").isNull().alias("_none"), F.coalesce(F.col("id").cast("string"), F.lit("")).alias("_id"), "id", F.col("digest").alias("_digest"), "fp")
+    each = rows.groupBy("fp", "_none", "_id", "_digest").agg(F.min("id").alias("id"), F.count("*").alias("n")).join(classes, "fp")
+    best = each.groupBy("class").agg(F.min(F.struct("_none", "id", "_digest", "_id")).alias("best"))
+    marked = each.join(best, "class").withColumn("stays", (F.col("_id") == F.col("best._id")) & (F.col("_none") == F.col("best._none")) & (F.col("_digest") == F.col("best._digest")))
+    key = ["_none", "_id", "_digest"]
+    goes = common.stored(marked.filter("not stays or n > 1").select(*key, "stays"), "goes")
+    tagged = df.select(F.struct("*").alias("row"), F.col(id_col).isNull().alias("_none"), F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("_id"), digest(F.col(text_col).cast("string")).alias("_digest"))
+    small = F.broadcast if goes.count() <= few else lambda x: x
+    kept = tagged.join(small(goes), key, "left")
+    once = kept.filter("stays is null").select("row.*")
+    again = kept.filter("stays").dropDuplicates(key).select("row.*")  # repeated rows of which one stays
+    return once if goes.filter("stays").isEmpty() else once.unionByName(again)

@@ -545,3 +545,33 @@ def test_pipeline_stages(spark, tmp_path):
     assert seen[names[4]].count() == mixed and {r["doc_id"] for r in seen[names[3]].collect()} <= unique
     a = sorted(map(str, corpus_pipeline.run(spark, str(tmp_path)).collect()))
     assert a == sorted(map(str, seen[names[4]].collect()))
+
+
+def test_pipeline_takes_odd_tables(spark, tmp_path):
+    rng = random.Random(10)
+    words = [f"{a}{b}" for a in "bcdfgh" for b in ("an", "on", "ert", "is", "ul")]
+    text = lambda: " ".join(rng.choice(words) for _ in range(70))
+    same_ = text()
+    secret = text() + " password=hunter2222"
+    rows = [(1, same_, "en", "src1", 1, "a"), (1, same_, "en", "src1", 1, "a"), (1, text(), None, None, None, "b"), (None, text(), "en", "src2", 2, None), (None, text(), "en", "src2", 2, None)]
+    rows += [(None, same_, "en", "src9", 3, "c"), (2, None, None, None, None, None), (3, "", "de", "src3", 0, "d"), (4, secret, "en", "src4", len(secret), "e"), (None, None, None, None, None, None)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, secret_spans string, _whole int, quality string, row string, label string"
+    docs = spark.createDataFrame([(*r[:5], "s", 1, "q", "r", r[5]) for r in rows], schema)
+    for given in (docs, docs.limit(0)):
+        now, path = given, str(tmp_path)
+        for name, stage in corpus_pipeline.STAGES:
+            before = now
+            now = common.stored(stage(spark, now, path), "test")
+            if name != corpus_pipeline.STAGES[-1][0]:
+                assert now.columns == docs.columns
+            if given is not docs:
+                assert now.count() == 0
+            elif name == "quality rules":
+                # the base rules reject the short ones; repeated rows share their verdict
+                assert now.filter("text is null or text = ''").count() == 0 and before.count() == 10 and now.count() == 7
+            elif name == "SimHash near-dedup":
+                got = [r["text"] for r in now.collect()]
+                assert len(got) == len(set(got)) == 5 and sum(r["doc_id"] is None for r in now.collect()) == 2
+            elif name == "secret scans":
+                assert now.count() == before.count() and now.filter("text like '%hunter2222%'").count() == 0
+                assert {r["n_chars"] for r in now.filter("doc_id = 4").collect()} == {len(secret) - len("password=hunter2222") + len("[SECRET]")}

@@ -159,12 +159,13 @@ def report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
 
 def redact(df: DataFrame, text_col: str = "text", marker: str = "[SECRET]") -> DataFrame:
-    """Replaces every span by ``marker``; overlapping spans become one. Null texts stay null."""
-    found = scan(df, text_col)
+    """Replaces every span by ``marker``; overlapping spans become one. Null texts stay null; other columns stay, whatever their names."""
+    found = scan(df.select(F.struct("*").alias("row"), F.col(text_col).cast("string").alias("text")))
     cut = f"""aggregate(secret_spans, named_struct('out', '', 'at', 0), (acc, x) -> if(x.stop <= acc.at, acc, named_struct(
-        'out', concat(acc.out, if(x.start >= acc.at, concat(substring(`{text_col}`, acc.at + 1, x.start - acc.at), '{marker}'), '')), 'at', x.stop)),
-        acc -> concat(acc.out, substring(`{text_col}`, acc.at + 1)))"""
-    return found.withColumn(text_col, F.expr(f"if(size(secret_spans) = 0, `{text_col}`, {cut})")).drop("secret_spans")
+        'out', concat(acc.out, if(x.start >= acc.at, concat(substring(text, acc.at + 1, x.start - acc.at), '{marker}'), '')), 'at', x.stop)),
+        acc -> concat(acc.out, substring(text, acc.at + 1)))"""
+    text = F.when(F.size("secret_spans") == 0, F.col(f"row.`{text_col}`")).otherwise(F.expr(cut))
+    return found.select(F.col("row").withField(f"`{text_col}`", text).alias("row")).select("row.*")
 
 
 def oracle() -> str:

@@ -14,26 +14,56 @@ from tracelake.llm import bpe, common, mixing, ngram_quality, secrets, simhash
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail the base rules or lie outside their language's bands go.
+
+    Null and empty texts fail; a null language is a language of its own; repeated rows
+    share a verdict; ids don't matter; an empty table stays empty; further columns stay.
+    """
     return ngram_quality.filtered(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each group of near-duplicates stays, that with the least id.
+
+    Null and empty texts are one group; rows without an id stay only where no row of
+    their group has one; rows that share an id but not a text are documents of their
+    own; of repeated rows one stays; an empty table stays empty; further columns stay.
+    """
     return simhash.representatives(docs)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document stays; a text with secrets has a marker in each one's place, and its n_chars follow."""
-    clean = secrets.redact(docs.withColumn("_whole", F.col("text")))
-    changed = ~F.col("text").eqNullSafe(F.col("_whole"))
-    n_chars = F.when(changed, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return clean.withColumn("n_chars", n_chars).drop("_whole").select(docs.columns)
+    """Every document stays; a text with secrets has a marker in each one's place, and its n_chars follow.
+
+    Null texts stay null and empty ones empty; repeated rows change alike; an empty
+    table stays empty; further columns stay, whatever their names.
+    """
+    packed = docs.select(F.struct("*").alias("row"), F.col("text").cast("string").alias("text"))
+    clean = secrets.redact(packed)
+    changed = ~F.col("text").eqNullSafe(F.col("row.text").cast("string"))
+    row = F.col("row").withField("text", F.when(changed, F.col("text")).otherwise(F.col("row.text")))
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        row = row.withField("n_chars", F.when(changed, F.length("text").cast(kind)).otherwise(F.col("row.n_chars")))
+    return clean.select(row.alias("row")).select("row.*")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents come as often as their leaf's budget says, up to three times.
+
+    Null domains, languages and sources are leaves of their own; documents without words
+    come with whole epochs; repeated rows count each time; rows without an id come in one
+    block; an empty table stays empty; further columns stay.
+    """
     return mixing.mixed(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row of token ids for each document, with its id, language and source.
+
+    Null and empty texts have no tokens; repeated rows give equal rows; a null id stays
+    null; an empty table gives an empty result; further columns are left out.
+    """
     return bpe.round_trip(docs, keep=("lang", "source"), with_ids=True)
 
 

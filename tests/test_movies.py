@@ -188,6 +188,62 @@ def test_regions_and_traces(spark):
     assert np.corrcoef(got, signals[0])[0, 1] > 0.7
 
 
+def plain_regions(a, c, level, least, most, cap, attempts):
+    """Growth by sets of pixels: rings of neighbours whose trace correlates with the mean trace of the region."""
+    h, w = c.shape
+    free = {(y, x) for y in range(h) for x in range(w) if c[y, x] != 0}
+    labels, n, tried = {}, 0, 0
+    while free and tried < attempts:
+        seed = max(sorted(free), key=lambda p: c[p])
+        region = {seed}
+        while len(region) < cap:
+            ring = sorted({(y + i, x + j) for y, x in region for i in (-1, 0, 1) for j in (-1, 0, 1)} & free - region)
+            mean = np.mean([a[:, y, x] for y, x in sorted(region)], axis=0)
+            good = [p for p in ring if a[:, p[0], p[1]].std() and mean.std() and np.corrcoef(mean, a[:, p[0], p[1]])[0, 1] > level]
+            if not good:
+                break
+            region |= set(good)
+        free -= region
+        tried += 1
+        if least < len(region) < most:
+            n += 1
+            labels |= dict.fromkeys(region, n)
+    return labels
+
+
+def test_regions_equal_plain_growth(spark):
+    rng = np.random.default_rng(9)
+    y, x = np.mgrid[:14, :15]
+    for seed in range(3):
+        spots = [np.exp(-((y - rng.integers(3, 11)) ** 2 + (x - rng.integers(3, 12)) ** 2) / 5) for _ in range(3)]
+        a = sum(s[None] * rng.gamma(1, 2, 40)[:, None, None] for s in spots) + rng.normal(0, 0.4, (40, 14, 15))
+        c = rng.uniform(0.1, 0.9, (14, 15))
+        c[:2], c[-2:], c[:, :2], c[:, -2:] = 0, 0, 0, 0
+        frames = I.to_frames(pixels_of(spark, a))
+        cmap = spark.createDataFrame([("m", i, j, float(c[i, j])) for i in range(14) for j in range(15)], "run string, y int, x int, r double")
+        for cap in (None, 12):
+            found = {(r["y"], r["x"]): r["roi"] for r in I.regions(frames, cmap, 0.35, 1, 40, attempts=12, cap=cap).collect()}
+            assert found == plain_regions(a, c, 0.35, 1, 40, cap or 80, 12)
+
+
+def test_sweep_takes_each_runs_own_thresholds(spark):
+    rng = np.random.default_rng(10)
+    a = rng.normal(size=(30, 9, 9)).cumsum(axis=1)
+    b = rng.normal(size=(30, 9, 9)).cumsum(axis=2) * 5
+    frames = I.to_frames(pixels_of(spark, a).unionByName(pixels_of(spark, b).withColumn("run", F.lit("n"))))
+    cmap = I.correlation_map(frames)
+    rows = I.threshold_sweep(frames, cmap, 2, 30, (0.5, 0.9), cap=25).collect()
+    assert len(rows) == 4 and len({r["threshold"] for r in rows}) == 4
+    for r in rows:
+        level = np.round(np.percentile([x["r"] for x in cmap.filter(f"run = '{r['run']}' and r > 0").collect()], 100 * r["point"]), 3)
+        one = I.attempted_regions(frames.filter(F.col("run") == r["run"]), cmap.filter(F.col("run") == r["run"]), float(level), 25, None, 3).collect()
+        sizes = [x["size"] for x in one]
+        good = [n for n in sizes if 2 < n < 30]
+        assert (r["threshold"], r["attempts"], r["accepted"], r["at_cap"], r["median_area"]) == (level, len(sizes), len(good), sum(n >= 25 for n in sizes), np.median(good) if good else 0)
+        assert r["sizes"] == [sum(lo <= n <= (hi or 10**9) for n in sizes) for lo, hi in I.SIZES]
+    assert I.threshold_sweep(frames.limit(0), cmap.limit(0), 2, 30).count() == 0
+
+
 def test_low_rank(spark):
     rng = np.random.default_rng(7)
     a = (rng.normal(size=(12, 2)) @ rng.normal(size=(2, 20))).reshape(12, 4, 5)

@@ -48,8 +48,9 @@ def camera_time(frame: Column, on: Column, dt: Column) -> Column:
 def covered(clock: DataFrame, camera: DataFrame, least: int = 2) -> DataFrame:
     """Neural frames that the camera covers; a run with fewer than ``least`` raises."""
     kept = clock.join(camera.select("run", "coverage_end"), "run").filter(F.col("t") <= F.col("coverage_end"))
-    n = F.count("*").over(Window.partitionBy("run"))
-    return kept.withColumn("_n", F.when(n >= least, n).otherwise(F.raise_error(F.lit("too few frames are covered")).cast("bigint"))).filter("_n > 0").drop("_n")
+    n = kept.groupBy("run").agg(F.count("*").alias("_n"))
+    enough = F.when(F.col("_n") >= least, F.lit(True)).otherwise(F.raise_error(F.lit("too few frames are covered")).cast("boolean"))
+    return kept.join(n.filter(enough).select("run"), "run")
 
 
 def interpolate(traces: DataFrame, grid: DataFrame) -> DataFrame:
@@ -70,8 +71,8 @@ def interpolate(traces: DataFrame, grid: DataFrame) -> DataFrame:
 
 def edge_artifacts(clock: DataFrame, camera: DataFrame) -> DataFrame:
     """Adds ``artifact``: frames within one camera period of either end."""
-    last = F.max("t").over(Window.partitionBy("run"))
-    return clock.join(camera.select("run", "dt"), "run").withColumn("artifact", (F.col("t") < F.col("dt")) | (F.col("t") > last - F.col("dt"))).drop("dt")
+    last = clock.groupBy("run").agg(F.max("t").alias("_last")).join(camera.select("run", "dt"), "run")
+    return clock.join(last, "run").withColumn("artifact", (F.col("t") < F.col("dt")) | (F.col("t") > F.col("_last") - F.col("dt"))).drop("dt", "_last")
 
 
 def nearest_camera_frame(t: Column, on: Column, dt: Column) -> Column:

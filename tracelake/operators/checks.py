@@ -2,6 +2,9 @@
 
 ``require`` turns rows that break a rule into an error when the result is read; the
 other functions return what they find.
+
+Cases: a rule that is null for a row is broken; null values aren't finite; repeated rows
+count each time, repeated boxes are reported; an empty table has no problems and no runs.
 """
 
 from __future__ import annotations
@@ -12,8 +15,8 @@ from pyspark.sql import functions as F
 from tracelake.functions import expressions as X
 from tracelake.operators.sequence import KEYS
 
-#: Names that a box may have.
-BOXES = ("whisker_pad", "paw", "paw_at_nose", "wheel", "laser_trigger", "nose", "pupil")
+# Fixed values of the file format: the names that a box may have.
+BOXES = ("laser_trigger", "whisker_pad", "paw", "paw_at_nose", "eye", "nose", "wheel")
 
 
 def require(df: DataFrame, rule: Column, message: str) -> DataFrame:
@@ -93,11 +96,15 @@ def threshold_checks(cmap: DataFrame, threshold: float) -> DataFrame:
 
 
 def contiguous_prefix(frames: DataFrame) -> DataFrame:
-    """Frames before a run's first unreadable one (``error`` not null) or first gap."""
-    w = Window.partitionBy("run").orderBy("frame")
-    broken = F.col("error").isNotNull() | (F.col("frame") != F.row_number().over(w) - 1)
-    stop = F.min(F.when(F.col("_b"), F.col("frame"))).over(Window.partitionBy("run"))
-    return frames.withColumn("_b", broken).withColumn("_s", stop).filter(F.col("_s").isNull() | (F.col("frame") < F.col("_s"))).drop("_b", "_s")
+    """Frames before a run's first unreadable one (``error`` not null) or first gap.
+
+    A frame breaks the prefix if it is unreadable or the one before is missing. Frame
+    numbers are distinct; no window spans a run.
+    """
+    before = frames.select("run", (F.col("frame") + 1).alias("frame"), F.lit(True).alias("_before"))
+    broken = frames.join(before, ["run", "frame"], "left").filter(F.col("error").isNotNull() | (F.col("_before").isNull() & (F.col("frame") != 0)))
+    stop = broken.groupBy("run").agg(F.min("frame").alias("_s"))
+    return frames.join(stop, "run", "left").filter(F.col("_s").isNull() | (F.col("frame") < F.col("_s"))).drop("_s")
 
 
 def truncations(frames: DataFrame) -> DataFrame:

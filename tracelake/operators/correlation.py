@@ -1,34 +1,101 @@
-"""Correlation at lags, effective sample sizes, and the gate that a run must pass before it is analysed."""
+"""Correlation at lags, effective sample sizes, and the gate that a run must pass before it is analysed.
+
+Sums of lagged products are made by blocks of frames: a block of one trace meets the
+blocks of the other that its lags reach, as arrays, by a Fourier transform where there
+are many lags. No frame meets all its lags as rows, and no task needs a whole trace.
+
+Cases: null values and missing frames add nothing to a sum; a constant trace correlates
+with nothing (0); repeated frames aren't meant to be; empty tables give empty results.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracelake.functions import expressions as X
-from tracelake.operators.sequence import KEYS, zscore
+from tracelake.operators.sequence import KEYS
+
+
+#: Frames in a block, and lags up to which products are summed lag by lag.
+BLOCK, FEW = 65_536, 64
+
+
+def _blocks(df: DataFrame, name: str, block: int) -> DataFrame:
+    """(run, name, b_<name>, first_<name>, x_<name>): frames of each block as an array from its first frame."""
+    cut = df.groupBy("run", F.col("channel").alias(name), F.expr(f"cast(frame div {block} as bigint)").alias(f"b_{name}"))
+    points = F.array_sort(F.collect_list(F.struct("frame", F.coalesce("v", F.lit(0.0)).alias("v"))))
+    rows = cut.agg(points.alias("p"), F.min("frame").alias("low"), F.max("frame").alias("high"))
+    # missing frames are zero: they add nothing
+    dense = F.when(F.size("p") == F.col("high") - F.col("low") + 1, F.col("p.v")).otherwise(
+        F.transform(F.sequence("low", "high"), lambda f: F.coalesce(F.try_element_at(F.map_from_entries("p"), f), F.lit(0.0)))
+    )
+    return rows.select("run", name, f"b_{name}", F.col("low").alias(f"first_{name}"), dense.alias(f"x_{name}"))
+
+
+def products(later: np.ndarray, early: np.ndarray, low: int, high: int) -> np.ndarray:
+    """Sums of later[i + k] * early[i] for k from ``low`` to ``high``."""
+    n, m = len(later), len(early)
+    if high - low < FEW:
+        return np.array([later[max(k, 0) : min(n, m + k)] @ early[max(-k, 0) : min(m, n - k)] if -m < k < n else 0.0 for k in range(low, high + 1)])
+    size = 1 << (n + m - 1).bit_length()
+    whole = np.fft.irfft(np.fft.rfft(later, size) * np.conj(np.fft.rfft(early, size)), size)
+    k = np.arange(low, high + 1)
+    return np.where((k > -m) & (k < n), whole[k % size], 0.0)
+
 
+def lagged_products(later: DataFrame, early: DataFrame, low: int, high: int, same: bool = False, block: int = BLOCK) -> DataFrame:
+    """(run, roi, channel, lag, s): sums over frames of later(frame + lag) * early(frame) at lags with frames on both sides.
 
-def autocorrelation(df: DataFrame, lags: int) -> DataFrame:
+    ``same``: a channel meets only itself.
+    """
+    a, b = _blocks(later, "roi", block), _blocks(early, "channel", block)
+    reach = F.sequence(F.col("b_channel") + low // block, F.col("b_channel") + high // block + 1)
+    b = b.withColumn("b_roi", F.explode(reach))
+    if same:
+        b = b.withColumn("roi", F.col("channel"))
+    met = a.join(b, ["run", "b_roi", *["roi"] * same]).select("run", "roi", "channel", "first_roi", "first_channel", "x_roi", "x_channel")
+
+    def summed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for r in frame.itertuples():
+                off = r.first_roi - r.first_channel
+                # lags that both blocks reach
+                at, to = max(low, off - len(r.x_channel) + 1), min(high, off + len(r.x_roi) - 1)
+                if at <= to:
+                    yield pd.DataFrame({"run": r.run, "roi": r.roi, "channel": r.channel, "lag": np.arange(at, to + 1), "s": products(np.asarray(r.x_roi), np.asarray(r.x_channel), at - off, to - off)})
+
+    return met.mapInPandas(summed, "run string, roi string, channel string, lag long, s double").groupBy("run", "roi", "channel", "lag").agg(F.sum("s").alias("s"))
+
+
+def autocorrelation(df: DataFrame, lags: int, block: int = BLOCK) -> DataFrame:
     """(run, channel, lag, r) for lags 0 to ``lags``, about the whole mean and over the sum at lag 0."""
-    centred = df.select(*KEYS, "frame", (F.col("v") - F.avg("v").over(Window.partitionBy(*KEYS))).alias("v"))
-    later = centred.select(*KEYS, F.col("v").alias("w"), F.explode(F.sequence(F.lit(0), F.lit(lags))).alias("lag"), F.col("frame").alias("_f")).withColumn("frame", F.col("_f") - F.col("lag")).drop("_f")
-    sums = centred.join(later, [*KEYS, "frame"]).groupBy(*KEYS, "lag").agg(F.sum(F.col("v") * F.col("w")).alias("s"))
-    base = F.max(F.when(F.col("lag") == 0, F.col("s"))).over(Window.partitionBy(*KEYS))
-    return sums.select(*KEYS, "lag", F.coalesce(F.try_divide(F.col("s"), base), F.lit(0.0)).alias("r"))
+    mean = df.groupBy(*KEYS).agg(F.avg("v").alias("_m"))
+    centred = df.join(mean, list(KEYS)).select(*KEYS, "frame", (F.col("v") - F.col("_m")).alias("v"))
+    sums = lagged_products(centred, centred, 0, lags, True, block)
+    base = F.max(F.when(F.col("lag") == 0, F.col("s"))).over(Window.partitionBy("run", "roi"))
+    return sums.select("run", F.col("roi").alias("channel"), "lag", F.coalesce(F.try_divide(F.col("s"), base), F.lit(0.0)).alias("r"))
+
+
+def _standard(df: DataFrame) -> DataFrame:
+    """z-scores; 0 for a constant trace."""
+    of = df.groupBy(*KEYS).agg(F.avg("v").alias("_m"), F.stddev_pop("v").alias("_s"))
+    return df.join(of, list(KEYS)).select(*KEYS, "frame", F.coalesce(F.try_divide(F.col("v") - F.col("_m"), F.col("_s")), F.lit(0.0)).alias("v"))
 
 
-def cross_correlation(neural: DataFrame, behaviour: DataFrame, lags: int, first: int | None = None) -> DataFrame:
+def cross_correlation(neural: DataFrame, behaviour: DataFrame, lags: int, first: int | None = None, block: int = BLOCK) -> DataFrame:
     """(run, roi, channel, lag, r): sum of z(neural at t + lag) z(behaviour at t), over all frames T.
 
     A positive lag means that the neural trace follows. Lags from ``first`` (default
     -lags) to ``lags``; all are divided by T, so large lags shrink.
     """
     n = neural.groupBy("run").agg((F.max("frame") + 1).alias("_t"))
-    d = zscore(neural).select("run", F.col("channel").alias("roi"), "frame", F.col("v").alias("zd"))
-    b = zscore(behaviour).select(*KEYS, F.col("frame").alias("_f"), F.col("v").alias("zb"), F.explode(F.sequence(F.lit(-lags if first is None else first), F.lit(lags))).alias("lag"))
-    met = d.join(b.withColumn("frame", F.col("_f") + F.col("lag")).drop("_f"), ["run", "frame"])
-    return met.groupBy("run", "roi", "channel", "lag").agg(F.sum(F.col("zd") * F.col("zb")).alias("s")).join(n, "run").select("run", "roi", "channel", "lag", (F.col("s") / F.col("_t")).alias("r"))
+    sums = lagged_products(_standard(neural), _standard(behaviour), -lags if first is None else first, lags, False, block)
+    return sums.join(n, "run").select("run", "roi", "channel", "lag", (F.col("s") / F.col("_t")).alias("r"))
 
 
 def shift_null(neural: DataFrame, behaviour: DataFrame, least: int, most: int) -> DataFrame:

@@ -5,7 +5,8 @@ pixels: array<double> in rows), the latter one row a frame, so that per-frame wo
 in one Arrow batch. Statistics over time are sums that each task makes for its frames
 and Spark adds, so no task holds a movie.
 
-Cases: null pixels count as zero in ``frames``; an empty movie gives empty results.
+Cases: null pixels count as zero in ``frames`` and stay out of means over time; an empty
+movie gives empty results; (run, frame, y, x) is distinct; further columns are dropped.
 """
 
 from __future__ import annotations
@@ -143,12 +144,12 @@ def border_of(shifts: DataFrame, least: int = 5) -> DataFrame:
 
 
 def threshold_window(cmap: DataFrame, mean: DataFrame) -> DataFrame:
-    """(run, low, high, suggestion): p99 of the map where the image is dim (below its median), p25 where it is bright (above p99), and the greater."""
+    """(run, low, high, suggestion): p99 of the map where the image is dim (below its median), p25 where it is bright (above p99), and the greater; null where they overlap."""
     cuts = mean.groupBy("run").agg(F.percentile("v", F.lit(0.5)).alias("dim"), F.percentile("v", F.lit(0.99)).alias("bright"))
     both = cmap.join(mean, ["run", "y", "x"]).join(cuts, "run")
     low = F.percentile(F.when(F.col("v") < F.col("dim"), F.col("r")), F.lit(0.99))
     high = F.percentile(F.when(F.col("v") > F.col("bright"), F.col("r")), F.lit(0.25))
-    return both.groupBy("run").agg(low.alias("low"), high.alias("high"), F.greatest(low, high).alias("suggestion"))
+    return both.groupBy("run").agg(low.alias("low"), high.alias("high"), F.when(low < high, high).alias("suggestion"))
 
 
 def contrast_gap(cmap: DataFrame, mean: DataFrame) -> DataFrame:
@@ -374,35 +375,52 @@ def grow_region(movie: np.ndarray, cmap: np.ndarray, free: np.ndarray, threshold
     return mask
 
 
-def regions(movie: DataFrame, cmap: DataFrame, threshold: float, least: int, most: int, attempts: int | None = 100, seed_size: int = 1) -> DataFrame:
+def regions(movie: DataFrame, cmap: DataFrame, threshold: Column | float, least: int, most: int, attempts: int | None = 100, seed_size: int = 1, cap: int | None = None) -> DataFrame:
     """(run, roi, y, x) from (run, h, w, frame, pixels) and the map; sizes strictly between ``least`` and ``most``.
 
+    A region stops growing at ``cap`` pixels (by default twice ``most``). Pixels whose map
+    value is 0, such as the border's, join none. ``threshold`` may be a column of the map.
+    Later regions take pixels that they share with earlier ones.
+    """
+    grown = attempted_regions(movie, cmap, threshold, 2 * most if cap is None else cap, attempts, seed_size)
+    good = grown.filter((F.col("size") > least) & (F.col("size") < most))
+    numbered = good.select("run", "attempt", F.row_number().over(Window.partitionBy("run").orderBy("attempt")).alias("roi"), "pixels")
+    each = numbered.select("run", F.col("roi").cast("bigint").alias("roi"), F.inline("pixels"))
+    return each.groupBy("run", "y", "x").agg(F.max("roi").alias("roi")).select("run", "roi", "y", "x")
+
+
+def attempted_regions(movie: DataFrame, cmap: DataFrame, threshold: Column | float, cap: int, attempts: int | None = 100, seed_size: int = 1, by: tuple[str, ...] = ()) -> DataFrame:
+    """(run, columns ``by`` of the map, attempt, size, pixels: array of y, x) of every seed that is tried, kept or not.
+
     ``attempts`` seeds are tried; None goes on while a free pixel of the map is above
-    the threshold. A run is one group: growing is sequential, and the movie given here
-    is the binned one. Later regions take pixels that they share with earlier ones.
+    the threshold. A run is one group, as growing is sequential; the movie given here is
+    the binned one, about six frames a second.
     """
+    keys = ["run", *by]
+    kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in cmap.schema.fields if f.name in by)
+    image = cmap.select(*keys, "y", "x", "r", (threshold if isinstance(threshold, Column) else F.lit(float(threshold))).cast("double").alias("_t"))
+    if by:  # a copy of the movie for each map
+        maps = cmap.select("run", F.struct(*by).alias("_by")).distinct()
+        movie = movie.join(maps, "run").select("run", "frame", "h", "w", "pixels", *[F.col(f"_by.{c}").alias(c) for c in by])
 
     def grow(key: tuple, frames: pd.DataFrame, image: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"run": pd.Series(dtype=str), "roi": pd.Series(dtype="int64"), "y": pd.Series(dtype="int64"), "x": pd.Series(dtype="int64")})
-        if frames.empty or image.empty:
-            return empty
-        frames = frames.sort_values("frame")
-        h, w = int(frames["h"].iloc[0]), int(frames["w"].iloc[0])
-        a = np.stack(frames["pixels"].to_list()).reshape(len(frames), h, w)
-        c = np.zeros((h, w))
-        c[image["y"], image["x"]] = image["r"]
-        free, labels, n, tried = np.ones((h, w), bool), np.zeros((h, w), np.int64), 0, 0
-        while free.any() and (tried < attempts if attempts is not None else c[free].max() > threshold):
-            mask = grow_region(a, c, free, threshold, 2 * most, seed_size)
-            tried += 1
-            free &= ~mask
-            if least < mask.sum() < most:
-                n += 1
-                labels[mask] = n
-        ys, xs = np.nonzero(labels)
-        return pd.DataFrame({"run": key[0], "roi": labels[ys, xs], "y": ys, "x": xs}) if len(ys) else empty
-
-    return movie.groupBy("run").cogroup(cmap.groupBy("run")).applyInPandas(grow, "run string, roi long, y long, x long")
+        rows = []
+        if len(frames) and len(image):
+            frames = frames.sort_values("frame")
+            h, w = int(frames["h"].iloc[0]), int(frames["w"].iloc[0])
+            a = np.stack([[0.0 if v is None else v for v in x] for x in frames["pixels"]]).astype(np.float64).reshape(len(frames), h, w)
+            c = np.zeros((h, w))
+            c[image["y"], image["x"]] = image["r"]
+            level = float(image["_t"].iloc[0])
+            free = c != 0
+            while free.any() and (len(rows) < attempts if attempts is not None else c[free].max() > level):
+                mask = grow_region(a, c, free, level, cap, seed_size)
+                free &= ~mask
+                ys, xs = np.nonzero(mask)
+                rows.append((*key, len(rows) + 1, len(ys), [{"y": int(y), "x": int(x)} for y, x in zip(ys, xs, strict=True)]))
+        return pd.DataFrame(rows, columns=[*keys, "attempt", "size", "pixels"])
+
+    return movie.groupBy(*keys).cogroup(image.groupBy(*keys)).applyInPandas(grow, f"run string, {kinds}attempt long, size long, pixels array<struct<y: bigint, x: bigint>>")
 
 
 def roi_table(roi_pixels: DataFrame, um_per_px: float = 1.0) -> DataFrame:
@@ -433,16 +451,25 @@ def bad_baselines(traces: DataFrame) -> DataFrame:
     return traces.filter("f0 <= 0").select("run", "roi", "f0").distinct()
 
 
-def threshold_sweep(movie: DataFrame, cmap: DataFrame, least: int, most: int, points: tuple[float, ...] = (0.80, 0.85, 0.90, 0.93, 0.95, 0.97)) -> DataFrame:
-    """(run, point, accepted, median_area, at_cap) of growing at percentiles of the map."""
-    out = None
-    cuts = cmap.filter("r <> 0").groupBy("run").agg(*[F.percentile("r", F.lit(p)).alias(f"p{i}") for i, p in enumerate(points)])
-    for i, p in enumerate(points):
-        scaled = cmap.join(cuts.select("run", F.col(f"p{i}").alias("_t")), "run").select("run", "y", "x", "r")
-        level = cuts.agg(F.avg(f"p{i}")).first()[0]
-        if level is None:
-            continue
-        sizes = regions(movie, scaled, level, least, most, None, 3).groupBy("run", "roi").agg(F.count("*").alias("n"))
-        part = sizes.groupBy("run").agg(F.count("*").alias("accepted"), F.percentile("n", F.lit(0.5)).alias("median_area"), F.count_if(F.col("n") >= most - 1).alias("at_cap")).withColumn("point", F.lit(p))
-        out = part if out is None else out.unionByName(part)
-    return out
+#: Percentiles of the map that a sweep tries, and the sizes that it counts.
+POINTS = (0.80, 0.85, 0.90, 0.93, 0.95, 0.97)
+SIZES = ((9, 19), (20, 49), (50, 79), (80, 149), (150, 249), (250, 399), (400, None))
+
+
+def threshold_sweep(movie: DataFrame, cmap: DataFrame, least: int, most: int, points: tuple[float, ...] = POINTS, cap: int | None = None, seed_size: int = 3) -> DataFrame:
+    """(run, point, threshold, attempts, accepted, median_area, at_cap, sizes) of growing at percentiles of each run's positive map.
+
+    Each run and point is one group, so the whole sweep is one job. ``at_cap`` counts all
+    attempts that reached the cap; ``sizes`` counts attempts in SIZES, ends included.
+    """
+    cap = 2 * most if cap is None else cap
+    cuts = cmap.filter("r > 0").groupBy("run").agg(F.percentile("r", F.array(*[F.lit(p) for p in points])).alias("_c"))
+    cuts = cuts.select("run", F.inline(F.arrays_zip(F.array(*[F.lit(float(p)) for p in points]).alias("point"), F.transform("_c", lambda c: F.bround(c, 3)).alias("threshold"))))
+    tried = attempted_regions(movie, cmap.join(cuts, "run"), F.col("threshold"), cap, None, seed_size, by=("point", "threshold"))
+    good = (F.col("size") > least) & (F.col("size") < most)
+    counts = [F.count_if((F.col("size") >= a) & (F.col("size") <= b if b is not None else F.lit(True))).alias(f"s{i}") for i, (a, b) in enumerate(SIZES)]
+    swept = tried.groupBy("run", "point", "threshold").agg(
+        F.count("*").alias("attempts"), F.count_if(good).alias("accepted"), F.coalesce(F.percentile(F.when(good, F.col("size")), F.lit(0.5)), F.lit(0.0)).alias("median_area"),
+        F.count_if(F.col("size") >= cap).alias("at_cap"), *counts,
+    )
+    return swept.select("run", "point", "threshold", "attempts", "accepted", "median_area", "at_cap", F.array(*[f"s{i}" for i in range(len(SIZES))]).alias("sizes"))

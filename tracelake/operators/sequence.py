@@ -70,14 +70,21 @@ def gaussian_mean(df: DataFrame, sigma: float, block: int = BLOCK, as_uint16: bo
     offsets = range(-(taps // 2) + 1, taps // 2 + 1)
     weights = [2.718281828459045 ** (-0.5 * ((o - 0.5) / sigma) ** 2) for o in offsets]
     total = sum(weights)
+    reach = taps // 2
     last = df.groupBy(*KEYS).agg(F.max("frame").alias("last"))
-    kernel = F.explode(F.array(*[F.struct(F.lit(o).alias("o"), F.lit(w / total).alias("w")) for o, w in zip(offsets, weights, strict=True)])).alias("k")
-    spread = df.join(last, list(KEYS)).select(*KEYS, "frame", "v", "last", kernel)
-    # mirrored frames fall back inside, so each input frame may serve a target from either side of an end
-    target = F.explode(F.array_distinct(F.array(F.col("frame") - F.col("k.o"), -1 - F.col("frame") - F.col("k.o"), 2 * F.col("last") + 1 - F.col("frame") - F.col("k.o")))).alias("target")
-    parts = spread.select(*KEYS, "v", "k.w", "last", target).filter(F.col("target").between(0, F.col("last")))
-    smooth = parts.groupBy(*KEYS, F.col("target").alias("frame")).agg((F.sum(F.col("v") * F.col("w"))).alias("v"))
-    return smooth.withColumn("v", F.floor("v").cast("int")) if as_uint16 else smooth
+    # frames near an end stand again in its mirror, outside; the block windows then see a longer trace
+    rows = df.join(last, list(KEYS)).select(*KEYS, "frame", "v", "last")
+    copies = F.array(F.col("frame"), F.when(F.col("frame") < reach, -1 - F.col("frame")), F.when(F.col("frame") > F.col("last") - reach, 2 * F.col("last") + 1 - F.col("frame")))
+    rows = rows.select(*KEYS, "v", "last", F.explode(F.filter(F.array_distinct(copies), lambda x: x.isNotNull())).alias("frame"))
+    # block numbers need frames from 0 on
+    rows = in_blocks(rows.withColumn("frame", F.col("frame") + reach), reach, reach, block)
+    near = F.collect_list(F.struct("frame", "v")).over(along("block").rangeBetween(offsets[0], offsets[-1]))
+    rows = rows.withColumn("near", near).filter("own").withColumn("frame", F.col("frame") - reach).filter(F.col("frame").between(0, F.col("last")))
+    weight = F.array(*[F.lit(w / total) for w in weights])
+    at = F.expr(f"frame + {reach} + ({offsets[0]})")
+    smooth = F.aggregate(F.col("near"), F.lit(0.0), lambda acc, x: acc + F.coalesce(x["v"] * F.get(weight, (x["frame"] - at).cast("int")), F.lit(0.0)))
+    out = rows.select(*KEYS, "frame", smooth.alias("v"))
+    return out.withColumn("v", F.floor("v").cast("int")) if as_uint16 else out
 
 
 def differences(df: DataFrame) -> DataFrame:
@@ -105,8 +112,8 @@ def unit_range(df: DataFrame) -> DataFrame:
 
 def tail_trim(df: DataFrame, frames: int = 3) -> DataFrame:
     """Without the last frames of each run; a run that would lose all keeps all."""
-    n = F.max("frame").over(Window.partitionBy("run")) + 1
-    return df.withColumn("_n", n).filter(F.col("frame") < F.when(F.col("_n") - frames < 1, F.col("_n")).otherwise(F.col("_n") - frames)).drop("_n")
+    n = df.groupBy("run").agg((F.max("frame") + 1).alias("_n"))
+    return df.join(n, "run").filter(F.col("frame") < F.when(F.col("_n") - frames < 1, F.col("_n")).otherwise(F.col("_n") - frames)).select(df.columns)
 
 
 def repair(df: DataFrame, on: int | None = None) -> DataFrame:
@@ -190,46 +197,25 @@ def refine_onsets(bouts: DataFrame, df: DataFrame, lo: Column, limit: int = 30)
 def hysteresis_runs(df: DataFrame, hi: Column, lo: Column, limit: int = 30) -> DataFrame:
     """On above ``hi``, off below ``lo``: offsets are the first frames below ``lo``; onsets are walked back.
 
-    Needs lo < hi, so that a frame can't be both; ``hysteresis_any`` takes any levels.
+    A frame is one of four maps of the state before: it sets on, sets off, leaves it, or
+    (where lo > hi) turns it over. So a state is that of the last frame that set it,
+    turned over as often as frames since have.
     """
     w = along()
-    marks = df.withColumns({"_m": F.when(F.col("v") > hi, 1).when(F.col("v") < lo, 0), "_to": backtracked(df, lo, limit)})
-    state = F.coalesce(F.last("_m", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)), F.lit(0))
-    marks = marks.withColumn("_s", state)
+    so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    up, down = F.coalesce(F.col("v") > hi, F.lit(False)), F.coalesce(F.col("v") < lo, F.lit(False))
+    marks = df.withColumns({"_up": up, "_down": down, "_to": backtracked(df, lo, limit)})
+    marks = marks.withColumn("_t", F.sum((F.col("_up") & F.col("_down")).cast("int")).over(so_far))
+    marks = marks.withColumn("_set", F.last(F.when(F.col("_up") != F.col("_down"), F.struct(F.col("_up").cast("int").alias("on"), F.col("_t").alias("t"))), ignorenulls=True).over(so_far))
+    turned = F.col("_t") - F.coalesce(F.col("_set.t"), F.lit(0))
+    marks = marks.withColumn("_s", (F.coalesce(F.col("_set.on"), F.lit(0)) + turned) % 2)
     marks = marks.withColumn("_edge", ((F.col("_s") == 1) & (F.coalesce(F.lag("_s").over(w), F.lit(0)) == 0)).cast("int"))
-    marks = marks.withColumns({"_g": F.sum("_edge").over(w), "_last": F.max("frame").over(Window.partitionBy(*KEYS))})
-    on = marks.filter("_s = 1").groupBy(*KEYS, "_g").agg(F.max(F.when(F.col("_edge") == 1, F.col("_to"))).alias("onset"), F.max("frame").alias("_e"), F.max("_last").alias("_last"))
+    marks = marks.withColumn("_g", F.sum("_edge").over(so_far))
+    last = df.groupBy(*KEYS).agg(F.max("frame").alias("_last"))
+    on = marks.filter("_s = 1").groupBy(*KEYS, "_g").agg(F.max(F.when(F.col("_edge") == 1, F.col("_to"))).alias("onset"), F.max("frame").alias("_e")).join(last, list(KEYS))
     return on.select(*KEYS, "onset", F.least(F.col("_e") + 1, F.col("_last")).alias("offset"))
 
 
-def hysteresis_any(df: DataFrame, limit: int = 30) -> DataFrame:
-    """As ``hysteresis_runs``, for (.., v, hi, lo) with any order of the levels: with lo > hi states can alternate at each frame."""
-
-    def of(frame):
-        import pandas as pd
-
-        frame = frame.sort_values("frame", ignore_index=True)
-        v, hi, lo = frame["v"].to_numpy(), frame["hi"].iloc[0], frame["lo"].iloc[0]
-        low_before, seen = [], -1
-        for i, x in enumerate(v):
-            low_before.append(seen)
-            if x <= lo:
-                seen = i
-        spans, start = [], None
-        for i, x in enumerate(v):
-            if start is None and x > hi:
-                start = max(i - limit, low_before[i] + 1, 0)
-            elif start is not None and x < lo:
-                spans.append((start, i))
-                start = None
-        if start is not None:
-            spans.append((start, len(v) - 1))
-        out = pd.DataFrame(spans, columns=["onset", "offset"]).astype("int64")
-        return out.assign(run=frame["run"].iloc[0], channel=frame["channel"].iloc[0])[["run", "channel", "onset", "offset"]]
-
-    return df.groupBy(*KEYS).applyInPandas(of, "run string, channel string, onset long, offset long")
-
-
 def run_statistics(df: DataFrame, state: Column) -> DataFrame:
     """(run, channel, kind, n, mean, median, longest): lengths of runs and of the gaps that a run ends."""
     marked = df.withColumn("_s", state)
@@ -283,7 +269,7 @@ def next_event(events: DataFrame, positions: DataFrame) -> DataFrame:
     both = events.select(*KEYS, F.col("onset").alias("frame"), F.col("onset")).unionByName(positions.select(*KEYS, "frame", F.lit(None).cast("bigint").alias("onset")))
     # onsets at the position itself count on neither side
     before = F.max("onset").over(Window.partitionBy(*KEYS).orderBy("frame").rangeBetween(Window.unboundedPreceding, -1))
-    after = F.min("onset").over(Window.partitionBy(*KEYS).orderBy("frame").rangeBetween(1, Window.unboundedFollowing))
+    after = F.min("onset").over(Window.partitionBy(*KEYS).orderBy(F.desc("frame")).rangeBetween(Window.unboundedPreceding, -1))
     return both.withColumns({"previous": before, "next": after}).filter("onset is null").drop("onset")
 
 

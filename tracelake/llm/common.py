@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,6 +10,10 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tracelake.sources.shared import scratch, stored
+
+__all__ = ["WORD", "lower_ascii", "pack", "pack_keys", "scratch", "stored", "table", "text_or_empty", "unpack", "unpack_keys", "whole_groups"]
+
 #: A word is a longest run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -19,29 +22,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that driver and executors share, the session's ``spark.checkpoint.dir``.
-
-    Whoever sets the folder clears it: a result is computed when it is read, so the
-    tables it is read from must outlive the call that wrote them.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back.
-
-    Cuts the lineage: a lost executor costs its running tasks only, and what
-    follows reads the table instead of computing ``df`` again.
-    """
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def lower_ascii(text: Column) -> Column:
     """A-Z to a-z, every other character as it is."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -20,6 +20,7 @@ from tracelake.operators import images as I
 from tracelake.operators import models as M
 from tracelake.operators import sequence as S
 from tracelake.operators import statistics as T
+from tracelake.sources.shared import stored
 
 _FOUND: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 WIDTH, GAP, LEAST = 5, 4, 6
@@ -43,12 +44,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Seconds in a block of the events' numbering.
+HOUR = 3600
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(run, channel, frame, t, v): t in seconds since 2024-01-01."""
-    e = table(spark, sf_dir, "events")
+    """(run, channel, frame, t, v): t in seconds since 2024-01-01, frames numbered by time.
+
+    Events are numbered within hours, from the number of those in the hours before, so
+    that a channel is no task of its own.
+    """
     t = F.expr("timestampdiff(MICROSECOND, timestamp_ntz'2024-01-01 00:00:00', ts)") / 1e6
-    frame = (F.row_number().over(Window.partitionBy("event_type").orderBy("ts", "event_id")) - 1).cast("bigint")
-    return e.select(F.lit("r").alias("run"), F.col("event_type").alias("channel"), frame.alias("frame"), t.alias("t"), F.col("value").alias("v"))
+    e = table(spark, sf_dir, "events").select(F.col("event_type").alias("channel"), t.alias("t"), "ts", "event_id", F.col("value").alias("v"))
+    e = e.withColumn("hour", F.coalesce(F.floor(F.col("t") / HOUR), F.lit(-(1 << 40))))
+    hours = e.groupBy("channel", "hour").agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("channel").orderBy("hour").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("bigint"))
+    within = F.row_number().over(Window.partitionBy("channel", "hour").orderBy("ts", "event_id")) - 1
+    numbered = e.join(hours.select("channel", "hour", before.alias("before")), ["channel", "hour"])
+    return numbered.select(F.lit("r").alias("run"), "channel", (F.col("before") + within).alias("frame"), "t", "v")
 
 
 def movie(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,22 +105,28 @@ def envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.condition(events(spark, sf_dir), WIDTH)
 
 
+def stored_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For queries that read it more than once."""
+    return stored(envelope(spark, sf_dir), "env")
+
+
 def levels_of(env: DataFrame) -> DataFrame:
     return env.groupBy(*KEYS).agg(F.percentile("v", F.lit(0.9)).alias("hi"), F.percentile("v", F.lit(0.7)).alias("lo"), F.percentile("v", F.lit(0.5)).alias("base"))
 
 
-def levelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    env = envelope(spark, sf_dir)
+def levelled(spark: SparkSession, sf_dir: str, env: DataFrame | None = None) -> DataFrame:
+    env = stored_envelope(spark, sf_dir) if env is None else env
     return env.join(levels_of(env), KEYS)
 
 
-def bouts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.merge_intervals(S.hysteresis_runs(levelled(spark, sf_dir), F.col("hi"), F.col("lo")), GAP, LEAST)
+def bouts(spark: SparkSession, sf_dir: str, env: DataFrame | None = None) -> DataFrame:
+    return S.merge_intervals(S.hysteresis_runs(levelled(spark, sf_dir, env), F.col("hi"), F.col("lo")), GAP, LEAST)
 
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    env = envelope(spark, sf_dir)
-    return S.label_bouts(bouts(spark, sf_dir), env, levels_of(env), 15.0, 10, 5, artifact="error", others=("click", "purchase"))
+    env = stored_envelope(spark, sf_dir)
+    found, levels = stored(bouts(spark, sf_dir, env), "bouts"), stored(levels_of(env), "levels")
+    return S.label_bouts(found, env, levels, 15.0, 10, 5, artifact="error", others=("click", "purchase"))
 
 
 @query(f"WITH {ENV} SELECT channel, frame, round(v, 6) + 0.0 AS v FROM env")
@@ -190,7 +209,8 @@ def bout_funnel(spark, sf_dir):
 @query(f"""WITH {BOUTS}, n AS (SELECT channel, max(frame) + 1 AS n FROM env GROUP BY channel), ok AS (SELECT bt.* FROM bt JOIN n USING (channel) WHERE onset - 10 >= 0 AND onset + 10 < n)
     SELECT ok.channel, frame - onset AS at, round(avg(v), 6) + 0.0 AS mean, round(stddev_pop(v) / sqrt(count(v)), 6) + 0.0 AS sem, count(v) AS n FROM ok JOIN env USING (channel) WHERE frame >= onset - 10 AND frame < onset + 10 GROUP BY ok.channel, frame - onset""")
 def event_triggered_average(spark, sf_dir):
-    return S.event_average(bouts(spark, sf_dir), envelope(spark, sf_dir), 10).select("channel", "at", r6("mean", "mean"), r6("sem", "sem"), "n")
+    env = stored_envelope(spark, sf_dir)
+    return S.event_average(bouts(spark, sf_dir, env), env, 10).select("channel", "at", r6("mean", "mean"), r6("sem", "sem"), "n")
 
 
 @query(f"""WITH {BOUTS}, w AS (SELECT channel, unnest(range(greatest(0, ceil((onset - 59) / 15.0)::BIGINT), onset // 15 + 1)) AS k FROM bt), c AS (SELECT channel, k, count(*) AS n FROM w GROUP BY ALL)
@@ -340,23 +360,6 @@ def movie_bins(spark, sf_dir):
     return I.bin_frames(movie(spark, sf_dir), 10).select("y", "x", "frame", r6("v", "v"))
 
 
-_GRID = 7200.0
-
-
-def _grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.range(0, 30 * 24 // 2).select(F.lit("r").alias("run"), F.col("id").alias("frame"), (F.col("id") * _GRID).alias("t"))
-
-
-_INTERP = f"""{EV}, gd AS (SELECT range AS frame, range * {_GRID} AS t FROM range(0, 360)),
-    pn AS (SELECT g.frame, c.channel, g.t, max(e.t) FILTER (e.t <= g.t) AS pt, min(e.t) FILTER (e.t >= g.t) AS nt FROM gd g CROSS JOIN (SELECT DISTINCT channel FROM ev) c JOIN ev e ON e.channel = c.channel GROUP BY ALL),
-    ip AS (SELECT pn.channel, pn.frame, pn.t, CASE WHEN pt = nt THEN p.v ELSE (n.v - p.v) / (nt - pt) * (pn.t - pt) + p.v END AS v FROM pn JOIN ev p ON p.channel = pn.channel AND p.t = pt JOIN ev n ON n.channel = pn.channel AND n.t = nt)"""
-
-
-@query(f"WITH {_INTERP} SELECT channel, frame, round(v, 6) + 0.0 AS v FROM ip")
-def interp_align(spark, sf_dir):
-    return A.interpolate(events(spark, sf_dir), _grid(spark, sf_dir)).select("channel", "frame", r6("v", "v"))
-
-
 _RUNS = [("two", 137, 9000, 9100, None, 600.0, 1 / 30.0), ("one", 119, 28778, 28800, 30.0, 1200.0, 1 / 30.0)]
 _RUN_SQL = "(VALUES ('two', 137, 9000, 9100, NULL, 600.0, 1 / 30.0), ('one', 119, 28778, 28800, 30.0, 1200.0, 1 / 30.0)) t(run, \"on\", \"off\", n_cam, cam_fps, t_last, period)"
 
@@ -376,56 +379,7 @@ def coverage_cut(spark, sf_dir):
     return A.covered(A.neural_clock(frames), _cameras(spark)).groupBy("run").agg(F.count("*").alias("kept"), F.max("frame").cast("bigint").alias("last"))
 
 
-@query(f"""WITH {RV}, n AS (SELECT channel FROM (SELECT DISTINCT channel FROM rv) ORDER BY channel::INT LIMIT 12), z AS (SELECT channel, frame, coalesce((v - avg(v) OVER w) / nullif(stddev_pop(v) OVER w, 0), 0) AS z FROM rv WHERE channel::INT < 12 WINDOW w AS (PARTITION BY channel))
-    SELECT a.channel AS roi, b.channel, a.frame - b.frame AS lag, round(sum(a.z * b.z) / 64, 6) + 0.0 AS r FROM z a JOIN z b ON a.channel::INT < 8 AND b.channel::INT >= 8 AND abs(a.frame - b.frame) <= 10 GROUP BY ALL""")
-def xcorr_lags(spark, sf_dir):
-    n = F.col("channel").cast("int")
-    d = rois(spark, sf_dir)
-    return R.cross_correlation(d.filter(n < 8), d.filter((n >= 8) & (n < 12)), 10).select("roi", "channel", F.col("lag").cast("bigint").alias("lag"), r6("r", "r"))
-
-
-_ACF = f"{RV}, ce AS (SELECT channel, frame, v - avg(v) OVER (PARTITION BY channel) AS v FROM rv WHERE channel::INT < 12), ac AS (SELECT a.channel, b.frame - a.frame AS lag, sum(a.v * b.v) AS s FROM ce a JOIN ce b ON a.channel = b.channel AND b.frame - a.frame BETWEEN 0 AND 15 GROUP BY ALL), ar AS (SELECT channel, lag, coalesce(s / nullif(max(s) FILTER (lag = 0) OVER (PARTITION BY channel), 0), 0) AS r FROM ac)"
-
-
-@query(f"WITH {_ACF} SELECT channel, lag, round(r, 6) + 0.0 AS r FROM ar")
-def acf(spark, sf_dir):
-    return R.autocorrelation(rois(spark, sf_dir).filter(F.col("channel").cast("int") < 12), 15).select("channel", F.col("lag").cast("bigint").alias("lag"), r6("r", "r"))
-
-
-@query(f"""WITH {_ACF}, b AS (SELECT x.channel AS roi, y.channel, x.lag, x.r * y.r AS p, x.r <= 0 OR y.r <= 0 AS stop FROM ar x JOIN ar y ON x.lag = y.lag AND x.lag > 0 AND x.channel::INT < 8 AND y.channel::INT >= 8),
-    c AS (SELECT *, coalesce(min(lag) FILTER (stop) OVER (PARTITION BY roi, channel), 16) AS k FROM b), n AS (SELECT roi, channel, 64 / greatest(1 + 2 * coalesce(sum(p) FILTER (lag < k), 0), 1.0) AS n FROM c GROUP BY ALL)
-    SELECT roi, channel, round(n, 5) AS n_eff, round(2 / sqrt(greatest(n - 3, 1.0)), 5) AS floor FROM n""")
-def n_eff_floor(spark, sf_dir):
-    n = F.col("channel").cast("int")
-    d = rois(spark, sf_dir)
-    return R.effective_n(d.filter(n < 8), d.filter((n >= 8) & (n < 12)), 15).select("roi", "channel", F.round("n_eff", 5).alias("n_eff"), F.round("floor", 5).alias("floor"))
-
-
-@query(f"WITH {RV} SELECT a.channel AS roi, b.channel, round(corr(a.v, b.v), 6) + 0.0 AS r FROM rv a JOIN rv b ON a.frame = b.frame AND b.channel::INT < 5 GROUP BY ALL")
-def roi_behaviour_corr(spark, sf_dir):
-    d = rois(spark, sf_dir)
-    return R.lag_zero(d, d.filter(F.col("channel").cast("int") < 5)).select("roi", "channel", r6("r", "r"))
-
-
-@query(f"WITH {RV}, c AS (SELECT a.channel AS roi, b.channel, corr(a.v, b.v) AS r FROM rv a JOIN rv b ON a.frame = b.frame AND b.channel::INT < 5 GROUP BY ALL) SELECT channel, round(avg((abs(r) > 0.25)::INT), 6) AS fraction FROM c GROUP BY channel")
-def fraction_above_floor(spark, sf_dir):
-    d = rois(spark, sf_dir)
-    return T.fraction_above(R.lag_zero(d, d.filter(F.col("channel").cast("int") < 5)), "r", F.lit(0.25), ("channel",)).select("channel", F.round("fraction", 6).alias("fraction"))
-
-
-@query(f"""WITH {_INTERP}, z AS (SELECT channel, count(*) AS n, count(*) FILTER (v IS NULL OR isnan(v) OR isinf(v)) AS bad FROM ip GROUP BY channel)
-    SELECT 'r' AS run, bool_and(n = (SELECT max(n) FROM z)) AS lengths, sum(bad) = 0 AS finite FROM z""")
-def gate_checks(spark, sf_dir):
-    bundle = A.interpolate(events(spark, sf_dir), _grid(spark, sf_dir))
-    # channels share the frames that all of them cover
-    clock = bundle.groupBy("run", "frame", "t").count().select("run", "frame", "t")
-    most = bundle.groupBy("run", "channel").count().groupBy("run").agg(F.max("count").alias("m"))
-    first = clock.join(most, "run").withColumn("i", F.row_number().over(Window.partitionBy("run").orderBy("frame"))).filter("i <= m").select("run", "frame", "t")
-    rows = R.structural_checks(bundle, first)
-    return rows.groupBy("run").pivot("check", ["lengths", "finite"]).agg(F.first("ok"))
-
-
-# whole tables: every ROI against every event channel. The queries above keep the id subsets and the fixed grid of their SQL.
+# every ROI against every event channel
 
 
 def behaviour(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -447,30 +401,30 @@ def _acf_sql(name: str, table: str) -> str:
 
 
 @query(f"WITH {RV}, {_acf_sql('ar', 'rv')} SELECT channel, lag, round(r, 6) + 0.0 AS r FROM ar")
-def acf_whole(spark, sf_dir):
+def acf(spark, sf_dir):
     return R.autocorrelation(rois(spark, sf_dir), 15).select("channel", F.col("lag").cast("bigint").alias("lag"), r6("r", "r"))
 
 
 @query(f"""WITH {BV}, zr AS (SELECT channel, frame, coalesce((v - avg(v) OVER w) / nullif(stddev_pop(v) OVER w, 0), 0) AS z FROM rv WINDOW w AS (PARTITION BY channel)), zb AS (SELECT channel, frame, coalesce((v - avg(v) OVER w) / nullif(stddev_pop(v) OVER w, 0), 0) AS z FROM bv WINDOW w AS (PARTITION BY channel))
     SELECT a.channel AS roi, b.channel, a.frame - b.frame AS lag, round(sum(a.z * b.z) / (SELECT n FROM sp), 6) + 0.0 AS r FROM zr a JOIN zb b ON abs(a.frame - b.frame) <= 10 GROUP BY ALL""")
-def xcorr_lags_whole(spark, sf_dir):
+def xcorr_lags(spark, sf_dir):
     return R.cross_correlation(rois(spark, sf_dir), behaviour(spark, sf_dir), 10).select("roi", "channel", F.col("lag").cast("bigint").alias("lag"), r6("r", "r"))
 
 
 @query(f"""WITH {BV}, {_acf_sql('ar', 'rv')}, {_acf_sql('ab', 'bv')}, b AS (SELECT x.channel AS roi, y.channel, x.lag, x.r * y.r AS p, x.r <= 0 OR y.r <= 0 AS stop FROM ar x JOIN ab y ON x.lag = y.lag AND x.lag > 0),
     c AS (SELECT *, coalesce(min(lag) FILTER (stop) OVER (PARTITION BY roi, channel), 16) AS k FROM b), n AS (SELECT roi, channel, (SELECT n FROM sp) / greatest(1 + 2 * coalesce(sum(p) FILTER (lag < k), 0), 1.0) AS n FROM c GROUP BY ALL)
     SELECT roi, channel, round(n, 5) AS n_eff, round(2 / sqrt(greatest(n - 3, 1.0)), 5) AS floor FROM n""")
-def n_eff_floor_whole(spark, sf_dir):
+def n_eff_floor(spark, sf_dir):
     return R.effective_n(rois(spark, sf_dir), behaviour(spark, sf_dir), 15).select("roi", "channel", F.round("n_eff", 5).alias("n_eff"), F.round("floor", 5).alias("floor"))
 
 
 @query(f"WITH {BV} SELECT a.channel AS roi, b.channel, round(corr(a.v, b.v), 6) + 0.0 AS r FROM rv a JOIN bv b ON a.frame = b.frame GROUP BY ALL")
-def roi_behaviour_corr_whole(spark, sf_dir):
+def roi_behaviour_corr(spark, sf_dir):
     return R.lag_zero(rois(spark, sf_dir), behaviour(spark, sf_dir)).select("roi", "channel", r6("r", "r"))
 
 
 @query(f"WITH {BV}, c AS (SELECT a.channel AS roi, b.channel, corr(a.v, b.v) AS r FROM rv a JOIN bv b ON a.frame = b.frame GROUP BY ALL) SELECT channel, round(avg((abs(r) > 0.25)::INT), 6) AS fraction FROM c GROUP BY channel")
-def fraction_above_floor_whole(spark, sf_dir):
+def fraction_above_floor(spark, sf_dir):
     return T.fraction_above(R.lag_zero(rois(spark, sf_dir), behaviour(spark, sf_dir)), "r", F.lit(0.25), ("channel",)).select("channel", F.round("fraction", 6).alias("fraction"))
 
 
@@ -489,10 +443,22 @@ _CLOCK = f"""{EV}, gd AS (SELECT unnest(range(n)) AS frame, t0, t1, n FROM (SELE
 
 
 @query(f"WITH {_CLOCK} SELECT channel, frame, round(v, 6) + 0.0 AS v FROM ip")
-def interp_align_whole(spark, sf_dir):
+def interp_align(spark, sf_dir):
     return A.interpolate(events(spark, sf_dir), _event_clock(spark, sf_dir)).select("channel", "frame", r6("v", "v"))
 
 
+@query(f"""WITH {_CLOCK}, z AS (SELECT channel, count(*) AS n, count(*) FILTER (v IS NULL OR isnan(v) OR isinf(v)) AS bad FROM ip GROUP BY channel), k AS (SELECT frame, t, row_number() OVER (ORDER BY frame) AS i FROM (SELECT DISTINCT frame, t FROM ip)), c AS (SELECT * FROM k WHERE i <= (SELECT max(n) FROM z)),
+    s AS (SELECT t - lag(t) OVER (ORDER BY frame) AS d FROM c)
+    SELECT 'r' AS run, bool_and(n = (SELECT count(*) FROM c)) AS lengths, sum(bad) = 0 AS finite, (SELECT min(t) FROM c) = 0 AS starts_at_zero, (SELECT coalesce(min(d) > 0, true) FROM s) AS increasing FROM z""")
+def gate_checks(spark, sf_dir):
+    bundle = stored(A.interpolate(events(spark, sf_dir), _event_clock(spark, sf_dir)), "bundle")
+    clock = bundle.select("run", "frame", "t").distinct()
+    most = bundle.groupBy("run", "channel").count().groupBy("run").agg(F.max("count").alias("m"))
+    first = clock.join(most, "run").withColumn("i", F.row_number().over(Window.partitionBy("run").orderBy("frame"))).filter("i <= m").select("run", "frame", "t")
+    rows = R.structural_checks(bundle, first)
+    return rows.groupBy("run").pivot("check", ["lengths", "finite", "starts_at_zero", "increasing"]).agg(F.first("ok"))
+
+
 @query("SELECT channel FROM (SELECT event_type AS channel, user_id % 7 AS run FROM events GROUP BY ALL) GROUP BY channel HAVING count(*) = (SELECT count(DISTINCT user_id % 7) FROM events)")
 def common_channels(spark, sf_dir):
     e = table(spark, sf_dir, "events").select((F.col("user_id") % 7).alias("run"), F.col("event_type").alias("channel"))
@@ -517,10 +483,11 @@ def half_even_frames(spark, sf_dir):
     return d.select("run", X.seconds_to_frames(F.col("s"), F.col("fps")).alias("frames"))
 
 
-@query("SELECT url, lpad(regexp_extract(url, '([0-9]+)', 1), 6, '0') AS n, regexp_replace(url, '[\\s]+', '_', 'g') AS safe, substr(sha1(url), 1, 12) AS digest FROM pages")
+@query("""SELECT url, array_to_string(list_transform(regexp_extract_all(lower(url), '([0-9]+|[^0-9]+)', 1), lambda x: CASE WHEN regexp_full_match(x, '[0-9]+') THEN lpad(CASE WHEN ltrim(x, '0') = '' THEN '0' ELSE ltrim(x, '0') END, 20, '0') ELSE x END), chr(1)) AS n,
+    regexp_replace(url, '[\\s]+', '_', 'g') AS safe, substr(sha1(url), 1, 12) AS digest FROM pages""")
 def text_keys(spark, sf_dir):
     u = F.col("url")
-    return table(spark, sf_dir, "pages").select("url", F.lpad(F.regexp_extract(u, "([0-9]+)", 1), 6, "0").alias("n"), X.safe_name(u).alias("safe"), X.params_hash_of(u).alias("digest"))
+    return table(spark, sf_dir, "pages").select("url", X.natural_key(u).alias("n"), X.safe_name(u).alias("safe"), X.params_hash_of(u).alias("digest"))
 
 
 @query()
@@ -556,20 +523,12 @@ def low_rank_movie(spark, sf_dir):
     return I.low_rank(movie(spark, sf_dir), 5).select("y", "x", "frame", r6("v", "v"))
 
 
-@query()
-def band_power(spark, sf_dir):
-    return M.band_power(M.periodogram(events(spark, sf_dir), 15.0), {"slow": (0.0, 1.0), "fast": (1.0, 8.0)}).select("channel", r6("peak_hz", "peak_hz"), r6("slow", "slow"), r6("fast", "fast"))
-
-
-@query()
-def box_problems(spark, sf_dir):
-    boxes = spark.createDataFrame([("m", *b) for b in [*_BOXES, ("paw", 0, 0, 2, 2), ("tail", 3, 2, 8, 7)]], "run string, box string, x0 int, y0 int, x1 int, y1 int")
-    return C.box_problems(boxes)
-
-
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    from tracelake.plans import checks, derived  # noqa: F401  they register their queries
+
     return {name: f for name, (f, _) in _FOUND.items()}
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return {name: sql for name, (_, sql) in _FOUND.items() if sql}

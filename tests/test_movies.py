@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tracelake.operators import checks as C
 from tracelake.operators import images as I
-from tracelake.plans import queries
+from tracelake.plans import flows, queries
 from tracelake.sources import discovery, metadata, sinks, tiff
 from tracelake.streaming import motion
 
@@ -244,6 +244,66 @@ def test_sweep_takes_each_runs_own_thresholds(spark):
     assert I.threshold_sweep(frames.limit(0), cmap.limit(0), 2, 30).count() == 0
 
 
+def test_flows_isolate_runs_that_fail(spark):
+    rng = np.random.default_rng(23)
+    y, x = np.mgrid[:24, :26]
+    cells = [np.exp(-((y - cy) ** 2 + (x - cx) ** 2) / 6) for cy, cx in ((8, 9), (15, 17))]
+    signals = rng.gamma(1.0, 4.0, (2, 40))
+    a = sum(c[None] * s[:, None, None] for c, s in zip(cells, signals, strict=True)) + rng.normal(0, 0.1, (40, 24, 26)) + 20 + 6 * rng.normal(size=(24, 26))
+    rows = [(run, t, 24, 26, a[t].ravel().tolist(), "p", "cut" if run == "torn" and t == 30 else None) for run, n in (("good", 40), ("short", 35), ("torn", 40)) for t in range(n)]
+    frames = spark.createDataFrame(rows, I.FRAMES + ", part string, error string").cache()
+    expected = spark.createDataFrame([(r, 40) for r in ("good", "short", "torn", "gone")], "run string, expected int")
+    boxes = spark.createDataFrame([(r, "paw", 2, 3, 9, 8) for r in ("good", "short", "torn")], "run string, box string, x0 int, y0 int, x1 int, y1 int")
+    out = flows.behaviour(frames, boxes, expected)
+    got = {r["run"]: (r["status"], r["reason"]) for r in out["outcomes"].collect()}
+    assert got == {"good": ("flagged", None), "short": ("failed", "35 of 40 frames"), "torn": ("failed", "frame 30: cut"), "gone": ("failed", "no frames")}
+    lum = out["traces"].orderBy("frame").collect()
+    assert [r["run"] for r in lum] == ["good"] * 40 and np.allclose([r["lum"] for r in lum], a[:, 3:8, 2:9].mean(axis=(1, 2)))
+    assert flows.exit_code(out["outcomes"]) == 2 and flows.exit_code(out["outcomes"].filter("run = 'good'")) == 3
+    out = flows.calcium(frames, expected, flows.Extraction(bin=1, threshold=0.6, least=3, most=120, attempts=4, border=2, least_rois=2))
+    assert {r["run"]: r["status"] for r in out["outcomes"].collect()} == {"good": "ok", "short": "failed", "torn": "failed", "gone": "failed"}
+    rois = out["rois"].collect()
+    near = [min(rois, key=lambda r: (r["cy"] - cy) ** 2 + (r["cx"] - cx) ** 2) for cy, cx in ((8, 9), (15, 17))]
+    for r, s in zip(near, signals, strict=True):
+        f = [v["dff"] for v in out["traces"].filter(F.col("roi") == r["roi"]).orderBy("frame").collect()]
+        assert np.corrcoef(f, s)[0, 1] > 0.8
+
+
+def test_crops_and_sweeps_of_bins(spark):
+    rng = np.random.default_rng(24)
+    a = rng.normal(size=(24, 9, 10)) + np.repeat(rng.normal(size=(24, 1, 1)), 9, axis=1)
+    p = pixels_of(spark, a)
+    got = I.centre_crop(p, 4).orderBy("frame", "y", "x").collect()
+    assert np.allclose([r["v"] for r in got], a[:, 2:6, 3:7].ravel()) and I.centre_crop(p, 20).count() == a.size
+    swept = {r["bin"]: r["median"] for r in I.bin_sweep(p, (1, 4), 6).collect()}
+    one = [r["r"] for r in I.correlation_map(I.to_frames(I.centre_crop(p, 6))).collect()]
+    assert abs(swept[1] - np.median(one)) < 1e-9 and set(swept) == {1, 4}
+    assert I.denoised_or_not(p, 1, 8).first()["keep"] in (True, False)
+    with pytest.raises(ValueError, match="stage"):
+        I.prepared(I.to_frames(p), "never", 2)
+
+
+def test_loading_in_tiers(spark):
+    runs = spark.createDataFrame([("a",), ("b",)], "run string")
+    part = runs.filter("run = 'a'")
+    assert {r["run"]: r["missing"] for r in discovery.tiers(runs, {"traces": runs}, {"meta": part, "rois": runs}).collect()} == {"a": [], "b": ["meta"]}
+    with pytest.raises(Exception, match="traces is missing for b"):
+        discovery.tiers(runs, {"traces": part}, {}).collect()
+    image = spark.createDataFrame([("a", 1, 0, 0), ("a", 1, 0, 2), ("a", 2, 4, 4)], "run string, roi int, y int, x int")
+    rows = spark.createDataFrame([("a", 0, [1.0, 2.0, 3.0]), ("a", 1, [4.0, 5.0, 6.0])], "run string, row int, values array<double>")
+    got = discovery.neural_traces(rows, image).orderBy("roi", "frame").collect()
+    assert [(r["roi"], r["frame"], r["f"], r["cx"]) for r in got][:4] == [(1, 0, 1.0, 1.0), (1, 1, 2.0, 1.0), (1, 2, 3.0, 1.0), (2, 0, 4.0, 4.0)]
+    side = spark.createDataFrame([("a", i, [1.0, 2.0]) for i in range(3)], "run string, row int, values array<double>")
+    with pytest.raises(Exception, match="transposed"):
+        discovery.neural_traces(side, image).collect()
+    parts = spark.createDataFrame([("a", 0, 10), ("a", 1, 5), ("b", 0, 7), ("b", 1, 3)], "run string, part int, n int")
+    want = spark.createDataFrame([("a", 10), ("b", 10)], "run string, expected int")
+    assert sorted((r["run"], r["part"]) for r in discovery.parts_to_read(parts, want).collect()) == [("a", 0), ("b", 0), ("b", 1)]
+    files = discovery.split_path(spark.createDataFrame([("/r/a/x.tif", 5), ("/r/a/y.tif", 0)], "path string, length long"))
+    more = discovery.split_path(spark.createDataFrame([("/r/a/x.tif", 5), ("/r/b/z.tif", 9)], "path string, length long"))
+    assert sorted(map(tuple, discovery.runs_of_roots(files, more).collect())) == [("/r/a", 1, 5, 0), ("/r/b", 1, 9, 1)] and discovery.any_runs(files).first()["n"] == 2
+
+
 def test_low_rank(spark):
     rng = np.random.default_rng(7)
     a = (rng.normal(size=(12, 2)) @ rng.normal(size=(2, 20))).reshape(12, 4, 5)

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracelake.functions import expressions as X
+from tracelake.sources.shared import stored
 
 FRAMES = "run string, frame long, h int, w int, pixels array<double>"
 
@@ -165,6 +166,40 @@ def keep_denoised(plain: DataFrame, denoised: DataFrame, margin: float = 0.02) -
     return denoised.join(plain.withColumnRenamed("gap", "_p"), "run").select("run", (F.col("gap") > F.col("_p") + margin).alias("keep"))
 
 
+def centre_crop(pixels: DataFrame, side: int = 128) -> DataFrame:
+    """The middle ``side`` by ``side`` pixels of each run's images (all of smaller ones), renumbered from 0."""
+    size = pixels.groupBy("run").agg((F.max("y") + 1).alias("_h"), (F.max("x") + 1).alias("_w"))
+    low = {c: F.greatest(F.lit(0), F.floor((F.col(n) - side) / 2)).cast("int") for c, n in (("y", "_h"), ("x", "_w"))}
+    cut = pixels.join(size, "run").withColumns({"_y": F.col("y") - low["y"], "_x": F.col("x") - low["x"]})
+    return cut.filter(F.col("_y").between(0, side - 1) & F.col("_x").between(0, side - 1)).select("run", "frame", F.col("_y").alias("y"), F.col("_x").alias("x"), "v")
+
+
+def denoised_or_not(pixels: DataFrame, rank: int, side: int = 128, margin: float = 0.02) -> DataFrame:
+    """(run, keep): whether a rank's approximation separates bright from dim pixels better, judged on a centre crop."""
+    plain = centre_crop(pixels, side)
+    gaps = [contrast_gap(correlation_map(to_frames(x)), mean_image(x)) for x in (plain, low_rank(plain, rank))]
+    return keep_denoised(*gaps, margin)
+
+
+def bin_sweep(pixels: DataFrame, bins: tuple[int, ...], side: int = 128) -> DataFrame:
+    """(run, bin, median, p95) of the centre crop's correlation map for means over each number of frames."""
+    crop, out = centre_crop(pixels, side), None
+    for n in bins:
+        part = correlation_map(to_frames(bin_frames(crop, n))).groupBy("run").agg(F.lit(n).alias("bin"), F.percentile("r", F.lit(0.5)).alias("median"), F.percentile("r", F.lit(0.95)).alias("p95"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def prepared(frames: DataFrame, stage: str, rank: int) -> DataFrame:
+    """Registered frames, with the rank's approximation made ``pre`` or ``post`` registration, or not at all (``off``)."""
+    if stage not in ("off", "pre", "post"):
+        raise ValueError(f"no such stage: {stage}")
+    if stage == "pre":
+        frames = to_frames(low_rank(to_pixels(frames), rank))
+    moved = register(frames)[0]
+    return to_frames(low_rank(to_pixels(moved), rank)) if stage == "post" else moved
+
+
 def extraction_audit(cmap: DataFrame, mean: DataFrame, roi_pixels: DataFrame, near: float = 0.08) -> DataFrame:
     """(run, claimed, unclaimed, cells_missed): bright pixels in and out of ROIs; medians within ``near`` mean that cells were missed."""
     cut = mean.groupBy("run").agg(F.percentile("v", F.lit(0.99)).alias("_c"))
@@ -276,10 +311,11 @@ def register(frames: DataFrame, upsample: int = 10, smooth: float = 0.0) -> tupl
     """(moved frames, shifts): rigid registration in two passes.
 
     Shifts to the mean image give a sharper mean, shifts of the raw frames to that are
-    applied once. ``shifts`` has ``pass`` 1 and 2.
+    applied once. ``shifts`` has ``pass`` 1 and 2; both are written to the shared folder as
+    soon as they are found.
     """
-    first = estimate_shifts(frames, template_of(frames), upsample, smooth)
-    second = estimate_shifts(frames, template_of(apply_shifts(frames, first)), upsample, smooth)
+    first = stored(estimate_shifts(frames, template_of(frames), upsample, smooth), "shifts")
+    second = stored(estimate_shifts(frames, template_of(apply_shifts(frames, first)), upsample, smooth), "shifts")
     return apply_shifts(frames, second), first.withColumn("pass", F.lit(1)).unionByName(second.withColumn("pass", F.lit(2)))
 
 

@@ -1,6 +1,9 @@
 """Finding recordings: file listings as tables, and the rules that make runs of them.
 
 A listing is (path, length); nothing is read but names and sizes.
+
+Cases: paths are distinct and not null; files of equal names keep their folder apart; an
+empty listing has no folders.
 """
 
 from __future__ import annotations
@@ -46,6 +49,58 @@ def runs(files: DataFrame, outputs: str = "proc") -> DataFrame:
     return images(files).filter(~F.col("folder").rlike(rf"/(\.[^/]*|{outputs})(/|$)")).groupBy("folder").agg(F.count("*").alias("n"), F.sum("length").alias("bytes"))
 
 
+def runs_of_roots(*listings: DataFrame, outputs: str = "proc") -> DataFrame:
+    """(folder, n, bytes, root) over several roots in order; a folder that more than one root holds counts for the first."""
+    out = None
+    for i, files in enumerate(listings):
+        part = runs(files, outputs).withColumn("root", F.lit(i))
+        out = part if out is None else out.unionByName(part)
+    return out.groupBy("folder").agg(F.min(F.struct("root", "n", "bytes")).alias("r")).select("folder", "r.n", "r.bytes", "r.root")
+
+
+def any_runs(files: DataFrame) -> DataFrame:
+    """(folder, n) of all folders with TIFF files, empty and hidden ones too."""
+    return files.filter(F.lower("name").rlike(r"\.tiff?$")).groupBy("folder").agg(F.count("*").alias("n"))
+
+
+def parts_to_read(parts: DataFrame, expected: DataFrame) -> DataFrame:
+    """(run, part, n) of the parts that make a run: the first alone if it has the ``expected`` frames, else all of them.
+
+    A series that was not broken names all its files in the first one.
+    """
+    first = parts.groupBy("run").agg(F.min(F.struct("part", "n")).alias("f"))
+    chosen = parts.join(first, "run").join(expected, "run", "left")
+    alone = F.coalesce(F.col("f.n") == F.col("expected"), F.lit(False))
+    return chosen.filter(~alone | (F.col("part") == F.col("f.part"))).select("run", "part", "n")
+
+
+def tiers(runs_: DataFrame, needed: dict[str, DataFrame], wanted: dict[str, DataFrame]) -> DataFrame:
+    """(run, missing: names of ``wanted`` tables without the run); a run that a ``needed`` table lacks raises when it is read."""
+    for name, table in (needed | wanted).items():
+        runs_ = runs_.join(table.select("run").distinct().withColumn(f"_{name}", F.lit(True)), "run", "left")
+    for name in needed:
+        lacking = F.raise_error(F.concat(F.lit(f"{name} is missing for "), F.col("run").cast("string"))).cast("boolean")
+        runs_ = runs_.filter(F.when(F.col(f"_{name}"), F.lit(True)).otherwise(lacking))
+    missing = F.filter(F.array(*[F.when(F.col(f"_{name}").isNull(), F.lit(name)) for name in wanted]), lambda x: x.isNotNull())
+    return runs_.select("run", missing.cast("array<string>").alias("missing"))
+
+
+def neural_traces(rows: DataFrame, label_image: DataFrame) -> DataFrame:
+    """(run, roi, frame, f, cx, cy) from (run, row, values: array) and the labelled pixels (run, roi, y, x).
+
+    Row k of a run belongs to its label k, so both must be as many; a matrix that lies on
+    its side (as many values in a row as there are labels) raises and says so. Centres
+    come from the label image.
+    """
+    centres = label_image.groupBy("run", "roi").agg(F.avg("x").alias("cx"), F.avg("y").alias("cy"))
+    labels = centres.groupBy("run").agg(F.count("*").alias("labels"))
+    shape = rows.groupBy("run").agg(F.count("*").alias("rows"), F.max(F.size("values")).alias("columns")).join(labels, "run")
+    wrong = F.when(F.col("columns") == F.col("labels"), "the matrix is transposed: ").otherwise("rows and labels differ: ")
+    sound = shape.filter(F.when(F.col("rows") == F.col("labels"), F.lit(True)).otherwise(F.raise_error(F.concat(wrong, F.col("run").cast("string"))).cast("boolean")))
+    flat = rows.join(sound.select("run"), "run").select("run", (F.col("row") + 1).alias("roi"), F.posexplode("values").alias("frame", "f"))
+    return flat.join(centres, ["run", "roi"])
+
+
 def movie_of(files: DataFrame) -> DataFrame:
     """(folder, path): the first OME file by natural order, else the largest TIFF."""
     rank = Window.partitionBy("folder").orderBy(F.desc(F.lower("name").contains(".ome.")), F.when(F.lower("name").contains(".ome."), X.natural_key(F.col("name"))), F.desc("length"), "name")

@@ -28,12 +28,16 @@ def series_header(docs: DataFrame) -> DataFrame:
 
 
 def state_values(docs: DataFrame) -> DataFrame:
-    """(path, values, indexed): the first state shard's plain values, and its indexed ones as key[index]. Values stay text."""
-    plain = F.expr("map_from_entries(array_distinct(arrays_zip(xpath(xml, '//PVStateShard[1]/PVStateValue[@value]/@key'), xpath(xml, '//PVStateShard[1]/PVStateValue[@value]/@value'))))")
-    names = "xpath(xml, '//PVStateShard[1]/PVStateValue/IndexedValue/../@key')"
-    keys = F.expr("xpath(xml, '//PVStateShard[1]/PVStateValue/IndexedValue/@index')")
-    values = F.expr("xpath(xml, '//PVStateShard[1]/PVStateValue/IndexedValue/@value')")
-    return docs.select("path", plain.alias("values"), F.expr(names).alias("indexed_keys"), F.arrays_zip(keys.alias("index"), values.alias("value")).alias("indexed"))
+    """(path, values, indexed_keys, indexed, subindexed): the first state shard's plain values, and its indexed and sub-indexed ones in order. Values stay text."""
+    shard = "//PVStateShard[1]/PVStateValue"
+    both = lambda at, of: F.arrays_zip(F.expr(f"xpath(xml, '{at}')").alias("key"), F.expr(f"xpath(xml, '{of}')").alias("value"))
+    pairs = both(f"{shard}[@value]/@key", f"{shard}[@value]/@value")
+    # a key with several values keeps its first
+    first = F.aggregate(pairs, F.create_map().cast("map<string,string>"), lambda m, x: F.when(F.map_contains_key(m, x["key"]), m).otherwise(F.map_concat(m, F.create_map(x["key"], x["value"]))))
+    names = F.expr(f"xpath(xml, '{shard}/IndexedValue/../@key')")
+    values = F.arrays_zip(F.expr(f"xpath(xml, '{shard}/IndexedValue/@index')").alias("index"), F.expr(f"xpath(xml, '{shard}/IndexedValue/@value')").alias("value"))
+    deep = F.arrays_zip(F.expr(f"xpath(xml, '{shard}/SubindexedValues/SubindexedValue/../@index')").alias("group"), F.expr(f"xpath(xml, '{shard}/SubindexedValues/SubindexedValue/@subindex')").alias("index"), F.expr(f"xpath(xml, '{shard}/SubindexedValues/SubindexedValue/@value')").alias("value"))
+    return docs.select("path", first.alias("values"), names.alias("indexed_keys"), values.alias("indexed"), deep.alias("subindexed"))
 
 
 def rig(docs: DataFrame) -> DataFrame:

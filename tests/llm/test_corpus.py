@@ -488,6 +488,12 @@ def test_secrets_beyond_a_base_span(spark):
     for text in clean.values():
         assert all(x not in text for x in (key, token, hexes, key[4:-4], token[4:-4]))
     assert clean[0].startswith("id ") and clean[0].endswith(" end")
+    # beside what the allow list names, too; the named stretch itself stays
+    joined = [f"docs/example/{token}", f"2024-01-01-{token}", f"550e8400-e29b-41d4-a716-446655440000_{token}", f"{token}-xxxxxxxxxxxxxxxx9", f"example{token}", "my-placeholder-token-2024-01-01-12345"]
+    clean = {r["doc_id"]: r["text"] for r in secrets.redact(documents(spark, joined)).collect()}
+    assert all(token[4:-4] not in clean[i] for i in range(4)) and clean[4] == joined[4] and clean[5] == joined[5]
+    assert "example" in clean[0] and "2024-01-01" in clean[1] and "550e8400-e29b-41d4-a716-446655440000" in clean[2] and "xxxxxxxx" in clean[3]
+    same(secrets.report(documents(spark, [*texts, *joined])), secrets.oracle(), documents=documents(spark, [*texts, *joined]))
 
 
 def test_secrets_equal_sql(spark):

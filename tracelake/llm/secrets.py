@@ -6,8 +6,10 @@ one letter case with digits, both cases with digits; others can't be told from p
 and are left out) with its own threshold. A window slides over the run; its Shannon
 entropy is kept up to date from the counts of the character that enters and the one
 that leaves, and the span goes from the first window at or over the threshold to the
-last. Base spans always stay and are cut out of the runs: what is left on either side
-counts as a run of its own. Runs that the allow list matches are dropped.
+last. Base spans always stay and are cut out of the runs, and so are the stretches that
+the allow list names: UUIDs, dates, and whole tokens that say they are examples or
+placeholders. What is left on either side counts as a run of its own, so a secret beside
+such a stretch is still found. What is left of words joined by hyphens is dropped.
 
 Positions are code points, ends exclusive. They follow from splitting the text at the
 matches: a match starts after all pieces and matches before it.
@@ -28,13 +30,13 @@ WORDS = ("password", "passwd", "secret", "token", "api_?key")
 #: Entropy thresholds in bits by character class, for a window of 20 characters.
 WINDOW = 20
 THRESHOLDS = {"hex": 2.95, "one_case": 3.45, "both_cases": 3.75}
-#: Runs that aren't secrets: UUIDs, dates and times, words joined by hyphens, placeholders.
-ALLOW = (
-    r"^[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}$",
-    r"^[0-9]{4}-[0-9]{2}-[0-9]{2}",
-    r"^[A-Za-z]+([-_/][A-Za-z]+)+([-_/][0-9]{1,4})?/?$",
-    r"[Ee][Xx][Aa][Mm][Pp][Ll][Ee]|[Pp][Ll][Aa][Cc][Ee][Hh][Oo][Ll][Dd][Ee][Rr]|[Xx]{6,}",
-)
+#: Stretches of a run that aren't secrets: UUIDs and dates.
+STRETCHES = "[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}|[0-9]{4}-[0-9]{2}-[0-9]{2}"
+#: Tokens (letters and digits) that aren't, whole, where they hold this.
+TOKEN = "[A-Za-z0-9]+"
+EXAMPLES = "[Ee][Xx][Aa][Mm][Pp][Ll][Ee]|[Pp][Ll][Aa][Cc][Ee][Hh][Oo][Ll][Dd][Ee][Rr]|[Xx]{6,}"
+#: Whole runs that aren't: words joined by hyphens, with a short number.
+ALLOW = (r"^[A-Za-z]+([-_/][A-Za-z]+)+([-_/][0-9]{1,4})?/?$",)
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 KINDS = ("assign", "access", "hex", "entropy")
 
@@ -53,14 +55,14 @@ LEAST = {"assign": 6, "access": 20, "hex": 24}
 RUN = "[A-Za-z0-9+/_=-]"
 
 
-def _spans(kind: str, hits: str, gaps: str, keep: str) -> str:
-    """SQL for the spans of the matches ``hits`` between ``gaps``; ``keep`` is a condition on match number i."""
+def _spans(kind: str, hits: str, gaps: str, keep: str, at: str = "0") -> str:
+    """SQL for the spans of the matches ``hits`` between ``gaps`` of a text that begins ``at``; ``keep`` is a condition on match number i."""
     start = f"acc.at + length({gaps}[i])"
     span = f"named_struct('start', {start}, 'rank', {KINDS.index(kind)}, 'stop', {start} + length({hits}[i]), 'kind', '{kind}')"
     return f"""
         if(size({hits}) = 0, cast(array() as array<{SPAN}>), aggregate(
             sequence(0, size({hits}) - 1),
-            named_struct('at', 0, 'out', cast(array() as array<{SPAN}>)),
+            named_struct('at', {at}, 'out', cast(array() as array<{SPAN}>)),
             (acc, i) -> named_struct('at', {start} + length({hits}[i]), 'out', if({keep}, concat(acc.out, array({span})), acc.out)),
             acc -> acc.out))"""
 
@@ -92,7 +94,19 @@ def _slide(run: str, least: str, window: int) -> str:
         acc -> named_struct('first', acc.first, 'last', acc.last)))[0]"""
 
 
-def scan(df: DataFrame, text_col: str = "text", out: str = "secret_spans", window: int = WINDOW, allow: tuple[str, ...] = ALLOW) -> DataFrame:
+def _allowed(run: str, at: str, stretches: str, examples: str) -> str:
+    """SQL: spans of the allow list's stretches and tokens in ``run``, which begins ``at``."""
+
+    def of(pattern: str, keep: str) -> str:
+        cut = f"named_struct('m', regexp_extract_all({run}, '{pattern}', 0), 'g', split({run}, '{pattern}', -1))"
+        return f"transform(array({cut}), p -> {_spans('entropy', 'p.m', 'p.g', keep, at)})[0]"
+
+    return f"concat({of(stretches, 'true')}, {of(TOKEN, f'p.m[i] rlike {chr(39)}{examples}{chr(39)}')})"
+
+
+def scan(
+    df: DataFrame, text_col: str = "text", out: str = "secret_spans", window: int = WINDOW, allow: tuple[str, ...] = ALLOW, stretches: str = STRETCHES, examples: str = EXAMPLES
+) -> DataFrame:
     """Adds ``out``: array of spans (start, rank, stop, kind), by start, then kind as in KINDS. No shuffle, no Python."""
     names = [f"_{out}_{x}" for x in ("text", "assign", "value", "access", "hex", "run", "base", "more")]
     text, assign, value, access, hexes, run, base, more = names
@@ -130,7 +144,7 @@ def scan(df: DataFrame, text_col: str = "text", out: str = "secret_spans", windo
     found = found.withColumn(more, F.expr(_spans("entropy", run, f"{run}_gaps", f"{run}[i] rlike '[0-9]' and {run}[i] rlike '[A-Za-z]'")))
     span = lambda start, stop: f"array(named_struct('start', {start}, 'rank', x.rank, 'stop', {stop}, 'kind', x.kind))"
     left = f"""flatten(transform({more}, x -> aggregate(
-        array_sort(filter({base}, b -> b.start < x.stop and x.start < b.stop)),
+        array_sort(concat(filter({base}, b -> b.start < x.stop and x.start < b.stop), {_allowed(f'substring({text}, x.start + 1, x.stop - x.start)', 'x.start', stretches, examples)})),
         named_struct('at', x.start, 'out', cast(array() as array<{SPAN}>)),
         (acc, b) -> named_struct('at', greatest(acc.at, b.stop), 'out', if(b.start > acc.at, concat(acc.out, {span('acc.at', 'b.start')}), acc.out)),
         acc -> if(acc.at < x.stop, concat(acc.out, {span('acc.at', 'x.stop')}), acc.out))))"""
@@ -179,21 +193,26 @@ def oracle() -> str:
         WHEN regexp_matches(h, '[0-9]') AND regexp_matches(h, '[A-Za-z]') THEN {THRESHOLDS['one_case']} END"""
     allow = " OR ".join(f"regexp_matches(h, '{q(p)}')" for p in ALLOW)
 
-    def hits(pattern: str) -> str:
+    def hits(pattern: str, table: str = "docs") -> str:
         return f"""(SELECT r, s, s + length(h) AS e, h FROM (
             SELECT r, h, list_sum(list_transform(g[1:i], lambda x: length(x)))::BIGINT + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0)::BIGINT AS s
             FROM (SELECT r, m, g, unnest(m) AS h, generate_subscripts(m, 1) AS i FROM (
-                SELECT r, regexp_extract_all(text, '{pattern}') AS m, string_split_regex(text, '{pattern}') AS g FROM docs) WHERE len(m) > 0)))"""
+                SELECT r, regexp_extract_all(text, '{pattern}') AS m, string_split_regex(text, '{pattern}') AS g FROM {table}) WHERE len(m) > 0)))"""
 
     parts = [f"SELECT r, {rank} AS rank, '{kind}' AS kind, s, e FROM {hits(q(pattern))} WHERE {least[kind]}" for rank, (kind, pattern) in enumerate(base.items())]
     return f"""
         WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
         base AS ({' UNION ALL '.join(parts)}),
-        runs AS (SELECT r, s, h, level FROM (SELECT r, s, h, {level} AS level FROM {hits(q(run))} WHERE length(h) >= {WINDOW}) WHERE level IS NOT NULL AND NOT ({allow})),
+        whole AS (SELECT row_number() OVER () AS r, r AS doc, s AS o, e, h AS text FROM {hits(q(run))} WHERE length(h) >= {WINDOW} AND regexp_matches(h, '[0-9]') AND regexp_matches(h, '[A-Za-z]')),
+        named AS (SELECT r, s, e FROM {hits(STRETCHES, 'whole')} UNION ALL SELECT r, s, e FROM {hits(TOKEN, 'whole')} WHERE regexp_matches(h, '{EXAMPLES}')),
+        cuts AS (SELECT whole.r, base.s, base.e FROM whole JOIN base ON base.r = whole.doc AND base.s < whole.e AND base.e > whole.o UNION ALL SELECT whole.r, o + named.s, o + named.e FROM named JOIN whole USING (r)),
+        starts AS (SELECT r, o AS p FROM whole UNION SELECT r, e AS p FROM cuts),
+        pieces AS (SELECT whole.doc AS r, p AS s, least(any_value(whole.e), coalesce(min(cuts.s) FILTER (cuts.s >= p), any_value(whole.e))) AS e FROM starts JOIN whole USING (r) LEFT JOIN cuts ON cuts.r = whole.r
+            GROUP BY whole.r, whole.doc, p HAVING NOT coalesce(bool_or(cuts.s <= p AND cuts.e > p), false)),
+        runs AS (SELECT r, s, h, level FROM (SELECT r, s, h, {level} AS level FROM (SELECT r, s, substr(text, s::INT + 1, (e - s)::INT) AS h FROM pieces JOIN docs USING (r) WHERE e - s >= {WINDOW})) WHERE level IS NOT NULL AND NOT ({allow})),
         windows AS (SELECT r, s, level, i, list_entropy(string_split(substr(h, i::INT + 1, {WINDOW}), '')) AS bits FROM (SELECT *, unnest(range(0, length(h) - {WINDOW - 1})) AS i FROM runs)),
         slid AS (SELECT r, 3 AS rank, 'entropy' AS kind, s + min(i) AS s, s + max(i) + {WINDOW} AS e FROM (SELECT r, s AS s, i, bits, level FROM windows) WHERE bits >= level GROUP BY r, s),
-        more AS (SELECT * FROM slid WHERE NOT EXISTS (SELECT 1 FROM base WHERE base.r = slid.r AND base.s < slid.e AND slid.s < base.e)),
-        every AS (SELECT * FROM base UNION ALL SELECT * FROM more),
+        every AS (SELECT * FROM base UNION ALL SELECT * FROM slid),
         listed AS (SELECT r, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) AS spans, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) FILTER (rank < 3) AS base_spans,
             count(*) FILTER (rank = 0) AS n_assign, count(*) FILTER (rank = 1) AS n_access, count(*) FILTER (rank = 2) AS n_hex FROM every GROUP BY r)
         SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base_spans, '')) AS base_sha256, coalesce(spans, '') AS spans

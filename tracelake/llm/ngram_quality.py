@@ -60,8 +60,8 @@ START, END = 255, 254
 BROADCAST_GRAMS = 4_000_000
 #: Parts of a bit in which logarithms are stored: below 64 bits, they fit 32-bit integers.
 UNIT = 1 << 24
-#: Rows that a task solves at once.
-SOLVED_ROWS = 200_000
+#: Rows that a task solves at once, and rows that go from Python to Spark at once.
+SOLVED_ROWS, BATCH_ROWS = 200_000, 50_000
 #: Bytes of text that arrays are made from at once; distinct grams that a task holds.
 CHUNK_BYTES = 1 << 20
 HELD_GRAMS = 1_000_000
@@ -155,7 +155,9 @@ def count_grams(df: DataFrame, text_col: str, lang_col: str, order: int) -> Data
         def out() -> Iterator[pd.DataFrame]:
             for lang, parts in held.items():
                 k, n = summed(parts)
-                yield pd.DataFrame({"lang": pd.Series([lang] * len(k), dtype=object), "gram": k, "n": n})
+                for at in range(0, len(k), BATCH_ROWS):
+                    part = k[at : at + BATCH_ROWS]
+                    yield pd.DataFrame({"lang": pd.Series([lang] * len(part), dtype=object), "gram": part, "n": n[at : at + BATCH_ROWS]})
 
         for frame in frames:
             for lang, texts in frame["text"].groupby(frame["lang"], dropna=False):
@@ -292,7 +294,7 @@ def judge(
     held = None
     if (model.agg(F.sum("n")).first()[0] or 0) <= broadcast_grams:
         packed: dict[str | None, list[tuple[bytes, bytes]]] = {}
-        for lang, grams_, values in model.select("lang", "grams", "values").toLocalIterator():
+        for lang, grams_, values in model.select("lang", "grams", "values").collect():  # checked to be few
             packed.setdefault(lang, []).append((bytes(grams_), bytes(values)))
         held = spark.sparkContext.broadcast(packed)
         del packed

@@ -1,4 +1,8 @@
-"""Metadata documents of recordings, read with XPath functions: one row a document, no Python."""
+"""Metadata documents of recordings, read with XPath functions: one row a document, no Python.
+
+Cases: a null document or one without an element gives nulls or empty arrays for what it
+lacks; repeated documents give repeated rows; an empty table gives an empty result.
+"""
 
 from __future__ import annotations
 

@@ -1,4 +1,8 @@
-"""Results as files: idempotent tables by run, wide exports, sidecars, and reading back."""
+"""Results as files: idempotent tables by run, wide exports, sidecars, and reading back.
+
+Cases: nulls are written as nulls and read back as such; repeated rows are kept; an empty
+table writes an empty one, which names no run as done.
+"""
 
 from __future__ import annotations
 

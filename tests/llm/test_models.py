@@ -247,6 +247,14 @@ def test_unigram_counts_equal_the_library(pieces, text):
     assert math.isclose(score, sum(dict(pieces)[t] for t in tokens), abs_tol=1e-9)
 
 
+def test_unigram_pieces_of_several_blanks_match_nothing():
+    b = unigram_count.BLANK
+    v = unigram_count.Vocabulary([(b, -2.0), (b * 2, -0.5), ("a", -1.0)], False)
+    assert unigram_count.parts("a  a") == [f"{b}a", b, f"{b}a"] and v.text("a  a") == (5, -8.0)
+    several = [x for x, _ in unigram_count.pieces_of() if len(x) > 1 and set(x) == {b}]
+    assert len(several) == 14
+
+
 def test_unigram_unknowns_and_table(spark):
     v = unigram_count.Vocabulary([("a", -1.0), ("ab", -1.5), (unigram_count.BLANK, -2.0)], False)
     assert v.best("azzab")[0] == 3 and unigram_count.Vocabulary([("a", -1.0)], True).best("aé")[0] == 3

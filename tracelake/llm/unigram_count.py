@@ -11,7 +11,8 @@ per UTF-8 byte, otherwise a run of unknown characters counts as one token.
 
 Texts are split before blanks as the tokenizers do (each blank is U+2581 and starts a
 new part, and one is put before the text), so parts are independent: each distinct
-part is counted once a batch and looked up from then on in a bounded memo.
+part is counted once a batch and looked up from then on in a bounded memo. As a part has
+one blank, at its beginning, pieces of several blanks match nothing.
 
 Cases: null and empty texts have no token and score zero; repeated rows give repeated
 results; parts longer than any cache are counted in memory linear in their length.

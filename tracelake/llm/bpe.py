@@ -24,6 +24,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tracelake.llm import common
+
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 #: Characters that are handed to the library at once, about.
@@ -139,5 +141,5 @@ def round_trip(
 
     source = df.select(F.col(id_col).alias("id"), *[F.col(c).alias(f"keep_{c}") for c in keep], F.col(text_col).cast("string").alias("text"))
     kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in source.schema.fields[:-1])
-    out = source.mapInPandas(digests, kinds + "n_tokens long, n_bytes long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * with_ids)
+    out = common.map_slices(source, digests, kinds + "n_tokens long, n_bytes long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * with_ids)
     return out.withColumnsRenamed({"id": id_col} | {f"keep_{c}": c for c in keep})

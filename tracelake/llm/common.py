@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from tracelake.sources.shared import scratch, stored
 
-__all__ = ["WORD", "lower_ascii", "pack", "pack_keys", "scratch", "stored", "table", "text_or_empty", "unpack", "unpack_keys", "whole_groups"]
+__all__ = ["WORD", "map_slices", "lower_ascii", "pack", "pack_keys", "scratch", "stored", "table", "text_or_empty", "unpack", "unpack_keys", "whole_groups"]
 
 #: A word is a longest run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -68,3 +71,19 @@ def pack_keys(keys: np.ndarray) -> bytes:
 
 def unpack_keys(data: bytes) -> np.ndarray:
     return np.cumsum(unpack(data, "i8"))
+
+
+#: Rows that Python holds as objects at once. Spark's batches have up to 10,000 texts.
+SLICE_ROWS = 1000
+
+
+def map_slices(df: DataFrame, run: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: str, rows: int = SLICE_ROWS) -> DataFrame:
+    """As ``mapInPandas``, but batches stay Arrow and become frames of ``rows`` rows one after another: less memory on both sides."""
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
+
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frames = (batch.slice(at, rows).to_pandas() for batch in batches for at in range(0, batch.num_rows, rows))
+        for out in run(frames):
+            yield pa.RecordBatch.from_pandas(out, schema=arrow, preserve_index=False)
+
+    return df.mapInArrow(mapped, schema)

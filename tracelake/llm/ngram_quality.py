@@ -49,6 +49,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -67,7 +68,7 @@ CHUNK_BYTES = 1 << 20
 HELD_GRAMS = 1_000_000
 #: Languages up to which a table with one row for each is broadcast.
 FEW = 10_000
-FENCE, NOISE, PRIOR, GRID = 2.5, 2.0, 50, 1000
+FENCE, NOISE, PRIOR, GRID = 2.0, 1.0, 50, 1000
 MIN_WORDS, REPEATED = 50, 0.5
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -176,7 +177,7 @@ def count_grams(df: DataFrame, text_col: str, lang_col: str, order: int) -> Data
         yield from out()
 
     source = df.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
-    return source.mapInPandas(counted, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    return common.map_slices(source, counted, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
 def _named(lang: str = "lang") -> list[Column]:
@@ -300,14 +301,17 @@ def judge(
         del packed
         shared = held
 
-        @F.pandas_udf(inner)
-        def measured(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        names = [*BASE, "base_failed", "n_bytes", "units"]
+
+        @F.arrow_udf(inner)
+        def measured(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
             arrays: dict[str | None, tuple[np.ndarray, np.ndarray]] = {}
-            for langs, texts in batches:
+
+            def part(langs: pd.Series, texts: pd.Series) -> pa.Array:
                 got = described(texts)
                 units, size = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
                 numbers = pd.Series(np.arange(len(texts)))
-                for lang, at in numbers.groupby(langs.reset_index(drop=True), dropna=False):
+                for lang, at in numbers.groupby(langs, dropna=False):
                     lang = None if pd.isna(lang) else lang
                     if lang not in arrays:
                         arrays[lang] = hash_arrays(shared.value[lang])
@@ -319,7 +323,13 @@ def judge(
                         codes, u = pd.factorize(keys)
                         # whole numbers below 2**53: the sums are exact
                         units[at] += np.bincount(owner, value[np.searchsorted(hashes, mix(u))][codes], len(bodies)).astype(np.int64)
-                yield got.assign(n_bytes=size, units=units)
+                got = got.assign(n_bytes=size, units=units)
+                return pa.StructArray.from_arrays([pa.array(got[x]) for x in names], names)
+
+            for langs, texts in batches:
+                step = common.SLICE_ROWS
+                parts = [part(langs.slice(i, step).to_pandas(), texts.slice(i, step).to_pandas()) for i in range(0, len(texts), step)]
+                yield pa.concat_arrays(parts) if parts else pa.StructArray.from_arrays([pa.array([], pa.bool_() if x == "base_failed" else pa.int64()) for x in names], names)
 
         scored = row.select("row", "lang", measured("lang", "text").alias("m"))
     else:

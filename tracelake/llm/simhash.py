@@ -74,7 +74,7 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     kind = df.schema[id_col].dataType.simpleString()
     text = F.col(text_col).cast("string")
     source = df.select(F.col(id_col).alias("id"), text.alias("text"), digest(text).alias("digest"))
-    return source.mapInPandas(run, f"id {kind}, fp long, digest string")
+    return common.map_slices(source, run, f"id {kind}, fp long, digest string")
 
 
 def digest(text: Column) -> Column:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tracelake.llm import bpe, ctw, mixing, mpeg_audio, ngram_quality, secrets, simhash, unigram_count, warc, wrappers
+from tracelake.llm import bpe, ctw, mixing, mpeg_audio, ngram_quality, piece_bpe, secrets, simhash, source_tries, unigram_count, warc, whitening, wrappers
 from tracelake.llm.common import table
 
 
@@ -50,10 +50,22 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_bpe.round_trip(table(spark, sf_dir, "documents"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_tries.audit(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_ctw_scores, op2_media_audio, op3_bpe, op4_token_counts, op5_warc, op6_html_text, op7_quality, op8_simhash, op9_mixing, op10_secrets]
+    found = [op1_ctw_scores, op2_media_audio, op3_bpe, op4_token_counts, op5_warc, op6_html_text, op7_quality, op8_simhash, op9_mixing, op10_secrets, op11_whitening, op12_sentencepiece, op13_source_divergence]
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_mixing": mixing.oracle(), "op10_secrets": secrets.oracle()}
+    return {"op9_mixing": mixing.oracle(), "op10_secrets": secrets.oracle(), "op13_source_divergence": source_tries.oracle()}

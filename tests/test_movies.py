@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tracelake.operators import checks as C
 from tracelake.operators import images as I
+from tracelake.operators import regions
 from tracelake.plans import flows, queries
 from tracelake.sources import discovery, metadata, sinks, tiff
 from tracelake.streaming import motion
@@ -226,6 +227,24 @@ def test_regions_equal_plain_growth(spark):
             assert found == plain_regions(a, c, 0.35, 1, 40, cap or 80, 12)
 
 
+def test_any_tiles_give_the_same_regions(spark):
+    rng = np.random.default_rng(19)
+    y, x = np.mgrid[:18, :17]
+    spots = [np.exp(-((y - rng.integers(2, 16)) ** 2 + (x - rng.integers(2, 15)) ** 2) / 6) for _ in range(4)]
+    a = sum(s[None] * rng.gamma(1, 2, 40)[:, None, None] for s in spots) + rng.normal(0, 0.5, (40, 18, 17))
+    a[:, 4, 5] = 3.1  # constant
+    c = rng.uniform(0.1, 0.9, (18, 17)).round(1)  # with ties
+    frames = I.to_frames(pixels_of(spark, a)).cache()
+    cmap = spark.createDataFrame([("m", i, j, float(c[i, j])) for i in range(18) for j in range(17)], "run string, y int, x int, r double")
+    for attempts in (9, None):
+        whole, *others = ([(r["attempt"], sorted(map(tuple, r["pixels"]))) for r in regions.attempted(frames, cmap, 0.4, 25, attempts, tile=t, halo=g).orderBy("attempt").collect()] for t, g in ((64, 8), (6, 2), (9, 4)))
+        assert all(o == whole for o in others) and len(whole) > 8
+    free, found = {(i, j) for i in range(18) for j in range(17)}, []
+    for _, region in whole:  # in the seeds' order, and each pixel once
+        assert set(region) <= free
+        free -= set(region)
+
+
 def test_sweep_takes_each_runs_own_thresholds(spark):
     rng = np.random.default_rng(10)
     a = rng.normal(size=(30, 9, 9)).cumsum(axis=1)
@@ -236,7 +255,7 @@ def test_sweep_takes_each_runs_own_thresholds(spark):
     assert len(rows) == 4 and len({r["threshold"] for r in rows}) == 4
     for r in rows:
         level = np.round(np.percentile([x["r"] for x in cmap.filter(f"run = '{r['run']}' and r > 0").collect()], 100 * r["point"]), 3)
-        one = I.attempted_regions(frames.filter(F.col("run") == r["run"]), cmap.filter(F.col("run") == r["run"]), float(level), 25, None, 3).collect()
+        one = I.attempted(frames.filter(F.col("run") == r["run"]), cmap.filter(F.col("run") == r["run"]), float(level), 25, None, 3).collect()
         sizes = [x["size"] for x in one]
         good = [n for n in sizes if 2 < n < 30]
         assert (r["threshold"], r["attempts"], r["accepted"], r["at_cap"], r["median_area"]) == (level, len(sizes), len(good), sum(n >= 25 for n in sizes), np.median(good) if good else 0)

@@ -13,8 +13,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracelake.functions import expressions as X
+from tracelake.operators import scans
+from tracelake.operators.scans import BLOCK
 from tracelake.operators.sequence import KEYS
 
+#: Seconds in a block of two clocks.
+SECONDS = 3600.0
+
 
 def neural_clock(frames: DataFrame, measured: DataFrame | None = None) -> DataFrame:
     """(run, frame, t, period) from (run, n, fps): measured times from 0 where a run has n of them, else frame / fps."""
@@ -53,18 +58,19 @@ def covered(clock: DataFrame, camera: DataFrame, least: int = 2) -> DataFrame:
     return kept.join(n.filter(enough).select("run"), "run")
 
 
-def interpolate(traces: DataFrame, grid: DataFrame) -> DataFrame:
+def interpolate(traces: DataFrame, grid: DataFrame, seconds: float = SECONDS) -> DataFrame:
     """(run, channel, frame, t, v): each channel of (run, channel, t, v) at the times of (run, frame, t).
 
-    One window over both clocks in one order finds the samples on either side.
+    Both clocks are put in one order within blocks of ``seconds``; a block that has no
+    sample on a side gets the nearest from the blocks there.
     """
     wanted = traces.select(*KEYS).distinct().join(grid.select("run", "frame", "t"), "run")
     both = traces.select(*KEYS, "t", "v", F.lit(None).cast("bigint").alias("frame")).unionByName(wanted.select(*KEYS, "t", F.lit(None).cast("double").alias("v"), F.col("frame").cast("bigint")))
-    sample = F.when(F.col("frame").isNull() & F.col("v").isNotNull(), F.struct("t", "v"))
-    # frames that end at the current row grow by one row each, so both orders are linear
-    up, down = (Window.partitionBy(*KEYS).orderBy(o).rangeBetween(Window.unboundedPreceding, Window.currentRow) for o in ("t", F.desc("t")))
-    near = both.withColumns({"p": F.last(sample, ignorenulls=True).over(up), "n": F.last(sample, ignorenulls=True).over(down)})
-    near = near.filter("frame is not null and p is not null and n is not null")
+    rows = scans.dealt(both.withColumn("_g", F.col("frame").isNotNull()), KEYS, scans.block_of("t", seconds))
+    sample = F.when(~F.col("_g") & F.col("v").isNotNull(), F.struct("t", "v"))
+    # at one time samples come first, either way
+    near = scans.scan(rows, KEYS, ["t", "_g"], {"p": (scans.LAST, sample), "n": (scans.NEXT, sample)}, back=["t", "_g"])
+    near = near.filter("_g and p is not null and n is not null")
     line = F.try_divide(F.col("n.v") - F.col("p.v"), F.col("n.t") - F.col("p.t")) * (F.col("t") - F.col("p.t")) + F.col("p.v")
     return near.select(*KEYS, "frame", "t", F.when(F.col("n.t") == F.col("p.t"), F.col("p.v")).otherwise(line).alias("v"))
 
@@ -140,9 +146,9 @@ def global_frame(parts: DataFrame) -> DataFrame:
     return parts.withColumn("first", F.coalesce(F.sum("n").over(w), F.lit(0)))
 
 
-def locate(frames: DataFrame, parts: DataFrame) -> DataFrame:
-    """(run, frame, part, page) of global frame numbers; an as-of lookup in one window."""
+def locate(frames: DataFrame, parts: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(run, frame, part, page) of global frame numbers: the last part that begins at or before a frame, by blocks of frames."""
     both = frames.select("run", "frame", F.lit(None).cast("string").alias("part"), F.lit(1).alias("o")).unionByName(global_frame(parts).filter("n > 0").select("run", F.col("first").alias("frame"), F.col("part").cast("string").alias("part"), F.lit(0).alias("o")))
-    w = Window.partitionBy("run").orderBy("frame", "o")
-    found = both.withColumns({"at": F.last(F.when(F.col("o") == 0, F.struct("part", F.col("frame").alias("first"))), ignorenulls=True).over(w)})
+    rows = scans.dealt(both, ["run"], scans.block_of("frame", block))
+    found = scans.scan(rows, ["run"], ["frame", "o"], {"at": (scans.LAST, F.when(F.col("o") == 0, F.struct("part", F.col("frame").alias("first"))))})
     return found.filter("o = 1").select("run", "frame", F.col("at.part").alias("part"), (F.col("frame") - F.col("at.first")).alias("page"))

@@ -1,75 +1,122 @@
 """Correlation at lags, effective sample sizes, and the gate that a run must pass before it is analysed.
 
-Sums of lagged products are made by blocks of frames: a block of one trace meets the
-blocks of the other that its lags reach, as arrays, by a Fourier transform where there
-are many lags. No frame meets all its lags as rows, and no task needs a whole trace.
+Sums of lagged products are made in tiles: some channels of one trace table by a block of
+frames, against all channels of the other in the blocks that its lags reach. Channels are
+dealt by hash; the other table's blocks are copied to each deal. A tile is a product of two
+matrices for each lag, or of their Fourier transforms where there are many lags. No frame
+meets all its lags as rows, and no task needs a whole trace or all channels.
 
 Cases: null values and missing frames add nothing to a sum; a constant trace correlates
-with nothing (0); repeated frames aren't meant to be; empty tables give empty results.
+with nothing (0); repeated frames add up; empty tables give empty results.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracelake.functions import expressions as X
+from tracelake.operators.scans import BLOCK
 from tracelake.operators.sequence import KEYS
 
-
-#: Frames in a block, and lags up to which products are summed lag by lag.
-BLOCK, FEW = 65_536, 64
+#: Lags up to which products are summed lag by lag, channels of a tile, and sums that a tile may give.
+FEW, DEAL, SUMS = 64, 64, 4_000_000
 
 
-def _blocks(df: DataFrame, name: str, block: int) -> DataFrame:
-    """(run, name, b_<name>, first_<name>, x_<name>): frames of each block as an array from its first frame."""
-    cut = df.groupBy("run", F.col("channel").alias(name), F.expr(f"cast(frame div {block} as bigint)").alias(f"b_{name}"))
-    points = F.array_sort(F.collect_list(F.struct("frame", F.coalesce("v", F.lit(0.0)).alias("v"))))
-    rows = cut.agg(points.alias("p"), F.min("frame").alias("low"), F.max("frame").alias("high"))
-    # missing frames are zero: they add nothing
-    dense = F.when(F.size("p") == F.col("high") - F.col("low") + 1, F.col("p.v")).otherwise(
-        F.transform(F.sequence("low", "high"), lambda f: F.coalesce(F.try_element_at(F.map_from_entries("p"), f), F.lit(0.0)))
-    )
-    return rows.select("run", name, f"b_{name}", F.col("low").alias(f"first_{name}"), dense.alias(f"x_{name}"))
+def _blocks(df: DataFrame, block: int) -> DataFrame:
+    """(run, channel, b, f, x): frames and values of each block, in any order."""
+    cut = df.groupBy("run", F.col("channel").cast("string").alias("channel"), F.expr(f"cast(frame div {block} as bigint)").alias("b"))
+    rows = cut.agg(F.collect_list(F.when(F.col("v").isNotNull(), F.struct((F.col("frame") % block).cast("int").alias("f"), F.col("v").cast("double").alias("x")))).alias("p"))
+    return rows.select("run", "channel", "b", F.col("p.f").alias("f"), F.col("p.x").alias("x"))
 
 
-def products(later: np.ndarray, early: np.ndarray, low: int, high: int) -> np.ndarray:
-    """Sums of later[i + k] * early[i] for k from ``low`` to ``high``."""
-    n, m = len(later), len(early)
-    if high - low < FEW:
-        return np.array([later[max(k, 0) : min(n, m + k)] @ early[max(-k, 0) : min(m, n - k)] if -m < k < n else 0.0 for k in range(low, high + 1)])
+def products(later: np.ndarray, early: np.ndarray, low: int, high: int, same: bool = False) -> np.ndarray:
+    """Sums of later[i, t + k] * early[j, t] for k from ``low`` to ``high``: [i, j, k], or [i, k] of like rows (``same``)."""
+    n, m = later.shape[1], early.shape[1]
+    lags = range(low, high + 1)
+    out = np.zeros((len(later), *[len(early)] * (not same), len(lags)))
+    if len(lags) <= FEW:
+        for at, k in enumerate(lags):
+            if -m < k < n:
+                a, b = later[:, max(k, 0) : min(n, m + k)], early[:, max(-k, 0) : min(m, n - k)]
+                out[..., at] = np.einsum("it,it->i", a, b) if same else a @ b.T
+        return out
     size = 1 << (n + m - 1).bit_length()
-    whole = np.fft.irfft(np.fft.rfft(later, size) * np.conj(np.fft.rfft(early, size)), size)
-    k = np.arange(low, high + 1)
-    return np.where((k > -m) & (k < n), whole[k % size], 0.0)
-
-
-def lagged_products(later: DataFrame, early: DataFrame, low: int, high: int, same: bool = False, block: int = BLOCK) -> DataFrame:
-    """(run, roi, channel, lag, s): sums over frames of later(frame + lag) * early(frame) at lags with frames on both sides.
-
-    ``same``: a channel meets only itself.
+    k = np.array(lags)
+    there = (k > -m) & (k < n)
+    partner = np.conj(np.fft.rfft(early, size))
+    for i, row in enumerate(later):
+        ahead = np.fft.rfft(row, size)
+        for j in [i] if same else range(len(early)):
+            whole = np.fft.irfft(ahead * partner[j], size)
+            out[(i,) if same else (i, j)] = np.where(there, whole[k % size], 0.0)
+    return out
+
+
+def _matrix(table: pa.Table, block: int) -> tuple[list[str], list[int], np.ndarray]:
+    """Names, block numbers and rows of a tile's traces; missing frames are zero."""
+    rows = np.zeros((table.num_rows, block))
+    f, x = (table.column(c).combine_chunks() for c in ("f", "x"))
+    for i in range(table.num_rows):
+        np.add.at(rows[i], f[i].values.to_numpy(), x[i].values.to_numpy(zero_copy_only=False))
+    return table.column("channel").to_pylist(), table.column("b").to_pylist(), rows
+
+
+def lagged_products(later: DataFrame, early: DataFrame, low: int, high: int, same: bool = False, block: int = BLOCK, deal: int = DEAL) -> DataFrame:
+    """(run, roi, channel, lag, s): sums over frames of later(frame + lag) * early(frame).
+
+    ``same``: a channel meets only itself. A deal has about ``deal`` channels of ``later``,
+    fewer where their sums would be too many for a task.
     """
-    a, b = _blocks(later, "roi", block), _blocks(early, "channel", block)
-    reach = F.sequence(F.col("b_channel") + low // block, F.col("b_channel") + high // block + 1)
-    b = b.withColumn("b_roi", F.explode(reach))
-    if same:
-        b = b.withColumn("roi", F.col("channel"))
-    met = a.join(b, ["run", "b_roi", *["roi"] * same]).select("run", "roi", "channel", "first_roi", "first_channel", "x_roi", "x_channel")
-
-    def summed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for r in frame.itertuples():
-                off = r.first_roi - r.first_channel
-                # lags that both blocks reach
-                at, to = max(low, off - len(r.x_channel) + 1), min(high, off + len(r.x_roi) - 1)
-                if at <= to:
-                    yield pd.DataFrame({"run": r.run, "roi": r.roi, "channel": r.channel, "lag": np.arange(at, to + 1), "s": products(np.asarray(r.x_roi), np.asarray(r.x_channel), at - off, to - off)})
-
-    return met.mapInPandas(summed, "run string, roi string, channel string, lag long, s double").groupBy("run", "roi", "channel", "lag").agg(F.sum("s").alias("s"))
+    sizes = later.groupBy("run").agg(F.count_distinct("channel").alias("rois"), F.max("frame").alias("end")).agg(F.max("rois"), F.max("end")).first()
+    if not sizes[0]:
+        return later.sparkSession.createDataFrame([], "run string, roi string, channel string, lag long, s double")
+    # a block is no longer than the recordings; both sides are cut alike
+    block = max(1, min(block, sizes[1] + 1))
+    partners = 1 if same else early.agg(F.count_distinct("channel")).first()[0]
+    per = max(1, min(deal, SUMS // max(1, partners * (high - low + 1))))
+    deals = -(-sizes[0] // per)
+    dealt = F.pmod(F.xxhash64("channel"), F.lit(deals))
+    a = _blocks(later, block).withColumn("deal", dealt)
+    near = F.sequence(F.col("b") + low // block, F.col("b") + high // block + 1)
+    b = _blocks(early, block).withColumn("to", F.explode(near))
+    b = b.withColumn("deal", dealt if same else F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(deals - 1).cast("bigint"))))
+
+    def tile(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        found: dict[str, list] = {"run": [], "roi": [], "channel": [], "first": [], "s": []}
+        if left.num_rows and right.num_rows:
+            rois, (here, *_), x = _matrix(left, block)
+            names, at, y = _matrix(right, block)
+            for there in sorted(set(at)):
+                which = [i for i, k in enumerate(at) if k == there]
+                off = (here - there) * block  # a lag of the blocks' own frames is so much less
+                first, last = max(low, off - block + 1), min(high, off + block - 1)
+                if first > last:
+                    continue
+                if same:
+                    order = {names[i]: i for i in which}
+                    met = [i for i, roi in enumerate(rois) if roi in order]
+                    sums = products(x[met], y[[order[rois[i]] for i in met]], first - off, last - off, True)
+                    pairs = [(rois[i], rois[i]) for i in met]
+                else:
+                    sums = products(x, y[which], first - off, last - off).reshape(-1, last - first + 1)
+                    pairs = [(roi, names[i]) for roi in rois for i in which]
+                found["run"] += [key[0].as_py()] * len(pairs)
+                found["roi"] += [p[0] for p in pairs]
+                found["channel"] += [p[1] for p in pairs]
+                found["first"] += [first] * len(pairs)
+                found["s"] += list(sums)
+        kinds = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.list_(pa.float64()))
+        return pa.table({n: pa.array(v, k) for (n, v), k in zip(found.items(), kinds, strict=True)})
+
+    # new columns on both sides, which may be one table
+    names = ["run", "to", "deal", "channel", "b", "f", "x"]
+    left, right = (d.select(*names).toDF(*names).groupBy("run", "to", "deal") for d in (a.withColumn("to", F.col("b")), b))
+    sums = left.cogroup(right).applyInArrow(tile, "run string, roi string, channel string, first long, s array<double>")
+    each = sums.select("run", "roi", "channel", "first", F.posexplode("s").alias("k", "s"))
+    return each.groupBy("run", "roi", "channel", (F.col("first") + F.col("k")).alias("lag")).agg(F.sum("s").alias("s"))
 
 
 def autocorrelation(df: DataFrame, lags: int, block: int = BLOCK) -> DataFrame:
@@ -119,15 +166,24 @@ def peak_lag(cc: DataFrame) -> DataFrame:
 def effective_n(neural: DataFrame, behaviour: DataFrame, lags: int) -> DataFrame:
     """(run, roi, channel, t, n_eff, floor): Bartlett's correction, summed up to the first lag at which either autocorrelation isn't positive.
 
-    ``floor`` is two standard errors, 2 / sqrt(max(n_eff - 3, 1)).
+    ``floor`` is two standard errors, 2 / sqrt(max(n_eff - 3, 1)). A ROI and a channel meet
+    as one row, with their autocorrelations as arrays.
     """
-    n = neural.groupBy("run", F.col("channel").alias("roi")).agg((F.max("frame") + 1).alias("t"))
-    a = autocorrelation(neural, lags).filter("lag > 0").select("run", F.col("channel").alias("roi"), "lag", F.col("r").alias("ra"))
-    b = autocorrelation(behaviour, lags).filter("lag > 0").select(*KEYS, "lag", F.col("r").alias("rb"))
-    both = a.join(b, ["run", "lag"])
-    stop = F.coalesce(F.min(F.when((F.col("ra") <= 0) | (F.col("rb") <= 0), F.col("lag"))).over(Window.partitionBy("run", "roi", "channel")), F.lit(lags + 1))
-    sums = both.withColumn("_s", stop).groupBy("run", "roi", "channel").agg(F.sum(F.when(F.col("lag") < F.col("_s"), F.col("ra") * F.col("rb")).otherwise(0.0)).alias("s"))
-    out = sums.join(n, ["run", "roi"]).withColumn("n_eff", F.col("t") / F.greatest(1 + 2 * F.col("s"), F.lit(1.0)))
+    n = neural.groupBy("run", F.col("channel").cast("string").alias("roi")).agg((F.max("frame") + 1).alias("t"))
+
+    def arrays(df: DataFrame, name: str, out: str) -> DataFrame:
+        r = autocorrelation(df, lags).filter("lag > 0")
+        points = F.array_sort(F.collect_list(F.struct("lag", "r")))
+        return r.groupBy("run", F.col("channel").alias(name)).agg(F.transform(points, lambda p: p["r"]).alias(out))
+
+    def step(acc: Column, pair: Column) -> Column:
+        on = acc["on"] & (pair["ra"] > 0) & (pair["rb"] > 0)
+        return F.struct((acc["s"] + F.when(on, pair["ra"] * pair["rb"]).otherwise(0.0)).alias("s"), on.alias("on"))
+
+    both = arrays(neural, "roi", "ra").join(arrays(behaviour, "channel", "rb"), "run")
+    start = F.struct(F.lit(0.0).alias("s"), F.lit(True).alias("on"))
+    s = F.aggregate(F.arrays_zip("ra", "rb"), start, lambda acc, pair: step(acc, pair), lambda acc: acc["s"])
+    out = both.select("run", "roi", "channel", s.alias("s")).join(n, ["run", "roi"]).withColumn("n_eff", F.col("t") / F.greatest(1 + 2 * F.col("s"), F.lit(1.0)))
     return out.select("run", "roi", "channel", "t", "n_eff", (2 / F.sqrt(F.greatest(F.col("n_eff") - 3, F.lit(1.0)))).alias("floor"))
 
 

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracelake.functions import expressions as X
+from tracelake.operators.regions import attempted
 from tracelake.sources.shared import stored
 
 FRAMES = "run string, frame long, h int, w int, pixels array<double>"
@@ -382,83 +383,20 @@ def low_rank(pixels: DataFrame, rank: int) -> DataFrame:
 # regions
 
 
-def grow_region(movie: np.ndarray, cmap: np.ndarray, free: np.ndarray, threshold: float, cap: int, seed_size: int = 1) -> np.ndarray:
-    """Mask of the region that grows from the map's maximum among free pixels (the first in rows, of equals).
-
-    Rings of neighbours are added while they are free and correlate with the mean trace
-    of the region above the threshold; the trace is renewed after each ring. ``seed_size``
-    3 starts from the seed's neighbourhood, free or not.
-    """
-    h, w = cmap.shape
-    seed = np.unravel_index(np.argmax(np.where(free, cmap, -np.inf)), (h, w))
-    mask = np.zeros((h, w), bool)
-    r = seed_size // 2
-    mask[max(0, seed[0] - r) : seed[0] + r + 1, max(0, seed[1] - r) : seed[1] + r + 1] = True
-    while mask.sum() < cap:
-        ring = (_neighbours(mask.astype(np.int64)) > 0) & ~mask & free
-        if not ring.any():
-            break
-        trace = movie[:, mask].mean(axis=1)
-        near = movie[:, ring]
-        a, b = trace - trace.mean(), near - near.mean(axis=0)
-        scale = np.sqrt((a @ a) * (b * b).sum(axis=0))
-        r_ = np.divide(a @ b, scale, out=np.zeros_like(scale), where=scale > 0)
-        ys, xs = np.nonzero(ring)
-        take = r_ > threshold
-        if not take.any():
-            break
-        mask[ys[take], xs[take]] = True
-    return mask
-
-
 def regions(movie: DataFrame, cmap: DataFrame, threshold: Column | float, least: int, most: int, attempts: int | None = 100, seed_size: int = 1, cap: int | None = None) -> DataFrame:
     """(run, roi, y, x) from (run, h, w, frame, pixels) and the map; sizes strictly between ``least`` and ``most``.
 
     A region stops growing at ``cap`` pixels (by default twice ``most``). Pixels whose map
     value is 0, such as the border's, join none. ``threshold`` may be a column of the map.
-    Later regions take pixels that they share with earlier ones.
+    Later regions take pixels that they share with earlier ones. Growth is by tiles.
     """
-    grown = attempted_regions(movie, cmap, threshold, 2 * most if cap is None else cap, attempts, seed_size)
+    grown = attempted(movie, cmap, threshold, 2 * most if cap is None else cap, attempts, seed_size)
     good = grown.filter((F.col("size") > least) & (F.col("size") < most))
     numbered = good.select("run", "attempt", F.row_number().over(Window.partitionBy("run").orderBy("attempt")).alias("roi"), "pixels")
     each = numbered.select("run", F.col("roi").cast("bigint").alias("roi"), F.inline("pixels"))
     return each.groupBy("run", "y", "x").agg(F.max("roi").alias("roi")).select("run", "roi", "y", "x")
 
 
-def attempted_regions(movie: DataFrame, cmap: DataFrame, threshold: Column | float, cap: int, attempts: int | None = 100, seed_size: int = 1, by: tuple[str, ...] = ()) -> DataFrame:
-    """(run, columns ``by`` of the map, attempt, size, pixels: array of y, x) of every seed that is tried, kept or not.
-
-    ``attempts`` seeds are tried; None goes on while a free pixel of the map is above
-    the threshold. A run is one group, as growing is sequential; the movie given here is
-    the binned one, about six frames a second.
-    """
-    keys = ["run", *by]
-    kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in cmap.schema.fields if f.name in by)
-    image = cmap.select(*keys, "y", "x", "r", (threshold if isinstance(threshold, Column) else F.lit(float(threshold))).cast("double").alias("_t"))
-    if by:  # a copy of the movie for each map
-        maps = cmap.select("run", F.struct(*by).alias("_by")).distinct()
-        movie = movie.join(maps, "run").select("run", "frame", "h", "w", "pixels", *[F.col(f"_by.{c}").alias(c) for c in by])
-
-    def grow(key: tuple, frames: pd.DataFrame, image: pd.DataFrame) -> pd.DataFrame:
-        rows = []
-        if len(frames) and len(image):
-            frames = frames.sort_values("frame")
-            h, w = int(frames["h"].iloc[0]), int(frames["w"].iloc[0])
-            a = np.stack([[0.0 if v is None else v for v in x] for x in frames["pixels"]]).astype(np.float64).reshape(len(frames), h, w)
-            c = np.zeros((h, w))
-            c[image["y"], image["x"]] = image["r"]
-            level = float(image["_t"].iloc[0])
-            free = c != 0
-            while free.any() and (len(rows) < attempts if attempts is not None else c[free].max() > level):
-                mask = grow_region(a, c, free, level, cap, seed_size)
-                free &= ~mask
-                ys, xs = np.nonzero(mask)
-                rows.append((*key, len(rows) + 1, len(ys), [{"y": int(y), "x": int(x)} for y, x in zip(ys, xs, strict=True)]))
-        return pd.DataFrame(rows, columns=[*keys, "attempt", "size", "pixels"])
-
-    return movie.groupBy(*keys).cogroup(image.groupBy(*keys)).applyInPandas(grow, f"run string, {kinds}attempt long, size long, pixels array<struct<y: bigint, x: bigint>>")
-
-
 def roi_table(roi_pixels: DataFrame, um_per_px: float = 1.0) -> DataFrame:
     """(run, roi, npix, cx, cy, diameter_um, merged): ``merged`` is over 1.7 times the run's median area."""
     rois = roi_pixels.groupBy("run", "roi").agg(F.count("*").alias("npix"), F.avg("x").alias("cx"), F.avg("y").alias("cy"))
@@ -495,13 +433,13 @@ SIZES = ((9, 19), (20, 49), (50, 79), (80, 149), (150, 249), (250, 399), (400, N
 def threshold_sweep(movie: DataFrame, cmap: DataFrame, least: int, most: int, points: tuple[float, ...] = POINTS, cap: int | None = None, seed_size: int = 3) -> DataFrame:
     """(run, point, threshold, attempts, accepted, median_area, at_cap, sizes) of growing at percentiles of each run's positive map.
 
-    Each run and point is one group, so the whole sweep is one job. ``at_cap`` counts all
-    attempts that reached the cap; ``sizes`` counts attempts in SIZES, ends included.
+    All points of a run share its tiles' covariances. ``at_cap`` counts all attempts that
+    reached the cap; ``sizes`` counts attempts in SIZES, ends included.
     """
     cap = 2 * most if cap is None else cap
     cuts = cmap.filter("r > 0").groupBy("run").agg(F.percentile("r", F.array(*[F.lit(p) for p in points])).alias("_c"))
     cuts = cuts.select("run", F.inline(F.arrays_zip(F.array(*[F.lit(float(p)) for p in points]).alias("point"), F.transform("_c", lambda c: F.bround(c, 3)).alias("threshold"))))
-    tried = attempted_regions(movie, cmap.join(cuts, "run"), F.col("threshold"), cap, None, seed_size, by=("point", "threshold"))
+    tried = attempted(movie, cmap.join(cuts, "run"), F.col("threshold"), cap, None, seed_size, by=("point", "threshold"))
     good = (F.col("size") > least) & (F.col("size") < most)
     counts = [F.count_if((F.col("size") >= a) & (F.col("size") <= b if b is not None else F.lit(True))).alias(f"s{i}") for i, (a, b) in enumerate(SIZES)]
     swept = tried.groupBy("run", "point", "threshold").agg(

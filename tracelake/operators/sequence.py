@@ -1,9 +1,9 @@
 """Operators along a trace: smoothing, repair, runs, bouts, hysteresis, event averages.
 
 A trace table has one row for each run, channel and frame: (run, channel, frame, v).
-Frames of a channel are dense from 0. Windows are partitioned by run and channel, and
-the smoothing ones also by blocks of frames with the neighbours that they need, so that
-a long recording is spread over tasks.
+Frames of a channel are dense from 0. Windows are partitioned by run, channel and block of
+frames: with the neighbours that they need where they look a fixed way, with what the
+blocks before or after hand on (``scans``) where they don't. No task sorts a whole channel.
 
 Cases: null values stay out of sums; a channel with one frame is its own mean; an empty
 table gives an empty result; other columns are dropped unless said otherwise.
@@ -15,10 +15,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracelake.functions import expressions as X
+from tracelake.operators import scans
+from tracelake.operators.scans import BLOCK
 
 KEYS = ("run", "channel")
-#: Frames in a block.
-BLOCK = 65_536
 
 
 def along(*more: str) -> Window:
@@ -87,9 +87,10 @@ def gaussian_mean(df: DataFrame, sigma: float, block: int = BLOCK, as_uint16: bo
     return out.withColumn("v", F.floor("v").cast("int")) if as_uint16 else out
 
 
-def differences(df: DataFrame) -> DataFrame:
+def differences(df: DataFrame, block: int = BLOCK) -> DataFrame:
     """v less the frame before; null for the first."""
-    return df.select(*KEYS, "frame", (F.col("v") - F.lag("v").over(along())).alias("v"))
+    rows = in_blocks(df.select(*KEYS, "frame", "v"), 1, 0, block)
+    return rows.withColumn("v", F.col("v") - F.lag("v").over(along("block"))).filter("own").select(*KEYS, "frame", "v")
 
 
 def motion_energy(df: DataFrame) -> DataFrame:
@@ -97,17 +98,21 @@ def motion_energy(df: DataFrame) -> DataFrame:
     return differences(df).withColumn("v", F.coalesce(F.abs("v"), F.lit(0.0)))
 
 
+def _with_whole(df: DataFrame, **of: Column) -> DataFrame:
+    """Rows with aggregates of their channel, which tasks make of their own rows first."""
+    return df.join(df.groupBy(*KEYS).agg(*[c.alias(n) for n, c in of.items()]), list(KEYS))
+
+
 def zscore(df: DataFrame) -> DataFrame:
     """By the population's standard deviation; 0 for a constant trace."""
-    w = Window.partitionBy(*KEYS)
-    return df.select(*KEYS, "frame", F.coalesce(F.try_divide(F.col("v") - F.avg("v").over(w), F.stddev_pop("v").over(w)), F.lit(0.0)).alias("v"))
+    rows = _with_whole(df, _m=F.avg("v"), _s=F.stddev_pop("v"))
+    return rows.select(*KEYS, "frame", F.coalesce(F.try_divide(F.col("v") - F.col("_m"), F.col("_s")), F.lit(0.0)).alias("v"))
 
 
 def unit_range(df: DataFrame) -> DataFrame:
     """Centred and divided by the range (1 for a constant trace), for display."""
-    w = Window.partitionBy(*KEYS)
-    spread = F.max("v").over(w) - F.min("v").over(w)
-    return df.select(*KEYS, "frame", ((F.col("v") - F.avg("v").over(w)) / F.when(spread == 0, 1.0).otherwise(spread)).alias("v"))
+    rows = _with_whole(df, _m=F.avg("v"), _s=F.max("v") - F.min("v"))
+    return rows.select(*KEYS, "frame", ((F.col("v") - F.col("_m")) / F.when(F.col("_s") == 0, 1.0).otherwise(F.col("_s"))).alias("v"))
 
 
 def tail_trim(df: DataFrame, frames: int = 3) -> DataFrame:
@@ -116,11 +121,11 @@ def tail_trim(df: DataFrame, frames: int = 3) -> DataFrame:
     return df.join(n, "run").filter(F.col("frame") < F.when(F.col("_n") - frames < 1, F.col("_n")).otherwise(F.col("_n") - frames)).select(df.columns)
 
 
-def repair(df: DataFrame, on: int | None = None) -> DataFrame:
+def repair(df: DataFrame, on: int | None = None, block: int = BLOCK) -> DataFrame:
     """Frames 0 and ``on``, which have no true difference, take the next frame's value."""
     at = [0] + ([on] if on is not None else [])
-    fixed = F.when(F.col("frame").isin(at), F.coalesce(F.lead("v").over(along()), F.col("v"))).otherwise(F.col("v"))
-    return df.select(*KEYS, "frame", fixed.alias("v"))
+    fixed = F.when(F.col("frame").isin(at), F.coalesce(F.lead("v").over(along("block")), F.col("v"))).otherwise(F.col("v"))
+    return in_blocks(df.select(*KEYS, "frame", "v"), 0, 1, block).withColumn("v", fixed).filter("own").select(*KEYS, "frame", "v")
 
 
 def temporal_bins(df: DataFrame, n: int) -> DataFrame:
@@ -129,11 +134,12 @@ def temporal_bins(df: DataFrame, n: int) -> DataFrame:
     return binned.filter(F.col("_n") == n).drop("_n")
 
 
-def median3(df: DataFrame) -> DataFrame:
+def median3(df: DataFrame, block: int = BLOCK) -> DataFrame:
     """Median of each frame and its neighbours; end frames are left out."""
-    w = along()
+    w = along("block")
     near = F.array(F.lag("v").over(w), F.col("v"), F.lead("v").over(w))
-    return df.select(*KEYS, "frame", near.alias("_n")).filter("_n[0] is not null and _n[2] is not null").select(*KEYS, "frame", F.sort_array("_n")[1].alias("v"))
+    rows = in_blocks(df.select(*KEYS, "frame", "v"), 1, 1, block).withColumn("_n", near).filter("own")
+    return rows.filter("_n[0] is not null and _n[2] is not null").select(*KEYS, "frame", F.sort_array("_n")[1].alias("v"))
 
 
 def steepest_edges(df: DataFrame) -> DataFrame:
@@ -142,78 +148,106 @@ def steepest_edges(df: DataFrame) -> DataFrame:
     return d.groupBy(*KEYS).agg(F.max_by("frame", F.struct("v", (-F.col("frame")).alias("f"))).alias("up"), F.min_by("frame", F.struct("v", "frame")).alias("down"))
 
 
-def lag_correlation(df: DataFrame, lags: list[int]) -> DataFrame:
+def lag_correlation(df: DataFrame, lags: list[int], block: int = BLOCK) -> DataFrame:
     """(run, channel, lag, r) of a trace with itself ``lag`` frames later, each with its own means."""
-    pairs = None
-    for k in lags:
-        part = df.select(*KEYS, F.lit(k).alias("lag"), "v", F.lead("v", k).over(along()).alias("w")).filter("w is not null")
-        pairs = part if pairs is None else pairs.union(part)
+    rows = in_blocks(df.select(*KEYS, "frame", "v"), 0, max(lags), max(block, max(lags) + 1))
+    later = [F.struct(F.lit(k).alias("lag"), F.lead("v", k).over(along("block")).alias("w")) for k in lags]
+    pairs = rows.withColumn("_p", F.array(*later)).filter("own").select(*KEYS, "v", F.inline("_p")).filter("w is not null")
     return pairs.groupBy(*KEYS, "lag").agg(X.safe_corr(F.col("v"), F.col("w")).alias("r"))
 
 
-def rising_edges(df: DataFrame, hi: Column) -> DataFrame:
+def rising_edges(df: DataFrame, hi: Column, block: int = BLOCK) -> DataFrame:
     """(run, channel, edges): how often v passes ``hi`` upwards."""
-    before = F.lag("v").over(along())
-    return df.withColumn("_b", before).groupBy(*KEYS).agg(F.count_if((F.col("v") > hi) & (F.col("_b") <= hi)).alias("edges"))
+    rows = in_blocks(df, 1, 0, block).withColumn("_b", F.lag("v").over(along("block"))).filter("own")
+    return rows.groupBy(*KEYS).agg(F.count_if((F.col("v") > hi) & (F.col("_b") <= hi)).alias("edges"))
 
 
 # runs and intervals: (run, channel, onset, offset), ends included
 
 
-def runs_of(df: DataFrame, state: Column) -> DataFrame:
-    """Maximal runs of frames where ``state`` is true."""
-    marked = df.withColumn("_s", F.coalesce(state, F.lit(False)))
-    island = F.col("frame") - F.row_number().over(Window.partitionBy(*KEYS, "_s").orderBy("frame"))
-    return marked.withColumn("_i", island).filter("_s").groupBy(*KEYS, "_i").agg(F.min("frame").alias("onset"), F.max("frame").alias("offset")).drop("_i")
+def runs_of(df: DataFrame, state: Column, block: int = BLOCK) -> DataFrame:
+    """Maximal runs of frames where ``state`` is true.
 
+    Blocks find their own runs; those that touch a block's end meet their other half,
+    two rows a block at most.
+    """
+    marked = scans.dealt(df.withColumn("_s", F.coalesce(state, F.lit(False))).filter("_s"), KEYS, scans.block_of("frame", block))
+    island = F.col("frame") - F.row_number().over(along("block"))
+    pieces = marked.withColumn("_i", island).groupBy(*KEYS, "block", "_i").agg(F.min("frame").alias("onset"), F.max("frame").alias("offset"))
+    at_end = (F.col("onset") == F.col("block") * block) | (F.col("offset") == (F.col("block") + 1) * block - 1)
+    pieces = pieces.withColumn("_end", at_end)
+    w = Window.partitionBy(*KEYS).orderBy("onset")
+    halves = pieces.filter("_end").withColumn("_far", F.coalesce((F.col("onset") - F.lag("offset").over(w) > 1).cast("int"), F.lit(1))).withColumn("_g", F.sum("_far").over(w))
+    whole = halves.groupBy(*KEYS, "_g").agg(F.min("onset").alias("onset"), F.max("offset").alias("offset"))
+    return pieces.filter("not _end").select(*KEYS, "onset", "offset").unionByName(whole.select(*KEYS, "onset", "offset"))
 
-def merge_intervals(runs: DataFrame, gap: Column | int, least: Column | int, inclusive: bool = True) -> DataFrame:
+
+def merge_intervals(runs: DataFrame, gap: Column | int, least: Column | int, inclusive: bool = True, block: int = BLOCK) -> DataFrame:
     """Join intervals at most ``gap`` frames apart, then keep those of at least ``least``.
 
     ``inclusive`` counts the frames between and in an interval; otherwise the plain
     differences of its ends are compared.
     """
     one = 1 if inclusive else 0
-    w = Window.partitionBy(*KEYS).orderBy("onset")
-    far = F.coalesce(F.col("onset") - F.lag("offset").over(w) - one > gap, F.lit(True))
-    groups = runs.withColumn("_far", far.cast("int")).withColumn("_g", F.sum("_far").over(w))
+    rows = scans.dealt(runs, KEYS, scans.block_of("onset", block))
+    near = scans.scan(rows, KEYS, ["onset"], {"_before": (scans.BEFORE, F.col("offset"))})
+    far = F.coalesce(F.col("onset") - F.col("_before") - one > gap, F.lit(True))
+    groups = scans.scan(near.withColumn("_far", far.cast("int")), KEYS, ["onset"], {"_g": (scans.SUM, F.col("_far"))})
     out = groups.groupBy(*KEYS, "_g").agg(F.min("onset").alias("onset"), F.max("offset").alias("offset")).drop("_g")
     return out.filter(F.col("offset") - F.col("onset") + one >= least)
 
 
-def backtracked(df: DataFrame, lo: Column, limit: int = 30) -> Column:
-    """Where a walk back from each frame ends: after the last frame at or below ``lo``, at most ``limit`` back."""
-    before = along().rowsBetween(Window.unboundedPreceding, -1)
-    low = F.max(F.when(F.col("v") <= lo, F.col("frame"))).over(before)
-    return F.greatest(F.col("frame") - limit, F.coalesce(1 + low, F.lit(0)))
+def _walked(limit: int) -> Column:
+    """Where a walk back from a frame ends: after the last low frame before it (``_low``), at most ``limit`` back."""
+    return F.greatest(F.col("frame") - limit, F.coalesce(1 + F.col("_low"), F.lit(0)))
 
 
-def refine_onsets(bouts: DataFrame, df: DataFrame, lo: Column, limit: int = 30) -> DataFrame:
+def refine_onsets(bouts: DataFrame, df: DataFrame, lo: Column, limit: int = 30, block: int = BLOCK) -> DataFrame:
     """Onsets walk back while the frame before is above ``lo`` (a column of ``df``)."""
-    walked = df.withColumn("_to", backtracked(df, lo, limit)).select(*KEYS, F.col("frame").alias("onset"), "_to")
+    rows = scans.dealt(df, KEYS, scans.block_of("frame", block))
+    walked = scans.scan(rows, KEYS, ["frame"], {"_low": (scans.BEFORE, F.when(F.col("v") <= lo, F.col("frame")))})
+    walked = walked.select(*KEYS, F.col("frame").alias("onset"), _walked(limit).alias("_to"))
     return bouts.join(walked, [*KEYS, "onset"]).drop("onset").withColumnRenamed("_to", "onset").select(*KEYS, "onset", "offset")
 
 
-def hysteresis_runs(df: DataFrame, hi: Column, lo: Column, limit: int = 30) -> DataFrame:
+def hysteresis_runs(df: DataFrame, hi: Column, lo: Column, limit: int = 30, block: int = BLOCK) -> DataFrame:
     """On above ``hi``, off below ``lo``: offsets are the first frames below ``lo``; onsets are walked back.
 
     A frame is one of four maps of the state before: it sets on, sets off, leaves it, or
     (where lo > hi) turns it over. So a state is that of the last frame that set it,
-    turned over as often as frames since have.
+    turned over as often as frames since have. A block, too, is such a map: it tells its
+    last set state, its turns, its last low frame, and its first frame off for either state
+    before it. A scan over these rows gives each block the state, the low frame and the end
+    of the run that it opens; its frames are then done without any other's.
     """
-    w = along()
-    so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    w = along("block")
+    so_far = w.rowsBetween(Window.unboundedPreceding, 0)
     up, down = F.coalesce(F.col("v") > hi, F.lit(False)), F.coalesce(F.col("v") < lo, F.lit(False))
-    marks = df.withColumns({"_up": up, "_down": down, "_to": backtracked(df, lo, limit)})
-    marks = marks.withColumn("_t", F.sum((F.col("_up") & F.col("_down")).cast("int")).over(so_far))
+    low = F.when(F.col("v") <= lo, F.col("frame"))
+    marks = scans.dealt(df.withColumns({"_up": up, "_down": down, "_l": low}).select(*KEYS, "frame", "_up", "_down", "_l"), KEYS, scans.block_of("frame", block))
+    marks = marks.withColumns({"_t": F.sum((F.col("_up") & F.col("_down")).cast("int")).over(so_far), "_low": F.max("_l").over(w.rowsBetween(Window.unboundedPreceding, -1))})
     marks = marks.withColumn("_set", F.last(F.when(F.col("_up") != F.col("_down"), F.struct(F.col("_up").cast("int").alias("on"), F.col("_t").alias("t"))), ignorenulls=True).over(so_far))
-    turned = F.col("_t") - F.coalesce(F.col("_set.t"), F.lit(0))
-    marks = marks.withColumn("_s", (F.coalesce(F.col("_set.on"), F.lit(0)) + turned) % 2)
-    marks = marks.withColumn("_edge", ((F.col("_s") == 1) & (F.coalesce(F.lag("_s").over(w), F.lit(0)) == 0)).cast("int"))
-    marks = marks.withColumn("_g", F.sum("_edge").over(so_far))
-    last = df.groupBy(*KEYS).agg(F.max("frame").alias("_last"))
-    on = marks.filter("_s = 1").groupBy(*KEYS, "_g").agg(F.max(F.when(F.col("_edge") == 1, F.col("_to"))).alias("onset"), F.max("frame").alias("_e")).join(last, list(KEYS))
-    return on.select(*KEYS, "onset", F.least(F.col("_e") + 1, F.col("_last")).alias("offset"))
+    # the state if the block begins off; if it begins on, it is the other one until a frame sets it
+    marks = marks.withColumn("_s", (F.coalesce(F.col("_set.on"), F.lit(0)) + F.col("_t") - F.coalesce(F.col("_set.t"), F.lit(0))) % 2)
+    free = F.col("_set").isNull()
+    other = F.when(free, 1 - F.col("_s")).otherwise(F.col("_s"))
+    blocks = marks.groupBy(*KEYS, "block").agg(
+        F.max("_l").alias("_l"), F.max("frame").alias("_last"), F.max_by("_t", "frame").alias("_turns"), F.max_by(F.when(~free, F.col("_s")), "frame").alias("_ends"),
+        F.min(F.when(F.col("_s") == 0, F.col("frame"))).alias("_off0"), F.min(F.when(other == 0, F.col("frame"))).alias("_off1"),
+    )
+    along_blocks = Window.partitionBy(*KEYS).orderBy("block")
+    before, after = along_blocks.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy(*KEYS).orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, -1)
+    turns = F.sum("_turns").over(along_blocks.rowsBetween(Window.unboundedPreceding, 0))
+    blocks = blocks.withColumn("_sum", turns)
+    kept = F.last(F.when(F.col("_ends").isNotNull(), F.struct(F.col("_ends").alias("on"), F.col("_sum").alias("t"))), ignorenulls=True).over(before)
+    blocks = blocks.withColumns({"_kept": kept, "_from_low": F.max("_l").over(before), "_end": F.max("_last").over(Window.partitionBy(*KEYS))})
+    blocks = blocks.withColumn("_from", (F.coalesce(F.col("_kept.on"), F.lit(0)) + F.col("_sum") - F.col("_turns") - F.coalesce(F.col("_kept.t"), F.lit(0))) % 2)
+    blocks = blocks.withColumn("_later", F.min(F.when(F.col("_from") == 1, F.col("_off1")).otherwise(F.col("_off0"))).over(after))
+    rows = marks.join(blocks.select(*KEYS, "block", "_from", "_from_low", "_later", "_end"), [*KEYS, "block"])
+    rows = rows.withColumn("_s", F.when(free & (F.col("_from") == 1), 1 - F.col("_s")).otherwise(F.col("_s")))
+    backwards = Window.partitionBy(*KEYS, "block").orderBy(F.desc("frame")).rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumns({"_b": F.coalesce(F.lag("_s").over(w), "_from"), "_off": F.coalesce(F.min(F.when(F.col("_s") == 0, F.col("frame"))).over(backwards), "_later", "_end"), "_low": F.coalesce("_low", "_from_low")})
+    return rows.filter("_s = 1 and _b = 0").select(*KEYS, _walked(limit).alias("onset"), F.col("_off").alias("offset"))
 
 
 def run_statistics(df: DataFrame, state: Column) -> DataFrame:
@@ -264,22 +298,22 @@ def busiest_window(events: DataFrame, width: int, hop: int) -> DataFrame:
     return best.select(*KEYS, (F.col("b.k") * hop).alias("start"), F.col("b.n").alias("n"))
 
 
-def next_event(events: DataFrame, positions: DataFrame) -> DataFrame:
+def next_event(events: DataFrame, positions: DataFrame, block: int = BLOCK) -> DataFrame:
     """(run, channel, frame, previous, next): onsets before and after each position."""
     both = events.select(*KEYS, F.col("onset").alias("frame"), F.col("onset")).unionByName(positions.select(*KEYS, "frame", F.lit(None).cast("bigint").alias("onset")))
-    # onsets at the position itself count on neither side
-    before = F.max("onset").over(Window.partitionBy(*KEYS).orderBy("frame").rangeBetween(Window.unboundedPreceding, -1))
-    after = F.min("onset").over(Window.partitionBy(*KEYS).orderBy(F.desc("frame")).rangeBetween(Window.unboundedPreceding, -1))
-    return both.withColumns({"previous": before, "next": after}).filter("onset is null").drop("onset")
+    rows = scans.dealt(both.withColumn("_o", F.col("onset").isNotNull()), KEYS, scans.block_of("frame", block))
+    # at one frame positions come first, either way: onsets at the position itself count on neither side
+    found = scans.scan(rows, KEYS, ["frame", "_o"], {"previous": (scans.BEFORE, F.col("onset")), "next": (scans.AFTER, F.col("onset"))}, back=["frame", "_o"])
+    return found.filter("onset is null").select(*KEYS, "frame", "previous", "next")
 
 
-def spaced_examples(events: DataFrame, n: int) -> DataFrame:
+def spaced_examples(events: DataFrame, n: int, block: int = BLOCK) -> DataFrame:
     """``n`` events of each channel, evenly spaced in their order."""
-    w = Window.partitionBy(*KEYS)
-    ranked = events.withColumns({"_i": F.row_number().over(w.orderBy("onset")) - 1, "_n": F.count("*").over(w)})
-    picks = F.explode(F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda k: F.floor(k * (F.col("_n") - 1) / max(1, n - 1)))).alias("_p")
-    wanted = ranked.select(*KEYS, "_n").distinct().select(*KEYS, picks).distinct()
-    return ranked.join(wanted, list(KEYS)).filter("_i = _p").drop("_i", "_n", "_p")
+    rows = scans.dealt(events, KEYS, scans.block_of("onset", block))
+    ranked = scans.scan(rows, KEYS, ["onset"], {"_i": (scans.SUM, F.lit(1))}).withColumn("_i", F.col("_i") - 1).drop("block")
+    sizes = events.groupBy(*KEYS).agg(F.count("*").alias("_n"))
+    picks = F.explode(F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda k: F.floor(k * (F.col("_n") - 1) / max(1, n - 1)))).alias("_i")
+    return ranked.join(sizes.select(*KEYS, picks).distinct(), [*KEYS, "_i"]).select(events.columns)
 
 
 # labels of bouts

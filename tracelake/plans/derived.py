@@ -117,7 +117,7 @@ def null_bands(spark, sf_dir):
     SELECT channel, s AS shift, round(avg(r), 6) AS strength FROM r GROUP BY ALL""")
 def shift_curve(spark, sf_dir):
     neural = rois(spark, sf_dir).withColumn("t", F.col("frame").cast("double"))
-    return A.shift_curve(neural, stored(behaviour(spark, sf_dir), "behaviour"), 0, 1.0, [-0.5, 0.0, 0.5]).select("channel", "shift", F.round("strength", 6).alias("strength"))
+    return A.shift_curve(neural, behaviour(spark, sf_dir), 0, 1.0, [-0.5, 0.0, 0.5]).select("channel", "shift", F.round("strength", 6).alias("strength"))
 
 
 @query(f"""WITH {EV}, n AS (SELECT channel, count(*) AS n FROM ev GROUP BY channel), f AS (SELECT ev.channel, n, k, sum((v - m) * h * cos(2 * pi() * k * frame / n)) AS re, sum((v - m) * h * sin(2 * pi() * k * frame / n)) AS im

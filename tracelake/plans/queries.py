@@ -48,15 +48,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 HOUR = 3600
 
 
+def timed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(channel, t, ts, event_id, v): t in seconds since 2024-01-01."""
+    t = F.expr("timestampdiff(MICROSECOND, timestamp_ntz'2024-01-01 00:00:00', ts)") / 1e6
+    return table(spark, sf_dir, "events").select(F.col("event_type").alias("channel"), t.alias("t"), "ts", "event_id", F.col("value").alias("v"))
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(run, channel, frame, t, v): t in seconds since 2024-01-01, frames numbered by time.
+    """(run, channel, frame, t, v): frames numbered by time.
 
     Events are numbered within hours, from the number of those in the hours before, so
     that a channel is no task of its own.
     """
-    t = F.expr("timestampdiff(MICROSECOND, timestamp_ntz'2024-01-01 00:00:00', ts)") / 1e6
-    e = table(spark, sf_dir, "events").select(F.col("event_type").alias("channel"), t.alias("t"), "ts", "event_id", F.col("value").alias("v"))
-    e = e.withColumn("hour", F.coalesce(F.floor(F.col("t") / HOUR), F.lit(-(1 << 40))))
+    e = timed_events(spark, sf_dir).withColumn("hour", F.coalesce(F.floor(F.col("t") / HOUR), F.lit(-(1 << 40))))
     hours = e.groupBy("channel", "hour").agg(F.count("*").alias("n"))
     before = F.coalesce(F.sum("n").over(Window.partitionBy("channel").orderBy("hour").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("bigint"))
     within = F.row_number().over(Window.partitionBy("channel", "hour").orderBy("ts", "event_id")) - 1
@@ -383,12 +387,15 @@ def coverage_cut(spark, sf_dir):
 
 
 def behaviour(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(run, channel, frame, v): all events as means on the ROI clock, which spans them."""
-    span = events(spark, sf_dir).agg(F.min("t").alias("t0"), F.max("t").alias("t1"))
-    frames = rois(spark, sf_dir).agg((F.max("frame") + 1).alias("n"))
+    """(run, channel, frame, v): all events as means on the ROI clock, which spans them; a stored table."""
+    d = timed_events(spark, sf_dir)
+    span = d.agg(F.min("t").alias("t0"), F.max("t").alias("t1"))
+    frames = table(spark, sf_dir, "embeddings").agg(F.max(F.size("embedding")).alias("n"))
     at = F.coalesce(F.floor(F.try_divide((F.col("t") - F.col("t0")) * F.col("n"), F.col("t1") - F.col("t0"))), F.lit(0))
-    d = events(spark, sf_dir).crossJoin(F.broadcast(span)).crossJoin(F.broadcast(frames))
-    return d.groupBy(F.lit("m").alias("run"), "channel", F.least(at, F.col("n") - 1).cast("bigint").alias("frame")).agg(F.avg("v").alias("v"))
+    # tables of one row
+    d = d.crossJoin(F.broadcast(span)).crossJoin(F.broadcast(frames))
+    means = d.groupBy(F.lit("m").alias("run"), "channel", F.least(at, F.col("n") - 1).cast("bigint").alias("frame")).agg(F.avg("v").alias("v"))
+    return stored(means, "behaviour")
 
 
 BV = f"""{EV}, {RV}, sp AS (SELECT min(t) AS t0, max(t) AS t1, (SELECT max(frame) + 1 FROM rv) AS n FROM ev),

@@ -14,9 +14,16 @@ such a stretch is still found. What is left of words joined by hyphens is droppe
 Positions are code points, ends exclusive. They follow from splitting the text at the
 matches: a match starts after all pieces and matches before it.
 
-Cases: null and empty texts have no span and the digest of the empty string; repeated
-rows give repeated results; all other columns stay; the work for a text is linear in its length for the
-patterns and, only where there are matches, quadratic in their number at worst.
+A longer text is first cut into pieces of about ``PIECE`` characters, at places that no
+match and no run can hold: after a character that none takes, between a blank and what
+follows if no colon or equals sign is beside it, and after a colon that can't follow a
+key word. So the work for a text grows in step with its length and its matches; only
+within a piece is it quadratic in the matches, which a piece has few of.
+
+Cases: null and empty texts have no span and the digest of the empty string; very long
+texts are whole; repeated rows give repeated results; ties of spans go by kind; an empty
+table gives an empty result; all other columns stay, whatever their names (``report``
+returns the id and its own).
 """
 
 from __future__ import annotations
@@ -53,6 +60,9 @@ ACCESS = "AKIA[A-Z0-9]+"
 HEX = "[0-9a-f]+"
 LEAST = {"assign": 6, "access": 20, "hex": 24}
 RUN = "[A-Za-z0-9+/_=-]"
+#: Characters of a piece, about, and what ends one.
+PIECE = 4096
+CUT = r"""[^A-Za-z0-9+/_.=\x20:"'-]|(?<=[^:=\x20]\x20)(?=[^:=\x20])|(?<=[^dDtTnNyY"'\x20:=]:)"""
 
 
 def _spans(kind: str, hits: str, gaps: str, keep: str, at: str = "0") -> str:
@@ -104,59 +114,73 @@ def _allowed(run: str, at: str, stretches: str, examples: str) -> str:
     return f"concat({of(stretches, 'true')}, {of(TOKEN, f'p.m[i] rlike {chr(39)}{examples}{chr(39)}')})"
 
 
-def scan(
-    df: DataFrame, text_col: str = "text", out: str = "secret_spans", window: int = WINDOW, allow: tuple[str, ...] = ALLOW, stretches: str = STRETCHES, examples: str = EXAMPLES
-) -> DataFrame:
-    """Adds ``out``: array of spans (start, rank, stop, kind), by start, then kind as in KINDS. No shuffle, no Python."""
-    names = [f"_{out}_{x}" for x in ("text", "assign", "value", "access", "hex", "run", "base", "more")]
-    text, assign, value, access, hexes, run, base, more = names
-    found = df.withColumn(text, common.text_or_empty(f"`{text_col}`"))
-    found = found.withColumns(
-        {
-            assign: F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(0)),
-            # a run of 20, or 24, holds the same matches as a run of any length that is then measured
-            access: F.when(F.contains(text, F.lit("AKIA")), F.regexp_extract_all(text, F.lit(f"AKIA[A-Z0-9]{{{LEAST['access'] - 4},}}"), F.lit(0))).otherwise(F.array().cast("array<string>")),
-            hexes: F.regexp_extract_all(text, F.lit(f"[0-9a-f]{{{LEAST['hex']},}}"), F.lit(0)),
-            run: F.regexp_extract_all(text, F.lit(f"{RUN}{{{window},}}"), F.lit(0)),
-        }
-    )
-
-    def gaps(hits: str, pattern: str) -> Column:
-        return F.when(F.size(hits) > 0, F.split(text, pattern, -1))
-
-    parts = {
-        value: F.when(F.size(assign) > 0, F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(2))),
-        f"{assign}_gaps": gaps(assign, ASSIGN),
-        f"{access}_gaps": gaps(access, f"AKIA[A-Z0-9]{{{LEAST['access'] - 4},}}"),
-        f"{hexes}_gaps": gaps(hexes, f"[0-9a-f]{{{LEAST['hex']},}}"),
-        f"{run}_gaps": gaps(run, f"{RUN}{{{window},}}"),
+def _let(name: str, values: dict[str, str], body: str) -> str:
+    """SQL for ``body`` with a struct ``name`` of values, each made once."""
+    fields = ", ".join(f"'{k}', {v}" for k, v in values.items())
+    return f"transform(array(named_struct({fields})), {name} -> {body})[0]"
+
+
+def _quoted(pattern: str) -> str:
+    return "r'" + pattern + "'" if "'" not in pattern else 'r"' + pattern + '"' if '"' not in pattern else "'" + pattern.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _found(t: str, window: int, allow: tuple[str, ...], stretches: str, examples: str) -> str:
+    """SQL: the sorted spans of the text ``t``."""
+    access, hexes, runs = f"AKIA[A-Z0-9]{{{LEAST['access'] - 4},}}", f"[0-9a-f]{{{LEAST['hex']},}}", f"{RUN}{{{window},}}"
+    hits = {
+        "assign": f"regexp_extract_all({t}, {_quoted(ASSIGN)}, 0)",
+        # a run of 20, or 24, holds the same matches as a run of any length that is then measured
+        "access": f"if(contains({t}, 'AKIA'), regexp_extract_all({t}, '{access}', 0), cast(array() as array<string>))",
+        "hexes": f"regexp_extract_all({t}, '{hexes}', 0)",
+        "run": f"regexp_extract_all({t}, '{runs}', 0)",
     }
-    found = found.withColumns(parts)
-    found = found.withColumn(
-        base,
-        F.concat(
-            F.expr(_spans("assign", assign, f"{assign}_gaps", f"length({value}[i]) >= {LEAST['assign']}")),
-            F.expr(_spans("access", access, f"{access}_gaps", "true")),
-            F.expr(_spans("hex", hexes, f"{hexes}_gaps", "true")),
-        ),
-    )
+    gaps = {f"{name}_gaps": f"if(size(m.{name}) > 0, split({t}, {_quoted(pattern)}, -1), null)" for name, pattern in (("assign", ASSIGN), ("access", access), ("hexes", hexes), ("run", runs))}
+    gaps["value"] = f"if(size(m.assign) > 0, regexp_extract_all({t}, {_quoted(ASSIGN)}, 2), null)"
+    base = ", ".join((_spans("assign", "m.assign", "g.assign_gaps", f"length(g.value[i]) >= {LEAST['assign']}"), _spans("access", "m.access", "g.access_gaps", "true"), _spans("hex", "m.hexes", "g.hexes_gaps", "true")))
     # a run with a class has a letter and a digit, and so has any piece with one
-    found = found.withColumn(more, F.expr(_spans("entropy", run, f"{run}_gaps", f"{run}[i] rlike '[0-9]' and {run}[i] rlike '[A-Za-z]'")))
+    long_runs = _spans("entropy", "m.run", "g.run_gaps", "m.run[i] rlike '[0-9]' and m.run[i] rlike '[A-Za-z]'")
     span = lambda start, stop: f"array(named_struct('start', {start}, 'rank', x.rank, 'stop', {stop}, 'kind', x.kind))"
-    left = f"""flatten(transform({more}, x -> aggregate(
-        array_sort(concat(filter({base}, b -> b.start < x.stop and x.start < b.stop), {_allowed(f'substring({text}, x.start + 1, x.stop - x.start)', 'x.start', stretches, examples)})),
+    left = f"""flatten(transform(s.more, x -> aggregate(
+        array_sort(concat(filter(s.base, b -> b.start < x.stop and x.start < b.stop), {_allowed(f'substring({t}, x.start + 1, x.stop - x.start)', 'x.start', stretches, examples)})),
         named_struct('at', x.start, 'out', cast(array() as array<{SPAN}>)),
         (acc, b) -> named_struct('at', greatest(acc.at, b.stop), 'out', if(b.start > acc.at, concat(acc.out, {span('acc.at', 'b.start')}), acc.out)),
         acc -> if(acc.at < x.stop, concat(acc.out, {span('acc.at', 'x.stop')}), acc.out))))"""
     allowed = " or ".join(["false"] + [f"h rlike '{p}'" for p in allow])
-    judged = f"exists(array(substring({text}, x.start + 1, x.stop - x.start)), h -> ({_class('h')}) is not null and not ({allowed}))"
-    found = found.withColumn(more, F.expr(f"if(size({more}) = 0, {more}, filter({left}, x -> x.stop - x.start >= {window} and {judged}))"))
-    piece = f"substring({text}, x.start + 1, x.stop - x.start)"
-    slid = f"""filter(transform({more}, x -> transform(array({_slide(piece, f'({_class(piece)})', window)}), w -> named_struct(
+    piece = f"substring({t}, x.start + 1, x.stop - x.start)"
+    judged = f"exists(array({piece}), h -> ({_class('h')}) is not null and not ({allowed}))"
+    slid = f"""filter(transform(k.kept, x -> transform(array({_slide(piece, f'({_class(piece)})', window)}), w -> named_struct(
         'start', x.start + w.first, 'rank', x.rank, 'stop', x.start + w.last + {window}, 'kind', x.kind))[0]),
         y -> y.start is not null)"""
-    found = found.withColumn(out, F.expr(f"array_sort(concat({base}, if(size({more}) = 0, cast(array() as array<{SPAN}>), {slid})))"))
-    return found.drop(*names, *parts)
+    none = f"cast(array() as array<{SPAN}>)"
+    kept = f"if(size(s.more) = 0, {none}, filter({left}, x -> x.stop - x.start >= {window} and {judged}))"
+    sorted_ = f"array_sort(concat(s.base, if(size(k.kept) = 0, {none}, {slid})))"
+    whole = _let("s", {"base": f"concat({base})", "more": long_runs}, _let("k", {"kept": kept}, sorted_))
+    any_hit = "size(m.assign) + size(m.access) + size(m.hexes) + size(m.run) > 0"
+    return _let("m", hits, f"if({any_hit}, {_let('g', gaps, whole)}, {none})")
+
+
+def _pieces(text: str) -> str:
+    """SQL: array of (at, t), the pieces of a text with their places."""
+    cut = f"regexp_extract_all({text}, {_quoted(f'(?s).{{1,{PIECE}}}(?:$|.*?(?:{CUT}|$))')}, 0)"
+    listed = f"""aggregate({cut}, named_struct('at', 0, 'out', cast(array() as array<struct<at:int,t:string>>)),
+        (acc, p) -> named_struct('at', acc.at + length(p), 'out', concat(acc.out, array(named_struct('at', acc.at, 't', p)))), acc -> acc.out)"""
+    return f"if(length({text}) <= {2 * PIECE}, array(named_struct('at', 0, 't', {text})), {listed})"
+
+
+def scan(
+    df: DataFrame, text_col: str = "text", out: str = "secret_spans", window: int = WINDOW, allow: tuple[str, ...] = ALLOW, stretches: str = STRETCHES, examples: str = EXAMPLES
+) -> DataFrame:
+    """Adds ``out``: array of spans (start, rank, stop, kind), by start, then kind as in KINDS. No shuffle, no Python."""
+    return _by_piece(df, text_col, out, window, allow, stretches, examples, "spans", "u.at")
+
+
+def _by_piece(df: DataFrame, text_col: str, out: str, window: int, allow: tuple[str, ...], stretches: str, examples: str, what: str, at: str) -> DataFrame:
+    name = f"_{out}_text"
+    spans = _found("u.t", window, allow, stretches, examples)
+    moved = f"transform({spans}, x -> named_struct('start', x.start + {at}, 'rank', x.rank, 'stop', x.stop + {at}, 'kind', x.kind))"
+    found = df.withColumn(name, common.text_or_empty(f"`{text_col}`"))
+    each = f"transform({_pieces(f'`{name}`')}, u -> {moved if what == 'spans' else what.format(spans=spans)})"
+    return found.withColumn(out, F.expr(f"flatten({each})" if what == "spans" else f"array_join({each}, '')")).drop(name)
 
 
 def line(spans: str, kinds: tuple[str, ...] = KINDS) -> Column:
@@ -174,11 +198,12 @@ def report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
 def redact(df: DataFrame, text_col: str = "text", marker: str = "[SECRET]") -> DataFrame:
     """Replaces every span by ``marker``; overlapping spans become one. Null texts stay null; other columns stay, whatever their names."""
-    found = scan(df.select(F.struct("*").alias("row"), F.col(text_col).cast("string").alias("text")))
-    cut = f"""aggregate(secret_spans, named_struct('out', '', 'at', 0), (acc, x) -> if(x.stop <= acc.at, acc, named_struct(
-        'out', concat(acc.out, if(x.start >= acc.at, concat(substring(text, acc.at + 1, x.start - acc.at), '{marker}'), '')), 'at', x.stop)),
-        acc -> concat(acc.out, substring(text, acc.at + 1)))"""
-    text = F.when(F.size("secret_spans") == 0, F.col(f"row.`{text_col}`")).otherwise(F.expr(cut))
+    cut = f"""aggregate({{spans}}, named_struct('out', '', 'at', 0), (acc, x) -> if(x.stop <= acc.at, acc, named_struct(
+        'out', concat(acc.out, if(x.start >= acc.at, concat(substring(u.t, acc.at + 1, x.start - acc.at), '{marker}'), '')), 'at', x.stop)),
+        acc -> concat(acc.out, substring(u.t, acc.at + 1)))"""
+    packed = df.select(F.struct("*").alias("row"), F.col(text_col).cast("string").alias("text"))
+    found = _by_piece(packed, "text", "clean", WINDOW, ALLOW, STRETCHES, EXAMPLES, cut, "0")
+    text = F.when(F.col("text").isNull() | (F.col("clean") == F.col("text")), F.col(f"row.`{text_col}`")).otherwise(F.col("clean"))
     return found.select(F.col("row").withField(f"`{text_col}`", text).alias("row")).select("row.*")
 
 

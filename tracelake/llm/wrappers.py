@@ -20,17 +20,18 @@ are joined to pages.
 Main slots. Text that is the same on all of a slot's pages (three or more) is the
 template's. Menus, headers, footers, sidebars, notices, adverts, forms and comments, told
 by element, role or words of class and id, are out with all that is in them, as adverts
-and comments differ from page to page like the article does. The main part is the lowest
-element that holds all other text that differs, links aside. What is in it stays, but for
-parts that have only the template's text and aren't headings. Names decide only where
-that leaves a choice: if article (else main) elements in that part hold half of its text,
-they are the main part. A page that has no text in its host's main slots, being unlike
-the others, is read by its own wrapper.
+and comments differ from page to page like the article does; where nothing else is left,
+there is no main text. The main part is the lowest element that holds all other text that
+differs, links aside. What is in it stays, but for slots with only the template's text
+that come before the first or after the last that differs and aren't headings. Names
+decide only where that leaves a choice: if article (else main) elements in that part hold
+half of its text, they are the main part. A page that has no text in its host's main
+slots, being unlike the others, is read by its own wrapper.
 
 Cases: null and empty pages and pages without text give the empty text; null and
 malformed addresses share the host ''; damaged markup is read as browsers do, roughly:
-what isn't closed ends with its parent, and elements nested deeper than DEEP are taken as
-text of the deepest; repeated rows give repeated results; all work on a page is linear in
+what isn't closed ends with its parent, and elements nested deeper than DEEP have no slots of
+their own: their text is the deepest's, unless they are out; further columns are left out; repeated rows give repeated results; all work on a page is linear in
 its length, but for a factor of DEEP at most.
 """
 
@@ -53,8 +54,8 @@ from tracelake.llm import common
 
 #: Tasks over which one host's partly folded wrappers are dealt.
 PARTS = 64
-#: Wrappers that a task holds before it passes them on.
-HELD = 20_000
+#: Characters of pages that a task folds into wrappers, which are no larger, before it passes them on.
+HELD = 32_000_000
 #: Share of the text that differs which named elements must hold to be the main part.
 SHARE = 0.5
 #: Pages with equal text that make it the template's.
@@ -202,6 +203,8 @@ def tree(page: str) -> Node:
     stack: list[tuple[str, Node, list[str]]] = [("", root, [])]
     open_: Counter = Counter()
     over: Counter = Counter()  # elements below DEEP
+    below: list[tuple[str, bool]] = []  # in their order, and whether they are out
+    muted = 0  # those that are
     text: list[str] = []
     linked = order = links = 0
 
@@ -240,6 +243,8 @@ def tree(page: str) -> Node:
 
     def put(raw: str) -> None:
         nonlocal linked
+        if muted:
+            return
         if raw.isspace():
             text.append(" ")
         elif raw:
@@ -316,8 +321,13 @@ def tree(page: str) -> Node:
             if tag in _VOID or tag in _RAW or tag in _SKIPPED:
                 text.append(" ")
             elif over[tag]:
-                over[tag] -= 1
                 flush()
+                while True:
+                    name, mute = below.pop()
+                    over[name] -= 1
+                    muted -= mute
+                    if name == tag:
+                        break
             else:
                 close((tag,), () if tag in _KEPT_TAGS else ("td", "th", "table") if tag not in ("td", "th", "tr", "table", "tbody", "thead", "tfoot") else ("table",) if tag != "table" else ())
                 flush()
@@ -336,6 +346,8 @@ def tree(page: str) -> Node:
         flush()
         if len(stack) >= DEEP:
             over[tag] += 1
+            below.append((tag, is_out(key_of(tag, attributes))))
+            muted += below[-1][1]
             continue
         key = key_of(tag, attributes)
         _, above, sequence = stack[-1]
@@ -470,27 +482,26 @@ def _tag(key: str) -> str:
 def main_slots(wrapper: Node, names: bool = True) -> frozenset[tuple[str, ...]]:
     """Paths of the elements whose slots hold main text; ``names`` lets article and main elements decide."""
     nodes, parent, work = [], [], [(wrapper, -1)]
-    while work:  # parents come before their children
+    while work:  # in the page's order, parents before their children
         node, above = work.pop()
         nodes.append(node)
         parent.append(above)
-        work += [(child, len(nodes) - 1) for key, child in node.children.items() if key != SLOT]
+        listed = [k for item in node.items for k in item if k != SLOT]
+        work += [(node.children[key], len(nodes) - 1) for key in reversed(listed)]
     every = range(len(nodes))
     tags, kinds = [_tag(n.key) for n in nodes], [_kind(n.key) for n in nodes]
     stats = [n.children[SLOT].slot if SLOT in n.children and n.children[SLOT].slot[1] else None for n in nodes]
     holds = [False] * len(nodes)  # a name such as "with-sidebar" on what holds the article says nothing
     for i in reversed(every[1:]):
         holds[parent[i]] |= bool(kinds[i]) or holds[i]
-    out, tag_out = [False] * len(nodes), [False] * len(nodes)
+    out = [False] * len(nodes)
     for i in every[1:]:
-        tag_out[i] = tag_out[parent[i]] or tags[i] in _OUT_TAGS
         out[i] = out[parent[i]] or is_out(nodes[i].key) and (tags[i] in _OUT_TAGS or not holds[i])
     slots = [i for i in every if stats[i]]
     template = {i for i in slots if stats[i][0] >= SAME and stats[i][3] == stats[i][4]}
     if len(template) == len(slots):
         template = set()  # copies of one page
-    # words of class and id mean nothing where they leave no text
-    good = [i for i in slots if not out[i]] or [i for i in slots if not tag_out[i]] or slots
+    good = [i for i in slots if not out[i]]
     mass = {i: stats[i][1] - stats[i][2] for i in good if i not in template and 2 * stats[i][2] < stats[i][1]}
     mass = mass or {i: stats[i][1] for i in good if i not in template} or {i: stats[i][1] for i in good}
     if not mass:
@@ -506,7 +517,8 @@ def main_slots(wrapper: Node, names: bool = True) -> frozenset[tuple[str, ...]]:
     for i in every[root + 1 :]:
         inside[i] = inside[parent[i]]
         heading[i] = inside[i] and (heading[parent[i]] or tags[i] in _HEADINGS)
-    kept = [i for i in good if inside[i] and (i not in template or below[i] or i == root or heading[i])]
+    first, last = min(mass), max(mass)
+    kept = [i for i in good if inside[i] and (i not in template or below[i] or i == root or heading[i] or first < i < last)]
     for kind in ("article", "main") if names else ():
         named = [k == kind for k in kinds]
         for i in every[1:]:
@@ -561,6 +573,7 @@ def infer(pages: DataFrame, url_col: str = "url", html_col: str = "html", parts:
     def local(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[str, Node] = {}
         counts: dict[str, int] = {}
+        size = 0
 
         def out() -> pd.DataFrame:
             rows = [(host, counts[host], dump(node)) for host, node in held.items()]
@@ -570,14 +583,16 @@ def infer(pages: DataFrame, url_col: str = "url", html_col: str = "html", parts:
             for host, page in zip(frame["host"], frame["page"], strict=True):
                 node = sealed(tree(page or ""))
                 counts[host] = counts.get(host, 0) + 1
+                size += len(page or "")
                 if host in held:
                     align(held[host], node)
                 else:
                     held[host] = node
-            if len(held) > HELD:
-                yield out()
-                held.clear()
-                counts.clear()
+                if size > HELD:
+                    yield out()
+                    held.clear()
+                    counts.clear()
+                    size = 0
         yield out()
 
     def folded(frame: pd.DataFrame) -> pd.DataFrame:

@@ -22,8 +22,8 @@ template's. Menus, headers, footers, sidebars, notices, adverts, forms and comme
 by element, role or words of class and id, are out with all that is in them, as adverts
 and comments differ from page to page like the article does; where nothing else is left,
 there is no main text. The main part is the lowest element that holds all other text that
-differs, links aside. What is in it stays, but for slots with only the template's text
-that come before the first or after the last that differs and aren't headings. Names
+differs, links aside. What is in it stays, but for parts that have only the template's
+text and are neither headings nor lines (such as paragraphs) among those that differ. Names
 decide only where that leaves a choice: if article (else main) elements in that part hold
 half of its text, they are the main part. A page that has no text in its host's main
 slots, being unlike the others, is read by its own wrapper.
@@ -518,7 +518,7 @@ def main_slots(wrapper: Node, names: bool = True) -> frozenset[tuple[str, ...]]:
         inside[i] = inside[parent[i]]
         heading[i] = inside[i] and (heading[parent[i]] or tags[i] in _HEADINGS)
     first, last = min(mass), max(mass)
-    kept = [i for i in good if inside[i] and (i not in template or below[i] or i == root or heading[i] or first < i < last)]
+    kept = [i for i in good if inside[i] and (i not in template or below[i] or i == root or heading[i] or (first < i < last and tags[i] in _LINES))]
     for kind in ("article", "main") if names else ():
         named = [k == kind for k in kinds]
         for i in every[1:]:

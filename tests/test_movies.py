@@ -346,6 +346,18 @@ def test_low_rank_of_whole_movies(spark, tmp_path):
     assert len(rows) == 230 * 64 and np.allclose([r["v"] for r in rows], ((u[:, :5] * s[:5]) @ v[:5]).ravel(), atol=1e-5)
 
 
+def test_low_rank_by_sketches(spark):
+    rng = np.random.default_rng(18)
+    u, _, vt = np.linalg.svd(rng.normal(size=(60, 63)), full_matrices=False)
+    a = ((u * 0.8 ** np.arange(60)) @ vt).reshape(60, 7, 9)
+    want = ((u[:, :4] * 0.8 ** np.arange(4)) @ vt[:4]).ravel()
+    for side, width in ((16, 20), (25, None)):
+        got = I.low_rank(pixels_of(spark, a), 4, side, width).orderBy("frame", "y", "x").collect()
+        assert np.abs(np.array([r["v"] for r in got]) - want).max() < 1e-8
+    flat = pixels_of(spark, np.ones((3, 2, 2))).unionByName(pixels_of(spark, np.zeros((3, 2, 2))).withColumn("run", F.lit("z")))
+    assert {(r["run"], round(r["v"], 9) + 0.0) for r in I.low_rank(flat, 2).collect()} == {("m", 1.0), ("z", 0.0)} and I.low_rank(flat.limit(0), 2).count() == 0
+
+
 XML = """<?xml version="1.0"?><PVScan date="1/2/2024"><PVStateShard><PVStateValue key="framePeriod" value="0.5"/><PVStateValue key="micronsPerPixel"><IndexedValue index="XAxis" value="1.25"/></PVStateValue></PVStateShard>
 <Sequence type="TSeries"><Frame relativeTime="3.0"/><Frame relativeTime="3.5"/><Frame relativeTime="4.0"/></Sequence></PVScan>"""
 

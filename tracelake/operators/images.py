@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracelake.functions import expressions as X
+from tracelake.operators.lowrank import low_rank
 from tracelake.operators.regions import attempted
 from tracelake.sources.shared import stored
 
@@ -324,62 +325,6 @@ def shift_table(shifts: DataFrame) -> DataFrame:
     return shifts.withColumn("total", X.total_shift(F.col("dy"), F.col("dx")))
 
 
-# denoising
-
-
-def _projected(pixels: DataFrame, rank: int, row: list[str], item: list[str]) -> DataFrame:
-    """The best approximation of a rank; a vector for each ``row``, with a value for each ``item``.
-
-    Tasks sum products of the vectors into the items-by-items matrix, whose leading
-    eigenvectors are found once a run; each vector is then projected on them.
-    """
-    points = F.array_sort(F.collect_list(F.struct(*item, "v")))
-    traces = pixels.groupBy("run", *row).agg(points.alias("p")).select("run", *row, *[F.col(f"p.{c}").alias(c) for c in item], F.col("p.v").cast("array<double>").alias("trace"))
-
-    def gram(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[str, np.ndarray] = {}
-        for part in parts:
-            for run, rows in part.groupby("run"):
-                m = np.stack(rows["trace"].to_list())
-                held[run] = held.get(run, 0) + m.T @ m
-        for run, g in held.items():
-            yield pd.DataFrame({"run": run, "i": np.arange(len(g)), "g": g.tolist()})
-
-    def basis(frame: pd.DataFrame) -> pd.DataFrame:
-        g = np.stack(frame.sort_values("i")["g"].to_list())
-        _, vectors = np.linalg.eigh(g)
-        return pd.DataFrame({"run": [frame["run"].iloc[0]], "basis": [vectors[:, ::-1][:, :rank].T.tolist()]})
-
-    def summed(frame: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"run": [frame["run"].iloc[0]], "i": [frame["i"].iloc[0]], "g": [np.sum(np.stack(frame["g"].to_list()), axis=0)]})
-
-    schema = "run string, i long, g array<double>"
-    bases = traces.select("run", "trace").mapInPandas(gram, schema).groupBy("run", "i").applyInPandas(summed, schema).groupBy("run").applyInPandas(basis, "run string, basis array<array<double>>")
-
-    @F.pandas_udf("array<double>")
-    def projected(trace: pd.Series, basis: pd.Series) -> pd.Series:
-        out = []
-        for t, b in zip(trace, basis, strict=True):
-            b = np.stack(b)
-            out.append(b.T @ (b @ t))
-        return pd.Series(out)
-
-    done = traces.join(bases, "run").select("run", *row, F.arrays_zip(*item, projected("trace", "basis").alias("v")).alias("p"))
-    return done.select("run", *row, F.inline("p")).toDF("run", *row, *item, "v").select("run", "frame", "y", "x", "v")
-
-
-def low_rank(pixels: DataFrame, rank: int) -> DataFrame:
-    """The movie's best approximation of a rank, as pixels.
-
-    The matrix of products is frames by frames, or pixels by pixels in runs with fewer
-    pixels than frames: the approximation is the same, and the side is at most the image's.
-    """
-    frames = pixels.groupBy("run", "frame").agg(F.count("*").alias("_p")).groupBy("run").agg(F.count("*").alias("_f"), F.max("_p").alias("_p"))
-    sized = pixels.join(F.broadcast(frames), "run")
-    tall, wide = (sized.filter(c).drop("_f", "_p") for c in ("_f > _p", "_f <= _p"))
-    return _projected(tall, rank, ["frame"], ["y", "x"]).unionByName(_projected(wide, rank, ["y", "x"], ["frame"]))
-
-
 # regions
 
 

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tracelake.llm import piece_bpe, secrets, source_tries, whitening, wrappers
+from tracelake.llm import bpe, piece_bpe, secrets, source_tries, warc, whitening, wrappers
 
 
 def rows_of(df):
@@ -197,3 +197,29 @@ def test_text_that_a_hosts_articles_share_stays():
         wrappers.align(node, wrappers.sealed(wrappers.tree(page)))
     plan = wrappers.plan_of(wrappers.dump(node))
     assert wrappers.extract(pages[2], plan) == "T2 Same lead for all Body 2 words and words 14"
+
+
+def test_byte_pieces_are_cut_between_kinds_of_characters():
+    enc, rng = bpe.encoding(), random.Random(1)
+    parts = ["a", "B", "'s", "'", "'re", "1", "2", " ", "  ", "\n", "!", "-", "中", "文", "。", "é", "Ⅷ", "_", "\t", "　", "٣", "😀"]
+    for _ in range(800):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 60)))
+        for limit in (1, 3, 10):
+            assert bpe.encode_text(enc, text, limit).tolist() == enc.encode_ordinary(text)
+    for text in ("ab1" * 400_000, "x," * 500_000, "中文。" * 400_000):
+        assert max(len(p) for p, _ in bpe.safe_pieces(text)) <= bpe.LIMIT + 3
+        assert bpe.encode_text(enc, text).tolist() == enc.encode_ordinary(text)
+    for text in ("中" * 60_000, "".join(rng.choice("ABCDEFabcdef0123456789+/") for _ in range(1_000_000))):
+        assert bpe.encode_text(enc, text, 20_000).tolist() == enc.encode_ordinary(text)
+
+
+def test_ids_of_any_text_come_back(spark):
+    keys = ["a", "", None, "x>y", "b\r\nWARC-Type: c", "ü %41+ z", "a", "long" * 300]
+    rows = [(k, f"http://h/{i}", "same" if i % 2 else "other", 5) for i, k in enumerate(keys)]
+    pages = spark.createDataFrame(rows, "page_id string, url string, html string, bundle int")
+    got = warc.archive(pages).collect()
+    assert sorted(map(repr, (r["page_id"] for r in got))) == sorted(map(repr, keys))
+    last = {text: max(k for k, _, t, _ in rows if t == text and k is not None) for text in ("same", "other")}
+    want = sorted((repr(k), "response" if k == last[t] else "revisit", None if k == last[t] else last[t]) for k, _, t, _ in rows)
+    assert sorted((repr(r["page_id"]), r["record_type"], r["refers_to"]) for r in got) == want
+    assert warc.archive(pages.limit(0)).count() == 0

@@ -2,12 +2,15 @@
 
 The merges are the tiktoken library's. What is added here: texts longer than
 ``limit`` characters are cut where no match of the pre-splitting pattern can reach
-across, so that neither the regular expression's stack nor the memory of a task
-grows with the length of one text, and ids are decoded to raw bytes (a single id may
+across, so that neither the regular expression's stack nor its matches grow with the
+length of one text (a single match, such as a run of letters without end, is one piece
+to the library, too), and ids are decoded to raw bytes (a single id may
 be part of a UTF-8 sequence).
 
 Cases: a null text is encoded as the empty text and gives no ids; null ids decode to
-empty bytes; repeated rows give repeated results; other columns stay untouched.
+empty bytes; repeated rows give repeated results; an empty table gives an empty result;
+``encode`` and ``decode`` are columns and leave other columns alone, ``round_trip`` returns
+the id, the columns asked for and its own, whatever else the table has.
 """
 
 from __future__ import annotations
@@ -34,7 +37,11 @@ LIMIT = 100_000
 #: Unicode's White_Space, which is what ``\s`` means in the pattern. (Python's own
 #: ``\s`` also takes U+001C to U+001F.)
 _SPACE = "\t-\r \x85\xa0  -     　"
-_EDGE = re.compile(f"(?<=[^{_SPACE}])[{_SPACE}]")
+#: Characters that are letters, digits and neither in any version of Unicode.
+_LETTER, _DIGIT, _OTHER = "A-Za-z\u4e00-\u9fa5", "0-9", "!-&(-/:-@\\[-`{-~\u3001\u3002"
+_EDGE = re.compile(
+    f"(?<=[^{_SPACE}])[{_SPACE}]|(?<=[{_LETTER}])(?=[{_DIGIT}{_OTHER}'])|(?<=[{_DIGIT}])(?=[{_LETTER}{_OTHER}'])|(?<=[{_OTHER}])(?=[{_LETTER}{_DIGIT}])|(?<=')(?=[{_DIGIT}])"
+)
 _RUN = re.compile(f"[{_SPACE}]+")
 
 
@@ -53,7 +60,8 @@ def safe_pieces(text: str, limit: int = LIMIT) -> Iterator[tuple[str, bool]]:
 
     Only ``\\s+`` and one leading blank take white space, and always at the start of
     a match; so no match holds a non-space followed by a space, and each such place
-    is a match's end. A run of white space before a non-space is one match without
+    is a match's end. So is a place between a letter, a digit and another sign, in any
+    order, but for an apostrophe before a letter. A run of white space before a non-space is one match without
     its last character; at the end of the text it is one match as a whole. Yields
     pieces, and whether a piece is a single match (a run longer than ``limit``).
     """

@@ -15,7 +15,9 @@ salted, so that one page copied a million times is spread over tasks.
 
 Cases: a null payload is an empty one; rows with a null id are kept, and are responses
 unless an equal payload has an id; repeated rows (same id and payload) are all
-responses; line ends in an address are percent-encoded; an empty table gives no bundle.
+responses; line ends in an address and all but plain characters in an id are
+percent-encoded, so ids of any text come back as they were; an empty table gives no bundle;
+further columns are left out, whatever their names.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ import base64
 import hashlib
 import struct
 from collections.abc import Iterator
-from dataclasses import dataclass
+from urllib.parse import quote
 
 import pandas as pd
 import xxhash
@@ -67,6 +69,11 @@ def record(record_id: str, url: str, payload: bytes, refers_to: str | None = Non
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
+def urn(key: str | None) -> str:
+    """A record's identifier, with what a field can't hold percent-encoded."""
+    return "urn:none" if key is None else f"urn:record:{quote(key, safe='')}"
+
+
 def parse_record(raw: bytes) -> tuple[dict[str, str], dict[str, str], bytes]:
     """WARC fields, HTTP fields (names in lower case) and the payload that is stored."""
     head, _, rest = raw.partition(b"\r\n\r\n")
@@ -149,13 +156,19 @@ def read_records(data: bytes, index) -> Iterator[bytes]:
 
 
 def refer(pages: DataFrame, id_col: str = "page_id", payload_col: str = "html", min_bytes: int = 0, salts: int = SALTS) -> DataFrame:
-    """Adds ``refers_to``: the id that a revisit refers to, null for a response."""
-    row = pages.withColumns({"_sha": F.sha1(F.coalesce(F.col(payload_col).cast("binary"), F.lit(b""))), "_salt": F.pmod(F.xxhash64(id_col), F.lit(salts)).cast("int")})
-    row = row.withColumn("_sha", F.when(F.coalesce(F.octet_length(payload_col), F.lit(0)) >= min_bytes, F.col("_sha")))
-    repeated = row.filter("_sha is not null").groupBy("_sha").agg(F.max(id_col).alias("_last"), F.count("*").alias("_n")).filter("_n > 1 and _last is not null")
+    """Adds ``refers_to``: the id that a revisit refers to, null for a response.
+
+    Ids and digests alone are shuffled and joined; the revisits' rows, stored, then meet the
+    payloads, which move only where there are too many revisits to send them to all tasks.
+    """
+    long_enough = F.coalesce(F.octet_length(payload_col), F.lit(0)) >= min_bytes
+    row = pages.withColumn("_sha", F.when(long_enough, F.sha1(F.coalesce(F.col(payload_col).cast("binary"), F.lit(b"")))))
+    narrow = row.filter("_sha is not null").select(F.col(id_col).alias("_of"), "_sha", F.pmod(F.xxhash64(id_col), F.lit(salts)).cast("int").alias("_salt"))
+    repeated = narrow.groupBy("_sha").agg(F.max("_of").alias("_last"), F.count("*").alias("_n")).filter("_n > 1 and _last is not null")
     repeated = repeated.select("_sha", "_last", F.explode(F.array(*[F.lit(i) for i in range(salts)])).alias("_salt"))
-    joined = row.join(repeated, ["_sha", "_salt"], "left")
-    return joined.withColumn("refers_to", F.when(~F.col("_last").eqNullSafe(F.col(id_col)), F.col("_last"))).drop("_sha", "_salt", "_last")
+    revisits = narrow.join(repeated, ["_sha", "_salt"]).filter(~F.col("_of").eqNullSafe(F.col("_last"))).select("_of", F.col("_sha").alias("_as"), F.col("_last").alias("refers_to")).distinct()
+    revisits = common.stored(revisits, "revisits")
+    return row.join(revisits, F.col(id_col).eqNullSafe(F.col("_of")) & (F.col("_sha") == F.col("_as")), "left").drop("_sha", "_of", "_as")
 
 
 def write_bundles(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", min_bytes: int = 0, frame_bytes: int = FRAME_BYTES, bundle_bytes: int = BUNDLE_BYTES) -> None:
@@ -170,8 +183,8 @@ def write_bundles(pages: DataFrame, path: str, id_col: str = "page_id", url_col:
 
         for frame in frames:
             for key, url, payload, ref in zip(frame["id"], frame["url"], frame["payload"], frame["refers_to"], strict=True):
-                record_id = f"urn:record:{'' if key is None else key}"
-                writer.add(record_id, record(record_id, url or "", bytes(payload or b""), None if ref is None else f"urn:record:{ref}"))
+                record_id = urn(key)
+                writer.add(record_id, record(record_id, url or "", bytes(payload or b""), None if ref is None else urn(ref)))
                 if writer.size >= bundle_bytes:
                     yield full()
                     made, writer = made + 1, Writer(frame_bytes)
@@ -216,8 +229,8 @@ def archive(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", pay
     write_bundles(pages, path, id_col, url_col, payload_col, min_bytes)
 
     def number(name: str):
-        key = F.expr(f"substring({name}, {len('urn:record:') + 1})")
-        return F.when(key != "", key).cast(kind)
+        key = F.expr(f"url_decode(substring({name}, {len('urn:record:') + 1}))")
+        return F.when(F.startswith(name, F.lit("urn:record:")), key).cast(kind)
 
     back = read_bundles(spark, path)
     return back.select(number("record").alias(id_col), "payload_bytes", "payload_digest", "record_type", number("refers_to").alias("refers_to"), "bundle", "frame", "frame_offset")

@@ -1,8 +1,8 @@
-"""Two-state models of a trace: Gaussian mixture, Viterbi path, posterior.
+"""Two-state models of a trace: Gaussian mixture, Viterbi path, posterior; shares of a periodogram.
 
 No task needs a whole channel. A mixture is fitted to counts and means of values in
-cells of CELL, of which there are as many as the values' range has, whatever the length
-of the trace. Paths and posteriors are found by blocks of frames: a block is one 2 by 2
+CELLS equal parts of the trace's range, whatever its length and its unit: a value is off by
+its distance to the mean of its part, which is second order in the part's width. Paths and posteriors are found by blocks of frames: a block is one 2 by 2
 matrix (in max-plus, and in log-sum), a channel's few matrices are multiplied in order,
 and each block then decodes alone from what comes before and after it.
 
@@ -20,13 +20,14 @@ from pyspark.sql import functions as F
 
 from tracelake.functions import expressions as X
 from tracelake.operators import sequence as S
+from tracelake.operators.spectrum import periodogram
 from tracelake.sources.shared import stored
 
 _FIT = "run string, channel string, mu0 double, mu1 double, sd0 double, sd1 double, w0 double, w1 double"
 
 
-#: Width of the cells of values that a mixture is fitted to, and frames in a block.
-CELL, BLOCK = 1e-5, 65_536
+#: Cells of a trace's range that a mixture is fitted to, and frames in a block.
+CELLS, BLOCK = 1 << 17, 65_536
 
 
 def mixture(x: np.ndarray, iterations: int = 400, n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -119,15 +120,18 @@ def posterior(emit: np.ndarray, move: np.ndarray, start: np.ndarray) -> np.ndarr
     return np.exp(both[:, 1] - np.logaddexp(both[:, 0], both[:, 1]))
 
 
-def fit(df: DataFrame, iterations: int = 400, cell: float = CELL) -> DataFrame:
+def fit(df: DataFrame, iterations: int = 400, cells: int = CELLS) -> DataFrame:
     """(run, channel, mu0, mu1, sd0, sd1, w0, w1) of each trace."""
 
     def one(frame: pd.DataFrame) -> pd.DataFrame:
         mean, sd, weight = mixture(frame["v"].to_numpy(np.float64), iterations, frame["n"].to_numpy())
         return pd.DataFrame([[frame["run"].iloc[0], frame["channel"].iloc[0], *mean, *sd, *weight]], columns=[x.split()[0] for x in _FIT.split(", ")])
 
-    cells = df.filter(X.finite(F.col("v"))).groupBy(*S.KEYS, F.floor(F.col("v") / cell).alias("cell")).agg(F.avg("v").alias("v"), F.count("*").alias("n"))
-    return cells.groupBy(*S.KEYS).applyInPandas(one, _FIT)
+    values = df.filter(X.finite(F.col("v")))
+    span = values.groupBy(*S.KEYS).agg(F.min("v").alias("_a"), F.max("v").alias("_b"))
+    cell = F.floor(F.coalesce(F.try_divide(F.col("v") - F.col("_a"), F.col("_b") - F.col("_a")), F.lit(0.0)) * cells)
+    counts = values.join(span, list(S.KEYS)).groupBy(*S.KEYS, cell.alias("cell")).agg(F.avg("v").alias("v"), F.count("*").alias("n"))
+    return counts.groupBy(*S.KEYS).applyInPandas(one, _FIT)
 
 
 def separation(fits: DataFrame, least: float = 1.5) -> DataFrame:
@@ -239,17 +243,6 @@ def common_mode(target: DataFrame, common: DataFrame, betas: list[float]) -> Dat
     return separation(fit(named)).select("run", F.split("channel", "\x01")[0].alias("channel"), F.split("channel", "\x01")[1].cast("double").alias("beta"), "dprime")
 
 
-def periodogram(df: DataFrame, fps: float) -> DataFrame:
-    """(run, channel, hz, power) under a Hann window."""
-
-    def one(frame: pd.DataFrame) -> pd.DataFrame:
-        x = frame.sort_values("frame")["v"].to_numpy(np.float64)
-        power = np.abs(np.fft.rfft((x - x.mean()) * np.hanning(len(x)))) ** 2
-        return pd.DataFrame({"run": frame["run"].iloc[0], "channel": frame["channel"].iloc[0], "hz": np.fft.rfftfreq(len(x), 1 / fps), "power": power})
-
-    return df.groupBy(*S.KEYS).applyInPandas(one, "run string, channel string, hz double, power double")
-
-
 def band_power(spectrum: DataFrame, bands: dict[str, tuple[float, float]]) -> DataFrame:
     """(run, channel, peak_hz, a percent for each band)."""
     some = spectrum.filter("hz > 0")

@@ -1,6 +1,7 @@
 """Aggregates over traces and tables: levels, regressions, distributions, rankings.
 
-Percentiles are exact with linear interpolation. Ratios with a zero divisor are null,
+Percentiles are exact with linear interpolation; those of whole traces come from counts
+dealt by ranges (``selection``). Ratios with a zero divisor are null,
 correlations with a constant side are 0. Null values are left out of every aggregate.
 """
 
@@ -10,19 +11,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracelake.functions import expressions as X
-from tracelake.operators.sequence import KEYS
+from tracelake.operators.scans import BLOCK
+from tracelake.operators.selection import average_ranks, quantiles, value_counts
+from tracelake.operators.sequence import KEYS, differences
+from tracelake.sources.shared import stored
 
 
 def percentiles(df: DataFrame, points: dict[str, float]) -> DataFrame:
     """(run, channel, a column for each point)."""
-    return df.groupBy(*KEYS).agg(*[F.percentile("v", F.lit(p)).alias(name) for name, p in points.items()])
+    return quantiles(df, KEYS, F.col("v"), points)
 
 
 def robust_spread(df: DataFrame) -> DataFrame:
     """(run, channel, median, sd): 1.4826 times the median distance from the median."""
-    median = df.groupBy(*KEYS).agg(F.percentile("v", F.lit(0.5)).alias("median"))
-    off = df.join(median, list(KEYS)).groupBy(*KEYS, "median").agg((1.4826 * F.percentile(F.abs(F.col("v") - F.col("median")), F.lit(0.5))).alias("sd"))
-    return off
+    median = stored(quantiles(df, KEYS, F.col("v"), {"median": 0.5}), "medians")
+    off = quantiles(df.join(median, list(KEYS)), [*KEYS, "median"], F.abs(F.col("v") - F.col("median")), {"sd": 0.5})
+    return off.withColumn("sd", 1.4826 * F.col("sd"))
 
 
 def inventory(df: DataFrame) -> DataFrame:
@@ -78,19 +82,12 @@ def co_occurrence(df: DataFrame, a: Column, b: Column, by: tuple[str, ...] = ("r
 
 def saturation(df: DataFrame, x: str, y: str, bins: int, least: int = 5, by: tuple[str, ...] = ("run",)) -> DataFrame:
     """(.., bin, mean, n): mean of y in quantile bins of x with more than ``least`` rows; the last bin is closed."""
-    edges = df.groupBy(*by).agg(F.percentile(x, F.array(*[F.lit(i / bins) for i in range(bins + 1)])).alias("_e"))
+    edges = quantiles(df, by, F.col(x), {f"e{i}": i / bins for i in range(bins + 1)}).select(*by, F.array(*[f"e{i}" for i in range(bins + 1)]).alias("_e"))
     inside = F.expr(f"least(size(filter(_e, e -> e <= `{x}`)) - 1, {bins - 1})")
     rows = df.join(edges, list(by)).withColumn("bin", inside)
     return rows.groupBy(*by, "bin").agg(F.avg(y).alias("mean"), F.count("*").alias("n")).filter(F.col("n") > least)
 
 
-def average_ranks(df: DataFrame, column: str, out: str, by: tuple[str, ...]) -> DataFrame:
-    """Adds ranks from 1; equal values share the mean of their ranks."""
-    w = Window.partitionBy(*by).orderBy(column)
-    ties = F.count("*").over(Window.partitionBy(*by, column))
-    return df.withColumn(out, F.rank().over(w) + (ties - 1) / 2.0)
-
-
 def spearman(df: DataFrame, a: str, b: str, by: tuple[str, ...] = ("run",)) -> DataFrame:
     ranked = average_ranks(average_ranks(df, a, "_a", by), b, "_b", by)
     return ranked.groupBy(*by).agg(X.safe_corr(F.col("_a"), F.col("_b")).alias("rho"))
@@ -106,11 +103,10 @@ def frame_rate(stamps: DataFrame) -> tuple[DataFrame, DataFrame]:
     Steps over 1.5 times the upper median of all steps are gaps; the rate is one over
     the mean of the others.
     """
-    w = Window.partitionBy("run").orderBy("frame")
-    steps = stamps.select("run", "frame", (F.col("t") - F.lag("t").over(w)).alias("dt")).filter("dt is not null")
-    order = Window.partitionBy("run").orderBy("dt")
-    ranked = steps.withColumns({"_i": F.row_number().over(order) - 1, "_n": F.count("*").over(Window.partitionBy("run"))})
-    median = ranked.filter("_i = _n div 2").select("run", F.col("dt").alias("median"))
+    timed = stamps.select("run", F.lit(0).alias("channel"), "frame", F.col("t").alias("v"))
+    steps = stored(differences(timed, BLOCK).filter("v is not null").select("run", "frame", F.col("v").alias("dt")), "steps")
+    middle = F.expr("before <= of div 2 and of div 2 < before + n")
+    median = value_counts(steps, ["run"], F.col("dt"), "median").filter(middle).select("run", "median")
     marked = steps.join(median, "run").withColumn("gap", F.col("dt") > 1.5 * F.col("median"))
     rate = marked.groupBy("run").agg(F.try_divide(F.lit(1.0), F.avg(F.when(~F.col("gap"), F.col("dt")))).alias("rate"), F.count_if(~F.col("gap")).alias("kept"), F.count_if("gap").alias("gaps"))
     return rate, marked.filter("gap").select("run", "frame", "dt")

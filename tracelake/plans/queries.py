@@ -497,16 +497,48 @@ def text_keys(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("url", X.natural_key(u).alias("n"), X.safe_name(u).alias("safe"), X.params_hash_of(u).alias("digest"))
 
 
-@query()
+GMM = f"""{ENV}, q AS (SELECT channel, quantile_cont(v, 0.2) AS m0, quantile_cont(v, 0.8) AS m1, stddev_pop(v) / 2 + 1e-6 AS s0, count(*) AS n FROM env GROUP BY channel),
+    em AS (SELECT channel, 0 AS it, m0, m1, s0, s0 AS s1, 0.5::DOUBLE AS w0, 0.5::DOUBLE AS w1, false AS stop FROM q UNION ALL
+        SELECT channel, it + 1, CASE WHEN least(n0, n1) < 2 THEN m0 ELSE c0 END, CASE WHEN least(n0, n1) < 2 THEN m1 ELSE c1 END, CASE WHEN least(n0, n1) < 2 THEN s0 ELSE sqrt(greatest(v0 - c0 * c0, 0)) + 1e-6 END,
+            CASE WHEN least(n0, n1) < 2 THEN s1 ELSE sqrt(greatest(v1 - c1 * c1, 0)) + 1e-6 END, CASE WHEN least(n0, n1) < 2 THEN w0 ELSE n0 / n END, CASE WHEN least(n0, n1) < 2 THEN w1 ELSE n1 / n END, least(n0, n1) < 2
+        FROM (SELECT channel, any_value(it) AS it, any_value(m0) AS m0, any_value(m1) AS m1, any_value(s0) AS s0, any_value(s1) AS s1, any_value(w0) AS w0, any_value(w1) AS w1, count(*)::DOUBLE AS n, sum(r0) AS n0, sum(r1) AS n1,
+                sum(r0 * v) / sum(r0) AS c0, sum(r1 * v) / sum(r1) AS c1, sum(r0 * v * v) / sum(r0) AS v0, sum(r1 * v * v) / sum(r1) AS v1
+            FROM (SELECT *, d0 / (d0 + d1 + 1e-300) AS r0, d1 / (d0 + d1 + 1e-300) AS r1 FROM (
+                SELECT em.*, v, w0 / s0 * exp(-0.5 * ((v - m0) / s0) ** 2) AS d0, w1 / s1 * exp(-0.5 * ((v - m1) / s1) ** 2) AS d1 FROM em JOIN env USING (channel) WHERE it < 400 AND NOT stop)) GROUP BY channel)),
+    fi AS (SELECT channel, CASE WHEN m0 <= m1 THEN [m0, m1, s0, s1, w0, w1] ELSE [m1, m0, s1, s0, w1, w0] END AS p FROM (SELECT *, row_number() OVER (PARTITION BY channel ORDER BY it DESC) AS i FROM em) WHERE i = 1),
+    fits AS (SELECT channel, p[1] AS mu0, p[2] AS mu1, p[3] AS sd0, p[4] AS sd1, p[5] AS w0, p[6] AS w1, (p[2] - p[1]) / nullif(sqrt(0.5 * (p[3] * p[3] + p[4] * p[4])), 0) AS dprime, p[1] + p[3] AS lo, 0.5 * (p[1] + p[2]) AS hi FROM fi)"""
+_ADD = "(greatest({0}, {1}) + ln(1 + exp(-abs(({0}) - ({1})))))"
+_STAY = [[0.75, 0.25], [0.125, 0.875]]
+_M = [[f"ln({x})" for x in row] for row in _STAY]
+#: Best path and posterior by recursion over frames, forwards and backwards.
+PATHS = f"""{GMM}, ob AS (SELECT channel, frame, v, max(frame) OVER (PARTITION BY channel) AS last, -0.5 * ((v - mu0) / sd0) ** 2 - ln(sd0 * sqrt(2 * pi())) AS e0, -0.5 * ((v - mu1) / sd1) ** 2 - ln(sd1 * sqrt(2 * pi())) AS e1,
+        ln(greatest(w0, 1e-12)) AS p0, ln(greatest(w1, 1e-12)) AS p1 FROM env JOIN fits USING (channel)),
+    fw AS (SELECT channel, frame, p0 + e0 AS a0, p1 + e1 AS a1, p0 + e0 AS l0, p1 + e1 AS l1 FROM ob WHERE frame = 0 UNION ALL
+        SELECT channel, ob.frame, greatest(a0 + {_M[0][0]}, a1 + {_M[1][0]}) + e0, greatest(a0 + {_M[0][1]}, a1 + {_M[1][1]}) + e1, {_ADD.format(f"l0 + {_M[0][0]}", f"l1 + {_M[1][0]}")} + e0, {_ADD.format(f"l0 + {_M[0][1]}", f"l1 + {_M[1][1]}")} + e1
+        FROM fw JOIN ob USING (channel) WHERE ob.frame = fw.frame + 1),
+    bw AS (SELECT channel, frame, e0, e1, 0::DOUBLE AS b0, 0::DOUBLE AS b1, 0::DOUBLE AS k0, 0::DOUBLE AS k1 FROM ob WHERE frame = last UNION ALL
+        SELECT channel, ob.frame, ob.e0, ob.e1, greatest({_M[0][0]} + bw.e0 + b0, {_M[0][1]} + bw.e1 + b1), greatest({_M[1][0]} + bw.e0 + b0, {_M[1][1]} + bw.e1 + b1),
+            {_ADD.format(f"{_M[0][0]} + bw.e0 + k0", f"{_M[0][1]} + bw.e1 + k1")}, {_ADD.format(f"{_M[1][0]} + bw.e0 + k0", f"{_M[1][1]} + bw.e1 + k1")} FROM bw JOIN ob USING (channel) WHERE ob.frame = bw.frame - 1),
+    sv AS (SELECT fw.channel, fw.frame, (a1 + b1 > a0 + b0)::INT AS state, 1 / (1 + exp((l0 + k0) - (l1 + k1))) AS posterior FROM fw JOIN bw ON fw.channel = bw.channel AND fw.frame = bw.frame)"""
+
+
+@query(f"WITH RECURSIVE {GMM} SELECT channel, {', '.join(f'round({c}, 6) + 0.0 AS {c}' for c in ('mu0', 'mu1', 'sd0', 'sd1', 'w0', 'w1', 'dprime'))} FROM fits")
 def gmm_two_state(spark, sf_dir):
     return M.separation(M.fit(envelope(spark, sf_dir))).select("channel", *[r6(c, c) for c in ("mu0", "mu1", "sd0", "sd1", "w0", "w1", "dprime")])
 
 
-@query()
+@query(f"WITH RECURSIVE {PATHS} SELECT channel, frame, state, round(posterior, 6) + 0.0 AS posterior FROM sv")
 def viterbi_states(spark, sf_dir):
     return M.decode(envelope(spark, sf_dir), 4, 8).select("channel", "frame", "state", r6("posterior", "posterior"))
 
 
+@query(f"""WITH RECURSIVE {GMM}, j AS (SELECT env.channel, ev.v, env.v > hi AS up, fits.* EXCLUDE (channel) FROM env JOIN ev ON ev.channel = env.channel AND ev.frame = env.frame JOIN fits ON fits.channel = env.channel)
+    SELECT channel, round(any_value(dprime), 6) + 0.0 AS dprime, round(any_value(w1), 6) + 0.0 AS w1, round(quantile_cont(v, 0.5) FILTER (NOT up), 6) AS rest, round(quantile_cont(v, 0.5) FILTER (up), 6) AS active,
+        round(quantile_cont(v, 0.5) FILTER (up) / nullif(quantile_cont(v, 0.5) FILTER (NOT up), 0), 6) AS ratio FROM j GROUP BY channel""")
+def channel_signals(spark, sf_dir):
+    return M.signal_table(stored_envelope(spark, sf_dir), events(spark, sf_dir)).select("channel", r6("dprime", "dprime"), r6("w1", "w1"), *[F.round(c, 6).alias(c) for c in ("rest", "active", "ratio")])
+
+
 @query()
 def detected_bouts(spark, sf_dir):
     found = M.detect(events(spark, sf_dir), "view", 15.0, artifact="error", others=("click", "purchase"))

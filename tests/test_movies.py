@@ -112,7 +112,8 @@ def test_box_traces_three_ways(spark, tmp_path):
     boxes = spark.createDataFrame([("m", "p", 1, 1, 4, 5), ("m", "q", 0, 0, 7, 2)], "run string, box string, x0 int, y0 int, x1 int, y1 int")
     want = {("p", t): (a[t, 1:5, 1:4].mean(), 0.0 if not t else np.abs(a[t, 1:5, 1:4] - a[t - 1, 1:5, 1:4]).mean()) for t in range(6)}
     frames = I.to_frames(pixels_of(spark, a))
-    for got in (I.box_traces(pixels_of(spark, a), boxes), I.frame_box_traces(frames, boxes)):
+    for got in (I.box_traces(pixels_of(spark, a), boxes), I.frame_box_traces(frames, boxes), I.box_traces(pixels_of(spark, a), boxes, block=2), I.frame_box_traces(frames, boxes, block=1)):
+        assert got.count() == 12
         for r in got.filter("box = 'p'").collect():
             assert np.allclose((r["lum"], r["me"]), want["p", r["frame"]])
     # the same in a stream, whose last file comes after a gap

@@ -50,36 +50,73 @@ def in_boxes(pixels: DataFrame, boxes: DataFrame) -> DataFrame:
     return pixels.join(cells, ["run", "y", "x"])
 
 
-def box_traces(pixels: DataFrame, boxes: DataFrame, area_level: float = 10.0) -> DataFrame:
-    """(run, box, frame, lum, me, power, area): mean, and mean absolute, squared and large difference to the frame before; 0 for the first."""
-    w = Window.partitionBy("run", "box", "y", "x").orderBy("frame")
-    d = in_boxes(pixels, boxes).withColumn("v", F.col("v").cast("double")).withColumn("d", F.col("v") - F.lag("v").over(w))
-    zero = F.lit(0.0)
-    return d.groupBy("run", "box", "frame").agg(
-        F.avg("v").alias("lum"),
-        F.coalesce(F.avg(F.abs("d")), zero).alias("me"),
-        F.coalesce(F.avg(F.col("d") * F.col("d")), zero).alias("power"),
-        F.coalesce(F.avg((F.abs("d") > area_level).cast("double")), zero).alias("area"),
-    )
-
-
-def frame_box_traces(frames: DataFrame, boxes: DataFrame) -> DataFrame:
-    """(run, box, frame, lum, me) from whole frames: the frame before comes by a window, and each box is cut in the task."""
-    before = F.lag("pixels").over(Window.partitionBy("run").orderBy("frame"))
+def _summed(a: np.ndarray) -> np.ndarray:
+    """Sums over all rectangles from the first pixel, with an edge of zeros."""
+    out = np.zeros((a.shape[0] + 1, a.shape[1] + 1))
+    out[1:, 1:] = a.cumsum(0).cumsum(1)
+    return out
+
+
+def _measured(images: DataFrame, boxes: DataFrame, area_level: float, block: int) -> DataFrame:
+    """Box traces of (run, frame, y, x, v) with arrays, one row a frame.
+
+    A block of frames goes to one task with the last frame of the block before. A frame's
+    values, and the sizes of its differences, are summed over areas once; a box then costs
+    four reads of each sum, whatever its size.
+    """
     cut = boxes.groupBy("run").agg(F.collect_list(F.struct("box", "x0", "y0", "x1", "y1")).alias("boxes"))
+    mine = F.expr(f"cast(frame div {block} as bigint)")
+    dealt = images.withColumn("mine", mine).withColumn("block", F.explode(F.array_distinct(F.array("mine", F.expr(f"cast((frame + 1) div {block} as bigint)")))))
+    dealt = dealt.join(cut, "run").repartition("run", "block").sortWithinPartitions("run", "block", "frame")
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, frame, old, seen = None, None, None, None
         for part in parts:
             rows = []
             for r in part.itertuples():
-                now = np.asarray(r.pixels, np.float64).reshape(r.h, r.w)
-                old = None if r.before is None else np.asarray(r.before, np.float64).reshape(r.h, r.w)
-                for b in r.boxes:
-                    at = np.s_[b["y0"] : b["y1"], b["x0"] : b["x1"]]
-                    rows.append((r.run, b["box"], r.frame, now[at].mean(), 0.0 if old is None else np.abs(now[at] - old[at]).mean()))
-            yield pd.DataFrame(rows, columns=["run", "box", "frame", "lum", "me"])
-
-    return frames.withColumn("before", before).join(cut, "run").mapInPandas(run, "run string, box string, frame long, lum double, me double")
+                h, w = int(max(r.y, default=-1)) + 1, int(max(r.x, default=-1)) + 1
+                h, w = max(h, *(b["y1"] for b in r.boxes)), max(w, *(b["x1"] for b in r.boxes))
+                now, there = np.zeros((h, w)), np.zeros((h, w), bool)
+                values = np.array([np.nan if v is None else v for v in r.v], np.float64)
+                now[r.y, r.x], there[r.y, r.x] = np.nan_to_num(values), ~np.isnan(values)
+                if r.block == r.mine:
+                    sums = [_summed(there), _summed(now)]
+                    if key == (r.run, r.block) and frame == r.frame - 1:
+                        height, width = min(h, old.shape[0]), min(w, old.shape[1])
+                        both = np.zeros((h, w), bool)
+                        both[:height, :width] = there[:height, :width] & seen[:height, :width]
+                        d = np.zeros((h, w))
+                        d[:height, :width] = np.abs(now[:height, :width] - old[:height, :width])
+                        d[~both] = 0
+                        sums += [_summed(both), _summed(d), _summed(d * d), _summed(d > area_level)]
+                    for b in r.boxes:
+                        y0, y1, x0, x1 = (max(0, b[k]) for k in ("y0", "y1", "x0", "x1"))
+                        n, total, *of = (s[y1, x1] - s[y0, x1] - s[y1, x0] + s[y0, x0] if y1 > y0 and x1 > x0 else 0.0 for s in sums)
+                        if n > 0:
+                            means = [x / of[0] for x in of[1:]] if of and of[0] > 0 else [0.0, 0.0, 0.0]
+                            rows.append((r.run, b["box"], r.frame, total / n, *means))
+                key, frame, old, seen = (r.run, r.block), r.frame, now, there
+            yield pd.DataFrame(rows, columns=["run", "box", "frame", "lum", "me", "power", "area"])
+
+    return dealt.select("run", "frame", "mine", "block", "y", "x", "v", "boxes").mapInPandas(run, "run string, box string, frame long, lum double, me double, power double, area double")
+
+
+#: Frames of a block of a movie.
+FRAMES_BLOCK = 1024
+
+
+def box_traces(pixels: DataFrame, boxes: DataFrame, area_level: float = 10.0, block: int = FRAMES_BLOCK) -> DataFrame:
+    """(run, box, frame, lum, me, power, area): mean, and mean absolute, squared and large difference to the frame before; 0 where there is none."""
+    points = F.collect_list(F.struct(F.col("y").cast("int").alias("y"), F.col("x").cast("int").alias("x"), F.col("v").cast("double").alias("v")))
+    images = pixels.groupBy(F.col("run").cast("string").alias("run"), F.col("frame").cast("bigint").alias("frame")).agg(points.alias("p"))
+    return _measured(images.select("run", "frame", F.col("p.y").alias("y"), F.col("p.x").alias("x"), F.col("p.v").alias("v")), boxes, area_level, block)
+
+
+def frame_box_traces(frames: DataFrame, boxes: DataFrame, area_level: float = 10.0, block: int = FRAMES_BLOCK) -> DataFrame:
+    """The same from whole frames."""
+    places = F.sequence(F.lit(0), F.col("h") * F.col("w") - 1)
+    y, x = F.transform(places, lambda i: F.floor(i / F.col("w")).cast("int")), F.transform(places, lambda i: (i % F.col("w")).cast("int"))
+    return _measured(frames.select("run", F.col("frame").cast("bigint").alias("frame"), y.alias("y"), x.alias("x"), F.col("pixels").cast("array<double>").alias("v")), boxes, area_level, block)
 
 
 # images over time

@@ -1,6 +1,7 @@
 """Images, sources and streaming against plain loops and damaged files."""
 
 import struct
+import zlib
 
 import numpy as np
 import pytest
@@ -10,7 +11,7 @@ from tracelake.operators import checks as C
 from tracelake.operators import images as I
 from tracelake.operators import regions
 from tracelake.plans import flows, queries
-from tracelake.sources import discovery, metadata, sinks, tiff
+from tracelake.sources import discovery, metadata, sets, sinks, tiff
 from tracelake.streaming import motion
 
 
@@ -102,6 +103,183 @@ def test_stamps_and_rate(spark, tmp_path):
     assert metadata.camera_rate(bare).first()["fps"] == 15.0
 
 
+def packed(a, compression):
+    """Bytes of an image by each scheme; LZW with codes of growing width and clears."""
+    raw = a.tobytes()
+    if compression == 8:
+        return zlib.compress(raw)
+    if compression == 32773:
+        out, at = b"", 0
+        while at < len(raw):
+            run = 1
+            while run < 128 and at + run < len(raw) and raw[at + run] == raw[at]:
+                run += 1
+            out += bytes([257 - run & 255, raw[at]]) if run > 1 else bytes([0, raw[at]])
+            at += run
+        return out
+    if compression == 5:
+        bits, table, word, width = "", {}, b"", 9
+        fresh = lambda: {bytes([i]): i for i in range(256)}
+        bits, table = f"{256:09b}", fresh()
+        for i in range(len(raw)):
+            now = word + raw[i : i + 1]
+            if now in table:
+                word = now
+                continue
+            bits += f"{table[word]:0{width}b}"
+            table[now] = len(table) + 2
+            size = len(table) + 2
+            width = 9 if size < 512 else 10 if size < 1024 else 11 if size < 2048 else 12
+            if size >= 4094:
+                bits += f"{256:0{width}b}"
+                table, width = fresh(), 9
+            word = raw[i : i + 1]
+        bits += f"{table[word]:0{width}b}"
+        size = len(table) + 3
+        width = 9 if size < 512 else 10 if size < 1024 else 11 if size < 2048 else 12
+        bits += f"{257:0{width}b}"
+        bits += "0" * (-len(bits) % 8)
+        return int(bits, 2).to_bytes(len(bits) // 8, "big")
+    return raw
+
+
+def write_blocks(path, frames, compression=1, predictor=1, tile=None, rows=None, said=None):
+    """A little-endian TIFF with strips of ``rows`` or tiles of ``tile``, by a scheme."""
+    out = bytearray(b"II*\0\0\0\0\0")
+    link = 4
+    for k, frame in enumerate(frames):
+        h, w = frame.shape
+        th, tw = tile or (rows or h, w)
+        blocks = []
+        for y in range(0, h, th):
+            for x in range(0, w, tw):
+                part = frame[y : y + th, x : x + tw]
+                if tile:
+                    part = np.pad(part, ((0, th - part.shape[0]), (0, tw - part.shape[1])))
+                if predictor == 2:
+                    part = np.concatenate([part[:, :1], part[:, 1:] - part[:, :-1]], axis=1).astype(frame.dtype)
+                blocks.append((len(out), packed(np.ascontiguousarray(part), compression)))
+                out += blocks[-1][1]
+        entries = [(256, 4, [w]), (257, 4, [h]), (258, 3, [frame.dtype.itemsize * 8]), (259, 3, [compression]), (277, 3, [1]), (317, 3, [predictor])]
+        entries += [(322, 4, [tw]), (323, 4, [th]), (324, 4, [b[0] for b in blocks]), (325, 4, [len(b[1]) for b in blocks])] if tile else [(273, 4, [b[0] for b in blocks]), (278, 4, [th]), (279, 4, [len(b[1]) for b in blocks])]
+        if said and k == 0:
+            entries.append((270, 2, said.encode() + b"\0"))
+        body = b""
+        for tag, kind, value in sorted(entries):
+            data = value if kind == 2 else struct.pack(f"<{len(value)}{'HI'[kind == 4]}", *value)
+            if len(data) > 4:
+                at = len(out)
+                out += data
+                data = struct.pack("<I", at)
+            body += struct.pack("<HHI", tag, kind, len(value)) + data.ljust(4, b"\0")
+        at = len(out)
+        out[link : link + 4] = struct.pack("<I", at)
+        out += struct.pack("<H", len(entries)) + body + b"\0\0\0\0"
+        link = len(out) - 4
+    path.write_bytes(bytes(out))
+
+
+@pytest.mark.parametrize("compression", [1, 5, 8, 32773])
+def test_codecs_strips_and_tiles(tmp_path, compression):
+    rng = np.random.default_rng(compression)
+    movie = np.repeat(rng.integers(0, 60_000, (2, 33, 21)), 3, axis=2).astype(np.uint16)[:, :, :50]
+    for predictor in (1, 2):
+        for shape in ({}, {"rows": 7}, {"tile": (16, 32)}):
+            write_blocks(tmp_path / "a.tif", movie, compression, predictor, **shape)
+            with tiff.opened(str(tmp_path / "a.tif")) as f:
+                got = [tiff.image(f, page) for _, page, wrong in tiff.pages_from(f, f.size(), tiff.Chain(f).first, 0, 2, 0) if wrong is None]
+            assert np.array_equal(np.array(got), movie)
+    noise = rng.integers(0, 256, (1, 90, 100)).astype(np.uint8)  # enough for every width of codes
+    write_blocks(tmp_path / "b.tif", noise, compression)
+    with tiff.opened(str(tmp_path / "b.tif")) as f:
+        assert np.array_equal(tiff.image(f, tiff.Chain(f).page(tiff.Chain(f).first)), noise[0])
+
+
+class Counted:
+    """A file that counts what is read of it."""
+
+    def __init__(self, f):
+        self.f, self.n = f, 0
+
+    def __getattr__(self, name):
+        return getattr(self.f, name)
+
+    def read(self, *size):
+        data = self.f.read(*size)
+        self.n += len(data)
+        return data
+
+
+def test_filters_reach_the_files(spark, tmp_path):
+    movie = np.random.default_rng(31).integers(0, 60_000, (40, 30, 20)).astype(np.uint16)
+    write_tiff(tmp_path / "part2.tif", movie[25:])
+    write_tiff(tmp_path / "part1.tif", movie[:25])
+    rows = load(spark, tmp_path, block_mb=0.005).filter("frame >= 22 and frame < 27").orderBy("frame").collect()
+    assert [(r["frame"], r["part"], r["page"]) for r in rows] == [(22, 0, 22), (23, 0, 23), (24, 0, 24), (25, 1, 0), (26, 1, 1)]
+    assert np.array_equal(np.array([r["pixels"] for r in rows]).reshape(5, 30, 20), movie[22:27])
+    reader = tiff.MovieReader({"path": str(tmp_path), "block_mb": "0.005"})
+    every = reader.partitions()
+    list(reader.pushFilters([tiff.GreaterThanOrEqual(("frame",), 22), tiff.LessThan(("frame",), 27)]))
+    some = reader.partitions()
+    assert len(every) == 11 and [(b.part, b.first) for b in some] == [(0, 20), (0, 24), (1, 0)]
+    assert sum(len(list(reader.read(b))) for b in some) == 5
+    with tiff.opened(str(tmp_path / "part1.tif")) as f:
+        counted = Counted(f)
+        tiff.walk(counted, f.size(), 1 << 20)
+        assert counted.n < 25 * 100  # the chain, and one header
+        walked, counted.n = counted.n, 0
+        for _, page, _ in tiff.pages_from(counted, f.size(), tiff.walk(f, f.size(), 0).starts[7], 7, 1, 0):
+            tiff.image(counted, page)
+        assert 1200 <= counted.n < 1200 + 400 and walked
+    files = discovery.split_path(spark.createDataFrame([(str(p), p.stat().st_size) for p in tmp_path.glob("*.tif")], "path string, length long"))
+    pages = tiff.index(files)
+    assert pages.filter("error is null").count() == 40
+    got = tiff.pixels_of(pages.filter("frame between 24 and 25")).orderBy("frame").collect()
+    assert np.array_equal(np.array([r["pixels"] for r in got]).reshape(2, 30, 20), movie[24:26])
+
+
+def test_series_follow_their_description_if_it_is_whole(spark, tmp_path):
+    movie = np.random.default_rng(32).integers(0, 60_000, (6, 4, 5)).astype(np.uint16)
+    order = [("b.ome.tif", 1), ("a.ome.tif", 0), ("a.ome.tif", 2), ("b.ome.tif", 0), ("a.ome.tif", 1), ("b.ome.tif", 2)]  # time to file and page
+    blocks = "".join(f'<TiffData FirstT="{t}" IFD="{k}" PlaneCount="1"><UUID FileName="{name}">u</UUID></TiffData>' for t, (name, k) in enumerate(order))
+    said = f'<OME xmlns="http://www.openmicroscopy.org/Schemas/OME/2015-01"><Image><Pixels SizeC="1" SizeZ="1" SizeT="6" DimensionOrder="XYCZT">{blocks}</Pixels></Image></OME>'
+    for name in ("a.ome.tif", "b.ome.tif"):
+        write_blocks(tmp_path / name, [movie[t] for k in range(3) for t, (n, page) in enumerate(order) if n == name and page == k], said=said)
+    files = discovery.split_path(spark.createDataFrame([(str(p), p.stat().st_size) for p in tmp_path.glob("*.tif")], "path string, length long"))
+    pages = tiff.index(files)
+    for expected, want in ((6, list(range(6))), (7, [t for name in ("a.ome.tif", "b.ome.tif") for k in range(3) for t, (n, page) in enumerate(order) if n == name and page == k])):
+        rows = tiff.pixels_of(tiff.series_pages(pages, spark.createDataFrame([(str(tmp_path), expected)], "run string, expected int"))).orderBy("frame").collect()
+        assert [r["frame"] for r in rows] == list(range(6)) and np.array_equal(np.array([r["pixels"] for r in rows]).reshape(6, 4, 5), movie[want])
+    (tmp_path / "two").mkdir()
+    write_blocks(tmp_path / "two" / "c.ome.tif", movie[:2], said=said.replace('SizeC="1"', 'SizeC="2"').replace(blocks, "<TiffData/>").replace('SizeT="6"', 'SizeT="1"'))
+    files = discovery.split_path(spark.createDataFrame([(str(tmp_path / "two" / "c.ome.tif"), 9)], "path string, length long"))
+    with pytest.raises(Exception, match="several channels"):
+        tiff.series_pages(tiff.index(files), spark.createDataFrame([(str(tmp_path / "two"), 2)], "run string, expected int")).collect()
+
+
+def test_a_growing_recording_as_a_stream(spark, tmp_path):
+    movie = np.random.default_rng(33).integers(0, 60_000, (12, 5, 6)).astype(np.uint16)
+    folder = tmp_path / "in"
+    folder.mkdir()
+    tiff.register(spark)
+
+    def batch():
+        stream = spark.readStream.format("tiff_movie").option("block_mb", "0.0002").load(str(folder))
+        stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start().awaitTermination()
+        rows = spark.read.parquet(str(tmp_path / "out")).orderBy("frame").collect()
+        assert np.array_equal(np.array([r["pixels"] for r in rows]).reshape(-1, 5, 6), movie[: len(rows)])
+        return [r["frame"] for r in rows]
+
+    write_tiff(folder / "p1.tif", movie[:3])
+    assert batch() == [0, 1, 2] and batch() == [0, 1, 2]
+    write_tiff(folder / "p1.tif", movie[:8])
+    (folder / "p1.tif").write_bytes((folder / "p1.tif").read_bytes()[:-20])  # the last page is on its way
+    assert batch() == list(range(7))
+    write_tiff(folder / "p1.tif", movie[:8])
+    write_tiff(folder / "p2.tif", movie[8:])
+    assert batch() == list(range(12))
+
+
 def pixels_of(spark, a):
     rows = [("m", t, y, x, float(a[t, y, x])) for t in range(a.shape[0]) for y in range(a.shape[1]) for x in range(a.shape[2])]
     return spark.createDataFrame(rows, "run string, frame long, y int, x int, v double")
@@ -400,3 +578,36 @@ def test_box_problems(spark):
     boxes = spark.createDataFrame([("m", "paw", 0, 0, 4, 4), ("m", "paw", 0, 0, 2, 2), ("m", "tail", 3, 2, 8, 7), ("m", "wheel", 3, 2, 8, 7)], "run string, box string, x0 int, y0 int, x1 int, y1 int")
     found = {(r["level"], r["problem"], r["box"]) for r in C.box_problems(boxes, ("paw", "wheel", "nose")).collect()}
     assert found == {("error", "duplicate", "paw"), ("warning", "unknown", "tail"), ("warning", "missing", "nose"), ("warning", "same rectangle", "tail,wheel")}
+
+
+def test_sets_of_tables_appear_together(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "set")
+    kind = "run string, frame long, v double"
+    traces = lambda *runs, add=0.0: spark.createDataFrame([(r, i, i + add) for r in runs for i in range(3)], kind)
+    rois = lambda *runs: spark.createDataFrame([(r, 1) for r in runs], "run string, roi int")
+    with pytest.raises(FileNotFoundError):
+        sets.read(spark, path, "traces")
+    assert sets.save({"traces": traces("a", "b", None), "rois": rois("a", "b")}, path) == 1
+    assert sets.read(spark, path, "traces").count() == 9 and sets.audit(spark, path).count() == 0
+    # run a comes again without regions: those of before go with it
+    assert sets.save({"traces": traces("a", "a", add=10.0)}, path) == 2
+    assert sorted(r["run"] for r in sets.read(spark, path, "rois").collect()) == ["b"]
+    got = {(r["run"], r["n"]) for r in sets.read(spark, path, "traces").groupBy("run").agg(F.count("*").alias("n")).collect()}
+    assert got == {("a", 6), ("b", 3), (None, 3)} and sets.read(spark, path, "traces", 1).filter("run = 'a'").agg(F.max("v")).first()[0] == 2.0
+    assert sets.read(spark, path, "traces", runs=("b",)).count() == 3
+    # a write that is killed between its tables, or before its manifest, changes nothing
+    broken = spark.range(5).select(F.lit("b").alias("run"), F.expr("if(id = 3, raise_error('killed'), 1)").cast("int").alias("roi"))
+    with pytest.raises(Exception, match="killed"):
+        sets.save({"traces": traces("b", add=99.0), "rois": broken}, path)
+    assert sets.versions(spark, path) == [1, 2] and sets.read(spark, path, "traces").agg(F.max("v")).first()[0] == 12.0
+    # two writers at once: the number goes to one of them
+    with monkeypatch.context() as m:
+        m.setattr(sets, "versions", lambda *_: [1])
+        with pytest.raises(Exception, match="00000002.json"):
+            sets.save({"traces": traces("b", add=99.0)}, path)
+    assert sets.save({"traces": traces("c"), "rois": rois()}, path, runs=spark.createDataFrame([("b",)], "run string")) == 3
+    assert {r["run"] for r in sets.read(spark, path, "traces").collect()} == {"a", "c", None} and sets.read(spark, path, "rois").count() == 0
+    assert sets.expire(spark, path, 1) > 0 and sets.versions(spark, path) == [3] and sets.read(spark, path, "traces").count() == 12
+    at = sets.manifest(spark, path)["tables"]["traces"]["files"][0]["path"]
+    (tmp_path / "set" / at).unlink()
+    assert [(r["table"], r["problem"]) for r in sets.audit(spark, path).collect()] == [("traces", "missing")]

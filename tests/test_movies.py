@@ -321,6 +321,22 @@ def test_stream_goes_on_once_a_gap_is_filled(spark, tmp_path):
             assert np.allclose((r["lum"], r["me"]), (box[t].mean(), np.abs(box[t] - box[t - 1]).mean() if t else 0.0))
 
 
+def test_a_gap_that_never_closes_is_reported_and_given_up(spark, tmp_path):
+    a = np.random.default_rng(29).normal(size=(14, 4, 5))
+    frames = I.to_frames(pixels_of(spark, a)).select("run", "frame", "h", "w", "pixels").cache()
+    seen = []
+    for cond in ("frame < 2", "frame between 5 and 7", "frame in (8, 9)", "frame = 3", "frame >= 10"):
+        frames.filter(cond).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = motion.motion_traces(motion.read_frames(spark, str(tmp_path / "in"), I.FRAMES), [("p", 0, 0, 3, 3)], most=3)
+        motion.write_traces(stream, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
+        rows = spark.read.parquet(str(tmp_path / "out")).orderBy("frame").collect()
+        seen.append(([r["frame"] for r in rows if r["box"]], [(r["frame"], r["missing"]) for r in rows if r["box"] is None]))
+    gap = [(2, 3)]
+    assert seen == [([0, 1], []), ([0, 1], []), ([0, 1, 5, 6, 7, 8, 9], gap), ([0, 1, 5, 6, 7, 8, 9], gap), ([0, 1, *range(5, 14)], gap)]
+    by_frame = {r["frame"]: r for r in rows if r["box"]}
+    assert by_frame[5]["me"] == 0 and np.isclose(by_frame[6]["me"], np.abs(a[6] - a[5])[:3, :3].mean())
+
+
 def test_correlation_map_interior(spark):
     a = np.random.default_rng(5).normal(size=(30, 6, 6))
     got = {(r["y"], r["x"]): r["r"] for r in I.correlation_map(I.to_frames(pixels_of(spark, a))).collect()}

@@ -27,7 +27,7 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.archive(table(spark, sf_dir, "pages"))
+    return warc.archive(table(spark, sf_dir, "pages")).select("page_id", *warc.DIGEST)
 
 
 def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,4 +68,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_mixing": mixing.oracle(), "op10_secrets": secrets.oracle(), "op13_source_divergence": source_tries.oracle()}
+    return {"op5_warc": warc.oracle(), "op9_mixing": mixing.oracle(), "op10_secrets": secrets.oracle(), "op13_source_divergence": source_tries.oracle()}

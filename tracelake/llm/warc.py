@@ -234,3 +234,17 @@ def archive(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", pay
 
     back = read_bundles(spark, path)
     return back.select(number("record").alias(id_col), "payload_bytes", "payload_digest", "record_type", number("refers_to").alias("refers_to"), "bundle", "frame", "frame_offset")
+
+
+#: Columns of an archived page that don't depend on how records were packed.
+DIGEST = ("payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def oracle() -> str:
+    """DuckDB SQL for those columns over ``pages``; a digest's 160 bits are read five at a time."""
+    nibble = "instr('0123456789abcdef', substr(h, {0}, 1)) - 1"
+    three = " + ".join(f"{16 ** (2 - k)} * greatest(0, {nibble.format(f'5 * i // 4 + {k + 1}')})" for k in range(3))
+    letter = f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((({three})::INT >> (7 - 5 * i % 4)::INT) & 31) + 1, 1)"
+    return f"""WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages), n AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS last FROM p),
+        d AS (SELECT h, string_agg({letter}, '' ORDER BY i) AS digest FROM (SELECT DISTINCT h FROM p), range(32) r(i) GROUP BY h)
+        SELECT page_id, strlen(html)::BIGINT AS payload_bytes, digest AS payload_digest, CASE WHEN last <> page_id THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN last <> page_id THEN last END AS refers_to FROM n JOIN d USING (h)"""

@@ -193,8 +193,8 @@ def decode(df: DataFrame, low_frames: int, high_frames: int, iterations: int = 4
 DETECT = {"env_s": 0.33, "gmm_iters": 400, "dwell_low_s": 0.3, "dwell_high_s": 0.5, "min_bout_s": 0.4, "merge_gap_s": 0.3, "baseline_pre_s": 1.0, "coactive_window_s": 1.0, "groom_pct": 99.0, "artifact_pct": 99.5, "dprime_min": 1.5}
 
 
-def detect(traces: DataFrame, channel: str, fps: float, params: dict | None = None, groom: str | None = None, artifact: str | None = None, others: tuple[str, ...] = ()) -> dict[str, DataFrame]:
-    """Bouts of one channel: ``env``, ``states``, ``fits``, ``bouts`` (labelled), ``cross``, ``funnel``, ``gates``.
+def detect(traces: DataFrame, channel: str | None, fps: float, params: dict | None = None, groom: str | None = None, artifact: str | None = None, others: tuple[str, ...] = ()) -> dict[str, DataFrame]:
+    """Bouts of one channel, or of all (None): ``env``, ``states``, ``fits``, ``bouts`` (labelled), ``cross``, ``funnel``, ``gates``.
 
     What several results read (envelopes, mixtures, states, bouts) is written once to the
     shared folder.
@@ -206,7 +206,8 @@ def detect(traces: DataFrame, channel: str, fps: float, params: dict | None = No
 
     env = stored(S.condition(traces, frames(p["env_s"])), "env")
     fits = stored(separation(fit(env, p["gmm_iters"]), p["dprime_min"]), "fits")
-    own = env.filter(F.col("channel") == channel)
+    mine = F.lit(True) if channel is None else F.col("channel") == channel
+    own = env.filter(mine)
     states = stored(decode(own, frames(p["dwell_low_s"]), frames(p["dwell_high_s"]), fits=fits), "states")
     level = states.join(fits.select(*S.KEYS, "lo", "hi"), list(S.KEYS))
     runs = S.runs_of(states, F.col("state") == 1)
@@ -221,7 +222,7 @@ def detect(traces: DataFrame, channel: str, fps: float, params: dict | None = No
     raw = runs.groupBy(*S.KEYS).agg(F.count("*").alias("state_runs"))
     crossed = cross.groupBy(*S.KEYS).agg(F.count("*").alias("crosscheck_bouts"))
     duty = states.groupBy(*S.KEYS).agg(F.avg("state").alias("duty"))
-    gates = fits.filter(F.col("channel") == channel).join(duty, list(S.KEYS)).join(counts.select(*S.KEYS, F.try_divide("crosscheck_within_2", "bouts").alias("agreement")), list(S.KEYS), "left")
+    gates = fits.filter(mine).join(duty, list(S.KEYS)).join(counts.select(*S.KEYS, F.try_divide("crosscheck_within_2", "bouts").alias("agreement")), list(S.KEYS), "left")
     gates = gates.select(*S.KEYS, F.round("dprime", 3).alias("dprime"), "dprime_pass", F.round("w0", 3).alias("low_weight"), F.round("duty", 3).alias("duty"), F.round("agreement", 3).alias("agreement"))
     return {"env": env, "states": states, "fits": fits, "bouts": labelled, "cross": cross, "funnel": raw.join(counts, list(S.KEYS), "left").join(crossed, list(S.KEYS), "left"), "gates": gates}
 

@@ -174,21 +174,21 @@ def gate_verdicts(spark, sf_dir):
     return R.gate(d).select("run", "ok", "passed", F.array_join("failed", ",").alias("failed"), "not_applicable")
 
 
-@query(f"WITH {EV}, g AS (SELECT channel, avg(v) < 51 AS ok FROM ev GROUP BY channel) SELECT channel AS run, frame FROM ev JOIN g USING (channel) WHERE ok AND frame % 100 = 0")
+@query(f"WITH {EV}, g AS (SELECT channel, avg(v) < 51 AS ok FROM ev GROUP BY channel) SELECT channel AS run, frame FROM ev JOIN g USING (channel) WHERE ok")
 def rows_of_open_gates(spark, sf_dir):
     e = events(spark, sf_dir).withColumn("run", F.col("channel"))
-    return R.passing(e, e.groupBy("run").agg((F.avg("v") < 51).alias("ok"))).filter("frame % 100 = 0").select("run", "frame")
+    return R.passing(e, e.groupBy("run").agg((F.avg("v") < 51).alias("ok"))).select("run", "frame")
 
 
 # parts of a recording
 
 
 @query("""WITH p AS (SELECT o_orderpriority AS run, o_orderkey AS part, (o_custkey % 4)::BIGINT AS n FROM orders), g AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY run ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS first FROM p),
-    a AS (SELECT run, part, first + k AS frame, k AS page FROM g, LATERAL (SELECT unnest(range(n)) AS k)) SELECT run, frame, part::VARCHAR AS part, page FROM a WHERE frame % 13 = 0""")
+    a AS (SELECT run, part, first + k AS frame, k AS page FROM g, LATERAL (SELECT unnest(range(n)) AS k)) SELECT run, frame, part::VARCHAR AS part, page FROM a""")
 def located_frames(spark, sf_dir):
     parts = table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("run"), F.col("o_orderkey").alias("part"), (F.col("o_custkey") % 4).alias("n"))
     total = parts.groupBy("run").agg(F.sum("n").alias("n")).filter("n > 0")
-    asked = total.select("run", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1, F.lit(13).cast("bigint"))).alias("frame"))
+    asked = total.select("run", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1)).alias("frame"))
     return A.locate(asked, parts)
 
 
@@ -241,6 +241,10 @@ def gap_rows(spark, sf_dir):
     return T.frame_rate(stamps)[1].select("run", "frame", F.round("dt", 6).alias("dt"))
 
 
-@query(f"WITH {EV} SELECT run, frame, round(any_value(v) FILTER (channel = 'click'), 6) AS click, round(any_value(v) FILTER (channel = 'view'), 6) AS view FROM ev GROUP BY ALL")
+_TYPES = ("click", "error", "purchase", "signup", "view")
+
+
+@query(f"WITH {EV} SELECT run, frame, {', '.join(f'round(any_value(v) FILTER (channel = {chr(39)}{x}{chr(39)}), 6) AS {x}' for x in _TYPES)} FROM ev GROUP BY ALL")
 def wide_traces(spark, sf_dir):
-    return sinks.wide(events(spark, sf_dir), ["click", "view"]).select("run", "frame", F.round("click", 6).alias("click"), F.round("view", 6).alias("view"))
+    return sinks.wide(events(spark, sf_dir), list(_TYPES)).select("run", "frame", *[F.round(x, 6).alias(x) for x in _TYPES])
+

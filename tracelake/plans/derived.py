@@ -16,10 +16,10 @@ from tracelake.sources import metadata
 from tracelake.sources.shared import stored
 
 
-@query(f"""WITH {BOUTS}, pos AS (SELECT channel, frame FROM ev WHERE frame % 50 = 0)
+@query(f"""WITH {BOUTS}, pos AS (SELECT channel, frame FROM ev)
     SELECT pos.channel, frame, max(onset) FILTER (onset < frame) AS previous, min(onset) FILTER (onset > frame) AS next FROM pos LEFT JOIN bt USING (channel) GROUP BY ALL""")
 def next_and_previous_bouts(spark, sf_dir):
-    return S.next_event(bouts(spark, sf_dir), events(spark, sf_dir).filter("frame % 50 = 0")).select("channel", "frame", "previous", "next")
+    return S.next_event(bouts(spark, sf_dir), events(spark, sf_dir)).select("channel", "frame", "previous", "next")
 
 
 @query(f"""WITH {BOUTS}, pl AS (SELECT channel, onset + 3 AS planted FROM bt), m AS (SELECT pl.channel, planted, arg_min(onset, abs(onset - planted) * 100000000 + onset) AS found FROM pl LEFT JOIN bt ON bt.channel = pl.channel AND abs(onset - planted) <= 8 GROUP BY ALL)
@@ -130,12 +130,12 @@ def band_power(spark, sf_dir):
 
 # images
 
-_ROI = "rp AS (SELECT DISTINCT label AS roi, (i - 1) // 8 AS y, (i - 1) % 8 AS x FROM (SELECT label, embedding, unnest(range(1, 65)) AS i FROM embeddings) WHERE embedding[i] > 0.25 AND label % 3 <> 1)"
+_ROI = "rp AS (SELECT DISTINCT label AS roi, (i - 1) // 8 AS y, (i - 1) % 8 AS x FROM (SELECT label, embedding, unnest(range(1, 65)) AS i FROM embeddings) WHERE embedding[i] > 0.25)"
 
 
 def roi_pixels(spark, sf_dir):
     """(run, roi, y, x): pixels that are bright in an image with the ROI's label."""
-    flat = table(spark, sf_dir, "embeddings").filter("label % 3 <> 1").select("label", F.posexplode("embedding").alias("i", "v")).filter("v > 0.25")
+    flat = table(spark, sf_dir, "embeddings").select("label", F.posexplode("embedding").alias("i", "v")).filter("v > 0.25")
     return flat.select(F.lit("m").alias("run"), F.col("label").alias("roi"), F.expr("cast(i div 8 as int)").alias("y"), F.expr("cast(i % 8 as int)").alias("x")).distinct()
 
 
@@ -161,7 +161,7 @@ def image_difference(spark, sf_dir):
     return I.subtract(I.mean_image(m.filter("frame % 2 = 0")), I.mean_image(m.filter("frame % 2 = 1"))).select("y", "x", r6("v", "v"))
 
 
-@query(f"""WITH {MV}, mi AS (SELECT y, x, avg(v) AS m FROM mv GROUP BY ALL), cm AS (SELECT y, x, coalesce(corr(v, lv), 0) AS r FROM (SELECT *, lag(v) OVER (PARTITION BY y, x ORDER BY frame) AS lv FROM mv) GROUP BY ALL), {_ROI}, u AS (SELECT DISTINCT y, x FROM rp WHERE roi = (SELECT min(roi) FROM rp)),
+@query(f"""WITH {MV}, mi AS (SELECT y, x, avg(v) AS m FROM mv GROUP BY ALL), cm AS (SELECT y, x, coalesce(corr(v, lv), 0) AS r FROM (SELECT *, lag(v) OVER (PARTITION BY y, x ORDER BY frame) AS lv FROM mv) GROUP BY ALL), {_ROI}, u AS (SELECT DISTINCT y, x FROM rp),
     b AS (SELECT r, u.y IS NOT NULL AS used FROM cm JOIN mi USING (y, x) LEFT JOIN u ON u.y = cm.y AND u.x = cm.x WHERE m > (SELECT quantile_cont(m, 0.99) FROM mi))
     SELECT count(*) FILTER (used) AS claimed, count(*) FILTER (NOT used) AS unclaimed, coalesce(abs(quantile_cont(r, 0.5) FILTER (used) - quantile_cont(r, 0.5) FILTER (NOT used)) < 0.08, false) AS cells_missed FROM b""")
 def extraction_audit(spark, sf_dir):
@@ -169,9 +169,7 @@ def extraction_audit(spark, sf_dir):
     before = m.select("run", (F.col("frame") + 1).alias("frame"), "y", "x", F.col("v").alias("b"))
     # any map will do: here each pixel against itself one frame earlier
     cmap = m.join(before, ["run", "frame", "y", "x"]).groupBy("run", "y", "x").agg(X.safe_corr(F.col("v"), F.col("b")).alias("r"))
-    some = roi_pixels(spark, sf_dir)
-    some = some.join(some.groupBy("run").agg(F.min("roi").alias("least")), "run").filter("roi = least").drop("least")
-    return I.extraction_audit(cmap, I.mean_image(m), some).select("claimed", "unclaimed", "cells_missed")
+    return I.extraction_audit(cmap, I.mean_image(m), roi_pixels(spark, sf_dir)).select("claimed", "unclaimed", "cells_missed")
 
 
 @query(f"WITH {RV}, t AS (SELECT channel, v - 10 AS v FROM rv), f AS (SELECT channel, quantile_cont(v, 0.15) AS f0 FROM t GROUP BY channel) SELECT channel AS roi, round(f0, 6) AS f0 FROM f WHERE f0 <= 0")

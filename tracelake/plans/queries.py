@@ -364,23 +364,31 @@ def movie_bins(spark, sf_dir):
     return I.bin_frames(movie(spark, sf_dir), 10).select("y", "x", "frame", r6("v", "v"))
 
 
-_RUNS = [("two", 137, 9000, 9100, None, 600.0, 1 / 30.0), ("one", 119, 28778, 28800, 30.0, 1200.0, 1 / 30.0)]
-_RUN_SQL = "(VALUES ('two', 137, 9000, 9100, NULL, 600.0, 1 / 30.0), ('one', 119, 28778, 28800, 30.0, 1200.0, 1 / 30.0)) t(run, \"on\", \"off\", n_cam, cam_fps, t_last, period)"
+#: Orders as recordings: anchors and numbers of frames from their keys, every third with a camera rate of its own.
+_RUN_SQL = """rs AS (SELECT o_orderkey AS run, (o_custkey % 150)::INT AS "on", (o_custkey % 150 + 2000 + o_orderkey % 7000)::INT AS "off", 9200 AS n_cam, CASE WHEN o_orderkey % 3 = 0 THEN 10.0 + o_custkey % 25 END AS cam_fps,
+    (o_totalprice / 1000.0)::DOUBLE AS t_last, 1 / 30.0::DOUBLE AS period FROM orders), rc AS (SELECT *, coalesce(1 / cam_fps, (t_last + period) / ("off" - "on"))::DOUBLE AS dt FROM rs)"""
 
 
-def _cameras(spark: SparkSession) -> DataFrame:
-    return A.camera_clock(spark.createDataFrame(_RUNS, "run string, on int, off int, n_cam int, cam_fps double, t_last double, period double"))
+def _cameras(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders")
+    on, off = F.col("o_custkey") % 150, F.col("o_custkey") % 150 + 2000 + F.col("o_orderkey") % 7000
+    fps = F.when(F.col("o_orderkey") % 3 == 0, (F.lit(10) + F.col("o_custkey") % 25).cast("double"))
+    return A.camera_clock(o.select(F.col("o_orderkey").alias("run"), on.cast("int").alias("on"), off.cast("int").alias("off"), F.lit(9200).alias("n_cam"), fps.alias("cam_fps"), (F.col("o_totalprice") / 1000.0).alias("t_last"), F.lit(1 / 30.0).alias("period")))
 
 
-@query(f"SELECT run, round(coalesce(1 / cam_fps, (t_last + period) / (\"off\" - \"on\"))::DOUBLE, 9) AS dt, round((coalesce(1 / cam_fps, (t_last + period) / (\"off\" - \"on\")) * (\"off\" - \"on\"))::DOUBLE, 6) AS coverage_end FROM {_RUN_SQL}")
+@query(f"""WITH {_RUN_SQL} SELECT run, round(dt, 9) AS dt, round(("off" - "on") * dt, 6) AS coverage_end FROM rc""")
 def camera_clocks(spark, sf_dir):
-    return _cameras(spark).select("run", F.round("dt", 9).alias("dt"), F.round("coverage_end", 6).alias("coverage_end"))
+    return _cameras(spark, sf_dir).select("run", F.round("dt", 9).alias("dt"), F.round("coverage_end", 6).alias("coverage_end"))
 
 
-@query(f"""WITH c AS (SELECT run, coalesce(1 / cam_fps, (t_last + period) / (\"off\" - \"on\")) * (\"off\" - \"on\") AS e FROM {_RUN_SQL}) SELECT run, count(*) AS kept, max(frame) AS last FROM c, (SELECT range AS frame FROM range(0, 36000)) WHERE frame / 30.0 <= e GROUP BY run""")
+@query(f"""WITH {_RUN_SQL}, fr AS (SELECT run, dt, "on", "off", unnest(range(0, 40)) * 7.5 AS t FROM rc) SELECT run, count(*) AS kept, round(max(t), 6) AS last, max((round_even(t / dt, 0))::BIGINT + "on") AS camera_frame FROM fr WHERE t <= ("off" - "on") * dt GROUP BY run HAVING count(*) >= 2""")
 def coverage_cut(spark, sf_dir):
-    frames = spark.createDataFrame([("two", 36000, 30.0), ("one", 36000, 30.0)], "run string, n int, fps double")
-    return A.covered(A.neural_clock(frames), _cameras(spark)).groupBy("run").agg(F.count("*").alias("kept"), F.max("frame").cast("bigint").alias("last"))
+    cameras = _cameras(spark, sf_dir)
+    frames = cameras.select("run", F.lit(40).alias("n"), F.lit(1 / 7.5).alias("fps"))
+    long_enough = cameras.filter(F.col("coverage_end") >= 7.5)
+    kept = A.covered(A.neural_clock(frames).join(long_enough.select("run"), "run", "left_semi").withColumn("t", F.col("frame") * 7.5), long_enough)
+    near = A.nearest_camera_frame(F.col("t"), F.col("on"), F.col("dt"))
+    return kept.join(cameras.select("run", "on", "dt"), "run").groupBy("run").agg(F.count("*").alias("kept"), F.round(F.max("t"), 6).alias("last"), F.max(near).alias("camera_frame"))
 
 
 # every ROI against every event channel
@@ -484,10 +492,10 @@ def grouped_moments(spark, sf_dir):
     return d.agg(F.count("*").alias("n"), F.round(F.avg("l_quantity"), 6).alias("mean"), F.round(F.stddev_pop("l_quantity"), 6).alias("sd"), F.round(r, 6).alias("r"))
 
 
-@query("SELECT run, greatest(1, round_even(s * fps, 0))::INT AS frames FROM (VALUES ('a', 0.3, 15.0), ('b', 0.33, 15.0), ('c', 0.33, 30.0), ('d', 0.5, 5.0), ('e', 0.001, 15.0)) t(run, s, fps)")
+@query("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, greatest(1, round_even(l_quantity * 0.5, 0))::INT AS frames FROM lineitem")
 def half_even_frames(spark, sf_dir):
-    d = spark.createDataFrame([("a", 0.3, 15.0), ("b", 0.33, 15.0), ("c", 0.33, 30.0), ("d", 0.5, 5.0), ("e", 0.001, 15.0)], "run string, s double, fps double")
-    return d.select("run", X.seconds_to_frames(F.col("s"), F.col("fps")).alias("frames"))
+    d = table(spark, sf_dir, "lineitem")
+    return d.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", X.seconds_to_frames(F.col("l_quantity"), F.lit(0.5)).alias("frames"))
 
 
 @query("""SELECT url, array_to_string(list_transform(regexp_extract_all(lower(url), '([0-9]+|[^0-9]+)', 1), lambda x: CASE WHEN regexp_full_match(x, '[0-9]+') THEN lpad(CASE WHEN ltrim(x, '0') = '' THEN '0' ELSE ltrim(x, '0') END, 20, '0') ELSE x END), chr(1)) AS n,
@@ -539,9 +547,28 @@ def channel_signals(spark, sf_dir):
     return M.signal_table(stored_envelope(spark, sf_dir), events(spark, sf_dir)).select("channel", r6("dprime", "dprime"), r6("w1", "w1"), *[F.round(c, 6).alias(c) for c in ("rest", "active", "ratio")])
 
 
-@query()
+#: Both detectors of bouts on the mixtures' levels, and their labels.
+DETECTED = f"""{PATHS}, rn AS (SELECT channel, frame, frame - row_number() OVER (PARTITION BY channel ORDER BY frame) AS i FROM sv WHERE state = 1), ru AS (SELECT channel, min(frame) AS a, max(frame) AS b FROM rn GROUP BY channel, i),
+    rf AS (SELECT *, coalesce(a - lag(b) OVER (PARTITION BY channel ORDER BY a) - 1 > 4, true)::INT AS f FROM ru), rg AS (SELECT *, sum(f) OVER (PARTITION BY channel ORDER BY a) AS g FROM rf), rm AS (SELECT channel, min(a) AS a, max(b) AS b FROM rg GROUP BY channel, g HAVING max(b) - min(a) + 1 >= 6),
+    wl AS (SELECT env.channel, frame, v, hi, lo, max(CASE WHEN v <= lo THEN frame END) OVER (PARTITION BY env.channel ORDER BY frame ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pl FROM env JOIN fits USING (channel)),
+    db AS (SELECT rm.channel, greatest(a - 30, coalesce(pl + 1, 0)) AS onset, b AS "offset" FROM rm JOIN wl ON wl.channel = rm.channel AND wl.frame = a),
+    cx AS (SELECT *, v > hi AS up, v < lo AS down FROM wl), cs AS (SELECT *, sum((up AND down)::INT) OVER w AS t, max(frame) FILTER (up <> down) OVER w AS k FROM cx WINDOW w AS (PARTITION BY channel ORDER BY frame)),
+    cu AS (SELECT cs.*, (coalesce(z.up::INT, 0) + cs.t - coalesce(z.t, 0)) % 2 AS st FROM cs LEFT JOIN cs z ON z.channel = cs.channel AND z.frame = cs.k), ce AS (SELECT *, st = 1 AND coalesce(lag(st) OVER (PARTITION BY channel ORDER BY frame), 0) = 0 AS e, max(frame) OVER (PARTITION BY channel) AS lf FROM cu),
+    cg AS (SELECT *, sum(e::INT) OVER (PARTITION BY channel ORDER BY frame) AS g FROM ce), ch AS (SELECT channel, max(CASE WHEN e THEN greatest(frame - 30, coalesce(pl + 1, 0)) END) AS onset, least(max(frame) + 1, max(lf)) AS "offset" FROM cg WHERE st = 1 GROUP BY channel, g),
+    cf AS (SELECT *, coalesce(onset - lag("offset") OVER (PARTITION BY channel ORDER BY onset) - 1 > 4, true)::INT AS f FROM ch), ck AS (SELECT *, sum(f) OVER (PARTITION BY channel ORDER BY onset) AS g FROM cf),
+    cb AS (SELECT channel, min(onset) AS onset FROM ck GROUP BY channel, g HAVING max("offset") - min(onset) + 1 >= 6),
+    dt AS (SELECT db.channel, onset, "offset", max(wl.v) AS top, avg(posterior) AS posterior FROM db JOIN wl ON wl.channel = db.channel AND wl.frame BETWEEN onset AND "offset" JOIN sv ON sv.channel = wl.channel AND sv.frame = wl.frame GROUP BY ALL),
+    dp AS (SELECT db.channel, onset, count(*) FILTER (v < lo) = 15 AS ok FROM db JOIN wl ON wl.channel = db.channel AND frame >= onset - 15 AND frame < onset GROUP BY ALL),
+    da AS (SELECT db.channel, onset, bool_or(e.v > p) AS hit FROM db, env e, (SELECT quantile_cont(v, 0.995) AS p FROM env WHERE channel = 'error') WHERE e.channel = 'error' AND e.frame >= onset - 2 AND e.frame < onset + 3 GROUP BY ALL),
+    dc AS (SELECT db.channel, onset, bool_or(wl.v > wl.lo) AS busy FROM db JOIN wl ON wl.channel IN ('click', 'purchase') AND wl.channel <> db.channel AND wl.frame BETWEEN onset - 15 AND onset + 15 GROUP BY ALL),
+    dx AS (SELECT db.channel, db.onset, min(abs(cb.onset - db.onset)) AS near FROM db JOIN cb ON cb.channel = db.channel GROUP BY ALL)"""
+
+
+@query(f"""WITH RECURSIVE {DETECTED} SELECT dt.channel, dt.onset, "offset", round(("offset" - dt.onset + 1) / 15.0, 3) AS duration_s, round(top - mu0, 6) + 0.0 AS amplitude, coalesce(ok, false) AS baseline_pre, coalesce(hit, false) AS artifact, coalesce(NOT busy, false) AS isolated,
+        coalesce(near, -1)::BIGINT AS xcheck_frames, round(posterior, 6) + 0.0 AS posterior
+    FROM dt JOIN fits ON fits.channel = dt.channel LEFT JOIN dp ON dp.channel = dt.channel AND dp.onset = dt.onset LEFT JOIN da ON da.channel = dt.channel AND da.onset = dt.onset LEFT JOIN dc ON dc.channel = dt.channel AND dc.onset = dt.onset LEFT JOIN dx ON dx.channel = dt.channel AND dx.onset = dt.onset""")
 def detected_bouts(spark, sf_dir):
-    found = M.detect(events(spark, sf_dir), "view", 15.0, artifact="error", others=("click", "purchase"))
+    found = M.detect(events(spark, sf_dir), None, 15.0, artifact="error", others=("click", "purchase"))
     return found["bouts"].select("channel", "onset", "offset", "duration_s", r6("amplitude", "amplitude"), "baseline_pre", "artifact", "isolated", "xcheck_frames", r6("posterior", "posterior"))
 
 

@@ -572,7 +572,19 @@ def detected_bouts(spark, sf_dir):
     return found["bouts"].select("channel", "onset", "offset", "duration_s", r6("amplitude", "amplitude"), "baseline_pre", "artifact", "isolated", "xcheck_frames", r6("posterior", "posterior"))
 
 
-@query()
+@query(f"""WITH RECURSIVE {MV}, {_NEAR}, px AS (SELECT (y * 8 + x + 1)::INT AS i, frame, v FROM mv), cv AS (SELECT a.i, b.i AS j, covar_pop(a.v, b.v) AS c FROM px a JOIN px b USING (frame) GROUP BY ALL),
+    cc AS (SELECT list(line ORDER BY i) AS cov FROM (SELECT i, list(c ORDER BY j) AS line FROM cv GROUP BY i)), rr AS (SELECT list(r ORDER BY y * 8 + x) AS rs FROM cm),
+    g AS (SELECT 0 AS attempt, list_transform(rs, lambda r: r <> 0) AS free, []::BIGINT[] AS region, NULL::BIGINT[] AS grown FROM rr UNION ALL
+        SELECT attempt + ended::INT, CASE WHEN ended THEN list_transform(range(1, 65), lambda i: free[i] AND NOT list_contains(region, i)) ELSE free END,
+            CASE WHEN ended THEN []::BIGINT[] WHEN len(region) = 0 THEN [seed] ELSE region || good END, CASE WHEN ended THEN region END
+        FROM (SELECT *, len(region) > 0 AND len(good) = 0 AS ended FROM (SELECT attempt, free, region,
+            list_sort(list_transform(list_filter(range(1, 65), lambda i: free[i]), lambda i: {{'r': -rs[i], 'i': i}}))[1].i AS seed,
+            CASE WHEN len(region) = 0 OR len(region) >= 40 THEN []::BIGINT[] ELSE list_filter(range(1, 65), lambda i: free[i] AND NOT list_contains(region, i)
+                AND len(list_filter(region, lambda q: abs((q - 1) // 8 - (i - 1) // 8) <= 1 AND abs((q - 1) % 8 - (i - 1) % 8) <= 1)) > 0
+                AND list_sum(list_transform(region, lambda q: cov[q][i])) / len(region) > 0.02 * sqrt(greatest(0, list_sum(list_transform(region, lambda q: list_sum(list_transform(region, lambda p: cov[q][p]))))) / (len(region) * len(region)) * cov[i][i])) END AS good
+            FROM g, cc, rr WHERE attempt < 100 AND (len(region) > 0 OR list_bool_or(free))))),
+    kept AS (SELECT row_number() OVER (ORDER BY attempt) AS roi, grown FROM g WHERE len(grown) > 1 AND len(grown) < 20)
+    SELECT 'm' AS run, roi, (i - 1) // 8 AS y, (i - 1) % 8 AS x FROM (SELECT roi, unnest(grown) AS i FROM kept)""")
 def roi_growth(spark, sf_dir):
     frames = I.to_frames(movie(spark, sf_dir))
     return I.regions(frames, I.correlation_map(frames), 0.02, 1, 20)

@@ -624,6 +624,9 @@ def test_sets_of_tables_appear_together(spark, tmp_path, monkeypatch):
     assert sets.save({"traces": traces("c"), "rois": rois()}, path, runs=spark.createDataFrame([("b",)], "run string")) == 3
     assert {r["run"] for r in sets.read(spark, path, "traces").collect()} == {"a", "c", None} and sets.read(spark, path, "rois").count() == 0
     assert sets.expire(spark, path, 1) > 0 and sets.versions(spark, path) == [3] and sets.read(spark, path, "traces").count() == 12
+    odd = "a b/c%20+é=1"
+    sets.save({"traces": traces(odd)}, path)
+    assert sets.read(spark, path, "traces", runs=(odd,)).count() == 3 and sets.audit(spark, path).count() == 0
     at = sets.manifest(spark, path)["tables"]["traces"]["files"][0]["path"]
     (tmp_path / "set" / at).unlink()
     assert [(r["table"], r["problem"]) for r in sets.audit(spark, path).collect()] == [("traces", "missing")]

@@ -602,7 +602,7 @@ def low_rank_movie(spark, sf_dir):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from tracelake.plans import checks, derived  # noqa: F401  they register their queries
+    from tracelake.plans import checks, derived, recordings  # noqa: F401  they register their queries
 
     return {name: f for name, (f, _) in _FOUND.items()}
 

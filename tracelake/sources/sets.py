@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -97,7 +98,9 @@ def save(tables: dict[str, DataFrame], path: str, runs: DataFrame | None = None,
             pass  # Spark doesn't run an empty plan, and so observes nothing
         elif (found["n"], found["digest"]) != (seen.get["n"], seen.get["digest"]):
             raise OSError(f"{name} doesn't read back as it was written: {found['n']} rows, {seen.get['n']} were")
-        by_name = {_tail(f): r for f, r in counts.items()}
+        by_name = {_tail(unquote(f)): r for f, r in counts.items()}  # Spark's names of files are encoded
+        if sum(r["n"] for f, r in by_name.items()) != found["n"] or len(by_name) != len(counts) or set(by_name) - {_tail(f) for f, _ in listed}:
+            raise OSError(f"files of {name} aren't those that were written")
         fresh[name] = {"schema": json.loads(table.schema.json()), "files": [{"path": _relative(f, path), "run": by_name[_tail(f)]["run"], "rows": by_name[_tail(f)]["n"], "bytes": size} for f, size in listed if _tail(f) in by_name]}
     replaced = {f["run"] for t in fresh.values() for f in t["files"]}
     if runs is not None:
@@ -152,7 +155,7 @@ def audit(spark: SparkSession, path: str, version: int | None = None) -> DataFra
     whole = spark.createDataFrame(rows, "table string, run string, path string, problem string, n long")
     sound = [f"{path}/{r[2]}" for r in rows if r[3] is None]
     if sound:
-        counted = spark.read.parquet(*sound).groupBy(F.regexp_extract(F.col("_metadata.file_path"), r"(data/[0-9a-f]{32}/.*)$", 1).alias("path")).agg(F.count(F.lit(1)).alias("found"))
+        counted = spark.read.parquet(*sound).groupBy(F.regexp_extract(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))), r"(data/[0-9a-f]{32}/.*)$", 1).alias("path")).agg(F.count(F.lit(1)).alias("found"))
         whole = whole.join(counted, "path", "left").withColumn("problem", F.coalesce("problem", F.when(F.coalesce("found", F.lit(0)) != F.col("n"), "rows")))
     return whole.filter("problem is not null").select("table", "run", "path", "problem")
 

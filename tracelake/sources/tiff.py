@@ -33,6 +33,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual
@@ -406,6 +407,58 @@ def count_frames(path: str) -> int:
     return total
 
 
+def encode(images: np.ndarray) -> bytes:
+    """A big file of 64-bit grey images (frame, h, w), a strip and a header for each."""
+    n, h, w = images.shape
+    size, entries = h * w * 8, 9
+    head = 8 + entries * 20 + 8
+    out = [struct.pack("<2sHHHQ", b"II", 43, 8, 0, 16)]
+    for k in range(n):
+        at = 16 + k * (head + size)
+        fields = [(256, 4, w), (257, 4, h), (258, 3, 64), (259, 3, codecs.PLAIN), (262, 3, 1), (273, 16, at + head), (277, 3, 1), (279, 16, size), (339, 3, 3)]
+        out += [struct.pack("<Q", entries), *[struct.pack("<HHQQ", tag, kind, 1, value) for tag, kind, value in fields]]
+        out += [struct.pack("<Q", at + head + size if k + 1 < n else 0), np.ascontiguousarray(images[k], "<f8").tobytes()]
+    return b"".join(out)
+
+
+def write(frames: DataFrame, folder: str, block_frames: int = 256) -> DataFrame:
+    """Writes (run, frame, h, w, pixels) as parts of ``block_frames`` frames below folder/run; returns (run, path, frames, bytes) of them.
+
+    A part's name and bytes follow from its frames, so a task that runs again writes the
+    same file; a part appears under its name when it is whole. A null pixel is 0.
+    """
+
+    def parts(frames_: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows: list = []
+        key = None
+
+        def done() -> pd.DataFrame:
+            run, block = key
+            data = encode(np.array([[0.0 if v is None else v for v in r.pixels] for r in rows], "<f8").reshape(len(rows), rows[0].h, rows[0].w))
+            system, inner = located(f"{folder}/{run}")
+            system.create_dir(inner, recursive=True)
+            name = f"{inner}/part{block:06d}.tif"
+            draft = f"{inner}/.{block:06d}-{TaskContext.get().taskAttemptId()}"
+            with system.open_output_stream(draft) as out:
+                out.write(data)
+            system.move(draft, name)
+            return pd.DataFrame({"run": [run], "path": [name], "frames": [len(rows)], "bytes": [len(data)]})
+
+        for part in frames_:
+            for r in part.itertuples():
+                if key != (r.run, r.block):
+                    if rows:
+                        yield done()
+                    key, rows = (r.run, r.block), []
+                rows.append(r)
+        if rows:
+            yield done()
+
+    dealt = frames.select(F.col("run").cast("string").alias("run"), F.expr(f"cast(frame div {block_frames} as bigint)").alias("block"), "frame", "h", "w", "pixels")
+    dealt = dealt.repartition("run", "block").sortWithinPartitions("run", "block", "frame")
+    return dealt.mapInPandas(parts, "run string, path string, frames long, bytes long")
+
+
 # an index of pages, as a table
 
 

@@ -315,8 +315,19 @@ def _smooth(a: np.ndarray, sigma: float) -> np.ndarray:
     return np.fft.ifft2(np.fft.fft2(a) * f[0][:, None] * f[1][None, :]).real
 
 
+#: Frames that share a copy of their template.
+SHIFT_BLOCK = 256
+
+
 def estimate_shifts(frames: DataFrame, templates: DataFrame, upsample: int = 10, smooth: float = 0.0) -> DataFrame:
-    """(run, frame, dy, dx) against (run, template: array<double>), one image a run, joined to its frames."""
+    """(run, frame, dy, dx) against (run, template: array<double>), one image a run.
+
+    Frames meet their template by blocks, each of which gets a copy, so that a run is no
+    task of its own; where copies are few, Spark sends them to the frames instead.
+    """
+    block = F.expr(f"cast(frame div {SHIFT_BLOCK} as bigint)")
+    frames = frames.withColumn("_block", block)
+    copies = stored(frames.select("run", "_block").distinct().join(templates, "run"), "templates")
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
@@ -328,7 +339,7 @@ def estimate_shifts(frames: DataFrame, templates: DataFrame, upsample: int = 10,
                 rows.append((r.run, r.frame, *estimate_shift(ready[r.run], image, upsample)))
             yield pd.DataFrame(rows, columns=["run", "frame", "dy", "dx"])
 
-    return frames.join(templates, "run").mapInPandas(run, "run string, frame long, dy double, dx double")
+    return frames.join(copies, ["run", "_block"]).mapInPandas(run, "run string, frame long, dy double, dx double")
 
 
 def apply_shifts(frames: DataFrame, shifts: DataFrame) -> DataFrame:

@@ -590,10 +590,34 @@ def roi_growth(spark, sf_dir):
     return I.regions(frames, I.correlation_map(frames), 0.02, 1, 20)
 
 
-@query()
-def rigid_shifts(spark, sf_dir):
+def _shift_sql(sigma: float) -> str:
+    """Sums over frequencies in place of transforms: the peak of the cross-correlation, then a grid of tenths around it."""
+    near = f"exp(-2 * (pi() * {sigma} * fu) ** 2) * exp(-2 * (pi() * {sigma} * fv) ** 2)" if sigma else "1.0"
+    return f"""{MV}, mi AS (SELECT y, x, avg(v) AS m FROM mv GROUP BY ALL), uv AS (SELECT u, v, CASE WHEN u < 4 THEN u ELSE u - 8 END / 8.0 AS fu, CASE WHEN v < 4 THEN v ELSE v - 8 END / 8.0 AS fv FROM (SELECT unnest(range(8)) AS u), (SELECT unnest(range(8)) AS v)),
+        tf AS (SELECT u, uv.v, any_value(fu) AS fu, any_value(fv) AS fv, sum(m * cos(2 * pi() * (u * y + uv.v * x) / 8)) * any_value({near}) AS a, -sum(m * sin(2 * pi() * (u * y + uv.v * x) / 8)) * any_value({near}) AS b FROM mi, uv GROUP BY ALL),
+        im AS (SELECT frame, u, uv.v, sum(mv.v * cos(2 * pi() * (u * y + uv.v * x) / 8)) * any_value({near}) AS a, -sum(mv.v * sin(2 * pi() * (u * y + uv.v * x) / 8)) * any_value({near}) AS b FROM mv, uv GROUP BY frame, u, uv.v),
+        pr AS (SELECT frame, u, v, fu, fv, tf.a * im.a + tf.b * im.b AS re, tf.b * im.a - tf.a * im.b AS mi FROM im JOIN tf USING (u, v)),
+        co AS (SELECT frame, uv.u AS y, uv.v AS x, sum(re * cos(2 * pi() * (pr.u * uv.u + pr.v * uv.v) / 8) - mi * sin(2 * pi() * (pr.u * uv.u + pr.v * uv.v) / 8)) AS a, sum(re * sin(2 * pi() * (pr.u * uv.u + pr.v * uv.v) / 8) + mi * cos(2 * pi() * (pr.u * uv.u + pr.v * uv.v) / 8)) AS b FROM pr, uv GROUP BY frame, uv.u, uv.v),
+        pk AS (SELECT frame, CASE WHEN y > 4 THEN y - 8 ELSE y END AS cy, CASE WHEN x > 4 THEN x - 8 ELSE x END AS cx FROM (SELECT *, row_number() OVER (PARTITION BY frame ORDER BY round(a * a + b * b, 12) DESC, y, x) AS i FROM co) WHERE i = 1),
+        ky AS (SELECT unnest(range(-7, 8)) / 10.0 AS oy), rw AS (SELECT pr.frame, cy + oy AS dy, any_value(cx) AS cx, pr.v, any_value(fv) AS fv, sum(re * cos(2 * pi() * (cy + oy) * fu) - mi * sin(2 * pi() * (cy + oy) * fu)) AS a, sum(re * sin(2 * pi() * (cy + oy) * fu) + mi * cos(2 * pi() * (cy + oy) * fu)) AS b FROM pr JOIN pk USING (frame), ky GROUP BY pr.frame, cy + oy, pr.v),
+        gr AS (SELECT frame, dy, cx + oy AS dx, sum(a * cos(2 * pi() * (cx + oy) * fv) - b * sin(2 * pi() * (cx + oy) * fv)) AS p, sum(a * sin(2 * pi() * (cx + oy) * fv) + b * cos(2 * pi() * (cx + oy) * fv)) AS q FROM rw, ky GROUP BY frame, dy, cx + oy)
+        SELECT 'm' AS run, frame, round(dy, 3) + 0.0 AS dy, round(dx, 3) + 0.0 AS dx FROM (SELECT *, row_number() OVER (PARTITION BY frame ORDER BY round(p * p + q * q, 12) DESC, dy, dx) AS i FROM gr) WHERE i = 1"""
+
+
+def _shifts(spark: SparkSession, sf_dir: str, smooth: float) -> DataFrame:
     frames = I.to_frames(movie(spark, sf_dir))
-    return I.estimate_shifts(frames, I.template_of(frames))
+    found = I.estimate_shifts(frames, I.template_of(frames), smooth=smooth)
+    return found.select("run", "frame", *[(F.round(c, 3) + 0.0).alias(c) for c in ("dy", "dx")])
+
+
+@query(f"WITH {_shift_sql(1.0)}")
+def smoothed_shifts(spark, sf_dir):
+    return _shifts(spark, sf_dir, 1.0)
+
+
+@query(f"WITH {_shift_sql(0.0)}")
+def rigid_shifts(spark, sf_dir):
+    return _shifts(spark, sf_dir, 0.0)
 
 
 @query()

@@ -630,3 +630,30 @@ def test_sets_of_tables_appear_together(spark, tmp_path, monkeypatch):
     at = sets.manifest(spark, path)["tables"]["traces"]["files"][0]["path"]
     (tmp_path / "set" / at).unlink()
     assert [(r["table"], r["problem"]) for r in sets.audit(spark, path).collect()] == [("traces", "missing")]
+
+
+def test_verify_and_salvage(spark, tmp_path):
+    movie = np.random.default_rng(41).integers(0, 60_000, (9, 6, 5)).astype(np.uint16)
+    for run, damage in (("good", 0), ("short", 21), ("gone", None)):
+        (tmp_path / run).mkdir()
+        write_tiff(tmp_path / run / "a.tif", movie[:5])
+        write_tiff(tmp_path / run / "b.tif", movie[5:])
+        if damage is None:
+            (tmp_path / run / "a.tif").write_bytes(b"nothing at all, nothing")
+        elif damage:
+            (tmp_path / run / "b.tif").write_bytes((tmp_path / run / "b.tif").read_bytes()[:-damage])
+    files = discovery.split_path(spark.createDataFrame([(str(p), p.stat().st_size) for p in tmp_path.glob("*/*.tif")], "path string, length long"))
+    done = flows.verify(files)
+    got = {r["run"].rsplit("/", 1)[1]: (r["status"], r["reason"]) for r in done["outcomes"].collect()}
+    assert got == {"good": ("ok", None), "short": ("failed", f"b.tif: {tiff.CUT_OFF}"), "gone": ("failed", "a.tif: ValueError: not a TIFF file")}
+    assert {(r["path"].rsplit("/", 2)[1], r["path"][-5:], r["frames"]) for r in done["files"].collect()} == {("good", "a.tif", 5), ("good", "b.tif", 4), ("short", "a.tif", 5), ("short", "b.tif", 3), ("gone", "a.tif", 0), ("gone", "b.tif", 4)}
+    assert flows.exit_code(done["outcomes"]) == 2 and flows.exit_code(done["outcomes"].filter("status = 'ok'")) == 0
+    frames = tiff.pixels_of(tiff.index(files.filter("folder not like '%gone'")))
+    expected = files.select(F.col("folder").alias("run")).distinct().withColumn("expected", F.lit(9))
+    template = spark.createDataFrame([(n, 0, 0, 3, 3 + i) for i, n in enumerate(C.BOXES)], "box string, x0 int, y0 int, x1 int, y1 int")
+    own = template.limit(0).withColumn("run", F.lit("x"))
+    out = flows.behaviour(frames, own, expected, strict=False, template=template)
+    got = {r["run"].rsplit("/", 1)[1]: (r["status"], r["reason"]) for r in out["outcomes"].collect()}
+    assert got == {"good": ("ok", None), "short": ("truncated", f"frame 8: {tiff.CUT_OFF}"), "gone": ("failed", "no frames")}
+    counts = {r["run"].rsplit("/", 1)[1]: r["n"] for r in out["traces"].filter("box = 'paw'").groupBy("run").agg(F.count("*").alias("n")).collect()}
+    assert counts == {"good": 9, "short": 8} and flows.exit_code(out["outcomes"]) == 2

@@ -206,11 +206,12 @@ def gate(*checks: DataFrame) -> DataFrame:
     )
 
 
-def structural_checks(bundle: DataFrame, clock: DataFrame) -> DataFrame:
+def structural_checks(bundle: DataFrame, clock: DataFrame, names: DataFrame | None = None) -> DataFrame:
     """(run, check, ok) of an aligned table and its clock (run, frame, t).
 
     Channels have every frame; t starts at 0 and grows; all values are finite; ROI
-    channels (``roi_`` prefix) aren't z-scored already.
+channels (``roi_`` prefix) aren't z-scored already. With ``names`` (run, channel), a
+    run's channels are those and no others.
     """
     n = clock.groupBy("run").agg(F.count("*").alias("_n"), F.min("t").alias("_t0"))
     steps = clock.withColumn("_d", F.col("t") - F.lag("t").over(Window.partitionBy("run").orderBy("frame"))).groupBy("run").agg(F.coalesce(F.min("_d") > 0, F.lit(True)).alias("_up"))
@@ -222,9 +223,13 @@ def structural_checks(bundle: DataFrame, clock: DataFrame) -> DataFrame:
         (F.sum("_bad") == 0).alias("finite"),
         (~((F.max(F.when(z, F.abs("_m"))) < 1e-6) & (F.max(F.when(z, F.abs(F.col("_s") - 1))) < 1e-3))).alias("raw_dff"),
     )
-    names = ["lengths", "starts_at_zero", "finite", "raw_dff", "increasing"]
+    checks = ["lengths", "starts_at_zero", "finite", "raw_dff", "increasing"]
     rows = whole.join(steps.withColumnRenamed("_up", "increasing"), "run")
-    return rows.select("run", F.explode(F.array(*[F.struct(F.lit(x).alias("check"), F.col(x).alias("ok")) for x in names])).alias("c")).select("run", "c.*")
+    if names is not None:
+        both = each.select("run", "channel", F.lit(1).alias("_a")).join(names.select("run", "channel", F.lit(1).alias("_b")).distinct(), ["run", "channel"], "full")
+        rows = rows.join(both.groupBy("run").agg(F.bool_and(F.col("_a").isNotNull() & F.col("_b").isNotNull()).alias("names")), "run")
+        checks.append("names")
+    return rows.select("run", F.explode(F.array(*[F.struct(F.lit(x).alias("check"), F.col(x).alias("ok")) for x in checks])).alias("c")).select("run", "c.*")
 
 
 def passing(df: DataFrame, gates: DataFrame) -> DataFrame:

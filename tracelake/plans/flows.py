@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tracelake.operators import checks as C
 from tracelake.operators import images as I
+from tracelake.sources import tiff
 from tracelake.sources.shared import stored
 
 
@@ -48,12 +49,40 @@ def soundness(frames: DataFrame, expected: DataFrame) -> DataFrame:
     return whole.join(broken, "run", "left").select("run", F.coalesce("cut", reason).alias("reason"))
 
 
-def behaviour(frames: DataFrame, boxes: DataFrame, expected: DataFrame, area_level: float = 10.0) -> dict[str, DataFrame]:
+def boxes_for(runs: DataFrame, own: DataFrame, template: DataFrame | None = None, anew: bool = False) -> DataFrame:
+    """(run, box, x0, y0, x1, y1) of every run: its own boxes, else the template's (box, x0, ..).
+
+    ``anew`` gives every run the template's. A run has all boxes of one kind or of the
+    other, never some of both; without a template, runs without boxes have none.
+    """
+    mine = own.join(runs.select("run").distinct(), "run", "left_semi").select("run", "box", "x0", "y0", "x1", "y1")
+    if template is None:
+        return mine
+    bare = runs.select("run").distinct() if anew else runs.select("run").distinct().join(mine.select("run").distinct(), "run", "left_anti")
+    # one row with the template's few boxes, for each run
+    given = template.agg(F.collect_list(F.struct("box", "x0", "y0", "x1", "y1")).alias("b"))
+    filled = bare.crossJoin(F.broadcast(given)).select("run", F.inline("b"))
+    return filled if anew else mine.unionByName(filled)
+
+
+def behaviour(frames: DataFrame, boxes: DataFrame, expected: DataFrame, area_level: float = 10.0, strict: bool = True, template: DataFrame | None = None) -> dict[str, DataFrame]:
     """``traces`` (run, box, frame, lum, me, power, area) of all sound runs, ``problems`` of their boxes, and ``outcomes``.
 
     ``frames``: (run, frame, h, w, pixels, and part and error if reading can fail).
-    Box errors fail a run, box warnings flag it.
+    Box errors fail a run, box warnings flag it. Unless ``strict``, a run whose frames end
+    early keeps those before the first that can't be read: it is truncated, not failed.
+    ``template``: boxes (box, x0, ..) of runs that have none.
     """
+    boxes = boxes_for(expected, boxes, template)
+    if not strict:
+        whole = frames if "error" in frames.columns else frames.withColumn("error", F.lit(None).cast("string"))
+        cut = stored(soundness(frames, expected), "cut")
+        kept = stored(C.contiguous_prefix(whole).select("run", "frame", "h", "w", "pixels"), "kept")
+        some = kept.groupBy("run").agg(F.count_distinct("frame").cast("int").alias("expected"))
+        out = behaviour(kept, boxes, expected.select("run").join(some, "run", "left").select("run", F.coalesce("expected", F.lit(1)).alias("expected")), area_level)
+        late = out["outcomes"].join(cut.withColumnRenamed("reason", "short"), "run", "left")
+        status = F.when((F.col("status") != "failed") & F.col("short").isNotNull(), "truncated").otherwise(F.col("status"))
+        return out | {"outcomes": late.select("run", status.alias("status"), F.coalesce("reason", "short").alias("reason"))}
     problems = stored(C.box_problems(boxes), "problems")
     errors = problems.filter("level = 'error'").groupBy("run").agg(F.concat(F.lit("box "), F.min("problem")).alias("wrong"))
     boxed = boxes.select("run").distinct().withColumn("boxed", F.lit(True))
@@ -95,5 +124,20 @@ def _outcomes(state: DataFrame, flag: str) -> DataFrame:
 
 def exit_code(outcomes: DataFrame) -> int:
     """What a command says of a batch: 2 with failed runs, 3 with flagged ones, else 0."""
-    counts = C.first_failure(outcomes).first()
+    counts = outcomes.groupBy().agg(F.count_if(F.col("status").isin("failed", "truncated")).alias("failed"), F.count_if(F.col("status") == "flagged").alias("flagged")).first()
     return 2 if counts["failed"] else 3 if counts["flagged"] else 0
+
+
+def verify(files: DataFrame) -> dict[str, DataFrame]:
+    """Whether listed image files (path, folder, name) are readable to their end, before a batch is begun.
+
+    ``files``: (run, path, frames, problem), where only a file's first and last image are
+    read; ``outcomes``: (run, status, reason), failed where a file is short or unreadable.
+    """
+    pages = stored(tiff.index(files), "pages")
+    ends = pages.groupBy("run", "path").agg(F.min(F.when(F.col("error").isNull(), F.col("page"))).alias("a"), F.max(F.when(F.col("error").isNull(), F.col("page"))).alias("b"), F.count_if(F.col("error").isNull()).alias("frames"), F.min("error").alias("said"))
+    looked = tiff.pixels_of(pages.join(ends.select("path", "a", "b"), "path").filter("page = a or page = b").drop("a", "b"))
+    wrong = looked.join(pages.select("run", "part", "path").distinct(), ["run", "part"]).groupBy("path").agg(F.min("error").alias("unread"))
+    found = stored(ends.join(wrong, "path", "left").select("run", "path", "frames", F.coalesce("said", "unread", F.when(F.col("frames") == 0, "no readable pages")).alias("problem")), "verified")
+    each = found.groupBy("run").agg(F.min(F.when(F.col("problem").isNotNull(), F.concat(F.regexp_extract("path", r"([^/]*)$", 1), F.lit(": "), F.col("problem")))).alias("reason"))
+    return {"files": found, "outcomes": each.select("run", F.when(F.col("reason").isNull(), "ok").otherwise("failed").alias("status"), "reason")}

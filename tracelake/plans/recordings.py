@@ -124,7 +124,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     period = (F.col("o_custkey") % 9 + 1) / 8.0
     frames = F.transform(F.sequence(F.lit(0), (F.col("o_orderkey") % 4).cast("int")), lambda k: F.concat(F.lit('<Frame relativeTime="'), (F.lit(3) + k * period).cast("string"), F.lit('"/>')))
     head = F.concat(F.lit('<?xml version="1.0"?><PVScan date="'), F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit('"><PVStateShard><PVStateValue key="framePeriod" value="'), period.cast("string"), F.lit('"/><PVStateValue key="laser" value="'), F.col("o_orderpriority"))
-    um = F.concat(F.lit('"/><PVStateValue key="micronsPerPixel"><IndexedValue index="XAxis" value="'), ((F.col("o_custkey") % 4 + 1) / 4.0).cast("string"), F.lit('"/></PVStateValue></PVStateShard><Sequence type="TSeries '))
+    um = F.concat(F.lit('"/><PVStateValue key="micronsPerPixel"><IndexedValue index="XAxis" value="'), ((F.col("o_custkey") % 4 + 1) / 4.0).cast("string"), F.lit('"/><IndexedValue index="YAxis" value="'), ((F.col("o_custkey") % 4 + 1 + (F.col("o_orderkey") % 5 == 0).cast("int") * 0.5) / 4.0).cast("string"), F.lit('"/></PVStateValue></PVStateShard><Sequence type="TSeries '))
     return o.select(F.col("o_orderkey").cast("string").alias("path"), F.concat(head, um, F.col("o_orderstatus"), F.lit('">'), F.array_join(frames, ""), F.lit("</Sequence></PVScan>")).alias("xml"))
 
 
@@ -135,11 +135,12 @@ def series_headers(spark, sf_dir):
     return head.select("path", "date", "sequence", "n_frames", *[F.round(c, 6).alias(c) for c in ("period", "fps", "duration_s")])
 
 
-@query(f"SELECT o_orderkey::VARCHAR AS path, round(1 / {_PERIOD}, 6) AS fps, (o_custkey % 4 + 1) / 4.0 AS um_per_px, (o_orderkey % 4 + 1)::INT AS n_frames, o_orderpriority AS laser FROM orders")
+@query(f"""SELECT o_orderkey::VARCHAR AS path, round(1 / {_PERIOD}, 6) AS fps, round((o_custkey % 4 + 1 + CASE WHEN o_orderkey % 5 = 0 THEN 0.25 ELSE 0 END) / 4.0, 6)::DOUBLE AS um_per_px, (o_orderkey % 4 + 1)::INT AS n_frames, o_orderpriority AS laser,
+    concat_ws('; ', CASE WHEN o_orderkey % 5 = 0 THEN 'pixels aren''t square: their mean is taken' END, CASE WHEN o_orderkey % 4 = 0 THEN 'fewer than two frames' END) AS notes FROM orders""")
 def rig_documents(spark, sf_dir):
     docs = documents(spark, sf_dir)
     values = metadata.state_values(docs).select("path", F.col("values")["laser"].alias("laser"))
-    return metadata.rig(docs).join(values, "path").select("path", F.round("fps", 6).alias("fps"), "um_per_px", "n_frames", "laser")
+    return metadata.rig(docs).join(values, "path").select("path", F.round("fps", 6).alias("fps"), F.round("um_per_px", 6).alias("um_per_px"), "n_frames", "laser", F.array_join("notes", "; ").alias("notes"))
 
 
 @query(f"""WITH {EV}, n AS (SELECT channel, (t * 1000000)::BIGINT AS ns FROM ev) SELECT channel AS run, CASE WHEN channel = 'signup' THEN 15.0 ELSE round(1e9 * (count(*) - 1) / (max(ns) - min(ns)), 6) END AS fps, CASE WHEN channel = 'signup' THEN 'fallback (no timestamps)' ELSE 'timestamps' END AS source FROM n GROUP BY channel""")
@@ -237,6 +238,24 @@ def behaviour_flow(spark, sf_dir):
     return means.join(done["outcomes"].select("run", "status"), "run")
 
 
+@query(f"WITH {MV}, p AS (SELECT DISTINCT frame // 64 AS k FROM mv), c AS (SELECT k, count(DISTINCT frame) AS frames FROM mv, p WHERE frame // 64 = k GROUP BY k) SELECT k AS part, frames, 'ok' AS status FROM c")
+def verified_files(spark, sf_dir):
+    done = flows.verify(movie_files(spark, sf_dir))
+    files = done["files"].join(done["outcomes"].select("run", "status"), "run")
+    return files.select(F.regexp_extract("path", r"part(\d+)", 1).cast("bigint").alias("part"), "frames", "status")
+
+
+@query("""WITH r AS (SELECT DISTINCT o_custkey AS run FROM orders), o AS (SELECT DISTINCT o_custkey AS run, 'b' || o_orderkey % 3 AS box, (o_orderkey % 3)::INT AS x0 FROM orders WHERE o_custkey % 3 <> 0), t AS (SELECT * FROM (VALUES ('paw', 0), ('wheel', 3)) v(box, x0))
+    SELECT run, box, x0 FROM o UNION ALL SELECT run, box, x0 FROM r, t WHERE run NOT IN (SELECT run FROM o)""")
+def boxes_from_a_template(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "run")
+    edges = {"y0": F.lit(0), "x1": F.lit(9), "y1": F.lit(9)}
+    kind = (F.col("o_orderkey") % 3).cast("int")
+    own = o.filter("run % 3 <> 0").select("run", F.concat(F.lit("b"), kind.cast("string")).alias("box"), kind.alias("x0")).distinct().withColumns(edges)
+    template = spark.createDataFrame([("paw", 0), ("wheel", 3)], "box string, x0 int").withColumns(edges)
+    return flows.boxes_for(o, own, template).select("run", "box", "x0")
+
+
 # images and mixtures
 
 

@@ -171,3 +171,25 @@ def test_mixtures_do_not_depend_on_units(spark):
         assert np.allclose([r["mu0"] / unit, r["mu1"] / unit], mean, rtol=1e-6, atol=1e-6) if unit >= 1 else r["mu1"] > r["mu0"]
         if unit == 1.0:
             assert np.allclose([r["sd0"], r["sd1"], r["w0"], r["w1"]], [*sd, *weight], atol=1e-6)
+
+
+def test_a_scope_removes_what_its_result_was_made_from(spark):
+    from tracelake.sources import shared
+
+    def there(path):
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+    with shared.scope(spark) as tables:
+        one = shared.stored(spark.range(5), "one")
+        two = shared.stored(one.withColumn("k", F.col("id") * 2), "two")
+        paths, kept = list(tables), tables.pop()
+    assert two.agg(F.sum("k")).first()[0] == 20 and [there(p) for p in paths] == [False, True]
+    with pytest.raises(ValueError):
+        with shared.scope(spark) as tables:
+            shared.stored(spark.range(5), "one")
+            paths = list(tables)
+            raise ValueError
+    assert there(paths[0]) and there(kept)
+    shared.remove(spark, kept)
+    assert not there(kept)

@@ -2,15 +2,20 @@
 
 The folder is the session's ``spark.checkpoint.dir``. Who sets it clears it: a result is
 computed when it is read, so the tables it is read from outlive the call that wrote them.
+Where a result is itself written at once, ``scope`` removes what it was made from.
 """
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_scopes: list[list[str]] = []
+
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder.
@@ -36,4 +41,28 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
+    if _scopes:
+        _scopes[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[list[str]]:
+    """Tables stored inside are removed at the end, but for those taken from the list that it gives.
+
+    For a caller that stores its result as the last thing inside, and takes that out. After an
+    error all stay, for a look at them.
+    """
+    _scopes.append([])
+    try:
+        yield _scopes[-1]
+    except BaseException:
+        _scopes.pop()
+        raise
+    for path in _scopes.pop():
+        remove(spark, path)

@@ -79,7 +79,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = common.table(spark, sf_dir, "documents")
+    """The stages over the documents; what a stage was made from goes when it is written."""
+    docs, before = common.table(spark, sf_dir, "documents"), None
     for _, stage in STAGES:
-        docs = common.stored(stage(spark, docs, sf_dir), "stage")
+        with common.scope(spark) as tables:
+            docs = common.stored(stage(spark, docs, sf_dir), "stage")
+            written = tables.pop()
+        if before is not None:
+            common.remove(spark, before)
+        before = written
     return docs

@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from tracelake.sources.shared import scratch, stored
+from tracelake.sources.shared import remove, scope, scratch, stored
 
-__all__ = ["WORD", "map_slices", "lower_ascii", "pack", "pack_keys", "scratch", "stored", "table", "text_or_empty", "unpack", "unpack_keys", "whole_groups"]
+__all__ = ["WORD", "map_slices", "lower_ascii", "pack", "pack_keys", "remove", "scope", "scratch", "stored", "table", "text_or_empty", "unpack", "unpack_keys", "whole_groups"]
 
 #: A word is a longest run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"

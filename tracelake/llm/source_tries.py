@@ -38,6 +38,8 @@ RANKS = 200
 PREFIX = 3
 #: A task's trie is cut and passed on when it has so many leaves, or bytes of terms.
 LEAVES, LABELS = 200_000, 32_000_000
+#: Parts in which a group's candidates are first cut down to its ranks.
+PARTS = 32
 #: Terms of a range that are compared at once, and leaves that wait for a merge.
 BLOCK, WAITING = 4096, 1_000_000
 
@@ -318,9 +320,13 @@ def audit(df: DataFrame, text_col: str = "text", lang_col: str = "lang", source_
     names = totals.select("lang", "names", F.explode("names").alias("source"))
     every = names.select("lang", "source", F.lit("pair").alias("part"), F.explode("names").alias("item"), F.lit(0).cast("long").alias("value")).where("source <> item")
     pairs = found.where("part = 'pair'").unionByName(every).groupBy("lang", "source", "part", "item").agg(F.sum("value").alias("value"))
-    ranked = pairs.unionByName(found.where("part = 'term'"))
-    order = Window.partitionBy("lang", "source", "part").orderBy(F.desc("value"), "item")
-    return ranked.withColumn("rank", F.row_number().over(order).cast("int")).where((F.col("part") == "pair") | (F.col("rank") <= ranks))
+    best = F.desc("value"), "item"
+    # each task gave a group's best: parts of a group are cut first, so that its last window has at most PARTS * ranks rows
+    dealt = Window.partitionBy("lang", "source", F.pmod(F.xxhash64("item"), F.lit(PARTS))).orderBy(*best)
+    terms = found.where("part = 'term'").withColumn("rank", F.row_number().over(dealt)).where(F.col("rank") <= ranks).drop("rank")
+    order = Window.partitionBy("lang", "source").orderBy(*best)
+    rank = F.row_number().over(order).cast("int")
+    return pairs.withColumn("rank", rank).unionByName(terms.withColumn("rank", rank).where(F.col("rank") <= ranks))
 
 
 def oracle(least: int = LEAST, ranks: int = RANKS) -> str:

@@ -102,7 +102,7 @@ def _measured(images: DataFrame, boxes: DataFrame, area_level: float, block: int
 
 
 #: Frames of a block of a movie.
-FRAMES_BLOCK = 1024
+FRAMES_BLOCK = 128
 
 
 def box_traces(pixels: DataFrame, boxes: DataFrame, area_level: float = 10.0, block: int = FRAMES_BLOCK) -> DataFrame:

@@ -223,3 +223,18 @@ def test_ids_of_any_text_come_back(spark):
     want = sorted((repr(k), "response" if k == last[t] else "revisit", None if k == last[t] else last[t]) for k, _, t, _ in rows)
     assert sorted((repr(r["page_id"]), r["record_type"], r["refers_to"]) for r in got) == want
     assert warc.archive(pages.limit(0)).count() == 0
+
+
+def test_walks_of_terms_of_any_length():
+    rng = random.Random(8)
+    stems = [b"a", b"ab", b"abc", b"q" * 23, b"q" * 24, b"q" * 25, b"q" * 60, "é".encode() * 14]
+    terms = sorted({rng.choice(stems) + bytes(rng.choice(b"abz\xc3\xa9") for _ in range(rng.randint(0, 40))) for _ in range(400)} | set(stems))
+    shared = [0] + [next((k for k, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b))) for a, b in zip(terms, terms[1:], strict=False)]
+    assert source_tries._depths(terms).tolist() == shared
+    n = len(terms)
+    trie = source_tries.Trie(terms, np.arange(n), np.arange(n + 1), np.zeros(n, np.int64), np.arange(n))
+    for width in (1, 2, 3, 30):
+        parts = list(trie.cut(width))
+        assert [p for p, _ in parts] == sorted({t[:width] for t in terms})
+        back = [source_tries.Trie.unpack(part.pack()) for _, part in parts]
+        assert [t for part in back for t in part.terms] == terms and [c for part in back for c in part.count.tolist()] == list(range(n))

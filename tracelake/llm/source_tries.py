@@ -37,7 +37,7 @@ RANKS = 200
 #: Bytes of the prefixes by which tries are cut.
 PREFIX = 3
 #: A task's trie is cut and passed on when it has so many leaves, or bytes of terms.
-LEAVES, LABELS = 200_000, 32_000_000
+LEAVES, LABELS = 400_000, 32_000_000
 #: Parts in which a group's candidates are first cut down to its ranks.
 PARTS = 32
 #: Terms of a range that are compared at once, and leaves that wait for a merge.
@@ -50,17 +50,20 @@ _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c > 127 else 3
 class Trie:
     """Leaves in byte order, with their documents and counters (source, count), which ``first`` delimits."""
 
-    def __init__(self, terms: list[bytes], docs: np.ndarray, first: np.ndarray, source: np.ndarray, count: np.ndarray):
+    def __init__(self, terms: list[bytes], docs: np.ndarray, first: np.ndarray, source: np.ndarray, count: np.ndarray, depths: np.ndarray | None = None):
         self.terms, self.docs, self.first, self.source, self.count = terms, docs, first, source, count
+        self.depths = _depths(terms) if depths is None else depths
 
     def cut(self, width: int = PREFIX) -> Iterator[tuple[bytes, Trie]]:
         """Its subtries by prefix."""
-        at = 0
-        for end in range(1, len(self.terms) + 1):
-            if end == len(self.terms) or self.terms[end][:width] != self.terms[at][:width]:
-                a, b = self.first[at], self.first[end]
-                yield self.terms[at][:width], Trie(self.terms[at:end], self.docs[at:end], self.first[at : end + 1] - a, self.source[a:b], self.count[a:b])
-                at = end
+        # a leaf begins a range if it leaves the one before above the cut
+        lengths = np.fromiter(map(len, self.terms), np.int64, len(self.terms))
+        starts = np.flatnonzero(self.depths < np.minimum(lengths, width)).tolist()
+        for at, end in zip(starts, [*starts[1:], len(self.terms)], strict=False):
+            a, b = self.first[at], self.first[end]
+            depths = self.depths[at:end].copy()
+            depths[0] = 0
+            yield self.terms[at][:width], Trie(self.terms[at:end], self.docs[at:end], self.first[at : end + 1] - a, self.source[a:b], self.count[a:b], depths)
 
     def only(self, which: np.ndarray) -> Trie:
         """Without the other leaves."""
@@ -71,13 +74,8 @@ class Trie:
 
     def pack(self) -> bytes:
         """The walk: depths, labels and counters as one compressed block."""
-        depths, labels, before = [], [], b""
-        for term in self.terms:
-            depth = _shared(before, term)
-            depths.append(depth)
-            labels.append(term[depth:])
-            before = term
-        arrays = [np.array(depths, "<i4"), np.array([len(x) for x in labels], "<i4"), np.diff(self.first).astype("<i4"), self.source.astype("<i4"), self.docs.astype("<i8"), self.count.astype("<i8")]
+        labels = [term[depth:] for term, depth in zip(self.terms, self.depths.tolist(), strict=True)]
+        arrays = [self.depths.astype("<i4"), np.array([len(x) for x in labels], "<i4"), np.diff(self.first).astype("<i4"), self.source.astype("<i4"), self.docs.astype("<i8"), self.count.astype("<i8")]
         head = np.array([len(self.terms), len(self.count)], "<i8")
         return zstandard.ZstdCompressor(level=1).compress(b"".join([head.tobytes(), *(x.tobytes() for x in arrays), *labels]))
 
@@ -95,7 +93,23 @@ class Trie:
             before = before[:depth] + raw[at : at + length]
             terms.append(before)
             at += length
-        return cls(terms, docs, np.concatenate([[0], np.cumsum(widths, dtype=np.int64)]), source.astype(np.int64), count)
+        return cls(terms, docs, np.concatenate([[0], np.cumsum(widths, dtype=np.int64)]), source.astype(np.int64), count, depths.astype(np.int64))
+
+
+#: Bytes of terms that are compared side by side; what goes on beyond is compared one by one.
+_SIDE = 24
+
+
+def _depths(terms: list[bytes]) -> np.ndarray:
+    """For each of ordered terms, how many bytes it shares with the one before."""
+    out = np.zeros(len(terms), np.int64)
+    if len(terms) > 1:
+        side = np.array([t[:_SIDE] for t in terms], f"S{_SIDE}").view(np.uint8).reshape(len(terms), _SIDE)
+        apart = (side[1:] != side[:-1]) | (side[1:] == 0)  # a term has no zero bytes
+        out[1:] = np.where(apart.any(axis=1), apart.argmax(axis=1), _SIDE)
+        for i in np.flatnonzero(out == _SIDE).tolist():
+            out[i] = _shared(terms[i - 1], terms[i])
+    return out
 
 
 def _shared(a: bytes, b: bytes) -> int:

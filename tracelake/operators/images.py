@@ -50,55 +50,81 @@ def in_boxes(pixels: DataFrame, boxes: DataFrame) -> DataFrame:
     return pixels.join(cells, ["run", "y", "x"])
 
 
-def _summed(a: np.ndarray) -> np.ndarray:
-    """Sums over all rectangles from the first pixel, with an edge of zeros."""
-    out = np.zeros((a.shape[0] + 1, a.shape[1] + 1))
-    out[1:, 1:] = a.cumsum(0).cumsum(1)
+#: Pixels that a task lays out at once.
+HELD_PIXELS = 1 << 21
+
+
+def _summed(images: np.ndarray) -> np.ndarray:
+    """Sums over all rectangles from each image's first pixel, with an edge of zeros."""
+    out = np.zeros((len(images), images.shape[1] + 1, images.shape[2] + 1))
+    images.cumsum(1, dtype=np.float64).cumsum(2, out=out[:, 1:, 1:])
     return out
 
 
+def _laid_out(rows: pd.DataFrame, before: tuple | None, corner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Values, and which of them are known, of ``before`` (frame, values, known: an image or None) and of each row, in one size that holds ``corner``."""
+    n = rows["y"].str.len().to_numpy()
+    at, (y, x) = np.repeat(np.arange(1, len(rows) + 1), n), (np.concatenate([*rows[c], np.zeros(0, int)]).astype(int) for c in ("y", "x"))
+    v = np.concatenate([*(np.asarray(v, np.float64) for v in rows["v"]), np.zeros(0)])
+    h, w = max(corner[0], y.max(initial=-1) + 1), max(corner[1], x.max(initial=-1) + 1)
+    if before is not None:
+        h, w = max(h, before[1].shape[0]), max(w, before[1].shape[1])
+    values, known = np.zeros((len(rows) + 1, h, w)), np.zeros((len(rows) + 1, h, w), bool)
+    values[at, y, x], known[at, y, x] = np.nan_to_num(v), ~np.isnan(v)
+    if before is not None:
+        at = (0, slice(before[1].shape[0]), slice(before[1].shape[1]))
+        values[at], known[at] = before[1:]
+    return values, known
+
+
 def _measured(images: DataFrame, boxes: DataFrame, area_level: float, block: int) -> DataFrame:
     """Box traces of (run, frame, y, x, v) with arrays, one row a frame.
 
-    A block of frames goes to one task with the last frame of the block before. A frame's
-    values, and the sizes of its differences, are summed over areas once; a box then costs
-    four reads of each sum, whatever its size.
+    A block of frames goes to one task with the last frame of the block before. The frames'
+    values, and the sizes of their differences, are summed over areas once, for as many
+    frames together as HELD_PIXELS allow; a box then costs four reads of each sum, whatever
+    its size.
     """
-    cut = boxes.groupBy("run").agg(F.collect_list(F.struct("box", "x0", "y0", "x1", "y1")).alias("boxes"))
+    edges = F.flatten(F.transform("b", lambda b: F.array(b["x0"], b["y0"], b["x1"], b["y1"])))
+    cut = boxes.groupBy("run").agg(F.collect_list(F.struct("box", "x0", "y0", "x1", "y1")).alias("b")).select("run", F.col("b.box").alias("boxes"), edges.alias("edges"))
     mine = F.expr(f"cast(frame div {block} as bigint)")
     dealt = images.withColumn("mine", mine).withColumn("block", F.explode(F.array_distinct(F.array("mine", F.expr(f"cast((frame + 1) div {block} as bigint)")))))
     dealt = dealt.join(cut, "run").repartition("run", "block").sortWithinPartitions("run", "block", "frame")
 
+    def measured(rows: pd.DataFrame, before: tuple | None) -> tuple[pd.DataFrame, tuple]:
+        """Traces of frames of one block, and the last of them."""
+        names, edges = rows["boxes"].iloc[0], np.clip(np.stack(rows["edges"].iloc[:1]).reshape(-1, 4), 0, None)
+        values, known = _laid_out(rows, before, edges[:, [3, 2]].max(0))
+        frame = rows["frame"].to_numpy()
+        follows = np.diff(frame, prepend=frame[0] - 2 if before is None else before[0]) == 1
+        both = known[1:] & known[:-1] & follows[:, None, None]
+        d = np.where(both, np.abs(np.diff(values, axis=0)), 0.0)
+        sums = [_summed(s) for s in (known[1:], values[1:], both, d, d * d, d > area_level)]
+        own, out = (rows["block"] == rows["mine"]).to_numpy(), []
+        for name, (x0, y0, x1, y1) in zip(names, edges, strict=True):
+            if y1 <= y0 or x1 <= x0:
+                continue
+            n, total, pairs, *of = (s[:, y1, x1] - s[:, y0, x1] - s[:, y1, x0] + s[:, y0, x0] for s in sums)
+            at = own & (n > 0)
+            means = [np.where(pairs > 0, s / np.maximum(pairs, 1), 0.0)[at] for s in of]
+            out.append(pd.DataFrame({"run": rows["run"].iloc[0], "box": name, "frame": frame[at], "lum": total[at] / n[at], "me": means[0], "power": means[1], "area": means[2]}))
+        return pd.concat(out) if out else None, (frame[-1], values[-1], known[-1])
+
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, frame, old, seen = None, None, None, None
+        key = before = None
         for part in parts:
-            rows = []
-            for r in part.itertuples():
-                h, w = int(max(r.y, default=-1)) + 1, int(max(r.x, default=-1)) + 1
-                h, w = max(h, *(b["y1"] for b in r.boxes)), max(w, *(b["x1"] for b in r.boxes))
-                now, there = np.zeros((h, w)), np.zeros((h, w), bool)
-                values = np.array([np.nan if v is None else v for v in r.v], np.float64)
-                now[r.y, r.x], there[r.y, r.x] = np.nan_to_num(values), ~np.isnan(values)
-                if r.block == r.mine:
-                    sums = [_summed(there), _summed(now)]
-                    if key == (r.run, r.block) and frame == r.frame - 1:
-                        height, width = min(h, old.shape[0]), min(w, old.shape[1])
-                        both = np.zeros((h, w), bool)
-                        both[:height, :width] = there[:height, :width] & seen[:height, :width]
-                        d = np.zeros((h, w))
-                        d[:height, :width] = np.abs(now[:height, :width] - old[:height, :width])
-                        d[~both] = 0
-                        sums += [_summed(both), _summed(d), _summed(d * d), _summed(d > area_level)]
-                    for b in r.boxes:
-                        y0, y1, x0, x1 = (max(0, b[k]) for k in ("y0", "y1", "x0", "x1"))
-                        n, total, *of = (s[y1, x1] - s[y0, x1] - s[y1, x0] + s[y0, x0] if y1 > y0 and x1 > x0 else 0.0 for s in sums)
-                        if n > 0:
-                            means = [x / of[0] for x in of[1:]] if of and of[0] > 0 else [0.0, 0.0, 0.0]
-                            rows.append((r.run, b["box"], r.frame, total / n, *means))
-                key, frame, old, seen = (r.run, r.block), r.frame, now, there
-            yield pd.DataFrame(rows, columns=["run", "box", "frame", "lum", "me", "power", "area"])
-
-    return dealt.select("run", "frame", "mine", "block", "y", "x", "v", "boxes").mapInPandas(run, "run string, box string, frame long, lum double, me double, power double, area double")
+            for name, rows in part.groupby(["run", "block"], sort=False):
+                if name != key:
+                    key, before = name, None
+                at = 0
+                while at < len(rows):
+                    step = max(1, HELD_PIXELS // max(1, len(rows["y"].iloc[at])))
+                    traces, before = measured(rows.iloc[at : at + step], before)
+                    at += step
+                    if traces is not None:
+                        yield traces
+
+    return dealt.select("run", "frame", "mine", "block", "y", "x", "v", "boxes", "edges").mapInPandas(run, "run string, box string, frame long, lum double, me double, power double, area double")
 
 
 #: Frames of a block of a movie.

@@ -50,18 +50,20 @@ def rig(docs: DataFrame) -> DataFrame:
     A pixel's size is the mean of its two sides; ``notes`` says where they differ by more
     than a fiftieth, and what a document lacks.
     """
-    number = lambda p: F.expr(f"xpath_double(xml, '{p}')")
-    some = lambda c: F.when(~F.isnan(c), c)
-    fps = F.coalesce(some(number("//LSM/@frameRate")), F.try_divide(F.lit(1.0), some(number('//PVStateValue[@key="framePeriod"]/@value'))))
-    side = lambda axis: some(number(f'//PVStateValue[@key="micronsPerPixel"]/IndexedValue[@index="{axis}"]/@value'))
-    x, y = side("XAxis"), side("YAxis")
-    um = F.coalesce(some(number("//LSM/@pixelSizeUM")), (x + y) / 2, x, y)
-    frames = F.coalesce(some(number("//Streaming/@frames")), F.expr("cast(xpath_int(xml, 'count(//Frame)') as double)"))
+    places = {
+        "rate": "//LSM/@frameRate", "period": '//PVStateValue[@key="framePeriod"]/@value', "size": "//LSM/@pixelSizeUM", "frames": "//Streaming/@frames", "counted": "count(//Frame)",
+        **{axis: f'//PVStateValue[@key="micronsPerPixel"]/IndexedValue[@index="{axis}"]/@value' for axis in ("XAxis", "YAxis")},
+    }
+    # each place is read once here, as every reading parses the document
+    read = docs.select("path", *[F.nullif(F.expr(f"xpath_double(xml, '{p}')"), F.lit(float("nan"))).alias(name) for name, p in places.items()])
+    x, y = F.col("XAxis"), F.col("YAxis")
+    fps, um = F.coalesce("rate", F.try_divide(F.lit(1.0), F.col("period"))), F.coalesce("size", (x + y) / 2, x, y)
+    frames = F.coalesce("frames", "counted")
     said = [
         F.when(F.abs(x - y) > 0.02 * F.greatest(x, y), F.lit("pixels aren't square: their mean is taken")),
         F.when(fps.isNull(), F.lit("no frame rate")), F.when(um.isNull(), F.lit("no pixel size")), F.when(F.coalesce(frames, F.lit(0)) < 2, F.lit("fewer than two frames")),
     ]
-    return docs.select("path", fps.alias("fps"), um.alias("um_per_px"), frames.cast("int").alias("n_frames"), F.filter(F.array(*said), lambda n: n.isNotNull()).alias("notes"))
+    return read.select("path", fps.alias("fps"), um.alias("um_per_px"), frames.cast("int").alias("n_frames"), F.filter(F.array(*said), lambda n: n.isNotNull()).alias("notes"))
 
 
 def page_times(tags: DataFrame, high: str = "32781", low: str = "32782") -> DataFrame:

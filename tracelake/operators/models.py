@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from tracelake.functions import expressions as X
 from tracelake.operators import sequence as S
 from tracelake.operators.spectrum import periodogram
+from tracelake.operators.statistics import conditional_medians
 from tracelake.sources.shared import stored
 
 _FIT = "run string, channel string, mu0 double, mu1 double, sd0 double, sd1 double, w0 double, w1 double"
@@ -231,9 +232,8 @@ def signal_table(env: DataFrame, raw: DataFrame) -> DataFrame:
     """(run, channel, dprime, w1, rest, active, ratio): mixture of each conditioned trace, raw medians below and above ``hi``."""
     fits = separation(fit(env))
     both = env.select(*S.KEYS, "frame", F.col("v").alias("e")).join(raw.select(*S.KEYS, "frame", "v"), [*S.KEYS, "frame"]).join(fits.select(*S.KEYS, "hi"), list(S.KEYS))
-    off, on = (F.percentile(F.when(c, F.col("v")), F.lit(0.5)) for c in (F.col("e") <= F.col("hi"), F.col("e") > F.col("hi")))
-    medians = both.groupBy(*S.KEYS).agg(off.alias("rest"), on.alias("active"))
-    return fits.join(medians, list(S.KEYS)).select(*S.KEYS, "dprime", "w1", "hi", "lo", "rest", "active", F.try_divide("active", "rest").alias("ratio"))
+    medians = conditional_medians(both, F.col("e") > F.col("hi")).select(*S.KEYS, F.col("off").alias("rest"), F.col("on").alias("active"), "ratio")
+    return fits.join(medians, list(S.KEYS)).select(*S.KEYS, "dprime", "w1", "hi", "lo", "rest", "active", "ratio")
 
 
 def common_mode(target: DataFrame, common: DataFrame, betas: list[float]) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tracelake.functions import expressions as X
 from tracelake.operators import scans
 from tracelake.operators.scans import BLOCK
+from tracelake.operators.selection import quantiles
 
 KEYS = ("run", "channel")
 
@@ -351,7 +352,7 @@ def label_bouts(
             out = out.withColumn(name, F.lit(False))
             continue
         source = env.filter(F.col("channel") == channel)
-        top = source.groupBy("run").agg(F.percentile("v", F.lit(pct)).alias("_p"))
+        top = quantiles(source, ["run"], F.col("v"), {"_p": pct})
         hit = around(bouts.select(*keys), source, b, a, same_channel=False).join(top, "run").groupBy(*keys).agg(F.bool_or(F.col("v") > F.col("_p")).alias(name))
         out = out.join(hit, keys, "left").withColumn(name, F.coalesce(name, F.lit(False)))
     if others:

@@ -119,9 +119,10 @@ def varying_tags(tags: DataFrame) -> DataFrame:
 
 
 def conditional_medians(df: DataFrame, when: Column, by: tuple[str, ...] = KEYS) -> DataFrame:
-    """(.., on, off, ratio): medians of v where ``when`` holds and elsewhere."""
-    on, off = F.percentile(F.when(when, F.col("v")), F.lit(0.5)), F.percentile(F.when(~when, F.col("v")), F.lit(0.5))
-    return df.groupBy(*by).agg(on.alias("on"), off.alias("off"), F.try_divide(on, off).alias("ratio"))
+    """(.., on, off, ratio): medians of v where ``when`` holds and elsewhere; a group without values of either kind has no row."""
+    each = quantiles(df.withColumn("_on", when).filter("_on is not null"), [*by, "_on"], F.col("v"), {"_m": 0.5})
+    on, off = F.max(F.when(F.col("_on"), F.col("_m"))), F.max(F.when(~F.col("_on"), F.col("_m")))
+    return each.groupBy(*by).agg(on.alias("on"), off.alias("off"), F.try_divide(on, off).alias("ratio"))
 
 
 def channel_correlations(df: DataFrame) -> DataFrame:
@@ -143,7 +144,7 @@ def peak_order(df: DataFrame) -> DataFrame:
 
 def best_and_worst(df: DataFrame, n: int = 3) -> DataFrame:
     """(run, channel, amplitude, best, worst): places from either end by maximum less median; both within ``n``."""
-    amp = df.groupBy(*KEYS).agg((F.max("v") - F.percentile("v", F.lit(0.5))).alias("amplitude"))
+    amp = percentiles(df, {"_top": 1.0, "_median": 0.5}).select(*KEYS, (F.col("_top") - F.col("_median")).alias("amplitude"))
     w = Window.partitionBy("run")
     ranked = amp.withColumns({"best": F.row_number().over(w.orderBy(F.desc("amplitude"), "channel")).cast("bigint"), "worst": F.row_number().over(w.orderBy("amplitude", "channel")).cast("bigint")})
     return ranked.filter((F.col("best") <= n) | (F.col("worst") <= n))

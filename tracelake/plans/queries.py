@@ -115,7 +115,7 @@ def stored_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def levels_of(env: DataFrame) -> DataFrame:
-    return env.groupBy(*KEYS).agg(F.percentile("v", F.lit(0.9)).alias("hi"), F.percentile("v", F.lit(0.7)).alias("lo"), F.percentile("v", F.lit(0.5)).alias("base"))
+    return stored(T.percentiles(env, {"hi": 0.9, "lo": 0.7, "base": 0.5}), "levels")
 
 
 def levelled(spark: SparkSession, sf_dir: str, env: DataFrame | None = None) -> DataFrame:

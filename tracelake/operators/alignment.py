@@ -23,7 +23,8 @@ SECONDS = 3600.0
 
 def neural_clock(frames: DataFrame, measured: DataFrame | None = None) -> DataFrame:
     """(run, frame, t, period) from (run, n, fps): measured times from 0 where a run has n of them, else frame / fps."""
-    counted = frames.select("run", "n", "fps", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("frame"))
+    # runs are dealt before their frames are told, so that joins by run don't move frames
+    counted = frames.select("run", "n", "fps").repartition("run").withColumn("frame", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
     if measured is None:
         return counted.select("run", "frame", (F.col("frame") / F.col("fps")).alias("t"), (1 / F.col("fps")).alias("period"))
     w = Window.partitionBy("run").orderBy("frame")
@@ -50,12 +51,18 @@ def camera_time(frame: Column, on: Column, dt: Column) -> Column:
     return (frame - on) * dt
 
 
-def covered(clock: DataFrame, camera: DataFrame, least: int = 2) -> DataFrame:
-    """Neural frames that the camera covers; a run with fewer than ``least`` raises."""
-    kept = clock.join(camera.select("run", "coverage_end"), "run").filter(F.col("t") <= F.col("coverage_end"))
+def covered(clock: DataFrame, camera: DataFrame, least: int = 2, many: bool = False) -> DataFrame:
+    """Neural frames that the camera covers; a run with fewer than ``least`` raises.
+
+    With ``many`` runs their rows are hashed where ``neural_clock`` has dealt them. Else it is
+    Spark that chooses, by a guess that leaves out how many frames a run has: a broadcast
+    of many runs, or of their frames, is more than the driver holds.
+    """
+    one = (lambda runs: runs.hint("shuffle_hash")) if many else (lambda runs: runs)
+    kept = clock.join(one(camera.select("run", "coverage_end")), "run").filter(F.col("t") <= F.col("coverage_end"))
     n = kept.groupBy("run").agg(F.count("*").alias("_n"))
     enough = F.when(F.col("_n") >= least, F.lit(True)).otherwise(F.raise_error(F.lit("too few frames are covered")).cast("boolean"))
-    return kept.join(n.filter(enough).select("run"), "run")
+    return kept.join(one(n.filter(enough).select("run")), "run")
 
 
 def interpolate(traces: DataFrame, grid: DataFrame, seconds: float = SECONDS) -> DataFrame:

@@ -384,11 +384,11 @@ def camera_clocks(spark, sf_dir):
 @query(f"""WITH {_RUN_SQL}, fr AS (SELECT run, dt, "on", "off", unnest(range(0, 40)) * 7.5 AS t FROM rc) SELECT run, count(*) AS kept, round(max(t), 6) AS last, max((round_even(t / dt, 0))::BIGINT + "on") AS camera_frame FROM fr WHERE t <= ("off" - "on") * dt GROUP BY run HAVING count(*) >= 2""")
 def coverage_cut(spark, sf_dir):
     cameras = _cameras(spark, sf_dir)
-    frames = cameras.select("run", F.lit(40).alias("n"), F.lit(1 / 7.5).alias("fps"))
     long_enough = cameras.filter(F.col("coverage_end") >= 7.5)
-    kept = A.covered(A.neural_clock(frames).join(long_enough.select("run"), "run", "left_semi").withColumn("t", F.col("frame") * 7.5), long_enough)
+    frames = long_enough.select("run", F.lit(40).alias("n"), F.lit(1 / 7.5).alias("fps"))
+    kept = A.covered(A.neural_clock(frames).withColumn("t", F.col("frame") * 7.5), long_enough, many=True)
     near = A.nearest_camera_frame(F.col("t"), F.col("on"), F.col("dt"))
-    return kept.join(cameras.select("run", "on", "dt"), "run").groupBy("run").agg(F.count("*").alias("kept"), F.round(F.max("t"), 6).alias("last"), F.max(near).alias("camera_frame"))
+    return kept.join(cameras.select("run", "on", "dt").hint("shuffle_hash"), "run").groupBy("run").agg(F.count("*").alias("kept"), F.round(F.max("t"), 6).alias("last"), F.max(near).alias("camera_frame"))
 
 
 # every ROI against every event channel

@@ -217,7 +217,7 @@ def detect(traces: DataFrame, channel: str | None, fps: float, params: dict | No
     cross = stored(S.merge_intervals(cross, frames(p["merge_gap_s"]), frames(p["min_bout_s"])), "bouts")
     levels = fits.select(*S.KEYS, F.col("mu0").alias("base"), "lo")
     labelled = S.label_bouts(bouts, env, levels, fps, frames(p["baseline_pre_s"]), frames(p["coactive_window_s"]), groom, artifact, others, cross, p["groom_pct"] / 100, p["artifact_pct"] / 100)
-    sure = bouts.withColumn("frame", F.explode(F.sequence("onset", "offset"))).join(states, [*S.KEYS, "frame"]).groupBy(*S.KEYS, "onset").agg(F.avg("posterior").alias("posterior"))
+    sure = S.spelled(bouts, "onset", "offset").join(states, [*S.KEYS, "frame"]).groupBy(*S.KEYS, "onset").agg(F.avg("posterior").alias("posterior"))
     labelled = stored(labelled.join(sure, [*S.KEYS, "onset"]), "labels")
     counts = S.funnel(labelled)
     raw = runs.groupBy(*S.KEYS).agg(F.count("*").alias("state_runs"))

@@ -138,9 +138,7 @@ def series_headers(spark, sf_dir):
 @query(f"""SELECT o_orderkey::VARCHAR AS path, round(1 / {_PERIOD}, 6) AS fps, round((o_custkey % 4 + 1 + CASE WHEN o_orderkey % 5 = 0 THEN 0.25 ELSE 0 END) / 4.0, 6)::DOUBLE AS um_per_px, (o_orderkey % 4 + 1)::INT AS n_frames, o_orderpriority AS laser,
     concat_ws('; ', CASE WHEN o_orderkey % 5 = 0 THEN 'pixels aren''t square: their mean is taken' END, CASE WHEN o_orderkey % 4 = 0 THEN 'fewer than two frames' END) AS notes FROM orders""")
 def rig_documents(spark, sf_dir):
-    docs = documents(spark, sf_dir)
-    values = metadata.state_values(docs).select("path", F.col("values")["laser"].alias("laser"))
-    return metadata.rig(docs).join(values, "path").select("path", F.round("fps", 6).alias("fps"), F.round("um_per_px", 6).alias("um_per_px"), "n_frames", "laser", F.array_join("notes", "; ").alias("notes"))
+    return metadata.rig(documents(spark, sf_dir), ["laser"]).select("path", F.round("fps", 6).alias("fps"), F.round("um_per_px", 6).alias("um_per_px"), "n_frames", "laser", F.array_join("notes", "; ").alias("notes"))
 
 
 @query(f"""WITH {EV}, n AS (SELECT channel, (t * 1000000)::BIGINT AS ns FROM ev) SELECT channel AS run, CASE WHEN channel = 'signup' THEN 15.0 ELSE round(1e9 * (count(*) - 1) / (max(ns) - min(ns)), 6) END AS fps, CASE WHEN channel = 'signup' THEN 'fallback (no timestamps)' ELSE 'timestamps' END AS source FROM n GROUP BY channel""")

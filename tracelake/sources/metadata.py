@@ -6,7 +6,9 @@ lacks; repeated documents give repeated rows; an empty table gives an empty resu
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tracelake.functions import expressions as X
@@ -23,12 +25,30 @@ def frame_times(docs: DataFrame) -> DataFrame:
     return docs.select("path", F.posexplode(times).alias("frame", "t")).withColumn("t", F.col("t") - F.first("t").over(Window.partitionBy("path").orderBy("frame")))
 
 
+#: Stands between texts that are read together; XML allows it nowhere.
+_CUT = "\uffff"
+
+
+def _texts(places: Sequence[str]) -> Column:
+    """An array of the texts at some places, from one reading: every call of an XPath function parses its document."""
+    joined = f", '{_CUT}', ".join(f"string({p})" for p in places)
+    return F.split(F.xpath_string("xml", F.lit(f"concat({joined})")), _CUT)
+
+
 def series_header(docs: DataFrame) -> DataFrame:
-    """(path, date, sequence, n_frames, period, fps, duration_s): fps is one over the median step; the duration has one more period."""
-    steps = frame_times(docs).withColumn("d", F.col("t") - F.lag("t").over(Window.partitionBy("path").orderBy("frame")))
-    clock = steps.groupBy("path").agg(F.count("*").alias("n_frames"), F.percentile("d", F.lit(0.5)).alias("period"), (F.max("t") - F.min("t")).alias("span"))
-    head = docs.select("path", F.expr("xpath_string(xml, '/*/@date')").alias("date"), F.expr("xpath_string(xml, '//Sequence/@type')").alias("sequence"))
-    return head.join(clock, "path", "left").select("path", "date", "sequence", "n_frames", "period", F.try_divide(F.lit(1.0), F.col("period")).alias("fps"), (F.col("span") + F.coalesce("period", F.lit(0.0))).alias("duration_s"))
+    """(path, date, sequence, n_frames, period, fps, duration_s): fps is one over the median step; the duration has one more period.
+
+    A document is read twice, for its texts and for its times, and meets no other row.
+    """
+    times = F.expr("transform(xpath(xml, '//Frame/@relativeTime'), x -> cast(x as double))")
+    read = docs.select("path", _texts(("/*/@date", "//Sequence/@type")).alias("_h"), times.alias("_t"))
+    read = read.withColumn("_t", F.transform("_t", lambda t: t - F.get("_t", F.lit(0))))
+    steps = F.filter(F.transform("_t", lambda t, i: t - F.get("_t", i - 1)), lambda d: d.isNotNull())
+    read = read.withColumn("_d", F.array_sort(steps))
+    low, high = (F.get("_d", F.expr(f"cast((size(_d) - {k}) div 2 as int)")) for k in (1, 0))
+    read = read.withColumns({"period": 0.5 * low + 0.5 * high, "n_frames": F.when(F.size("_t") > 0, F.size("_t").cast("bigint"))})
+    span = F.array_max("_t") - F.array_min("_t")
+    return read.select("path", F.col("_h")[0].alias("date"), F.col("_h")[1].alias("sequence"), "n_frames", "period", F.try_divide(F.lit(1.0), F.col("period")).alias("fps"), (span + F.coalesce("period", F.lit(0.0))).alias("duration_s"))
 
 
 def state_values(docs: DataFrame) -> DataFrame:
@@ -44,18 +64,24 @@ def state_values(docs: DataFrame) -> DataFrame:
     return docs.select("path", first.alias("values"), names.alias("indexed_keys"), values.alias("indexed"), deep.alias("subindexed"))
 
 
-def rig(docs: DataFrame) -> DataFrame:
-    """(path, fps, um_per_px, n_frames, notes) from either of two kinds of document; null where a document says nothing.
+def rig(docs: DataFrame, values: Sequence[str] = ()) -> DataFrame:
+    """(path, fps, um_per_px, n_frames, notes, a text for each of ``values``) from either of two kinds of document; null where a document says nothing.
 
     A pixel's size is the mean of its two sides; ``notes`` says where they differ by more
-    than a fiftieth, and what a document lacks.
+    than a fiftieth, and what a document lacks. ``values``: keys of the first state shard,
+    as in ``state_values``. A document is read once.
     """
     places = {
         "rate": "//LSM/@frameRate", "period": '//PVStateValue[@key="framePeriod"]/@value', "size": "//LSM/@pixelSizeUM", "frames": "//Streaming/@frames", "counted": "count(//Frame)",
         **{axis: f'//PVStateValue[@key="micronsPerPixel"]/IndexedValue[@index="{axis}"]/@value' for axis in ("XAxis", "YAxis")},
     }
-    # each place is read once here, as every reading parses the document
-    read = docs.select("path", *[F.nullif(F.expr(f"xpath_double(xml, '{p}')"), F.lit(float("nan"))).alias(name) for name, p in places.items()])
+    held = [f'//PVStateShard[1]/PVStateValue[@value][@key="{k}"]/@value' for k in values]
+    # numbers as XPath has them; a text comes after whether it is there
+    read = docs.select("path", _texts([*[f"number({p})" for p in places.values()], *[x for p in held for x in (f"boolean({p})", p)]]).alias("_r"))
+    read = read.select(
+        "path", *[F.nullif(F.col("_r")[i].cast("double"), F.lit(float("nan"))).alias(name) for i, name in enumerate(places)],
+        *[F.when(F.col("_r")[len(places) + 2 * i] == "true", F.col("_r")[len(places) + 2 * i + 1]).alias(f"_v{i}") for i in range(len(values))],
+    )
     x, y = F.col("XAxis"), F.col("YAxis")
     fps, um = F.coalesce("rate", F.try_divide(F.lit(1.0), F.col("period"))), F.coalesce("size", (x + y) / 2, x, y)
     frames = F.coalesce("frames", "counted")
@@ -63,7 +89,7 @@ def rig(docs: DataFrame) -> DataFrame:
         F.when(F.abs(x - y) > 0.02 * F.greatest(x, y), F.lit("pixels aren't square: their mean is taken")),
         F.when(fps.isNull(), F.lit("no frame rate")), F.when(um.isNull(), F.lit("no pixel size")), F.when(F.coalesce(frames, F.lit(0)) < 2, F.lit("fewer than two frames")),
     ]
-    return read.select("path", fps.alias("fps"), um.alias("um_per_px"), frames.cast("int").alias("n_frames"), F.filter(F.array(*said), lambda n: n.isNotNull()).alias("notes"))
+    return read.select("path", fps.alias("fps"), um.alias("um_per_px"), frames.cast("int").alias("n_frames"), F.filter(F.array(*said), lambda n: n.isNotNull()).alias("notes"), *[F.col(f"_v{i}").alias(k) for i, k in enumerate(values)])
 
 
 def page_times(tags: DataFrame, high: str = "32781", low: str = "32782") -> DataFrame:

@@ -568,6 +568,14 @@ def test_metadata(spark, tmp_path):
     assert values["values"]["framePeriod"] == "0.5" and values["indexed"][0]["value"] == "1.25"
 
 
+def test_repeated_documents_stay_apart(spark):
+    docs = spark.createDataFrame([("a", XML), ("a", XML), ("b", None)], "path string, xml string")
+    heads = metadata.series_header(docs).orderBy("path").collect()
+    assert [(h["path"], h["n_frames"], h["fps"]) for h in heads] == [("a", 3, 2.0), ("a", 3, 2.0), ("b", None, None)]
+    rigs = metadata.rig(docs, ["framePeriod", "laser"]).orderBy("path").collect()
+    assert [(r["fps"], r["framePeriod"], r["laser"]) for r in rigs] == [(2.0, "0.5", None), (2.0, "0.5", None), (None, None, None)]
+
+
 def test_discovery(spark):
     files = spark.createDataFrame([(p, n) for p, n in (("/d/a/TSeries-x.xml", 9), ("/d/a/in/TSeries-y.xml", 9), ("/d/a/TSeries-x-long.xml", 9), ("/d/b/f10.tif", 5), ("/d/b/f9.tif", 5), ("/d/b/._f1.tif", 5), ("/d/b/e.tif", 0), ("/d/b/proc/o.tif", 5))], "path string, length long")
     files = discovery.split_path(files)
